@@ -14,6 +14,15 @@ from tillroll.schema import KEYS, ORDER_ID, REQUIRED
 from tillroll.sources.files import read_files
 
 
+# Plain and scientific notation. Texts are tested before they are cast: each failing cast is an
+# exception inside the JVM, some hundred times dearer than the test.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _as_number(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """One row: per column, in how many rows it is NULL."""
     return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
@@ -34,30 +43,31 @@ def describe_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     the mean and deviation of those values that are numbers.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    aggregates: list[Column] = []
+    inputs: list[Column] = []
     rows: list[Column] = []
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     for i, field in enumerate(fields):
-        value = F.col(f"`{field.name}`")
-        text = not isinstance(field.dataType, T.NumericType)
-        number = value.try_cast("double") if text else value.cast("double")
-        aggregates.append(
+        is_number = isinstance(field.dataType, T.NumericType)
+        column = F.col(f"`{field.name}`")
+        # Computed once per row, used by several aggregates.
+        number = column.cast("double") if is_number else _as_number(column.cast("string"))
+        value, x = F.col(f"v{i}"), F.col(f"x{i}")
+        inputs += [column.alias(f"v{i}"), number.alias(f"x{i}")]
+        text = value.cast("string")
+        rows.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
                 F.count(value).alias("n"),
-                F.avg(number).alias("mean"),
-                F.stddev(number).alias("sd"),
-                (F.lit(None).cast("double") if text else F.min(number)).alias("min_number"),
-                (F.lit(None).cast("double") if text else F.max(number)).alias("max_number"),
-                (F.min(value.cast("string")) if text else F.lit(None).cast("string")).alias(
-                    "min_text"
-                ),
-                (F.max(value.cast("string")) if text else F.lit(None).cast("string")).alias(
-                    "max_text"
-                ),
+                F.avg(x).alias("mean"),
+                F.stddev(x).alias("sd"),
+                (F.min(x) if is_number else no_number).alias("min_number"),
+                (F.max(x) if is_number else no_number).alias("max_number"),
+                (no_text if is_number else F.min(text)).alias("min_text"),
+                (no_text if is_number else F.max(text)).alias("max_text"),
             ).alias(f"c{i}")
         )
-        rows.append(F.col(f"c{i}"))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    described = df.select(*inputs).agg(*rows)
+    return described.select(F.inline(F.array(*described.columns)))
 
 
 def count_levels(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -129,8 +139,34 @@ def profile(df: DataFrame, key: str = ORDER_ID, keys: Sequence[str] = KEYS) -> P
     )
 
 
-# Types a text column is tried as, narrowest first.
-_TRIED_TYPES = ("int", "bigint", "double", "timestamp", "boolean")
+# What a value can be read as, narrowest first; a number is also every wider number.
+_CLASSES = ("int", "bigint", "double", "timestamp", "boolean", "string")
+
+
+def _value_class(text: Column) -> Column:
+    """Position in ``_CLASSES`` of the narrowest type a text can be read as; NULL for NULL."""
+    # Up to 18 digits always fit a bigint; beyond, the rare cast may fail.
+    whole = F.when(text.rlike(r"^[+-]?\d{1,18}$"), text.cast("bigint")).otherwise(
+        text.try_cast("bigint")
+    )
+    return (
+        F.when(text.isNull(), None)
+        .when(
+            text.rlike(r"^[+-]?\d{1,19}$") & whole.isNotNull(),
+            F.when(whole.between(-(2**31), 2**31 - 1), 0).otherwise(1),
+        )
+        .when(text.rlike(_NUMBER), 2)
+        .when(text.try_cast("timestamp").isNotNull(), 3)
+        .when(F.lower(text).isin("true", "false"), 4)
+        .otherwise(5)
+    )
+
+
+def _column_type(low: Column, high: Column) -> Column:
+    """Type of a column from the lowest and highest class of its values."""
+    name = F.get(F.array(*[F.lit(c) for c in _CLASSES]), high)
+    # Numbers widen to the widest among them; any other mixture is text.
+    return F.when(high.isNull(), "void").when((high <= 2) | (low == high), name).otherwise("string")
 
 
 def file_headers(files: DataFrame) -> DataFrame:
@@ -184,24 +220,18 @@ def file_schema_profile(files: DataFrame) -> DataFrame:
     rows = rows.filter(~is_header)
     aggregates: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for n in names:
-        aggregates.append(F.count(n).alias(f"{n}_n"))
         aggregates += [
-            F.bool_and(F.col(n).isNull() | F.col(n).try_cast(t).isNotNull()).alias(f"{n}_{t}")
-            for t in _TRIED_TYPES
+            F.count(f"{n}_class").alias(f"{n}_n"),
+            F.min(f"{n}_class").alias(f"{n}_low"),
+            F.max(f"{n}_class").alias(f"{n}_high"),
         ]
+    rows = rows.select("file_uri", *[_value_class(F.col(n)).alias(f"{n}_class") for n in names])
     per_file = rows.groupBy("file_uri").agg(*aggregates)
     columns = F.array(
         *[
             F.struct(
                 F.lit(i + 1).alias("position"),
-                F.when(F.col(f"{n}_n") == 0, F.lit("void"))
-                .otherwise(
-                    F.coalesce(
-                        *[F.when(F.col(f"{n}_{t}"), F.lit(t)) for t in _TRIED_TYPES],
-                        F.lit("string"),
-                    )
-                )
-                .alias("data_type"),
+                _column_type(F.col(f"{n}_low"), F.col(f"{n}_high")).alias("data_type"),
                 F.col("n_rows"),
                 (F.col("n_rows") - F.col(f"{n}_n")).alias("n_null"),
             )
@@ -211,7 +241,12 @@ def file_schema_profile(files: DataFrame) -> DataFrame:
     # From the headers, so that a file of nothing but a header is reported too.
     return (
         headers.select("file_uri", F.size("header").alias("n_columns"), F.posexplode("header"))
-        .select("file_uri", "n_columns", (F.col("pos") + 1).alias("position"), F.col("col").alias("column_name"))
+        .select(
+            "file_uri",
+            "n_columns",
+            (F.col("pos") + 1).alias("position"),
+            F.col("col").alias("column_name"),
+        )
         .join(per_file.select("file_uri", F.inline(columns)), ["file_uri", "position"], "left")
         .select(
             "file_uri",

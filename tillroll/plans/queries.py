@@ -26,7 +26,7 @@ from tillroll.streaming.pickup import start_pickup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LOOKUP = {ORDER_ID: 700, PRODUCT: "small ring"}
+LOOKUP = {ORDER_ID: 88, PRODUCT: "cold bolt"}
 REPORT_SINCE, REPORT_UNTIL = (2020, 11), (2022, 2)
 
 

@@ -47,16 +47,15 @@ def read_files(
 ) -> DataFrame:
     """Rows of exactly the listed files, plus ``file_uri``.
 
-    ``files`` is a stored listing, so counting it is cheap. Files that reach the folder later
-    are not read, whichever way is taken.
+    ``files`` is a stored, not empty listing of distinct files. Files that reach the folder
+    later are not read, whichever way is taken.
     """
-    if files.limit(max_named_paths + 1).count() <= max_named_paths:
-        paths = [literal_path(r.path) for r in files.select("path").distinct().collect()]
-        if paths:
-            return _with_uri(read(paths))
+    named = files.select("path").limit(max_named_paths + 1).collect()
+    if len(named) <= max_named_paths:
+        return _with_uri(read([literal_path(r.path) for r in named]))
     folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
     rows = _with_uri(read([literal_path(r.f) for r in folders.collect()]))
-    return rows.join(files.select("file_uri").distinct(), "file_uri", "left_semi")
+    return rows.join(files.select("file_uri"), "file_uri", "left_semi")
 
 
 def _with_uri(rows: DataFrame) -> DataFrame:

@@ -7,14 +7,14 @@ from tillroll.plans.loads import source_rows, union_gated, unusable_rows, usable
 from tillroll.sinks.ledger import write_ledger
 from tillroll.sources.files import csv_reader, csv_scan, csv_scan_files, list_files, read_files
 from tillroll.sources.tables import new_files, read_ledger
-from tillroll.storage import stored
+from tillroll.storage import stored_scratch
 
 GOOD = "1,x,2,3.5,04/19/19 08:46,\"917 1st St, Dallas, TX 75001\""
 DRIFTED = "Product,Order ID,Quantity Ordered,Price Each,Order Date,Purchase Address"
 
 
 def listing(spark, folder):
-    return stored(list_files(spark, folder), "listing")
+    return stored_scratch(list_files(spark, folder), "listing")
 
 
 def names(df):
@@ -43,7 +43,7 @@ def test_ledger_is_written_extended_and_subtracted(spark, source, target):
     source("a.csv", GOOD)
     write_ledger(listing(spark, source.folder), ledger, "1", "overwrite")
     source("b.csv", GOOD)
-    new = stored(new_files(list_files(spark, source.folder), read_ledger(spark, ledger)), "new")
+    new = stored_scratch(new_files(list_files(spark, source.folder), read_ledger(spark, ledger)), "new")
     assert names(new) == ["b.csv"]
     write_ledger(new, ledger, "2", "append")
     assert names(read_ledger(spark, ledger)) == ["a.csv", "b.csv"]
@@ -79,7 +79,7 @@ def test_files_with_another_header_are_rejected(spark, source):
     source("short.csv", "1,x", header="Order ID,Product")
     source("blank.csv", header="")
     files = listing(spark, source.folder)
-    inspected = stored(gates.inspect_files(files), "inspected")
+    inspected = stored_scratch(gates.inspect_files(files), "inspected")
     assert names(gates.accepted_files(inspected)) == ["blank_first.csv", "good.csv", "quoted.csv"]
     reasons = {
         r.path.rsplit("/", 1)[1]: r.reason for r in gates.rejected_files(inspected).collect()

@@ -5,7 +5,7 @@ from conftest import HEADER, plan, rows
 from tillroll.operators import profiling
 from tillroll.schema import SOURCE_SCHEMA
 from tillroll.sources.files import list_files
-from tillroll.storage import stored
+from tillroll.storage import stored_scratch
 
 DATA = [
     (1, "x", 2, 1.5, "d1", "home"),
@@ -73,7 +73,7 @@ def test_file_schemas(spark, source):
     source("b.csv", "3000000000,true,1.5,1e3,2019-04-19 08:46,", "1,FALSE,7,,2019-04-19,", header='"Order ID",b,c,d,e,"f, g"')
     source("c.csv", "1,2", header="one,two")
     source("d.csv", header="only")
-    files = stored(list_files(spark, source.folder), "listing")
+    files = stored_scratch(list_files(spark, source.folder), "listing")
     found = {}
     for r in profiling.file_schema_profile(files).orderBy("position").collect():
         found.setdefault(r.file_uri[-5], []).append((r.n_columns, r.column_name, r.data_type, r.n_rows, r.n_null))

@@ -24,7 +24,7 @@ from tillroll.schema import (
     SOURCE_SCHEMA,
 )
 from tillroll.sources.files import list_files
-from tillroll.storage import scratch_path, stored
+from tillroll.storage import scratch_path, stored_scratch
 
 # Orders' lines above this number come in the files that arrive late.
 EARLY_LINES = 4
@@ -105,7 +105,7 @@ def sales_csv(
         after = text.filter(F.col("line") > EARLY_LINES)
         after = after.select(*(names if late == "conforming" else reversed(names)))
         early.write.option("header", True).csv(folder)
-        listing = stored(list_files(spark, folder), "early")
+        listing = stored_scratch(list_files(spark, folder), "early")
         after.write.mode("append").option("header", True).csv(folder)
         _folders[key] = folder, listing
     return _folders[key]

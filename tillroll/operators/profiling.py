@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tillroll.operators.cleansing import remove_nulls
 from tillroll.schema import KEYS, ORDER_ID, REQUIRED
 from tillroll.sources.files import read_files
+from tillroll.storage import stored_scratch
 
 
 # Plain and scientific notation. Texts are tested before they are cast: each failing cast is an
@@ -196,10 +197,8 @@ def file_schema_profile(files: DataFrame) -> DataFrame:
     All files are read as text columns in one pass; per file and task one row is shuffled.
     Lines equal to the header are not values.
     """
-    from tillroll.storage import stored
-
     spark = files.sparkSession
-    headers = stored(file_headers(files), "headers")
+    headers = stored_scratch(file_headers(files), "headers")
     # One number, at most the width of the widest file.
     width = headers.agg(F.max(F.size("header"))).first()[0]
     names = [f"_c{i}" for i in range(width or 1)]

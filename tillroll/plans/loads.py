@@ -15,7 +15,7 @@ from tillroll.sinks.ledger import write_ledger
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
 from tillroll.sources.tables import new_files, read_ledger, read_table
-from tillroll.storage import stored
+from tillroll.storage import stored_scratch
 
 MODES = ("append", "upsert")
 
@@ -57,18 +57,18 @@ def union_gated(files: DataFrame, gate: str = "header") -> DataFrame:
     )
 
 
-def _inspected(files: DataFrame, gate: str) -> DataFrame:
-    return stored(inspect_files(stored(files, "listing"), gate), "inspected")
-
-
-def _result(batch_id: str, inspected: DataFrame, gate: str) -> LoadResult:
+def _gated(files: DataFrame, gate: str) -> tuple[LoadResult, DataFrame]:
+    """The outcome of the gate, and the cleansed rows of the files that passed."""
+    inspected = stored_scratch(inspect_files(stored_scratch(files, "listing"), gate), "inspected")
     accepted = accepted_files(inspected)
-    return LoadResult(
-        batch_id=batch_id,
+    rows = source_rows(accepted, gate)
+    result = LoadResult(
+        batch_id=uuid.uuid4().hex,
         files=accepted,
         rejected_files=rejected_files(inspected),
-        rejected_rows=unusable_rows(source_rows(accepted, gate)),
+        rejected_rows=unusable_rows(rows),
     )
+    return result, usable_rows(rows).transform(cleanse)
 
 
 def batch_load(
@@ -87,10 +87,8 @@ def batch_load(
     loadable file leaves table and ledger as they are.
     """
     listing = list_files(spark, source_dir) if files is None else files
-    inspected = _inspected(listing, gate)
-    result = _result(uuid.uuid4().hex, inspected, gate)
+    result, rows = _gated(listing, gate)
     if not result.files.isEmpty():
-        rows = usable_rows(source_rows(result.files, gate)).transform(cleanse)
         write_table(rows, table_path, "overwrite", fmt, layout)
         write_ledger(result.files, ledger_path, result.batch_id, "overwrite")
     return result
@@ -127,10 +125,8 @@ def load_files(
     """Load the given files into the table, then record them."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    inspected = _inspected(files, gate)
-    result = _result(uuid.uuid4().hex, inspected, gate)
+    result, rows = _gated(files, gate)
     if not result.files.isEmpty():
-        rows = usable_rows(source_rows(result.files, gate)).transform(cleanse)
         if mode == "append":
             append_rows(rows, table_path, fmt)
         else:

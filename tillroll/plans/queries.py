@@ -21,7 +21,7 @@ from tillroll.sinks.ledger import write_ledger
 from tillroll.sinks.tables import append_rows, write_table
 from tillroll.sources.files import csv_scan, csv_scan_files, list_files
 from tillroll.sources.tables import new_files, read_ledger, read_table
-from tillroll.storage import scratch_path, stored
+from tillroll.storage import scratch_path, stored_scratch
 from tillroll.streaming.pickup import start_pickup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,14 +156,14 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_scan_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = fixtures.sales_csv(spark, sf_dir)
-    files = stored(list_files(spark, folder), "listing")
+    files = stored_scratch(list_files(spark, folder), "listing")
     return csv_scan_files(files).select(*SOURCE_SCHEMA.fieldNames())
 
 
 def file_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-file profile, summed over files of one shape: file names differ between runs."""
     folder, _ = fixtures.sales_csv(spark, sf_dir)
-    files = stored(list_files(spark, folder), "listing")
+    files = stored_scratch(list_files(spark, folder), "listing")
     return (
         profiling.file_schema_profile(files)
         .groupBy("n_columns", "position", "column_name", "data_type")
@@ -173,14 +173,14 @@ def file_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = fixtures.sales_csv(spark, sf_dir, late="drifted")
-    return loads.union_gated(stored(list_files(spark, folder), "listing"))
+    return loads.union_gated(stored_scratch(list_files(spark, folder), "listing"))
 
 
 def rejected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines in files the gate rejects, by reason."""
     folder, _ = fixtures.sales_csv(spark, sf_dir, late="drifted")
-    files = stored(list_files(spark, folder), "listing")
-    rejected = stored(gates.rejected_files(gates.inspect_files(files)), "rejected")
+    files = stored_scratch(list_files(spark, folder), "listing")
+    rejected = stored_scratch(gates.rejected_files(gates.inspect_files(files)), "rejected")
     return (
         csv_scan_files(rejected)
         .join(rejected.select("file_uri", "reason"), "file_uri")
@@ -195,7 +195,7 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = scratch_path(spark, "ledger")
     write_ledger(early, ledger, "first", "overwrite")
     new = new_files(list_files(spark, folder), read_ledger(spark, ledger))
-    return csv_scan_files(stored(new, "new")).select(*SOURCE_SCHEMA.fieldNames())
+    return csv_scan_files(stored_scratch(new, "new")).select(*SOURCE_SCHEMA.fieldNames())
 
 
 # --- loads ------------------------------------------------------------------------------
@@ -218,7 +218,7 @@ def _early_then_late(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 def append_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, early = fixtures.sales_csv(spark, sf_dir)
     path, _ = fixtures.fresh_table(spark)
-    late = stored(new_files(list_files(spark, folder), early), "late")
+    late = stored_scratch(new_files(list_files(spark, folder), early), "late")
     for files in (early, late):
         append_rows(loads.usable_rows(loads.source_rows(files)).transform(cleansing.cleanse), path)
     return _comparable(read_table(spark, path))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -70,20 +70,23 @@ def append_rows(
     write_table(df, path, "append", fmt, layout)
 
 
+def _month_number(year: int | None, month: int | None) -> int:
+    return -1 if year is None or month is None else year * 100 + month
+
+
 def in_months(months: Sequence[Row]) -> Column:
-    """Rows of the given months; on partition columns, so other months are not even listed."""
-    test = F.lit(False)
-    for m in months:
-        test = test | (F.col("year").eqNullSafe(F.lit(m.year)) & F.col("month").eqNullSafe(F.lit(m.month)))
-    return test
+    """Rows of the given months; on partition columns, so other months are not read."""
+    number = F.coalesce(F.col("year") * 100 + F.col("month"), F.lit(-1))
+    return number.isin([_month_number(m.year, m.month) for m in months])
 
 
 def _months(df: DataFrame) -> list[Row]:
     """Distinct periods: bounded by the calendar, not by the data."""
-    return sorted(
-        df.select(*PERIOD).distinct().collect(),
-        key=lambda r: (r.year is None, r.year or 0, r.month or 0),
-    )
+    return _in_order(df.select(*PERIOD).distinct().collect())
+
+
+def _in_order(months: Iterable[Row]) -> list[Row]:
+    return sorted(months, key=lambda m: _month_number(m.year, m.month))
 
 
 def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
@@ -99,6 +102,12 @@ def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
     return _months(incoming.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
 
+def _files(spark: SparkSession, path: str, months: Sequence[Row]) -> list[str]:
+    """Paths of a table's files in the given months; none is opened."""
+    files = spark.read.format("binaryFile").load(path).filter(in_months(months))
+    return [r.path for r in files.select("path").collect()]
+
+
 def _month_folder(path: str, month: Row) -> str:
     parts = [
         f"{c}={_DEFAULT_PARTITION if month[c] is None else month[c]}" for c in PERIOD
@@ -125,16 +134,14 @@ def upsert_rows(
         write_table(df, path, "overwrite", fmt, layout)
         return []
     # Used three times below; written, so that it is computed once and survives lost executors.
-    incoming = storage.stored(df, "incoming")
+    incoming_path = storage.scratch_path(spark, "incoming")
+    incoming = storage.stored(df, incoming_path)
     table = read_table(spark, path, fmt)
     months = touched_months(incoming, table)
     pending_path = f"{path.rstrip('/')}/{_PENDING}"
     if fmt == "parquet" and storage.exists(spark, pending_path):
         left = spark.read.schema("year int, month int").parquet(pending_path)
-        months = sorted(
-            set(months) | set(_months(left)),
-            key=lambda r: (r.year is None, r.year or 0, r.month or 0),
-        )
+        months = _in_order({*months, *_months(left)})
     if not months:
         return []
     merged = keep_max(
@@ -150,7 +157,7 @@ def upsert_rows(
         ).save(path)
         return months
 
-    replaced = [f for m in months for f in storage.data_files(spark, _month_folder(path, m))]
+    replaced = _files(spark, path, months)
     spark.createDataFrame(months, "year int, month int").write.mode("append").parquet(
         pending_path
     )
@@ -160,6 +167,7 @@ def upsert_rows(
     for month in months:
         storage.delete_if_empty(spark, _month_folder(path, month))
     storage.delete(spark, pending_path)
+    storage.delete(spark, incoming_path)
     return months
 
 

@@ -26,16 +26,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tillroll/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back: evaluated once, and no lineage to replay.
 
     Sizes of the written files are known to Spark, so later joins with it are broadcast only
     if it really is small.
     """
-    spark = df.sparkSession
-    path = path or scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` at a fresh scratch path."""
+    return stored(df, scratch_path(df.sparkSession, name))
 
 
 def _path(spark: SparkSession, path: str):
@@ -56,14 +59,6 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop_path))
 
 
-def data_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the files directly in ``folder``; none if it does not exist."""
-    fs, hadoop_path = _path(spark, folder)
-    if not fs.exists(hadoop_path):
-        return []
-    return [s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isFile()]
-
-
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; no error if it is gone already."""
     fs, hadoop_path = _path(spark, path)

@@ -201,6 +201,48 @@ def test_append_to_a_table_whose_only_month_is_null(spark, target):
     assert stored_rows(spark, table) == [(1, "x", 1, None, None), (2, "x", 1, 2019, 4)]
 
 
+def test_upsert_into_a_table_whose_only_month_is_null(spark, target):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, None, None), (2, "x", 1, None, None)), table)
+    upsert_rows(cleansed(spark, (1, "x", 2, 2019, 4)), table)
+    assert stored_rows(spark, table) == [(1, "x", 2, 2019, 4), (2, "x", 1, None, None)]
+    upsert_rows(cleansed(spark, (2, "x", 2, 2019, 4)), table)
+    assert stored_rows(spark, table) == [(1, "x", 2, 2019, 4), (2, "x", 2, 2019, 4)]
+
+
+def test_upsert_of_no_rows_changes_nothing(spark, target):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, 2019, 4)), table)
+    assert upsert_rows(cleansed(spark), table) == []
+    assert stored_rows(spark, table) == [(1, "x", 1, 2019, 4)]
+
+
+def test_only_keys_in_the_range_of_new_ids_are_read(spark, target):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, 2019, 4), (9, "x", 1, 2019, 5)), table)
+    seen = []
+    original = tables._months
+    tables._months = lambda df: seen.append(plan(df)) or original(df)
+    try:
+        incoming = read_table(spark, table).filter("Order_ID = 9")
+        assert [tuple(m) for m in tables.touched_months(incoming, read_table(spark, table))] == [(2019, 5)]
+    finally:
+        tables._months = original
+    assert "GreaterThanOrEqual(Order_ID,9)" in seen[0]
+    assert "Purchase_Address" not in seen[0]
+
+
+def test_without_adaptive_execution_no_month_goes_to_one_task(spark, target):
+    table, _ = target
+    data = cleansed(spark, *[(i, "x", 1, 2019, 4) for i in range(40)]).repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_table(data, table)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(glob.glob(f"{table}/year=2019/month=4/*.parquet")) == 4
+
+
 def test_rebalance_writes_a_file_per_small_month_and_several_per_large(spark, target):
     table, _ = target
     data = spark.range(0, 60_000, 1, 8).select(

@@ -24,11 +24,15 @@ def laid_out(df: DataFrame, layout: str = "rebalance") -> DataFrame:
     ``rebalance`` brings a month's rows together and lets adaptive execution cut large months
     into, and join small months up to, tasks of ``advisoryPartitionSizeInBytes``: no task
     gets a whole month, and there are not (tasks x months) files. ``as_is`` saves that shuffle;
-    right where rows are of few months, such as a monthly load.
+    right where rows are of few months, such as a monthly load. Without adaptive execution
+    nothing could cut a large month, so rows are then written as they are.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    return df.hint("rebalance", *[F.col(c) for c in PERIOD]) if layout == "rebalance" else df
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if layout == "as_is" or not adaptive:
+        return df
+    return df.hint("rebalance", *[F.col(c) for c in PERIOD])
 
 
 def write_table(
@@ -92,9 +96,13 @@ def _in_order(months: Iterable[Row]) -> list[Row]:
 def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
     """Months that change: those of new rows, and of old rows that share a key with them.
 
-    Only the key columns of the table are read. A key may be of an earlier month than the new
-    row, because the date is no part of it.
+    Only the key columns of the table are read, and of those only row groups that reach into
+    the range of new order ids: ids rise over time, so this leaves out most older months. A key
+    may be of another month than the new row, because the date is no part of it.
     """
+    order_id = F.col(STORED_KEYS[0])
+    low, high = incoming.agg(F.min(order_id), F.max(order_id)).first()
+    table = table.filter(order_id.between(low, high))
     # One row per key on this side, and sized by its files: broadcast only if small.
     keys = incoming.select(*[F.col(k).alias(f"new_{k}") for k in STORED_KEYS])
     same_key = [table[k].eqNullSafe(keys[f"new_{k}"]) for k in STORED_KEYS]

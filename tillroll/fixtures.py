@@ -34,11 +34,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores, if the files have fewer splits than there are cores.
+
+    A small table can be one row group, that is one task for all that follows up to the next
+    shuffle. A large table has splits enough and is read as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source rows with ``line`` (line number) and ``header_again`` (a repeated header)."""
     pk = F.col("l_partkey")
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
     base = (
-        table(spark, sf_dir, "lineitem")
+        _spread(lineitem, "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))

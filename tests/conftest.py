@@ -41,7 +41,7 @@ def source(tmp_path):
 @pytest.fixture
 def target(tmp_path):
     """Paths of a table and its ledger."""
-    return str(tmp_path / "cleansed" / "Sales_Data"), str(tmp_path / "ledger")
+    return str(tmp_path / "cleansed" / "sales"), str(tmp_path / "ledger")
 
 
 def rows(df, *columns):

@@ -24,6 +24,7 @@ def sales(spark, *data):
     return spark.createDataFrame(list(data), SOURCE_SCHEMA)
 
 
+# Input and expected rows of the first three tests are results to match.
 def test_rows_without_a_key_are_removed(spark):
     df = spark.createDataFrame([("123", "Product A"), (None, "Product B")], ["Order ID", "Product"])
     assert rows(remove_nulls(df)) == [("123", "Product A")]

@@ -1,9 +1,9 @@
 import pytest
-from conftest import HEADER, rows
+from conftest import HEADER, plan, rows
 from pyspark.errors import AnalysisException
 
 from tillroll.operators import gates
-from tillroll.plans.loads import source_rows, union_gated, unusable_rows, usable_rows
+from tillroll.plans.loads import union_gated, unusable_rows, usable_rows
 from tillroll.sinks.ledger import write_ledger
 from tillroll.sources.files import csv_reader, csv_scan, csv_scan_files, list_files, read_files
 from tillroll.sources.tables import new_files, read_ledger
@@ -97,9 +97,12 @@ def test_a_wrong_value_costs_its_line_or_under_the_strict_gate_its_file(spark, s
     source("good.csv", GOOD, ",,,,,", HEADER)
     source("bad.csv", GOOD, "2,y,two,4,04/19/19 08:46,home")
     files = listing(spark, source.folder)
-    found = source_rows(gates.accepted_files(gates.inspect_files(files)))
-    assert usable_rows(found).count() == 2
-    assert [r[0] for r in rows(unusable_rows(found), "reason")] == [
+    accepted = gates.accepted_files(gates.inspect_files(files))
+    usable = usable_rows(accepted)
+    assert usable.count() == 2
+    assert "PushedFilters: [IsNotNull(Order ID)]" in plan(usable)
+    assert "file_path" not in plan(usable)
+    assert [r[0] for r in rows(unusable_rows(accepted), "reason")] == [
         "no order id",
         "no order id",
         "wrong value type",
@@ -111,18 +114,18 @@ def test_a_wrong_value_costs_its_line_or_under_the_strict_gate_its_file(spark, s
 
 def test_short_and_long_lines_are_usable(spark, source):
     source("a.csv", "3,short", "4,long,1,1,04/19/19 08:46,home,extra")
-    found = source_rows(listing(spark, source.folder))
-    assert rows(usable_rows(found), "Order ID", "Price Each") == [(3, None), (4, 1.0)]
+    files = listing(spark, source.folder)
+    assert rows(usable_rows(files), "Order ID", "Price Each") == [(3, None), (4, 1.0)]
 
 
 def test_the_fail_gate_stops_the_scan_at_a_differing_header(spark, source):
     source("good.csv", GOOD)
     files = listing(spark, source.folder)
-    assert source_rows(gates.accepted_files(gates.inspect_files(files, "fail")), "fail").count() == 1
+    assert usable_rows(gates.accepted_files(gates.inspect_files(files, "fail")), "fail").count() == 1
     source("drifted.csv", "x,1,2,3.5,04/19/19 08:46,home", header=DRIFTED)
     files = gates.accepted_files(gates.inspect_files(listing(spark, source.folder), "fail"))
     with pytest.raises(Exception, match="(?i)header"):
-        usable_rows(source_rows(files, "fail")).collect()
+        usable_rows(files, "fail").collect()
 
 
 def test_an_unknown_gate_is_an_error(spark, source):
@@ -138,6 +141,8 @@ def test_both_ways_of_reading_a_file_set_read_exactly_it(spark, source, limit):
     source("later.csv", GOOD)
     found = read_files(files, csv_reader(spark), max_named_paths=limit)
     assert rows(found, "file_uri") == rows(files, "file_uri")
+    bare = read_files(files, csv_reader(spark), with_uri=False, max_named_paths=limit)
+    assert bare.count() == 3 and "file_uri" not in bare.columns
 
 
 def test_no_files_read_as_no_rows(spark, source):

@@ -127,4 +127,4 @@ def sales_csv(
 def fresh_table(spark: SparkSession) -> tuple[str, str]:
     """Unused paths for a table and its ledger."""
     base = scratch_path(spark, f"load-{uuid.uuid4().hex[:8]}")
-    return f"{base}/Sales_Data", f"{base}/ledger"
+    return f"{base}/sales", f"{base}/ledger"

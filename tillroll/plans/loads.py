@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.cleansing import cleanse, uncastable
+from tillroll.operators.cleansing import cleanse, remove_nulls, uncastable
 from tillroll.operators.gates import accepted_files, inspect_files, rejected_files
-from tillroll.schema import CORRUPT, ORDER_ID, SOURCE_SCHEMA
+from tillroll.schema import ORDER_ID, SOURCE_SCHEMA
 from tillroll.sinks.ledger import write_ledger
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
@@ -20,55 +20,59 @@ from tillroll.storage import stored_scratch
 MODES = ("append", "upsert")
 
 
-class LoadResult(NamedTuple):
+@dataclass(frozen=True)
+class LoadResult:
     """What a load leaves behind. The frames are read when used; no load work is repeated."""
 
     batch_id: str
     files: DataFrame  # loaded
     rejected_files: DataFrame  # with ``reason``; not recorded, so looked at again next time
-    rejected_rows: DataFrame  # lines of loaded files that are not in the table, with ``reason``
 
-
-def source_rows(files: DataFrame, gate: str = "header") -> DataFrame:
-    """Lines of the listed files with ``reason``: why a line is not usable, NULL if it is."""
-    rows = csv_scan_files(files, SOURCE_SCHEMA, check_header=gate == "fail")
-    return rows.transform(uncastable).withColumn(
-        "reason",
-        F.when(F.col(ORDER_ID).isNull(), "no order id").when(
-            F.col("uncastable"), "wrong value type"
-        ),
+    @property
+    def rejected_rows(self) -> DataFrame:
+        """Lines of loaded files that are not in the table, with ``reason``; a scan of its own."""
+        return unusable_rows(self.files)
+
+
+def usable_rows(files: DataFrame, gate: str = "header") -> DataFrame:
+    """Lines of the listed files that have a key and hold no value of a wrong type."""
+    rows = csv_scan_files(files, SOURCE_SCHEMA, gate == "fail", with_uri=False)
+    # The key test reaches the scan, which then splits no further into a line without a key.
+    return (
+        rows.transform(remove_nulls)
+        .transform(uncastable)
+        .filter(~F.col("uncastable"))
+        .select(*SOURCE_SCHEMA.fieldNames())
     )
 
 
-def usable_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("reason").isNull()).select(*SOURCE_SCHEMA.fieldNames())
-
-
-def unusable_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("reason").isNotNull()).select(
-        *SOURCE_SCHEMA.fieldNames(), CORRUPT, "file_uri", "reason"
+def unusable_rows(files: DataFrame) -> DataFrame:
+    """The other lines: where they are and why they are left out."""
+    return (
+        csv_scan_files(files)
+        .transform(uncastable)
+        .withColumn(
+            "reason",
+            F.when(F.col(ORDER_ID).isNull(), "no order id").when(
+                F.col("uncastable"), "wrong value type"
+            ),
+        )
+        .filter(F.col("reason").isNotNull())
+        .drop("uncastable")
     )
 
 
 def union_gated(files: DataFrame, gate: str = "header") -> DataFrame:
     """All lines of the files that pass the gate, as one frame: one scan, not one per file."""
-    return csv_scan_files(accepted_files(inspect_files(files, gate))).select(
-        *SOURCE_SCHEMA.fieldNames()
-    )
+    accepted = stored_scratch(accepted_files(inspect_files(files, gate)), "accepted")
+    return csv_scan_files(accepted, with_uri=False).select(*SOURCE_SCHEMA.fieldNames())
 
 
 def _gated(files: DataFrame, gate: str) -> tuple[LoadResult, DataFrame]:
     """The outcome of the gate, and the cleansed rows of the files that passed."""
     inspected = stored_scratch(inspect_files(stored_scratch(files, "listing"), gate), "inspected")
-    accepted = accepted_files(inspected)
-    rows = source_rows(accepted, gate)
-    result = LoadResult(
-        batch_id=uuid.uuid4().hex,
-        files=accepted,
-        rejected_files=rejected_files(inspected),
-        rejected_rows=unusable_rows(rows),
-    )
-    return result, usable_rows(rows).transform(cleanse)
+    result = LoadResult(uuid.uuid4().hex, accepted_files(inspected), rejected_files(inspected))
+    return result, usable_rows(result.files, gate).transform(cleanse)
 
 
 def batch_load(

@@ -157,7 +157,7 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_scan_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = fixtures.sales_csv(spark, sf_dir)
     files = stored_scratch(list_files(spark, folder), "listing")
-    return csv_scan_files(files).select(*SOURCE_SCHEMA.fieldNames())
+    return csv_scan_files(files, with_uri=False).select(*SOURCE_SCHEMA.fieldNames())
 
 
 def file_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +195,8 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = scratch_path(spark, "ledger")
     write_ledger(early, ledger, "first", "overwrite")
     new = new_files(list_files(spark, folder), read_ledger(spark, ledger))
-    return csv_scan_files(stored_scratch(new, "new")).select(*SOURCE_SCHEMA.fieldNames())
+    rows = csv_scan_files(stored_scratch(new, "new"), with_uri=False)
+    return rows.select(*SOURCE_SCHEMA.fieldNames())
 
 
 # --- loads ------------------------------------------------------------------------------
@@ -220,7 +221,7 @@ def append_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = fixtures.fresh_table(spark)
     late = stored_scratch(new_files(list_files(spark, folder), early), "late")
     for files in (early, late):
-        append_rows(loads.usable_rows(loads.source_rows(files)).transform(cleansing.cleanse), path)
+        append_rows(loads.usable_rows(files).transform(cleansing.cleanse), path)
     return _comparable(read_table(spark, path))
 
 

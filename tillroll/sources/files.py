@@ -43,23 +43,24 @@ def literal_path(path: str) -> str:
 def read_files(
     files: DataFrame,
     read: Callable[[list[str]], DataFrame],
+    with_uri: bool = True,
     max_named_paths: int = MAX_NAMED_PATHS,
 ) -> DataFrame:
-    """Rows of exactly the listed files, plus ``file_uri``.
+    """Rows of exactly the listed files, plus ``file_uri`` unless ``with_uri`` is off.
 
     ``files`` is a stored, not empty listing of distinct files. Files that reach the folder
     later are not read, whichever way is taken.
     """
+    uri = F.col("_metadata.file_path").alias("file_uri")
     named = files.select("path").limit(max_named_paths + 1).collect()
     if len(named) <= max_named_paths:
-        return _with_uri(read([literal_path(r.path) for r in named]))
+        rows = read([literal_path(r.path) for r in named])
+        # Asking for the file makes the scan attach all file metadata to every row.
+        return rows.select("*", uri) if with_uri else rows
     folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
-    rows = _with_uri(read([literal_path(r.f) for r in folders.collect()]))
-    return rows.join(files.select("file_uri"), "file_uri", "left_semi")
-
-
-def _with_uri(rows: DataFrame) -> DataFrame:
-    return rows.select("*", F.col("_metadata.file_path").alias("file_uri"))
+    rows = read([literal_path(r.f) for r in folders.collect()]).select("*", uri)
+    rows = rows.join(files.select("file_uri"), "file_uri", "left_semi")
+    return rows if with_uri else rows.drop("file_uri")
 
 
 def csv_reader(
@@ -100,16 +101,14 @@ def csv_scan(
 
 
 def csv_scan_files(
-    files: DataFrame, schema: T.StructType = SOURCE_SCHEMA, check_header: bool = False
+    files: DataFrame,
+    schema: T.StructType = SOURCE_SCHEMA,
+    check_header: bool = False,
+    with_uri: bool = True,
 ) -> DataFrame:
     """Typed rows of the listed files, with ``_corrupt_record`` and ``file_uri``."""
     if files.isEmpty():
-        full = T.StructType(
-            [
-                *schema.fields,
-                T.StructField(CORRUPT, T.StringType()),
-                T.StructField("file_uri", T.StringType()),
-            ]
-        )
+        extra = [CORRUPT, "file_uri"] if with_uri else [CORRUPT]
+        full = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in extra]])
         return files.sparkSession.createDataFrame([], full)
-    return read_files(files, csv_reader(files.sparkSession, schema, check_header))
+    return read_files(files, csv_reader(files.sparkSession, schema, check_header), with_uri)

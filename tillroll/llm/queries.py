@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
+from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.tables import table
 from tillroll.llm.token_files import token_files
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -23,6 +28,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_minhash": op5_minhash,
     "op8_token_files": op8_token_files,
     "op10_byte_bpe": op10_byte_bpe,
 }

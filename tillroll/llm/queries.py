@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
+from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.tables import table
 from tillroll.llm.token_files import token_files
@@ -17,6 +18,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,6 +34,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash": op5_minhash,
+    "op6_kneser_ney": op6_kneser_ney,
     "op8_token_files": op8_token_files,
     "op10_byte_bpe": op10_byte_bpe,
 }

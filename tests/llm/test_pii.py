@@ -1,0 +1,90 @@
+import hashlib
+import random
+import re
+
+from helpers import documents
+
+from tillroll.llm.pii import KINDS, base_spans, luhn, personal_data, redacted, spelled
+
+# The contract's patterns, applied as they stand.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    return {
+        "email": True,
+        "ip": kind == "ip" and all(int(p) <= 255 for p in match.split(".")),
+        "card": 12 <= len(digits) <= 19 and luhn(digits),
+        "phone": 9 <= len(digits) <= 15,
+    }[kind]
+
+
+def plain_spans(text):
+    found = [
+        (m.start(), KINDS.index(k), m.end())
+        for k in KINDS
+        for m in re.finditer(PLAIN[k], text or "")
+        if passes(k, m[0])
+    ]
+    return sorted(found)
+
+
+def test_base_spans_equal_the_plain_patterns_on_random_texts():
+    rng = random.Random(2)
+    pieces = ["a@b.c", "@", ".", "x", "_", "1", "12", "255", "256", "1.2.3.4", "+1 (", ") 555-77", "13",
+              " ", "-", "4111 1111 1111 1111", "é", "x@y.co_z@w.org", "@@", "+49-30-1234567", "0001"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(12)))
+        assert base_spans(text) == plain_spans(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 300_000, "a" * 300_000, "a@" * 100_000, "+1(" * 100_000, "1." * 100_000):
+        base_spans(text)
+
+
+def test_the_documents_table(spark):
+    rows = documents()
+    df = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in personal_data(spark, df).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        want = plain_spans(r["text"])
+        row = got[r["doc_id"]]
+        assert [row[f"n_{k}"] for k in KINDS] == [sum(s[1] == i for s in want) for i in range(4)]
+        text = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert row.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(text.split(",")) - {""} <= set(row.spans.split(","))
+
+
+def test_contexts_of_seeds_find_what_no_base_pattern_knows(spark):
+    rows = [(i, f"note {i * 7} please call me at +1 (201) 555-77{i:02d} today") for i in range(10, 40)]
+    hidden = "later please call me at 0201-5557-x3 today or pay 123456"
+    rows += [(90, hidden), (91, "the order 0201-5557-x4 came"), (92, None), (None, hidden)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in personal_data(spark, df).collect()}
+    start = hidden.index("0201")
+    assert got[90].spans == got[None].spans == f"phone_like:{start}:{start + 12}"
+    assert got[90].n_phone == 0
+    assert got[91].spans == got[92].spans == ""
+    assert got[20].spans == spelled(base_spans(rows[10][1]))
+
+    clean = redacted(spark, df.selectExpr("doc_id", "doc_id AS found", "text", "length(text) AS n_chars"))
+    assert clean.columns == ["doc_id", "found", "text", "n_chars"]
+    got = {r.doc_id: r for r in clean.collect()}
+    assert got[90].text == hidden.replace("0201-5557-x3", "<PHONE_LIKE>") and got[90].found == 90
+    assert got[90].n_chars == len(got[90].text)
+    assert got[91].text == "the order 0201-5557-x4 came" and got[92].text is None
+    assert got[20].text == "note 140 please call me at <PHONE> today"
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, n_chars int")
+    assert personal_data(spark, df).count() == 0
+    assert redacted(spark, df).count() == 0

@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.llm.bpe import encode_decode
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.minhash import near_duplicates
+from tillroll.llm.pii import personal_data
 from tillroll.llm.tables import table
 from tillroll.llm.token_files import token_files
 
 
+def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op5_minhash": op5_minhash,
     "op6_kneser_ney": op6_kneser_ney,
     "op8_token_files": op8_token_files,

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
 from tillroll.llm.kneser_ney import toxicity
+from tillroll.llm.language import language_id
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.pii import personal_data
+from tillroll.llm.quality import quality
 from tillroll.llm.tables import table
 from tillroll.llm.token_files import token_files
 
@@ -19,6 +21,10 @@ def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(table(spark, sf_dir, "documents"), ranks)
@@ -39,9 +49,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
+    "op3_rule_ensemble": op3_rule_ensemble,
     "op5_minhash": op5_minhash,
     "op6_kneser_ney": op6_kneser_ney,
     "op8_token_files": op8_token_files,
+    "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}

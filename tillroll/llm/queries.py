@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
+from tillroll.llm.grid_order import near_vectors
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
 from tillroll.llm.minhash import near_duplicates
@@ -21,6 +22,10 @@ def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_grid_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
+    "op2_grid_order": op2_grid_order,
     "op3_rule_ensemble": op3_rule_ensemble,
     "op5_minhash": op5_minhash,
     "op6_kneser_ney": op6_kneser_ney,

@@ -12,6 +12,7 @@ from tillroll.llm.grid_order import near_vectors
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
 from tillroll.llm.minhash import near_duplicates
+from tillroll.llm.page_text import main_text
 from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import quality
 from tillroll.llm.tables import table
@@ -38,6 +39,10 @@ def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rule_ensemble": op3_rule_ensemble,
     "op5_minhash": op5_minhash,
     "op6_kneser_ney": op6_kneser_ney,
+    "op7_suffix_array": op7_suffix_array,
     "op8_token_files": op8_token_files,
     "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,

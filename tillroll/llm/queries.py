@@ -11,6 +11,7 @@ from tillroll.llm.bpe import encode_decode
 from tillroll.llm.grid_order import near_vectors
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
+from tillroll.llm.latent import benchmark_matches
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.page_text import main_text
 from tillroll.llm.pii import personal_data
@@ -31,6 +32,11 @@ def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return benchmark_matches(spark, docs, items)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_grid_order": op2_grid_order,
     "op3_rule_ensemble": op3_rule_ensemble,
+    "op4_latent_retrieval": op4_latent_retrieval,
     "op5_minhash": op5_minhash,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_suffix_array": op7_suffix_array,

@@ -10,8 +10,8 @@ confirmed on the full shingle sets.
 
 Documents with equal sets form a class and only its representative is searched. In a bucket all
 members are first compared with its smallest one; after components are formed, only members of
-different components are compared, in blocks, so a bucket of copies costs one pair per member and
-no bucket is ever one task's.
+different components are compared, in blocks, so a bucket of copies costs one pair per member, near
+pairs never become rows, and no bucket is ever one task's.
 """
 
 from __future__ import annotations
@@ -55,6 +55,20 @@ def _threshold(slots: int, miss: float, similarity: float = SIMILAR / 100) -> in
 SKETCH_ERRORS = _threshold(SKETCH, MISS)
 
 
+def _choices() -> list[list[int]]:
+    """Every set of slots that a chunk with as many errors as the pigeonhole allows leaves equal."""
+    width = SLOTS // CHUNKS
+    kept = width - SLOT_ERRORS // CHUNKS
+    return [
+        [chunk * width + i for i in slots]
+        for chunk in range(CHUNKS)
+        for slots in combinations(range(width), kept)
+    ]
+
+
+CHOICES = _choices()
+
+
 def shingles(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every text, text after text, and how many each text has.
 
@@ -129,14 +143,7 @@ def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """``bucket, rep``: each signature under every choice of slots its chunks' errors allow."""
-    width = SLOTS // CHUNKS
-    kept = width - SLOT_ERRORS // CHUNKS
-    chosen = [
-        (chunk, [chunk * width + i for i in slots])
-        for chunk in range(CHUNKS)
-        for slots in combinations(range(width), kept)
-    ]
+    """``bucket, choice, rep``: each signature under every choice of slots."""
 
     def enumerate_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,13 +151,14 @@ def buckets(reps: DataFrame) -> DataFrame:
                 continue
             index, _ = _unpacked(batch.column("signature"))
             rep = batch.column("rep")
-            for number, (_, slots) in enumerate(chosen, 1):
-                key = np.full(len(index), number, np.uint64)
+            for number, slots in enumerate(CHOICES):
+                key = np.full(len(index), number + 1, np.uint64)
                 for slot in slots:
                     key = mixed(key * np.uint64(31) + index[:, slot])
-                yield pa.record_batch([signed(key), rep], names=["bucket", "rep"])
+                choice = np.full(len(index), number, np.int32)
+                yield pa.record_batch([signed(key), choice, rep], names=["bucket", "choice", "rep"])
 
-    return reps.mapInArrow(enumerate_, "bucket long, rep long")
+    return reps.mapInArrow(enumerate_, "bucket long, choice int, rep long")
 
 
 def _near(index_a, sketch_a, n_a, index_b, sketch_b, n_b) -> np.ndarray:
@@ -184,65 +192,94 @@ def near_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.mapInArrow(thin, "a long, b long")
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """Near pairs ``a, b`` of members of one bucket that are in different components.
+GROUP = ("bucket", "i", "j")
 
-    ``members`` are ``bucket, rep, component, n_shingles, signature``. A bucket of more than
-    ``BLOCK`` members is dealt into blocks and each two blocks meet in a group of their own.
+
+def cross_links(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``a, b`` between members of a bucket that are in different components.
+
+    ``members`` are ``bucket, choice, rep, component, n_shingles, signature``. A bucket of more
+    than ``BLOCK`` members is dealt into blocks and each two blocks meet in a group of their own.
+    Signatures tell which members of a group have a near partner at all; only their texts are
+    fetched, and pairs are confirmed inside the group: near pairs never become rows, and of the
+    links that join the same components one is enough.
     """
     sizes = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
-    mixed_ = sizes.filter("low <> high").select(
+    divided = sizes.filter("low <> high").select(
         "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
     )
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
-        members.join(mixed_, "bucket")
-        .withColumn("own", own)
-        .withColumn("other", other)
+        members.join(divided, "bucket")
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
-        .select("bucket", "i", "j", "own", "rep", "component", "n_shingles", "signature")
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
+        .drop("blocks", "other")
     )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([rest, rows]) if rest is not None else rows
-            if not len(rows):
-                continue
-            last = _group_starts(rows)[-1]
-            rest = rows.slice(last)  # the last group may go on in the next batch
-            yield from _pairs_within(rows.slice(0, last))
-        if rest is not None:
-            yield from _pairs_within(rest)
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches):
+            active = np.zeros(len(rows), bool)
+            for x, y in _near_within(rows):
+                active[x] = active[y] = True
+            yield from rows.filter(pa.array(active)).to_batches()
 
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches):
+            starts = _group_starts(rows)
+            for a, b in zip(starts, np.append(starts[1:], len(rows)), strict=True):
+                found = _links_of_group(rows.slice(a, b - a))
+                if found:
+                    x, y = zip(*found, strict=True)
+                    yield pa.record_batch([np.array(x), np.array(y)], names=["a", "b"])
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+    active = stored_scratch(grouped(dealt).mapInArrow(pick, dealt.schema), "active")
+    ids = active.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = stored_scratch(texts.withColumnRenamed("doc_id", "rep"), "active-texts")
+    return grouped(active.join(texts, "rep")).mapInArrow(confirm, "a long, b long").distinct()
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by group, cut only between groups."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+        if not len(rows):
+            continue
+        last = _group_starts(rows)[-1]  # the last group may go on in the next batch
+        rest = rows.slice(last)
+        if last:
+            yield rows.slice(0, last)
+    if rest is not None and len(rest):
+        yield rest
 
 
 def _group_starts(rows: pa.Table) -> np.ndarray:
-    keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")])
+    keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in GROUP])
     change = np.ones(keys.shape[1], bool)
     change[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
     return np.flatnonzero(change)
 
 
-def _pairs_within(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    if not len(rows):
-        return
+def _near_within(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of near pairs of the same group and different components.
+
+    A pair that meets in several buckets belongs to the first choice of slots it agrees in.
+    """
     starts = _group_starts(rows)
     size = np.diff(np.append(starts, len(rows)))
     left = np.repeat(starts + size, size) - np.arange(len(rows)) - 1  # rows after this one
-    rep, component, n, i, j, own = (
-        rows.column(c).to_numpy()
-        for c in ("rep", "component", "n_shingles", "i", "j", "own")
+    component, n, choice, i, j, own = (
+        rows.column(c).to_numpy() for c in ("component", "n_shingles", "choice", "i", "j", "own")
     )
     index, sketch = _unpacked(rows.column("signature").combine_chunks())
     for shift in range(1, int(size.max())):
@@ -252,13 +289,54 @@ def _pairs_within(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         on = (component[x] != component[y]) & ((i[x] == j[x]) | (own[x] != own[y]))
         x, y = x[on], y[on]
         near = _near(index[x], sketch[x], n[x], index[y], sketch[y], n[y])
-        if near.any():
-            a, b = rep[x[near]], rep[y[near]]
-            yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+        x, y = x[near], y[near]
+        same = index[x] == index[y]
+        agreed = np.stack([same[:, slots].all(axis=1) for slots in CHOICES], axis=1)
+        first = agreed.argmax(axis=1) == choice[x]
+        if first.any():
+            yield x[first], y[first]
+
+
+def _links_of_group(rows: pa.Table) -> list[tuple[int, int]]:
+    """Confirmed links of one group that join components not yet joined here."""
+    partners: dict[int, list[int]] = {}
+    for x, y in _near_within(rows):
+        for a, b in zip(x.tolist(), y.tolist(), strict=True):
+            partners.setdefault(a, []).append(b)
+    if not partners:
+        return []
+    found, counts = shingles(*utf8(rows.column("text").combine_chunks()))
+    _, shingle = np.unique(found, return_inverse=True)
+    begin = np.cumsum(counts) - counts
+    rep = rows.column("rep").to_pylist()
+    component = rows.column("component").to_pylist()
+    root = {c: c for c in component}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links = []
+    marked = np.zeros(int(shingle.max()) + 1, bool)
+    for a, others in partners.items():
+        own = shingle[begin[a] : begin[a] + counts[a]]
+        marked[own] = True
+        both = np.add.reduceat(marked[shingle], begin, dtype=np.int64)
+        marked[own] = False
+        other = np.array(others)
+        linked = 100 * both[other] >= SIMILAR * (counts[a] + counts[other] - both[other])
+        for b in other[linked].tolist():
+            p, q = top(component[a]), top(component[b])
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                links.append((min(rep[a], rep[b]), max(rep[a], rep[b])))
+    return links
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose full shingle sets are similar enough."""
+    """Those of the pairs ``a, b``, few per document, whose full shingle sets are similar enough."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,10 +353,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 yield run.select(["a", "b"]).filter(pa.array(linked))
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored_scratch(
-        docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]),
-        "texts",
-    )
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = stored_scratch(texts.dropDuplicates(["doc_id"]), "texts")
     for side in "ba":
         own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"t{side}"))
         pairs = pairs.join(own, side)
@@ -316,13 +392,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     else:
         labels = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     members = (
-        indexed.select("bucket", "rep")
+        indexed.select("bucket", "choice", "rep")
         .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
         .join(reps.select("rep", "n_shingles", "signature"), "rep")
     )
-    cross = stored_scratch(cross_pairs(members).join(stars, ["a", "b"], "left_anti"), "cross")
-    links = stored_scratch(links.unionByName(confirmed(cross, docs)), "links")
+    links = stored_scratch(links.unionByName(cross_links(members, docs)), "links")
     labels = components(links).withColumnRenamed("node", "rep")
     named = reps.select(*sets, "rep").join(labels, "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")

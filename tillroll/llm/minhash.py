@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
+from tillroll.llm.joins import rows_with_keys
 from tillroll.llm.textarrays import lowered, mixed, runs, signed, utf8, word_hashes, words
 from tillroll.storage import stored_scratch
 
@@ -241,8 +242,8 @@ def cross_links(members: DataFrame, docs: DataFrame) -> DataFrame:
         return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     active = stored_scratch(grouped(dealt).mapInArrow(pick, dealt.schema), "active")
-    ids = active.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    ids = stored_scratch(active.select(F.col("rep").alias("doc_id")).distinct(), "active-ids")
+    texts = rows_with_keys(docs, ids, "doc_id").dropDuplicates(["doc_id"])
     texts = stored_scratch(texts.withColumnRenamed("doc_id", "rep"), "active-texts")
     return grouped(active.join(texts, "rep")).mapInArrow(confirm, "a long, b long").distinct()
 
@@ -353,7 +354,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 yield run.select(["a", "b"]).filter(pa.array(linked))
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = rows_with_keys(docs, stored_scratch(ids, "ids"), "doc_id")
     texts = stored_scratch(texts.dropDuplicates(["doc_id"]), "texts")
     for side in "ba":
         own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"t{side}"))

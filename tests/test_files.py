@@ -2,10 +2,12 @@ import pytest
 from conftest import HEADER, plan, rows
 from pyspark.errors import AnalysisException
 
-from tillroll.operators import gates
-from tillroll.plans.loads import union_gated, unusable_rows, usable_rows
+from tillroll.operators import gates, profiling
+from tillroll.plans.loads import batch_load, union_gated, unusable_rows, usable_rows
 from tillroll.sinks.ledger import write_ledger
+from tillroll.sources import heads
 from tillroll.sources.files import csv_reader, csv_scan, csv_scan_files, list_files, read_files
+from tillroll.sources.heads import file_headers
 from tillroll.sources.tables import new_files, read_ledger
 from tillroll.storage import stored_scratch
 
@@ -93,7 +95,7 @@ def test_files_with_another_header_are_rejected(spark, source):
     assert union_gated(files).count() == 3
 
 
-def test_a_wrong_value_costs_its_line_or_under_the_strict_gate_its_file(spark, source):
+def test_a_wrong_value_costs_its_line_or_under_the_strict_gate_its_file(spark, source, target):
     source("good.csv", GOOD, ",,,,,", HEADER)
     source("bad.csv", GOOD, "2,y,two,4,04/19/19 08:46,home")
     files = listing(spark, source.folder)
@@ -107,9 +109,10 @@ def test_a_wrong_value_costs_its_line_or_under_the_strict_gate_its_file(spark, s
         "no order id",
         "wrong value type",
     ]
-    strict = gates.inspect_files(files, "strict")
-    assert names(gates.accepted_files(strict)) == ["good.csv"]
-    assert [r.reason for r in gates.rejected_files(strict).collect()] == ["wrong value types"]
+    assert union_gated(files, "strict").count() == 3
+    result = batch_load(spark, source.folder, *target, gate="strict")
+    assert names(result.files) == ["good.csv"]
+    assert [r.reason for r in result.rejected_files.collect()] == ["wrong value types"]
 
 
 def test_short_and_long_lines_are_usable(spark, source):
@@ -133,15 +136,65 @@ def test_an_unknown_gate_is_an_error(spark, source):
         gates.inspect_files(list_files(spark, source.folder), "none")
 
 
+@pytest.mark.parametrize("gate", ["header", "strict", "fail"])
+def test_all_gates_judge_headers_alike(spark, source, target, gate):
+    source("lower.csv", GOOD, header=HEADER.lower())
+    source("quoted.csv", GOOD, header=",".join(f'"{n}"' for n in HEADER.split(",")))
+    source("blank_first.csv", GOOD, header="\n \n" + HEADER)
+    assert batch_load(spark, source.folder, *target, gate=gate).n_files == 3
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        if gate == "fail":
+            with pytest.raises(Exception, match="(?i)header"):
+                batch_load(spark, source.folder, *target, gate=gate)
+        else:
+            assert batch_load(spark, source.folder, *target, gate=gate).n_files == 2
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_a_header_longer_than_a_read_is_not_cut(spark, source, monkeypatch):
+    long = ",".join(f"column {i}" for i in range(2000))
+    source("long.csv", "1", header="\n" * 5000 + long)
+    source("crlf.csv", header="\r\na,b\r\n1,2\r\n")
+    source("end.csv", header="only")
+    open(f"{source.folder}/unended.csv", "w").write("a,b")
+    found = {r.file_uri.rsplit("/", 1)[1]: r.header for r in file_headers(listing(spark, source.folder)).collect()}
+    assert found["long.csv"] == long.split(",") and found["end.csv"] == ["only"]
+    assert found["crlf.csv"] == found["unended.csv"] == ["a", "b"]
+    assert heads.HEAD_BYTES < len(long)
+
+
+def test_listing_takes_few_tasks_and_parts_however_long_the_files(spark, source, tmp_path):
+    for i in range(200):
+        source(f"{i}.csv", GOOD * 20)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        files = list_files(spark, source.folder)
+        assert files.rdd.getNumPartitions() == 1
+        files.write.parquet(str(tmp_path / "listing"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list((tmp_path / "listing").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "listing")).count() == 200
+
+
+def test_inferred_types_are_the_readers(spark, source):
+    path = source("a.csv", "2019-04-19,12345678901234567890,NaN,1.5", header="d,n,x,p")
+    found = {r.column_name: r.data_type for r in profiling.inferred_schema(spark, path).collect()}
+    assert found == {"d": "date", "n": "decimal(20,0)", "x": "double", "p": "double"}
+
+
 @pytest.mark.parametrize("limit", [100, 1])
-def test_both_ways_of_reading_a_file_set_read_exactly_it(spark, source, limit):
+def test_a_file_set_is_read_exactly_by_one_reader_or_several(spark, source, limit):
     for name in ("a b.csv", "c[1]{x}%20é.csv", "d.csv"):
         source(name, GOOD)
     files = listing(spark, source.folder)
     source("later.csv", GOOD)
-    found = read_files(files, csv_reader(spark), max_named_paths=limit)
+    found = read_files(files, csv_reader(spark), paths_per_reader=limit)
+    assert "Exchange" not in plan(found)
     assert rows(found, "file_uri") == rows(files, "file_uri")
-    bare = read_files(files, csv_reader(spark), with_uri=False, max_named_paths=limit)
+    bare = read_files(files, csv_reader(spark), with_uri=False, paths_per_reader=limit)
     assert bare.count() == 3 and "file_uri" not in bare.columns
 
 

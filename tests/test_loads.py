@@ -3,15 +3,17 @@ import os
 
 import pytest
 from conftest import plan, rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillroll import storage
 from tillroll.operators.gates import SchemaMismatch
 from tillroll.plans import loads, reports
-from tillroll.plans.loads import batch_load, incremental_load, loaded_table
+from tillroll.plans.loads import batch_load, incremental_load
 from tillroll.schema import CLEANSED_SCHEMA
 from tillroll.sinks import tables
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
+from tillroll.sources.files import list_files
 from tillroll.sources.tables import read_ledger, read_table
 
 KEPT = ("Order_ID", "Product", "Quantity_Ordered", "year", "month")
@@ -35,7 +37,7 @@ FEBRUARY = [
 
 
 def stored_rows(spark, path):
-    return rows(loaded_table(spark, path), *KEPT)
+    return rows(read_table(spark, path), *KEPT)
 
 
 def cleansed(spark, *data):
@@ -84,7 +86,7 @@ def test_append_keeps_a_key_of_two_loads_twice(spark, source, target):
         (1, "x", 5, 2019, 2),
     ]
     assert incremental_load(spark, source.folder, table, ledger, "append").files.count() == 0
-    assert loaded_table(spark, table).count() == 5
+    assert read_table(spark, table).count() == 5
 
 
 @pytest.mark.parametrize("first,second", [(JANUARY, FEBRUARY), (FEBRUARY, JANUARY)])
@@ -97,7 +99,7 @@ def test_upsert_equals_the_full_load(spark, source, target, tmp_path, first, sec
     whole = str(tmp_path / "whole")
     batch_load(spark, source.folder, whole, str(tmp_path / "whole_ledger"))
     columns = CLEANSED_SCHEMA.fieldNames()
-    assert rows(loaded_table(spark, table), *columns) == rows(loaded_table(spark, whole), *columns)
+    assert rows(read_table(spark, table), *columns) == rows(read_table(spark, whole), *columns)
 
 
 def test_incremental_load_into_no_table(spark, source, tmp_path):
@@ -105,7 +107,7 @@ def test_incremental_load_into_no_table(spark, source, tmp_path):
     for mode in loads.MODES:
         table = str(tmp_path / mode)
         incremental_load(spark, source.folder, table, f"{table}_ledger", mode)
-        assert loaded_table(spark, table).count() == 2
+        assert read_table(spark, table).count() == 2
 
 
 def test_a_month_that_loses_its_last_row_is_removed(spark, target):
@@ -123,7 +125,7 @@ def test_upsert_leaves_other_months_files_alone(spark, target):
     untouched = glob.glob(f"{table}/year=2019/month=5/*.parquet")
     upsert_rows(cleansed(spark, (1, "x", 9, 2019, 4), (7, None, 1, None, None)), table)
     assert glob.glob(f"{table}/year=2019/month=5/*.parquet") == untouched
-    assert loaded_table(spark, table).count() == 3
+    assert read_table(spark, table).count() == 3
     # A null product is a key like any other, a null month a month like any other.
     upsert_rows(cleansed(spark, (7, None, 3, None, None)), table)
     assert [r for r in stored_rows(spark, table) if r[0] == 7] == [(7, None, 3, None, None)]
@@ -136,36 +138,43 @@ def test_a_smaller_quantity_changes_nothing(spark, target):
     assert stored_rows(spark, table) == [(1, "x", 5, 2019, 4)]
 
 
-@pytest.mark.parametrize("deleted_before_failing", [0, 1])
+@pytest.mark.parametrize("dies_at", ["before publishing", "before cleaning up"])
 def test_a_merge_that_dies_half_way_is_repaired_by_the_next(
-    spark, source, target, monkeypatch, deleted_before_failing
+    spark, source, target, monkeypatch, dies_at
 ):
     table, ledger = target
     source("a.csv", *JANUARY)
     batch_load(spark, source.folder, table, ledger)
     source("b.csv", *FEBRUARY)
-    delete, calls = storage.delete, []
-
-    def failing(spark, path):
-        calls.append(path)
-        if len(calls) > deleted_before_failing:
-            raise OSError("lost")
-        delete(spark, path)
-
-    monkeypatch.setattr(storage, "delete", failing)
-    with pytest.raises(OSError):
-        incremental_load(spark, source.folder, table, ledger, "upsert")
-    monkeypatch.setattr(storage, "delete", delete)
-    # No row is missing, and the file is not recorded as loaded.
-    assert {r[0] for r in stored_rows(spark, table)} == {1, 2, 3, 4}
+    def failing(*_args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if dies_at == "before publishing":
+            publish, calls = tables._publish_pending, []
+
+            def late(*args):
+                calls.append(args)
+                return failing() if len(calls) > 1 else publish(*args)
+
+            patch.setattr(tables, "_publish_pending", late)
+        else:
+            patch.setattr(tables, "_month_folder", failing)
+            patch.setattr(tables, "_months", lambda df, own=tables._months: [
+                m for m in own(df) if m.month != 1 or "merged" not in df.inputFiles()[0]
+            ])
+        with pytest.raises(OSError):
+            incremental_load(spark, source.folder, table, ledger, "upsert")
+    # The file is not recorded as loaded, and what is to be published is noted.
     assert read_ledger(spark, ledger).count() == 1
+    assert os.path.exists(f"{table}/_pending_merge")
     incremental_load(spark, source.folder, table, ledger, "upsert")
     assert stored_rows(spark, table) == sorted(
         [(1, "x", 5, 2019, 2), (2, "x", 1, 2019, 1), (3, "y", 1, 2019, 2), (4, "y", 1, None, None)],
         key=repr,
     )
     assert read_ledger(spark, ledger).count() == 2
-    assert not os.path.exists(f"{table}/_pending_months")
+    assert not os.path.exists(f"{table}/_pending_merge")
 
 
 @pytest.mark.parametrize("load", [batch_load, incremental_load])
@@ -177,7 +186,7 @@ def test_a_failed_write_leaves_the_ledger_as_it_was(spark, source, target, monke
         raise OSError("disk full")
 
     monkeypatch.setattr(loads, "write_table", failing)
-    monkeypatch.setattr(loads, "append_rows", failing)
+    monkeypatch.setattr(loads, "upsert_rows", failing)
     with pytest.raises(OSError):
         load(spark, source.folder, table, ledger)
     assert read_ledger(spark, ledger).count() == 0
@@ -191,7 +200,7 @@ def test_append_checks_the_schema_before_writing(spark, target):
         with pytest.raises(SchemaMismatch):
             write(wrong, table)
     append_rows(cleansed(spark, (2, "x", 1, None, None)), table)
-    assert loaded_table(spark, table).count() == 2
+    assert read_table(spark, table).count() == 2
 
 
 def test_append_to_a_table_whose_only_month_is_null(spark, target):
@@ -224,7 +233,7 @@ def test_only_keys_in_the_range_of_new_ids_are_read(spark, target):
     original = tables._months
     tables._months = lambda df: seen.append(plan(df)) or original(df)
     try:
-        incoming = read_table(spark, table).filter("Order_ID = 9")
+        incoming = read_table(spark, table).filter("Order_ID > 8")
         assert [tuple(m) for m in tables.touched_months(incoming, read_table(spark, table))] == [(2019, 5)]
     finally:
         tables._months = original
@@ -232,12 +241,14 @@ def test_only_keys_in_the_range_of_new_ids_are_read(spark, target):
     assert "Purchase_Address" not in seen[0]
 
 
-def test_without_adaptive_execution_no_month_goes_to_one_task(spark, target):
+def test_rebalance_without_adaptive_execution_is_an_error(spark, target):
     table, _ = target
     data = cleansed(spark, *[(i, "x", 1, 2019, 4) for i in range(40)]).repartition(4)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        write_table(data, table)
+        with pytest.raises(ValueError, match="adaptive"):
+            write_table(data, table)
+        write_table(data, table, layout="as_is")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert len(glob.glob(f"{table}/year=2019/month=4/*.parquet")) == 4
@@ -280,3 +291,130 @@ def test_period_filters_prune_partitions(spark, target):
     assert merged.count() == 1
     assert "year" in plan(merged).split("PartitionFilters: [")[1].split("]")[0]
     assert rows(reports.yearly_report(read_table(spark, table)), "year", "n_lines") == [(2019, 2), (2020, 1)]
+
+
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_a_full_load_replaces_the_table_whatever_the_session_says(
+    spark, source, target, session_mode
+):
+    table, ledger = target
+    source("jan.csv", *JANUARY)
+    source("feb.csv", *FEBRUARY)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    try:
+        batch_load(spark, source.folder, table, ledger)
+        os.remove(f"{source.folder}/feb.csv")
+        batch_load(spark, source.folder, table, ledger)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert stored_rows(spark, table) == [(1, "x", 2, 2019, 1), (2, "x", 1, 2019, 1)]
+    assert read_ledger(spark, ledger).count() == 1
+
+
+def test_a_merge_asks_the_file_system_by_month_not_by_file(spark, target, monkeypatch):
+    table, _ = target
+    many = cleansed(spark, *[(i, "x", 1, 2019, 1 + i % 3) for i in range(90)]).repartition(30)
+    write_table(many, table, layout="as_is")
+    assert len(glob.glob(f"{table}/*/*/*.parquet")) > 50
+    path, calls = storage._path, []
+    monkeypatch.setattr(storage, "_path", lambda *args: calls.append(args) or path(*args))
+    upsert_rows(cleansed(spark, *[(i, "x", 2, 2019, 1 + i % 3) for i in range(9)]), table)
+    assert len(calls) < 15
+    assert read_table(spark, table).count() == 90
+
+
+def test_nothing_is_left_in_scratch(spark, source, target):
+    table, ledger = target
+    scratch = spark.conf.get("spark.checkpoint.dir") + "/tillroll"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    source("jan.csv", *JANUARY)
+    batch_load(spark, source.folder, table, ledger, gate="strict")
+    source("feb.csv", *FEBRUARY)
+    incremental_load(spark, source.folder, table, ledger)
+    incremental_load(spark, source.folder, table, ledger)
+    assert set(os.listdir(scratch)) == before
+
+
+def test_rejected_files_are_looked_at_again_only_when_they_change(spark, source, target, monkeypatch):
+    table, ledger = target
+    source("jan.csv", *JANUARY)
+    source("bad.csv", "x,1", header="Product,Order ID")
+    batch_load(spark, source.folder, table, ledger)
+    seen, inspect = [], loads.inspect_files
+    monkeypatch.setattr(loads, "inspect_files", lambda f, g: seen.append(f.count()) or inspect(f, g))
+    incremental_load(spark, source.folder, table, ledger)
+    source("bad.csv", line(9, "z", 1, "01/09/19 10:00"))
+    result = incremental_load(spark, source.folder, table, ledger)
+    assert seen == [0, 1] and result.n_files == 1
+    assert read_table(spark, table).filter("Order_ID = 9").count() == 1
+
+
+def test_rejected_lines_are_kept_with_their_text(spark, source, target):
+    table, ledger = target
+    source("jan.csv", *JANUARY, "7,x,two,1,01/05/19 10:00,home", "A-7,x,2,1,01/05/19 10:00,home")
+    for _ in range(2):  # a repeated load keeps them once
+        result = batch_load(spark, source.folder, table, ledger)
+    assert rows(result.rejected_rows, "reason", "_corrupt_record") == sorted(
+        [
+            ("no order id", None),
+            ("wrong value type", "7,x,two,1,01/05/19 10:00,home"),
+            ("wrong value type", "A-7,x,2,1,01/05/19 10:00,home"),
+        ],
+        key=repr,
+    )
+    assert result.files.count() == 1
+
+
+def test_a_load_that_fails_before_the_ledger_can_be_repeated(spark, source, target, monkeypatch):
+    table, ledger = target
+    source("jan.csv", *JANUARY)
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, "write_ledger", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            incremental_load(spark, source.folder, table, ledger)
+    assert read_ledger(spark, ledger).count() == 0
+    incremental_load(spark, source.folder, table, ledger)
+    assert read_table(spark, table).count() == 2 and read_ledger(spark, ledger).count() == 1
+
+
+def test_paths_with_glob_characters_can_be_read_back(spark, source, tmp_path):
+    table, ledger = str(tmp_path / "a[1]{b}*" / "t"), str(tmp_path / "a[1]{b}*" / "l")
+    source("jan.csv", *JANUARY)
+    batch_load(spark, source.folder, table, ledger)
+    source("feb.csv", *FEBRUARY)
+    assert incremental_load(spark, source.folder, table, ledger).files.count() == 1
+    assert read_table(spark, table).count() == 4
+
+
+def test_prices_are_rounded_once_after_adding(spark):
+    data = [(i, "x", 1, 0.004, None, "home", 2019, 4) for i in range(1000)]
+    report = reports.monthly_report(spark.createDataFrame(data, CLEANSED_SCHEMA))
+    assert str(report.first().revenue) == "4.00"
+
+
+@pytest.mark.parametrize("gate", ["header", "strict", "fail"])
+def test_a_load_scans_the_text_once(spark, source, target, gate, monkeypatch):
+    table, ledger = target
+    for name in "abc":
+        source(f"{name}.csv", *[line(i, name, 1, "01/05/19 10:00") for i in range(400)])
+    scan, scans = loads.csv_scan_files, []
+
+    def counted(*args, **kwargs):
+        scans.append(Observation())
+        return scan(*args, **kwargs).observe(scans[-1], F.count(F.lit(1)).alias("n"))
+
+    monkeypatch.setattr(loads, "csv_scan_files", counted)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        batch_load(spark, source.folder, table, ledger, gate=gate)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [s.get["n"] for s in scans] == [1200]
+    assert read_table(spark, table).count() == 1200
+
+
+def test_new_files_are_those_the_ledger_does_not_name(spark, source, target):
+    table, ledger = target
+    source("jan.csv", *JANUARY)
+    batch_load(spark, source.folder, table, ledger)
+    assert loads.unseen_files(spark, list_files(spark, source.folder), ledger).count() == 0

@@ -70,23 +70,31 @@ def test_schema_rows(spark):
 
 def test_file_schemas(spark, source):
     source("a.csv", "1,x,2,3,04/19/19 08:46,home", ",,,,,", HEADER)
-    source("b.csv", "3000000000,true,1.5,1e3,2019-04-19 08:46,", "1,FALSE,7,,2019-04-19,", header='"Order ID",b,c,d,e,"f, g"')
+    source("b.csv", "A-1,true,1.5,3000000000,2019-04-19 08:46,NaN", "1,FALSE,7,,2019-04-19,1.5d", header='"Order ID",b,c,"Quantity Ordered",e,Price Each')
     source("c.csv", "1,2", header="one,two")
     source("d.csv", header="only")
     files = stored_scratch(list_files(spark, source.folder), "listing")
     found = {}
     for r in profiling.file_schema_profile(files).orderBy("position").collect():
-        found.setdefault(r.file_uri[-5], []).append((r.n_columns, r.column_name, r.data_type, r.n_rows, r.n_null))
+        found.setdefault(r.file_uri[-5], []).append((r.n_columns, r.column_name, r.data_type, r.n_rows, r.n_null, r.n_misfit))
     names = HEADER.split(",")
-    types = ["int", "string", "int", "int", "string", "string"]
-    assert found["a"] == [(6, n, t, 2, 1) for n, t in zip(names, types)]
+    types = ["bigint", "string", "int", "double", "string", "string"]
+    assert found["a"] == [(6, n, t, 2, 1, 0) for n, t in zip(names, types)]
     assert found["b"] == [
-        (6, "Order ID", "bigint", 2, 0),
-        (6, "b", "boolean", 2, 0),
-        (6, "c", "double", 2, 0),
-        (6, "d", "double", 2, 1),
-        (6, "e", "timestamp", 2, 0),
-        (6, "f, g", "void", 2, 2),
+        (6, "Order ID", "bigint", 2, 0, 1),
+        (6, "b", None, 2, 0, None),
+        (6, "c", None, 2, 0, None),
+        (6, "Quantity Ordered", "int", 2, 1, 1),
+        (6, "e", None, 2, 0, None),
+        (6, "Price Each", "double", 2, 0, 1),
     ]
-    assert found["c"] == [(2, "one", "int", 1, 0), (2, "two", "int", 1, 0)]
-    assert found["d"] == [(1, "only", "void", 0, 0)]
+    assert found["c"] == [(2, "one", None, 1, 0, None), (2, "two", None, 1, 0, None)]
+    assert found["d"] == [(1, "only", None, 0, 0, None)]
+    assert "Join" not in plan(profiling.file_schema_profile(files)).split("Scan csv")[1]
+
+
+def test_extremes_of_large_ids_are_exact(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big + 1,), (big + 3,)], "id bigint")
+    found = profiling.describe_profile(df).first()
+    assert (int(found.min_whole), int(found.max_whole)) == (big + 1, big + 3)

@@ -24,7 +24,7 @@ from tillroll.schema import (
     SOURCE_SCHEMA,
 )
 from tillroll.sources.files import list_files
-from tillroll.storage import scratch_path, stored_scratch
+from tillroll.storage import scratch_path, stored_scratch, write_text
 
 # Orders' lines above this number come in the files that arrive late.
 EARLY_LINES = 4
@@ -34,16 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, if the files have fewer splits than there are cores.
-
-    A small table can be one row group, that is one task for all that follows up to the next
-    shuffle. A large table has splits enough and is read as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source rows with ``line`` (line number) and ``header_again`` (a repeated header)."""
     pk = F.col("l_partkey")
@@ -51,8 +41,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
     base = (
-        _spread(lineitem, "l_orderkey")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
@@ -77,6 +66,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat("c_name", F.lit(", "), "c_mktsegment"))
         .alias(ADDRESS),
         F.col("l_linenumber").alias("line"),
+        pk.alias("part"),
         header_again.alias("header_again"),
         F.explode(copies).alias("copy"),
     )
@@ -87,6 +77,10 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(*SOURCE_SCHEMA.fieldNames())
 
 
+LATE = ("conforming", "drifted", "wrong", "decoys")
+# In folders with wrong values, the late lines of every third part are in files of their own, and
+# half of them hold a value that is not of its column's type.
+WRONG_ID, WRONG_QUANTITY, WRONG_PRICE = "A-17", "two", "n/a"
 _folders: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
@@ -95,35 +89,63 @@ def sales_csv(
 ) -> tuple[str, DataFrame]:
     """A folder of CSV files of the source rows, and the listing of those that came early.
 
-    Files with the orders' first lines are written first, the others later; ``late="drifted"``
-    writes the late ones with other column order. Written once per session and table folder:
+    Files with the orders' first lines are written first, the others later. ``late="drifted"``
+    writes the late ones with other column order, ``"wrong"`` with values of wrong types in some,
+    ``"decoys"`` adds files that are no source files. Written once per session and table folder:
     these are the inputs of the load jobs, not part of their work.
     """
+    if late not in LATE:
+        raise ValueError(f"late must be one of {LATE}, not {late!r}")
     key = (spark.sparkContext.applicationId, sf_dir, late)
     if key not in _folders:
         folder = scratch_path(spark, "sales-csv")
         lines = _lines(spark, sf_dir)
+        names = SOURCE_SCHEMA.fieldNames()
         # A repeated header line carries the column's name in every field.
         text = lines.select(
             *[
                 F.when(F.col("header_again"), c)
                 .otherwise(F.col(f"`{c}`").cast("string"))
                 .alias(c)
-                for c in SOURCE_SCHEMA.fieldNames()
+                for c in names
             ],
             "line",
+            "part",
+            "header_again",
         )
-        names = SOURCE_SCHEMA.fieldNames()
-        early = text.filter(F.col("line") <= EARLY_LINES).select(*names)
+
+        def write(rows: DataFrame, columns=names, to: str = folder) -> None:
+            rows.select(*columns).write.mode("append").option("header", True).csv(to)
+
+        early = text.filter(F.col("line") <= EARLY_LINES)
         after = text.filter(F.col("line") > EARLY_LINES)
-        after = after.select(*(names if late == "conforming" else reversed(names)))
-        early.write.option("header", True).csv(folder)
+        write(early)
         listing = stored_scratch(list_files(spark, folder), "early")
-        after.write.mode("append").option("header", True).csv(folder)
+        if late == "wrong":
+            third = F.col("part") % 3 == 0
+            write(after.filter(~third))
+            write(_with_wrong_values(after.filter(third)))
+        else:
+            write(after, reversed(names) if late == "drifted" else names)
+        if late == "decoys":
+            write(early, to=f"{folder}/sub")
+            for name in ("_hidden.csv", ".hidden.csv", "upper.CSV", "text.txt"):
+                write_text(spark, f"{folder}/{name}", ",".join(names) + "\n1,decoy,1,1,,\n")
         _folders[key] = folder, listing
     return _folders[key]
 
 
+def _with_wrong_values(text: DataFrame) -> DataFrame:
+    wrong, kind = (F.col("part") % 2 == 0) & ~F.col("header_again"), F.col("part") % 5
+    return text.withColumns(
+        {
+            ORDER_ID: F.when(wrong & (kind == 0), WRONG_ID).otherwise(F.col(ORDER_ID)),
+            QUANTITY: F.when(wrong & (kind == 1), WRONG_QUANTITY).otherwise(F.col(QUANTITY)),
+            PRICE: F.when(wrong & (kind > 1), WRONG_PRICE).otherwise(F.col(PRICE)),
+        }
+    )
+
+
 def fresh_table(spark: SparkSession) -> tuple[str, str]:
     """Unused paths for a table and its ledger."""
     base = scratch_path(spark, f"load-{uuid.uuid4().hex[:8]}")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.operators.cleansing import uncastable
 from tillroll.schema import CORRUPT, SOURCE_SCHEMA, names_and_types
-from tillroll.sources.files import csv_scan_files, read_files
+from tillroll.sources.heads import file_headers
 
 GATES = ("header", "strict", "fail")
 
@@ -19,51 +19,24 @@ class SchemaMismatch(ValueError):
     """New rows do not fit the table they should be appended to."""
 
 
-def is_header_line(line: Column | str, schema: T.StructType = SOURCE_SCHEMA) -> Column:
-    """Is a text line the expected header, its names plain or quoted?"""
-    names = ",".join(f'(?:{re.escape(n)}|"{re.escape(n)}")' for n in schema.fieldNames())
-    return (F.col(line) if isinstance(line, str) else line).rlike(f"^{names}\\r?$")
+def _ignores_case(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive") != "true"
 
 
-def first_lines(files: DataFrame, schema: T.StructType = SOURCE_SCHEMA) -> DataFrame:
-    """Per file: is its first non-blank line the expected header? ``file_uri, header_first``.
+def is_header_line(
+    line: Column, schema: T.StructType = SOURCE_SCHEMA, ignore_case: bool = True
+) -> Column:
+    """Is a text line the expected header, its names plain or quoted?"""
+    names = ",".join(f'(?:{re.escape(n)}|"{re.escape(n)}")' for n in schema.fieldNames())
+    return line.rlike(f"{'(?i)' if ignore_case else ''}^{names}\\r?$")
 
-    Lines are read as plain text and not split into fields. Only the block a file begins with
-    is looked at, and two numbers per file and task are shuffled, however large the file.
-    """
-    spark = files.sparkSession
-    lines = read_files(
-        files,
-        lambda paths: spark.read.option("pathGlobFilter", "*.csv")
-        .text(paths)
-        .withColumn("block", F.col("_metadata.file_block_start")),
-    )
-    return (
-        lines.filter((F.col("block") == 0) & (F.trim("value") != ""))
-        # Ascending within a block, which one task reads from its start.
-        .select(
-            "file_uri",
-            F.monotonically_increasing_id().alias("line"),
-            is_header_line("value", schema).alias("is_header"),
-        )
-        .groupBy("file_uri")
-        .agg(
-            F.min("line").alias("first"),
-            F.min(F.when(F.col("is_header"), F.col("line"))).alias("header"),
-        )
-        .select("file_uri", F.col("first").eqNullSafe(F.col("header")).alias("header_first"))
-    )
 
-
-def uncastable_lines(files: DataFrame, schema: T.StructType = SOURCE_SCHEMA) -> DataFrame:
-    """Per file: lines with a value that is not of its column's type. ``file_uri, bad_lines``."""
-    header_again = F.coalesce(is_header_line(CORRUPT, schema), F.lit(False))
-    return (
-        csv_scan_files(files, schema)
-        .transform(uncastable, schema)
-        .groupBy("file_uri")
-        .agg(F.count_if(F.col("uncastable") & ~header_again).alias("bad_lines"))
-    )
+def is_header(fields: str, spark: SparkSession, schema: T.StructType = SOURCE_SCHEMA) -> Column:
+    """Are these fields the schema's names, in order? Case counts as it does for Spark."""
+    names, found = schema.fieldNames(), F.col(fields)
+    if _ignores_case(spark):
+        names, found = [n.lower() for n in names], F.transform(found, F.lower)
+    return found == F.array(*[F.lit(n) for n in names])
 
 
 def inspect_files(
@@ -71,31 +44,43 @@ def inspect_files(
 ) -> DataFrame:
     """Add ``reason``: why a file may not be loaded, NULL if it may.
 
-    ``header`` rejects files whose header is not the contract's: a read by position would
-    silently put values into the wrong columns. ``strict`` also rejects files that hold a
-    value of the wrong type, where ``header`` leaves out just those lines. ``fail`` looks at
-    nothing beforehand: the load reads its input only once, and stops at a differing header.
+    ``header`` and ``strict`` reject files whose header is not the contract's: a read by position
+    would silently put values into the wrong columns. Only the heads of the files are read.
+    ``fail`` looks at nothing beforehand: the scan stops at a differing header. What ``strict``
+    adds, the check of all values, needs the parsed lines: see ``wrong_typed_files``.
     """
     if gate not in GATES:
         raise ValueError(f"gate must be one of {GATES}, not {gate!r}")
-    if gate == "fail" or files.isEmpty():
+    if gate == "fail":
         return files.withColumn("reason", F.lit(None).cast("string"))
-    checked = files.join(first_lines(files, schema), "file_uri", "left").withColumn(
+    headers = file_headers(files)
+    checked = files.join(headers, "file_uri", "left").withColumn(
         "reason",
-        F.when(F.col("header_first").isNull(), "no lines").when(
-            ~F.col("header_first"), "header differs"
+        F.when(F.col("header").isNull(), "no lines").when(
+            ~is_header("header", files.sparkSession, schema), "header differs"
         ),
     )
-    if gate == "strict":
-        checked = checked.join(
-            uncastable_lines(files, schema), "file_uri", "left"
-        ).withColumn(
-            "reason",
-            F.coalesce("reason", F.when(F.col("bad_lines") > 0, "wrong value types")),
-        )
     return checked.select("path", "file_uri", "length", "modified", "reason")
 
 
+def wrong_typed(lines: DataFrame, schema: T.StructType = SOURCE_SCHEMA) -> DataFrame:
+    """Add ``wrong_typed``: does a line hold a value that is not of its column's type?
+
+    A repeated header line is no line of values.
+    """
+    again = is_header_line(F.col(CORRUPT), schema, _ignores_case(lines.sparkSession))
+    marked = uncastable(lines, schema)
+    return marked.withColumn(
+        "wrong_typed", F.col("uncastable") & ~F.coalesce(again, F.lit(False))
+    ).drop("uncastable")
+
+
+def wrong_typed_files(lines: DataFrame) -> DataFrame:
+    """``file_uri, reason`` of files with such lines, from ``wrong_typed`` lines."""
+    bad = lines.filter("wrong_typed").select("file_uri").distinct()
+    return bad.withColumn("reason", F.lit("wrong value types"))
+
+
 def accepted_files(inspected: DataFrame) -> DataFrame:
     return inspected.filter(F.col("reason").isNull()).drop("reason")
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.operators.cleansing import remove_nulls
-from tillroll.schema import KEYS, ORDER_ID, REQUIRED
-from tillroll.sources.files import read_files
+from tillroll.schema import KEYS, ORDER_ID, REQUIRED, SOURCE_SCHEMA
+from tillroll.sources.files import csv_scan, literal_path, read_files
+from tillroll.sources.heads import file_headers
 from tillroll.storage import stored_scratch
 
 
@@ -38,17 +39,20 @@ def required_violations(df: DataFrame, required: Sequence[str] = REQUIRED) -> Da
 
 
 def describe_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: ``n, mean, sd``, and its extremes as number or as text.
+    """Per column: ``n, mean, sd``, and its extremes as number, whole number or text.
 
     One aggregate over the frame, turned into a row per column afterwards. Text columns have
-    the mean and deviation of those values that are numbers.
+    the mean and deviation of those values that are numbers. Whole numbers have exact extremes:
+    a double would not tell large ids apart.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     inputs: list[Column] = []
     rows: list[Column] = []
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    whole = T.DecimalType(38, 0)
     for i, field in enumerate(fields):
         is_number = isinstance(field.dataType, T.NumericType)
+        is_whole = isinstance(field.dataType, T.IntegralType)
         column = F.col(f"`{field.name}`")
         # Computed once per row, used by several aggregates.
         number = column.cast("double") if is_number else _as_number(column.cast("string"))
@@ -63,6 +67,8 @@ def describe_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
                 F.stddev(x).alias("sd"),
                 (F.min(x) if is_number else no_number).alias("min_number"),
                 (F.max(x) if is_number else no_number).alias("max_number"),
+                (F.min(value) if is_whole else F.lit(None)).cast(whole).alias("min_whole"),
+                (F.max(value) if is_whole else F.lit(None)).cast(whole).alias("max_whole"),
                 (no_text if is_number else F.min(text)).alias("min_text"),
                 (no_text if is_number else F.max(text)).alias("max_text"),
             ).alias(f"c{i}")
@@ -140,65 +146,52 @@ def profile(df: DataFrame, key: str = ORDER_ID, keys: Sequence[str] = KEYS) -> P
     )
 
 
-# What a value can be read as, narrowest first; a number is also every wider number.
-_CLASSES = ("int", "bigint", "double", "timestamp", "boolean", "string")
+def profile_rows(found: Profile, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """The counts of a profile as rows ``section, item, n``."""
 
+    def unpivoted(df: DataFrame, section: str, names: Sequence[str]) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("item"), F.col(f"`{c}`").alias("n")) for c in names]
+        return df.select(F.lit(section).alias("section"), F.inline(F.array(*pairs)))
 
-def _value_class(text: Column) -> Column:
-    """Position in ``_CLASSES`` of the narrowest type a text can be read as; NULL for NULL."""
-    # Up to 18 digits always fit a bigint; beyond, the rare cast may fail.
-    whole = F.when(text.rlike(r"^[+-]?\d{1,18}$"), text.cast("bigint")).otherwise(
-        text.try_cast("bigint")
-    )
+    key = F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
     return (
-        F.when(text.isNull(), None)
-        .when(
-            text.rlike(r"^[+-]?\d{1,19}$") & whole.isNotNull(),
-            F.when(whole.between(-(2**31), 2**31 - 1), 0).otherwise(1),
+        unpivoted(found.nulls, "nulls", columns)
+        .unionByName(unpivoted(found.nulls_with_key, "nulls with key", columns))
+        .unionByName(unpivoted(found.levels, "levels", found.levels.columns))
+        .unionByName(
+            found.describe.select(F.lit("values").alias("section"), F.col("column_name").alias("item"), "n")
+        )
+        .unionByName(
+            found.top_keys.select(F.lit("top keys").alias("section"), key.alias("item"), F.col("cnt").alias("n"))
         )
-        .when(text.rlike(_NUMBER), 2)
-        .when(text.try_cast("timestamp").isNotNull(), 3)
-        .when(F.lower(text).isin("true", "false"), 4)
-        .otherwise(5)
     )
 
 
-def _column_type(low: Column, high: Column) -> Column:
-    """Type of a column from the lowest and highest class of its values."""
-    name = F.get(F.array(*[F.lit(c) for c in _CLASSES]), high)
-    # Numbers widen to the widest among them; any other mixture is text.
-    return F.when(high.isNull(), "void").when((high <= 2) | (low == high), name).otherwise("string")
+def inferred_schema(spark: SparkSession, path: str) -> DataFrame:
+    """One file's columns with the types that Spark's reader infers for it."""
+    return schema_rows(csv_scan(spark, literal_path(path), schema=None))
 
 
-def file_headers(files: DataFrame) -> DataFrame:
-    """Per file, the fields of its first non-blank line: ``file_uri, header``."""
-    spark: SparkSession = files.sparkSession
-    lines = read_files(
-        files,
-        lambda paths: spark.read.option("pathGlobFilter", "*.csv")
-        .text(paths)
-        .withColumn("block", F.col("_metadata.file_block_start")),
-    )
-    numbered = lines.filter((F.col("block") == 0) & (F.trim("value") != "")).select(
-        "file_uri", "value", F.monotonically_increasing_id().alias("line")
-    )
-    fields = F.transform(
-        F.split(F.regexp_replace("value", "\r$", ""), r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
-        lambda x: F.regexp_replace(x, '^"|"$', ""),
-    )
-    return numbered.groupBy("file_uri").agg(F.min_by("value", "line").alias("value")).select(
-        "file_uri", fields.alias("header")
-    )
+def _fits(text: Column, kind: T.DataType) -> Column:
+    """Can a text be read as a type? Texts that are no numbers at all are told by a test."""
+    if isinstance(kind, T.IntegralType):
+        return text.rlike(r"^[+-]?\d+$") & text.try_cast(kind).isNotNull()
+    if isinstance(kind, T.FractionalType):
+        return text.rlike(_NUMBER) | text.isin("NaN", "Inf", "-Inf", "Infinity", "-Infinity")
+    return text.isNotNull()
 
 
-def file_schema_profile(files: DataFrame) -> DataFrame:
-    """Per file and column: position, name, narrowest type, values and NULLs.
+def file_schema_profile(
+    files: DataFrame, schema: T.StructType = SOURCE_SCHEMA
+) -> DataFrame:
+    """Per file and column: position, name, the contract's type, values, NULLs and misfits.
 
-    All files are read as text columns in one pass; per file and task one row is shuffled.
-    Lines equal to the header are not values.
+    ``n_misfit`` counts values that are not of the type the contract gives a column of that name,
+    and is NULL for other columns. All files are read as text columns in one pass; per file and
+    task one row is shuffled. Repeated lines of the contract's names, in any order, are no values.
     """
     spark = files.sparkSession
-    headers = stored_scratch(file_headers(files), "headers")
+    headers = stored_scratch(file_headers(files).filter("header IS NOT NULL"), "headers")
     # One number, at most the width of the widest file.
     width = headers.agg(F.max(F.size("header"))).first()[0]
     names = [f"_c{i}" for i in range(width or 1)]
@@ -210,33 +203,32 @@ def file_schema_profile(files: DataFrame) -> DataFrame:
         .option("pathGlobFilter", "*.csv")
         .csv(paths),
     )
-    # ``headers`` holds one row per file and its size is known, so Spark broadcasts it only
-    # if small; per-row work below is plain column comparison.
-    rows = rows.join(headers, "file_uri")
-    is_header = F.lit(True)
-    for i, n in enumerate(names):
-        is_header = is_header & F.col(n).eqNullSafe(F.get("header", F.lit(i)))
-    rows = rows.filter(~is_header)
+    contract = F.array(*[F.lit(n) for n in sorted(schema.fieldNames())])
+    rows = rows.filter(F.array_sort(F.array_compact(F.array(*names))) != contract)
+    # A column's type goes by its name, which is known per file: so every position is counted for
+    # each type of the contract, and the name picks the count afterwards.
+    kinds = sorted({f.dataType for f in schema.fields}, key=str)
     aggregates: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for n in names:
-        aggregates += [
-            F.count(f"{n}_class").alias(f"{n}_n"),
-            F.min(f"{n}_class").alias(f"{n}_low"),
-            F.max(f"{n}_class").alias(f"{n}_high"),
-        ]
-    rows = rows.select("file_uri", *[_value_class(F.col(n)).alias(f"{n}_class") for n in names])
+        aggregates.append(F.count(n).alias(f"{n}_n"))
+        aggregates += [F.count_if(_fits(F.col(n), k)).alias(f"{n}_{i}") for i, k in enumerate(kinds)]
     per_file = rows.groupBy("file_uri").agg(*aggregates)
     columns = F.array(
         *[
             F.struct(
                 F.lit(i + 1).alias("position"),
-                _column_type(F.col(f"{n}_low"), F.col(f"{n}_high")).alias("data_type"),
                 F.col("n_rows"),
-                (F.col("n_rows") - F.col(f"{n}_n")).alias("n_null"),
+                F.col(f"{n}_n").alias("n"),
+                F.array(*[F.col(f"{n}_{k}") for k in range(len(kinds))]).alias("fitting"),
             )
             for i, n in enumerate(names)
         ]
     )
+    type_of, place = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for f in schema.fields:
+        own = F.col("column_name") == f.name
+        type_of = F.when(own, f.dataType.simpleString()).otherwise(type_of)
+        place = F.when(own, kinds.index(f.dataType)).otherwise(place)
     # From the headers, so that a file of nothing but a header is reported too.
     return (
         headers.select("file_uri", F.size("header").alias("n_columns"), F.posexplode("header"))
@@ -252,8 +244,11 @@ def file_schema_profile(files: DataFrame) -> DataFrame:
             "n_columns",
             "position",
             "column_name",
-            F.coalesce("data_type", F.lit("void")).alias("data_type"),
+            type_of.alias("data_type"),
             F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-            F.coalesce("n_null", F.lit(0)).alias("n_null"),
+            F.coalesce(F.col("n_rows") - F.col("n"), F.lit(0)).alias("n_null"),
+            F.when(
+                place.isNotNull(), F.coalesce(F.col("n") - F.get("fitting", place), F.lit(0))
+            ).alias("n_misfit"),
         )
     )

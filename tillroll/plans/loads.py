@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll import storage
 from tillroll.operators.cleansing import cleanse, remove_nulls, uncastable
-from tillroll.operators.gates import accepted_files, inspect_files, rejected_files
-from tillroll.schema import ORDER_ID, SOURCE_SCHEMA
-from tillroll.sinks.ledger import write_ledger
+from tillroll.operators.gates import (
+    accepted_files,
+    inspect_files,
+    rejected_files,
+    wrong_typed,
+    wrong_typed_files,
+)
+from tillroll.schema import CORRUPT, ORDER_ID, SOURCE_SCHEMA
+from tillroll.sinks.ledger import rejects_path, write_ledger, write_rejects
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
-from tillroll.sources.tables import new_files, read_ledger, read_table
+from tillroll.sources.tables import read_ledger, read_rejects, unseen_files
 from tillroll.storage import stored_scratch
 
 MODES = ("append", "upsert")
@@ -22,16 +28,32 @@ MODES = ("append", "upsert")
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load leaves behind. The frames are read when used; no load work is repeated."""
+    """What a load leaves behind, read from the ledger and from what is kept beside it."""
 
+    spark: SparkSession
     batch_id: str
-    files: DataFrame  # loaded
-    rejected_files: DataFrame  # with ``reason``; not recorded, so looked at again next time
+    ledger_path: str
+    n_files: int  # loaded
+
+    @property
+    def files(self) -> DataFrame:
+        """Files this load has recorded as loaded."""
+        recorded = read_ledger(self.spark, self.ledger_path)
+        return recorded.filter((F.col("batch_id") == self.batch_id) & F.lit(self.n_files > 0))
+
+    @property
+    def rejected_files(self) -> DataFrame:
+        """Files not loaded, with ``reason``."""
+        return self._rejects("files")
 
     @property
     def rejected_rows(self) -> DataFrame:
-        """Lines of loaded files that are not in the table, with ``reason``; a scan of its own."""
-        return unusable_rows(self.files)
+        """Lines of loaded files that are not in the table, with ``reason``."""
+        return self._rejects("rows")
+
+    def _rejects(self, kind: str) -> DataFrame:
+        kept = read_rejects(self.spark, self.ledger_path, kind)
+        return kept.filter(F.col("batch_id") == self.batch_id).drop("batch_id")
 
 
 def usable_rows(files: DataFrame, gate: str = "header") -> DataFrame:
@@ -46,33 +68,75 @@ def usable_rows(files: DataFrame, gate: str = "header") -> DataFrame:
     )
 
 
-def unusable_rows(files: DataFrame) -> DataFrame:
-    """The other lines: where they are and why they are left out."""
-    return (
-        csv_scan_files(files)
-        .transform(uncastable)
-        .withColumn(
-            "reason",
-            F.when(F.col(ORDER_ID).isNull(), "no order id").when(
-                F.col("uncastable"), "wrong value type"
-            ),
-        )
-        .filter(F.col("reason").isNotNull())
-        .drop("uncastable")
+def judged_lines(files: DataFrame, gate: str = "header") -> DataFrame:
+    """All lines of the listed files, with ``wrong_typed`` and the ``reason`` a line is left out.
+
+    The raw text is kept of lines that are left out, to tell what was in them.
+    """
+    lines = wrong_typed(csv_scan_files(files, SOURCE_SCHEMA, gate == "fail"))
+    reason = F.when(F.col("wrong_typed"), "wrong value type").when(
+        F.col(ORDER_ID).isNull(), "no order id"
     )
+    kept_text = F.when(F.col("reason").isNotNull(), F.col(CORRUPT))
+    return lines.withColumn("reason", reason).withColumn(CORRUPT, kept_text)
+
+
+def unusable_rows(files: DataFrame) -> DataFrame:
+    """The lines that a load leaves out: where they are and why."""
+    return judged_lines(files).filter(F.col("reason").isNotNull()).drop("wrong_typed")
 
 
 def union_gated(files: DataFrame, gate: str = "header") -> DataFrame:
     """All lines of the files that pass the gate, as one frame: one scan, not one per file."""
     accepted = stored_scratch(accepted_files(inspect_files(files, gate)), "accepted")
-    return csv_scan_files(accepted, with_uri=False).select(*SOURCE_SCHEMA.fieldNames())
+    if gate != "strict":
+        return csv_scan_files(accepted, with_uri=False).select(*SOURCE_SCHEMA.fieldNames())
+    lines = stored_scratch(judged_lines(accepted), "lines")
+    passed = lines.join(wrong_typed_files(lines), "file_uri", "left_anti")
+    return passed.select(*SOURCE_SCHEMA.fieldNames())
+
 
+def _batch_id(files: DataFrame) -> str:
+    """A name for a set of files as they are now: the same set has the same name."""
+    each = F.xxhash64("path", "length", "modified")
+    low, n = files.agg(F.bit_xor(each), F.count(F.lit(1))).first()
+    return f"{(low or 0) & (2**64 - 1):016x}-{n}"
 
-def _gated(files: DataFrame, gate: str) -> tuple[LoadResult, DataFrame]:
-    """The outcome of the gate, and the cleansed rows of the files that passed."""
-    inspected = stored_scratch(inspect_files(stored_scratch(files, "listing"), gate), "inspected")
-    result = LoadResult(uuid.uuid4().hex, accepted_files(inspected), rejected_files(inspected))
-    return result, usable_rows(result.files, gate).transform(cleanse)
+
+def _load(
+    spark: SparkSession, files: DataFrame, ledger_path: str, gate: str, full: bool, write
+) -> LoadResult:
+    """Judge files and lines, have ``write`` store the cleansed rows, then record all of it.
+
+    The text is scanned once: the parsed lines go to scratch, from where the table and the kept
+    rejects are written. Everything in scratch is deleted when the load ends, well or not.
+    """
+    with storage.scratch_folder(spark, "load") as scratch:
+        listing = storage.stored(files, f"{scratch}/listing")
+        batch_id = _batch_id(listing)
+        inspected = storage.stored(inspect_files(listing, gate), f"{scratch}/inspected")
+        accepted, rejected = accepted_files(inspected), rejected_files(inspected)
+        lines = storage.stored(judged_lines(accepted, gate), f"{scratch}/lines")
+        if gate == "strict":
+            bad = storage.stored(wrong_typed_files(lines), f"{scratch}/bad")
+            lines = lines.join(bad, "file_uri", "left_anti")
+            rejected = rejected.unionByName(accepted.join(bad, "file_uri").select(*rejected.columns))
+            accepted = accepted.join(bad, "file_uri", "left_anti")
+        n_files = accepted.count()
+        if n_files:
+            usable = lines.filter(F.col("reason").isNull()).select(*SOURCE_SCHEMA.fieldNames())
+            write(usable.transform(cleanse))
+        if full and n_files:
+            # What older loads have rejected was judged again or is gone.
+            for kind in ("files", "rows"):
+                storage.delete(spark, rejects_path(ledger_path, kind))
+        if not listing.isEmpty():
+            write_rejects(rejected, ledger_path, "files", batch_id)
+            left_out = lines.filter(F.col("reason").isNotNull()).drop("wrong_typed")
+            write_rejects(left_out, ledger_path, "rows", batch_id)
+        if n_files:
+            write_ledger(accepted, ledger_path, batch_id, "overwrite" if full else "append")
+        return LoadResult(spark, batch_id, ledger_path, n_files)
 
 
 def batch_load(
@@ -91,11 +155,11 @@ def batch_load(
     loadable file leaves table and ledger as they are.
     """
     listing = list_files(spark, source_dir) if files is None else files
-    result, rows = _gated(listing, gate)
-    if not result.files.isEmpty():
+
+    def write(rows: DataFrame) -> None:
         write_table(rows, table_path, "overwrite", fmt, layout)
-        write_ledger(result.files, ledger_path, result.batch_id, "overwrite")
-    return result
+
+    return _load(spark, listing, ledger_path, gate, True, write)
 
 
 def incremental_load(
@@ -103,17 +167,18 @@ def incremental_load(
     source_dir: str,
     table_path: str,
     ledger_path: str,
-    mode: str = "append",
+    mode: str = "upsert",
     fmt: str = "parquet",
     gate: str = "header",
 ) -> LoadResult:
-    """Load the files the ledger does not name yet.
+    """Load the files that are new, or were rejected and have changed since.
 
-    ``append`` cleanses the new files among themselves and adds the rows; a key that an older
-    file has too is then stored twice. ``upsert`` leaves the table as a full load of all files
-    would, and can be repeated after a failure without storing rows twice.
+    ``upsert`` leaves the table as a full load of all files would, and can be repeated after a
+    failure. ``append`` cleanses the new files among themselves and adds the rows; a key that an
+    older file has too is then stored twice, and so are all rows if it is repeated after a
+    failure between table and ledger.
     """
-    listing = new_files(list_files(spark, source_dir), read_ledger(spark, ledger_path))
+    listing = list_files(spark, source_dir)
     return load_files(spark, listing, table_path, ledger_path, mode, fmt, gate)
 
 
@@ -122,23 +187,18 @@ def load_files(
     files: DataFrame,
     table_path: str,
     ledger_path: str,
-    mode: str = "append",
+    mode: str = "upsert",
     fmt: str = "parquet",
     gate: str = "header",
 ) -> LoadResult:
-    """Load the given files into the table, then record them."""
+    """Load those of the given files that the ledger does not name, then record them."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    result, rows = _gated(files, gate)
-    if not result.files.isEmpty():
+
+    def write(rows: DataFrame) -> None:
         if mode == "append":
             append_rows(rows, table_path, fmt)
         else:
             upsert_rows(rows, table_path, fmt)
-        write_ledger(result.files, ledger_path, result.batch_id, "append")
-    return result
-
 
-def loaded_table(spark: SparkSession, table_path: str, fmt: str = "parquet") -> DataFrame:
-    """The stored table, read back rather than computed again."""
-    return read_table(spark, table_path, fmt)
+    return _load(spark, unseen_files(spark, files, ledger_path), ledger_path, gate, False, write)

@@ -14,7 +14,7 @@ _LINE = """
          CASE WHEN pk % 89 = 0 THEN 'Order Date' WHEN pk % 101 = 0 THEN 'unknown'
               ELSE strftime(moment, '%m/%d/%y %H:%M') END AS "Order Date",
          CASE WHEN pk % 89 = 0 THEN 'Purchase Address' ELSE addr END AS "Purchase Address",
-         line, pk % 89 = 0 AS header_again
+         line, pk, pk % 89 = 0 AS header_again
   FROM base"""
 
 # The dirty source rows: every line once, some of those with a key a second time.
@@ -29,7 +29,7 @@ WITH base AS (
 lines AS ({_LINE}
   UNION ALL{_LINE}
   WHERE pk % 50 = 0 AND pk % 89 <> 0 AND pk % 97 <> 0),
-sales AS (SELECT * EXCLUDE (line, header_again) FROM lines)"""
+sales AS (SELECT * EXCLUDE (line, pk, header_again) FROM lines)"""
 
 _ORDER = """"Quantity Ordered" DESC NULLS LAST,
     try_strptime("Order Date", '%m/%d/%y %H:%M') DESC NULLS LAST,
@@ -55,7 +55,7 @@ _KEYED = '(SELECT * FROM sales WHERE "Order ID" IS NOT NULL)'
 
 
 def _keyed_lines(condition: str) -> str:
-    return f"""(SELECT * EXCLUDE (line, header_again) FROM lines
+    return f"""(SELECT * EXCLUDE (line, pk, header_again) FROM lines
   WHERE "Order ID" IS NOT NULL AND {condition})"""
 
 
@@ -65,11 +65,17 @@ _ALL_CLEAN = f"{_SALES} SELECT * FROM {_cleansed(_KEYED)}"
 _EARLY_THEN_LATE = (
     f"{_SALES} SELECT * FROM {_cleansed(_EARLY)} UNION ALL SELECT * FROM {_cleansed(_LATE)}"
 )
+# Prices of the tables have two places: whole cents add up exactly.
 _TOTALS = """count(*) AS n_lines, CAST(sum("Quantity_Ordered") AS BIGINT) AS units,
-  CAST(sum(CAST("Price_Each" AS DECIMAL(18,2)) * "Quantity_Ordered") AS DECIMAL(38,2)) AS revenue"""
+  CAST(CAST(sum(CAST(round("Price_Each" * 100) AS BIGINT) * "Quantity_Ordered") AS DECIMAL(34,0))
+    * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2)) AS revenue"""
+
+# Lines of files of their own that hold values of wrong types, and which of these do.
+_THIRD = f"line > {EARLY_LINES} AND pk % 3 = 0"
+_WRONG = f"({_THIRD} AND pk % 2 = 0 AND NOT header_again)"
 
 _COLUMNS = (
-    ("Order ID", "int", True),
+    ("Order ID", "bigint", True),
     ("Product", "string", False),
     ("Quantity Ordered", "int", True),
     ("Price Each", "double", True),
@@ -87,25 +93,62 @@ def _nulls(rows: str) -> str:
 
 def _describe() -> str:
     parts = []
-    for c, _, number in _COLUMNS:
+    for c, kind, number in _COLUMNS:
+        is_whole = kind in ("int", "bigint")
+        whole = [
+            f"""CAST({f}("{c}") AS DECIMAL(38,0))""" if is_whole else "CAST(NULL AS DECIMAL(38,0))"
+            for f in ("min", "max")
+        ]
         value = f'CAST("{c}" AS DOUBLE)' if number else f'TRY_CAST("{c}" AS DOUBLE)'
         extremes = [f"{f}({value})" if number else "CAST(NULL AS DOUBLE)" for f in ("min", "max")]
         texts = ["CAST(NULL AS VARCHAR)" if number else f'{f}("{c}")' for f in ("min", "max")]
         parts.append(
             f"""SELECT '{c}' AS column_name, count("{c}") AS n, round(avg({value}), 4) AS mean,
   round(stddev({value}), 4) AS sd, {extremes[0]} AS min_number, {extremes[1]} AS max_number,
+  {whole[0]} AS min_whole, {whole[1]} AS max_whole,
   {texts[0]} AS min_text, {texts[1]} AS max_text FROM sales"""
         )
     return f"{_SALES} " + " UNION ALL ".join(parts)
 
 
 def _file_schemas() -> str:
-    return f"{_SALES} " + " UNION ALL ".join(
-        f"""SELECT {len(_COLUMNS)} AS n_columns, {i} AS position, '{c}' AS column_name,
-  '{t}' AS data_type, count(*) AS n_rows, count(*) FILTER (WHERE "{c}" IS NULL) AS n_null
-  FROM lines WHERE NOT header_again"""
-        for i, (c, t, _) in enumerate(_COLUMNS, start=1)
+    kinds = {"Order ID": "pk % 5 = 0", "Quantity Ordered": "pk % 5 = 1", "Price Each": "pk % 5 > 1"}
+    parts = []
+    for i, (c, t, _) in enumerate(_COLUMNS, start=1):
+        wrong = f"{_WRONG} AND {kinds[c]}" if c in kinds else "false"
+        parts.append(
+            f"""SELECT {len(_COLUMNS)} AS n_columns, {i} AS position, '{c}' AS column_name,
+  '{t}' AS data_type, count(*) AS n_rows,
+  count(*) FILTER (WHERE "{c}" IS NULL AND NOT ({wrong})) AS n_null,
+  count(*) FILTER (WHERE {wrong}) AS n_misfit FROM lines WHERE NOT header_again"""
+        )
+    return f"{_SALES} " + " UNION ALL ".join(parts)
+
+
+def _profile() -> str:
+    counts = {
+        "nulls": ("IS NULL", "sales"),
+        "nulls with key": ("IS NULL", _KEYED),
+        "values": ("IS NOT NULL", "sales"),
+    }
+    parts = [
+        f"""SELECT '{section}' AS section, '{c}' AS item,
+  count(*) FILTER (WHERE "{c}" {test}) AS n FROM {rows}"""
+        for section, (test, rows) in counts.items()
+        for c, _, _ in _COLUMNS
+    ]
+    levels = {
+        "n_rows": f"SELECT * FROM {_KEYED}",
+        "n_distinct_rows": f"SELECT DISTINCT * FROM {_KEYED}",
+        "n_distinct_keys": f"""SELECT DISTINCT "Order ID", "Product" FROM {_KEYED}""",
+    }
+    parts += [f"SELECT 'levels', '{k}', count(*) FROM ({q})" for k, q in levels.items()]
+    parts.append(
+        f"""SELECT * FROM (SELECT 'top keys', CAST("Order ID" AS VARCHAR) || '|' || "Product", count(*) AS c
+  FROM {_KEYED} GROUP BY "Order ID", "Product"
+  ORDER BY c DESC, "Order ID" NULLS FIRST, "Product" NULLS FIRST LIMIT 20)"""
     )
+    return f"{_SALES} " + " UNION ALL ".join(parts)
 
 
 _ROWS = f"{_SALES} SELECT * FROM sales"
@@ -145,20 +188,28 @@ ORACLES: dict[str, str] = {
     "top_keys_after_dedup": f"""{_SALES} SELECT "Order ID", "Product", count(*) AS cnt
   FROM {_survivors(_KEYED)} GROUP BY ALL
   ORDER BY cnt DESC, "Order ID" NULLS FIRST, "Product" NULLS FIRST LIMIT 5""",
+    "profile": _profile(),
+    "list_files": f"""{_SALES} SELECT CASE WHEN line <= {EARLY_LINES} THEN 'early' ELSE 'late' END
+  AS came, count(*) AS n_lines FROM lines GROUP BY ALL""",
     "csv_scan": _ROWS,
     "csv_scan_inferred": _ROWS,
     "csv_scan_multi": _ROWS,
     "file_schema_profile": _file_schemas(),
-    "union_gated": f"""{_SALES} SELECT * EXCLUDE (line, header_again) FROM lines
+    "union_gated": f"""{_SALES} SELECT * EXCLUDE (line, pk, header_again) FROM lines
   WHERE line <= {EARLY_LINES}""",
     "rejected_files": f"""{_SALES} SELECT 'header differs' AS reason, count(*) AS n_lines
   FROM lines WHERE line > {EARLY_LINES}""",
-    "new_files_only": f"""{_SALES} SELECT * EXCLUDE (line, header_again) FROM lines
+    "new_files_only": f"""{_SALES} SELECT * EXCLUDE (line, pk, header_again) FROM lines
   WHERE line > {EARLY_LINES}""",
     "partitioned_write_read": _ALL_CLEAN,
     "append_gated": _EARLY_THEN_LATE,
     "batch_job": _ALL_CLEAN,
-    "batch_job_strict": f"{_SALES} SELECT * FROM {_cleansed(_EARLY)}",
+    "batch_job_header": f"{_SALES} SELECT * FROM {_cleansed(_keyed_lines(f'NOT {_WRONG}'))}",
+    "batch_job_strict": f"{_SALES} SELECT * FROM {_cleansed(_keyed_lines(f'NOT ({_THIRD})'))}",
+    "batch_job_fail": _ALL_CLEAN,
+    "rejected_lines": f"""{_SALES} SELECT CASE WHEN {_WRONG} THEN 'wrong value type'
+  ELSE 'no order id' END AS reason, count(*) AS n_lines
+  FROM lines WHERE {_WRONG} OR "Order ID" IS NULL GROUP BY ALL""",
     "incremental_append": _EARLY_THEN_LATE,
     "incremental_upsert": _ALL_CLEAN,
     "stream_incremental": _ALL_CLEAN,

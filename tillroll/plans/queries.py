@@ -137,8 +137,18 @@ def top_keys_after_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, _ = fixtures.sales_csv(spark, sf_dir)
-    return list_files(spark, folder)
+    """Lines of the listed files, by when they came; decoys lie beside them."""
+    folder, early = fixtures.sales_csv(spark, sf_dir, late="decoys")
+    files = stored_scratch(list_files(spark, folder), "listing")
+    came = early.select("file_uri", F.lit("early").alias("came"))
+    return (
+        csv_scan_files(files)
+        .groupBy("file_uri")
+        .agg(F.count(F.lit(1)).alias("n_lines"))
+        .join(came, "file_uri", "left")
+        .groupBy(F.coalesce("came", F.lit("late")).alias("came"))
+        .agg(F.sum("n_lines").alias("n_lines"))
+    )
 
 
 def csv_scan_one_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,15 +172,21 @@ def csv_scan_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-file profile, summed over files of one shape: file names differ between runs."""
-    folder, _ = fixtures.sales_csv(spark, sf_dir)
+    folder, _ = fixtures.sales_csv(spark, sf_dir, late="wrong")
     files = stored_scratch(list_files(spark, folder), "listing")
     return (
         profiling.file_schema_profile(files)
         .groupBy("n_columns", "position", "column_name", "data_type")
-        .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"))
+        .agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_null", "n_misfit")])
     )
 
 
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole exploration of the source rows, its counts as rows."""
+    found = profiling.profile(fixtures.sales(spark, sf_dir))
+    return profiling.profile_rows(found, SOURCE_SCHEMA.fieldNames())
+
+
 def union_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = fixtures.sales_csv(spark, sf_dir, late="drifted")
     return loads.union_gated(stored_scratch(list_files(spark, folder), "listing"))
@@ -213,7 +229,7 @@ def _early_then_late(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     path, ledger = fixtures.fresh_table(spark)
     loads.batch_load(spark, folder, path, ledger, files=early)
     loads.incremental_load(spark, folder, path, ledger, mode)
-    return _comparable(loads.loaded_table(spark, path))
+    return _comparable(read_table(spark, path))
 
 
 def append_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,15 +245,37 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = fixtures.sales_csv(spark, sf_dir)
     path, ledger = fixtures.fresh_table(spark)
     loads.batch_load(spark, folder, path, ledger)
-    return _comparable(loads.loaded_table(spark, path))
+    return _comparable(read_table(spark, path))
+
+
+def _batch_of(spark: SparkSession, sf_dir: str, late: str, gate: str) -> DataFrame:
+    folder, _ = fixtures.sales_csv(spark, sf_dir, late)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, gate=gate)
+    return _comparable(read_table(spark, path))
+
+
+def batch_job_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full load of a folder in which some files hold values of wrong types: their lines go."""
+    return _batch_of(spark, sf_dir, "wrong", "header")
 
 
 def batch_job_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full load of a folder in which some files have drifted, types checked as well."""
-    folder, _ = fixtures.sales_csv(spark, sf_dir, late="drifted")
+    """The same with all values checked: the files that hold such lines go."""
+    return _batch_of(spark, sf_dir, "wrong", "strict")
+
+
+def batch_job_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full load in which the scan itself checks the headers."""
+    return _batch_of(spark, sf_dir, "conforming", "fail")
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a full load has left out and kept beside the ledger, by reason."""
+    folder, _ = fixtures.sales_csv(spark, sf_dir, "wrong")
     path, ledger = fixtures.fresh_table(spark)
-    loads.batch_load(spark, folder, path, ledger, gate="strict")
-    return _comparable(loads.loaded_table(spark, path))
+    result = loads.batch_load(spark, folder, path, ledger)
+    return result.rejected_rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +299,7 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         checkpoint=scratch_path(spark, "stream"),
         max_files_per_trigger=(n_files + 1) // 2,
     ).awaitTermination()
-    return _comparable(loads.loaded_table(spark, path))
+    return _comparable(read_table(spark, path))
 
 
 # --- reports ----------------------------------------------------------------------------
@@ -300,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "dup_key_counts": dup_key_counts,
     "top_dup_keys": top_dup_keys,
     "top_keys_after_dedup": top_keys_after_dedup,
+    "profile": profile,
     "list_files": list_source_files,
     "csv_scan": csv_scan_one_schema,
     "csv_scan_inferred": csv_scan_inferred,
@@ -311,7 +350,10 @@ QUERIES: dict[str, Query] = {
     "partitioned_write_read": partitioned_write_read,
     "append_gated": append_gated,
     "batch_job": batch_job,
+    "batch_job_header": batch_job_header,
     "batch_job_strict": batch_job_strict,
+    "batch_job_fail": batch_job_fail,
+    "rejected_lines": rejected_lines,
     "incremental_append": incremental_append,
     "incremental_upsert": incremental_upsert,
     "stream_incremental": stream_incremental,

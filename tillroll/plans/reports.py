@@ -25,8 +25,9 @@ def in_period(since: Month | None = None, until: Month | None = None) -> Column:
 
 
 def _totals() -> list[Column]:
-    # Summed as decimals: the result does not depend on the order of summation.
-    price = F.col("Price_Each").cast("decimal(18,2)")
+    # Summed as decimals: the result does not depend on the order of summation. Prices keep eight
+    # places; only the sum is rounded.
+    price = F.col("Price_Each").cast("decimal(24,8)")
     return [
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("Quantity_Ordered").alias("units"),

@@ -65,6 +65,29 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+# What loads reject, kept beside the ledger; lines with their values as far as they were readable.
+REJECT_SCHEMAS = {
+    "files": T.StructType(
+        [
+            T.StructField("path", T.StringType()),
+            T.StructField("file_uri", T.StringType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("modified", T.TimestampType()),
+            T.StructField("reason", T.StringType()),
+            T.StructField("batch_id", T.StringType()),
+        ]
+    ),
+    "rows": T.StructType(
+        [
+            *SOURCE_SCHEMA.fields,
+            T.StructField(CORRUPT, T.StringType()),
+            T.StructField("file_uri", T.StringType()),
+            T.StructField("reason", T.StringType()),
+            T.StructField("batch_id", T.StringType()),
+        ]
+    ),
+}
+
 
 def names_and_types(schema: T.StructType) -> list[tuple[str, str]]:
     """What two schemas must share to be the same contract; nullability is left out."""

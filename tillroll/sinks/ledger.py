@@ -22,4 +22,15 @@ def write_ledger(files: DataFrame, path: str, batch_id: str, mode: str) -> None:
         "modified",
         F.lit(batch_id).alias("batch_id"),
         F.current_timestamp().alias("loaded_at"),
-    ).select(*LEDGER_SCHEMA.fieldNames()).write.mode(mode).parquet(path)
+    ).select(*LEDGER_SCHEMA.fieldNames()).hint("rebalance").write.mode(mode).parquet(path)
+
+
+def rejects_path(ledger_path: str, kind: str) -> str:
+    """Where a load's rejected ``files`` or ``rows`` are kept: beside the ledger."""
+    return f"{ledger_path.rstrip('/')}_rejected/{kind}"
+
+
+def write_rejects(rejects: DataFrame, ledger_path: str, kind: str, batch_id: str) -> None:
+    """Keep what a batch rejects. A batch that is repeated replaces what it has left before."""
+    path = f"{rejects_path(ledger_path, kind)}/batch_id={batch_id}"
+    rejects.coalesce(8).write.mode("overwrite").parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -11,10 +12,11 @@ from tillroll import storage
 from tillroll.operators.cleansing import keep_max
 from tillroll.operators.gates import append_gate
 from tillroll.schema import CLEANSED_SCHEMA, PERIOD, STORED_KEYS, STORED_QUANTITY
+from tillroll.sources.files import literal_path
 from tillroll.sources.tables import read_table
 
 LAYOUTS = ("rebalance", "as_is")
-_PENDING = "_pending_months"  # hidden from readers by its leading underscore
+_PENDING = "_pending_merge"  # hidden from readers by its leading underscore
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for NULL
 
 
@@ -24,14 +26,15 @@ def laid_out(df: DataFrame, layout: str = "rebalance") -> DataFrame:
     ``rebalance`` brings a month's rows together and lets adaptive execution cut large months
     into, and join small months up to, tasks of ``advisoryPartitionSizeInBytes``: no task
     gets a whole month, and there are not (tasks x months) files. ``as_is`` saves that shuffle;
-    right where rows are of few months, such as a monthly load. Without adaptive execution
-    nothing could cut a large month, so rows are then written as they are.
+    right where rows are of few months, such as a monthly load. Without adaptive execution nothing
+    could cut a large month, so ``rebalance`` is an error then.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if layout == "as_is" or not adaptive:
+    if layout == "as_is":
         return df
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("layout 'rebalance' needs spark.sql.adaptive.enabled; or use 'as_is'")
     return df.hint("rebalance", *[F.col(c) for c in PERIOD])
 
 
@@ -45,9 +48,11 @@ def write_table(
     """Write rows partitioned by year and month.
 
     An append states the partitioning again: without it, Parquet files would land in the
-    table's root folder, where readers do not see them.
+    table's root folder, where readers do not see them. An overwrite replaces the whole table,
+    whatever ``spark.sql.sources.partitionOverwriteMode`` says.
     """
     writer = laid_out(df, layout).write.format(fmt).mode(mode).partitionBy(*PERIOD)
+    writer = writer.option("partitionOverwriteMode", "static")
     if fmt == "delta":
         writer = writer.option("delta.columnMapping.mode", "none")
     writer.save(path)
@@ -63,7 +68,7 @@ def append_rows(
     """Append cleansed rows, if their schema is the table's."""
     spark = df.sparkSession
     if table_exists(spark, path):
-        found = spark.read.format(fmt).load(path).schema
+        found = spark.read.format(fmt).load(literal_path(path)).schema
         # Partition columns are typed from folder names, so only their names are comparable.
         period = [f.name for f in found.fields if f.name in PERIOD]
         data = [f for f in found.fields if f.name not in PERIOD]
@@ -105,17 +110,13 @@ def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
     table = table.filter(order_id.between(low, high))
     # One row per key on this side, and sized by its files: broadcast only if small.
     keys = incoming.select(*[F.col(k).alias(f"new_{k}") for k in STORED_KEYS])
-    same_key = [table[k].eqNullSafe(keys[f"new_{k}"]) for k in STORED_KEYS]
+    # The id is never NULL here; a product can be.
+    id_, product = STORED_KEYS
+    same_key = [table[id_] == keys[f"new_{id_}"], table[product].eqNullSafe(keys[f"new_{product}"])]
     displaced = table.join(keys, same_key, "left_semi")
     return _months(incoming.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
 
-def _files(spark: SparkSession, path: str, months: Sequence[Row]) -> list[str]:
-    """Paths of a table's files in the given months; none is opened."""
-    files = spark.read.format("binaryFile").load(path).filter(in_months(months))
-    return [r.path for r in files.select("path").collect()]
-
-
 def _month_folder(path: str, month: Row) -> str:
     parts = [
         f"{c}={_DEFAULT_PARTITION if month[c] is None else month[c]}" for c in PERIOD
@@ -131,53 +132,68 @@ def upsert_rows(
     Returns the months rewritten. The result is what a full load of old and new rows would
     give. Only touched months are read and rewritten.
 
-    On Parquet the merged rows are added first and the files they replace are deleted
-    afterwards. A run that dies in between leaves some rows twice, never a row missing; the
-    months at risk are noted inside the table beforehand, and the next merge repairs them,
-    since merging is idempotent.
+    On Parquet the merged months are stored in scratch and then published by Spark's dynamic
+    partition overwrite; months left without rows are removed as folders, so the driver's work
+    grows with the months, not with the files. A note inside the table says what is being
+    published: if that dies, the next merge publishes the same stored rows again first, so no
+    row is lost for good and none is stored twice.
     """
     spark = df.sparkSession
     append_gate(df, CLEANSED_SCHEMA)
     if not table_exists(spark, path):
         write_table(df, path, "overwrite", fmt, layout)
         return []
-    # Used three times below; written, so that it is computed once and survives lost executors.
-    incoming_path = storage.scratch_path(spark, "incoming")
-    incoming = storage.stored(df, incoming_path)
-    table = read_table(spark, path, fmt)
-    months = touched_months(incoming, table)
-    pending_path = f"{path.rstrip('/')}/{_PENDING}"
-    if fmt == "parquet" and storage.exists(spark, pending_path):
-        left = spark.read.schema("year int, month int").parquet(pending_path)
-        months = _in_order({*months, *_months(left)})
-    if not months:
-        return []
-    merged = keep_max(
-        table.filter(in_months(months)).unionByName(incoming), STORED_KEYS, STORED_QUANTITY
-    )
-    if fmt != "parquet":
-        # A table format replaces the months in one transaction.
-        predicate = " OR ".join(
-            f"(year <=> {_literal(m.year)} AND month <=> {_literal(m.month)})" for m in months
+    if fmt == "parquet":
+        _publish_pending(spark, path)
+    with storage.scratch_folder(spark, "incoming") as scratch:
+        # Used three times below; written, so that it is computed once and survives lost executors.
+        incoming = storage.stored(df, scratch)
+        table = read_table(spark, path, fmt)
+        months = touched_months(incoming, table)
+        if not months:
+            return []
+        merged = keep_max(
+            table.filter(in_months(months)).unionByName(incoming), STORED_KEYS, STORED_QUANTITY
         )
-        laid_out(merged, layout).write.format(fmt).mode("overwrite").option(
-            "replaceWhere", predicate
-        ).save(path)
-        return months
-
-    replaced = _files(spark, path, months)
-    spark.createDataFrame(months, "year int, month int").write.mode("append").parquet(
-        pending_path
-    )
-    write_table(merged, path, "append", fmt, layout)
-    for file in replaced:
-        storage.delete(spark, file)
-    for month in months:
-        storage.delete_if_empty(spark, _month_folder(path, month))
-    storage.delete(spark, pending_path)
-    storage.delete(spark, incoming_path)
+        if fmt != "parquet":
+            # A table format replaces the months in one transaction.
+            predicate = " OR ".join(
+                f"(year <=> {_literal(m.year)} AND month <=> {_literal(m.month)})" for m in months
+            )
+            laid_out(merged, layout).write.format(fmt).mode("overwrite").option(
+                "replaceWhere", predicate
+            ).save(path)
+            return months
+        staged = storage.scratch_path(spark, "merged")
+        write_table(merged, staged, "overwrite", fmt, layout)
+    note = {"staged": staged, "months": [[m.year, m.month] for m in months]}
+    storage.write_text(spark, f"{path.rstrip('/')}/{_PENDING}", json.dumps(note))
+    _publish_pending(spark, path)
     return months
 
 
+def _publish_pending(spark: SparkSession, path: str) -> None:
+    """Replace the noted months by their stored rows; nothing to do without a note.
+
+    Every step can be repeated: the stored rows stay until the note is gone.
+    """
+    note_path = f"{path.rstrip('/')}/{_PENDING}"
+    note = storage.read_text(spark, note_path)
+    if note is None:
+        return
+    staged, months = (json.loads(note)[k] for k in ("staged", "months"))
+    rows = read_table(spark, staged)
+    # Already laid out: a stored file is a task's share.
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *PERIOD
+    ).parquet(path)
+    left = {(m.year, m.month) for m in _months(rows)}
+    for year, month in months:
+        if (year, month) not in left:
+            storage.delete(spark, _month_folder(path, Row(year=year, month=month)))
+    storage.delete(spark, note_path)
+    storage.delete(spark, staged)
+
+
 def _literal(value: int | None) -> str:
     return "NULL" if value is None else str(value)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,28 +12,28 @@ from pyspark.sql import types as T
 
 from tillroll.schema import CORRUPT, SOURCE_SCHEMA
 
-# Up to this many paths (some 15 MB of text) a file set is named to the reader one by one.
-# A larger set is read as its folder, semi-joined with the stored set.
-MAX_NAMED_PATHS = 100_000
+# Files per listing task and stored part. A listing opens no file, so their lengths don't count.
+FILES_PER_TASK = 2_000
+# Paths that one reader is given; more are read by more readers, whose rows are put together.
+PATHS_PER_READER = 10_000
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Files directly in ``folder``: ``path, file_uri, length, modified``.
 
     Hidden files, subfolders and empty files are not listed; a missing folder is an error.
-    The content column is pruned, so no file is opened. ``path`` is the plain path,
-    ``file_uri`` its encoded form as every scan reports it in ``_metadata.file_path``.
+    The content column is pruned, so no file is opened; the source packs files by length all the
+    same, so its splits are put together by number. ``path`` is the plain path, ``file_uri`` its
+    encoded form as every scan reports it in ``_metadata.file_path``.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(literal_path(folder))
-        .select(
-            "path",
-            F.col("_metadata.file_path").alias("file_uri"),
-            "length",
-            F.col("modificationTime").alias("modified"),
-        )
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    found = found.load(literal_path(folder))
+    tasks = math.ceil(len(found.inputFiles()) / FILES_PER_TASK)
+    return found.coalesce(max(1, tasks)).select(
+        "path",
+        F.col("_metadata.file_path").alias("file_uri"),
+        "length",
+        F.col("modificationTime").alias("modified"),
     )
 
 
@@ -44,23 +46,22 @@ def read_files(
     files: DataFrame,
     read: Callable[[list[str]], DataFrame],
     with_uri: bool = True,
-    max_named_paths: int = MAX_NAMED_PATHS,
+    paths_per_reader: int = PATHS_PER_READER,
 ) -> DataFrame:
     """Rows of exactly the listed files, plus ``file_uri`` unless ``with_uri`` is off.
 
-    ``files`` is a stored, not empty listing of distinct files. Files that reach the folder
-    later are not read, whichever way is taken.
+    ``files`` is a stored, not empty listing of distinct files. Every file is named to a reader,
+    at any number of files, so files that reach the folder later are not read. The driver holds
+    the names, as it does for any scan.
     """
+    names = [literal_path(r.path) for r in files.select("path").toLocalIterator()]
     uri = F.col("_metadata.file_path").alias("file_uri")
-    named = files.select("path").limit(max_named_paths + 1).collect()
-    if len(named) <= max_named_paths:
-        rows = read([literal_path(r.path) for r in named])
+    parts = []
+    for i in range(0, len(names), paths_per_reader):
+        rows = read(names[i : i + paths_per_reader])
         # Asking for the file makes the scan attach all file metadata to every row.
-        return rows.select("*", uri) if with_uri else rows
-    folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
-    rows = read([literal_path(r.f) for r in folders.collect()]).select("*", uri)
-    rows = rows.join(files.select("file_uri"), "file_uri", "left_semi")
-    return rows if with_uri else rows.drop("file_uri")
+        parts.append(rows.select("*", uri) if with_uri else rows)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def csv_reader(

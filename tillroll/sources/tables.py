@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.schema import CLEANSED_SCHEMA, LEDGER_SCHEMA
+from tillroll.schema import CLEANSED_SCHEMA, LEDGER_SCHEMA, REJECT_SCHEMAS
+from tillroll.sinks.ledger import rejects_path
+from tillroll.sources.files import literal_path
 from tillroll.storage import has_files
 
 
@@ -17,16 +19,34 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     reader = spark.read.format(fmt)
     if fmt == "parquet":
         reader = reader.schema(CLEANSED_SCHEMA)
-    return reader.load(path)
+    return reader.load(literal_path(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Files loaded so far; no rows if nothing was ever loaded."""
     if not has_files(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(literal_path(path))
+
+
+def read_rejects(spark: SparkSession, ledger_path: str, kind: str) -> DataFrame:
+    """Rejected ``files`` or ``rows`` of all batches, with ``batch_id``; none if there are none."""
+    path, schema = rejects_path(ledger_path, kind), REJECT_SCHEMAS[kind]
+    if not has_files(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(literal_path(path))
 
 
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files that the ledger does not name."""
     return files.join(ledger.select("path"), "path", "left_anti")
+
+
+def unseen_files(spark: SparkSession, files: DataFrame, ledger_path: str) -> DataFrame:
+    """Listed files that are neither loaded nor rejected as they are now.
+
+    A rejected file is looked at again once its length or time differs.
+    """
+    new = new_files(files, read_ledger(spark, ledger_path))
+    rejected = read_rejects(spark, ledger_path, "files").select("path", "length", "modified")
+    return new.join(rejected, ["path", "length", "modified"], "left_anti").select(*files.columns)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +16,12 @@ _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of this machine, removed at exit.
+    Only a session whose executors are threads of this process may name none; it gets a folder
+    of this machine, removed at exit.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
@@ -36,6 +40,16 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh scratch path whose contents are deleted when the block ends, however it ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        delete(spark, path)
+
+
 def stored_scratch(df: DataFrame, name: str) -> DataFrame:
     """``stored`` at a fresh scratch path."""
     return stored(df, scratch_path(df.sparkSession, name))
@@ -65,7 +79,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def delete_if_empty(spark: SparkSession, folder: str) -> None:
-    fs, hadoop_path = _path(spark, folder)
-    if fs.exists(hadoop_path) and not fs.listStatus(hadoop_path):
-        fs.delete(hadoop_path, False)
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written beside its place and renamed."""
+    fs, hadoop_path = _path(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs.delete(hadoop_path, False)
+    fs.rename(beside, hadoop_path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` has written, or None."""
+    if not exists(spark, path):
+        return None
+    fs, hadoop_path = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -1,4 +1,4 @@
-"""Load files as they arrive, with a checkpoint in place of a comparison with the ledger."""
+"""Load files as they arrive: a checkpoint finds them, the ledger says which are loaded."""
 
 from __future__ import annotations
 
@@ -41,34 +41,22 @@ def start_pickup(
     mode: str = "upsert",
     fmt: str = "parquet",
     gate: str = "header",
-    rejects_path: str | None = None,
     max_files_per_trigger: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start loading: all files there now and then stop, or every ``interval``.
 
     The stream carries file names; each micro-batch runs the same load as an incremental run,
-    because the gate and the deduplication need whole files, not unbounded rows. A
-    micro-batch can run twice after a failure: ``upsert`` stores nothing twice then, ``append``
-    may. Files the gate rejects are written to ``rejects_path``; the checkpoint has passed
-    them, so a corrected file must arrive under a new name.
+    because the gate and the deduplication need whole files, not unbounded rows. The ledger stays
+    the one truth: files that it names, from a batch load or a micro-batch that ran before, are
+    not loaded again. Rejected files and lines are kept beside the ledger as by any load; the
+    checkpoint has passed a rejected file, so a corrected one must arrive under a new name.
     """
 
     def load(files: DataFrame, _batch: int) -> None:
         # A name can come up twice in a micro-batch when it holds glob characters.
-        result = load_files(
-            files.sparkSession,
-            files.dropDuplicates(["path"]),
-            table_path,
-            ledger_path,
-            mode,
-            fmt,
-            gate,
-        )
-        if rejects_path is not None and not result.rejected_files.isEmpty():
-            result.rejected_files.withColumn("batch_id", F.lit(result.batch_id)).write.mode(
-                "append"
-            ).parquet(rejects_path)
+        names = files.dropDuplicates(["path"])
+        load_files(files.sparkSession, names, table_path, ledger_path, mode, fmt, gate)
 
     writer = (
         file_stream(spark, source_dir, max_files_per_trigger)

@@ -159,8 +159,8 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # Rows of the manifest are light, their files are not: one task for a few of them.
-    spread = manifest.repartition(F.col("name"))
+    # Rows of the manifest are light, their files are not: a task for each, as when written.
+    spread = manifest.repartition(max(1, manifest.count()))
     return spread.mapInArrow(read, DOCUMENTS)
 
 

@@ -10,7 +10,7 @@ import json
 import os
 import statistics
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bench import session, timed
@@ -19,33 +19,28 @@ from tillroll.operators import cleansing
 from tillroll.plans import loads, reports
 from tillroll.schema import KEYS, ORDER_ID, QUANTITY, SOURCE_SCHEMA
 from tillroll.sinks.tables import write_table
-from tillroll.sources.files import list_files, literal_path
+from tillroll.sources.files import csv_scan
 from tillroll.sources.tables import read_table
 from tillroll.storage import scratch_path, stored_scratch
 
 
 def plain_dedup(df: DataFrame) -> DataFrame:
-    """Distinct rows first, then the top row per key: two shuffles."""
-    window = Window.partitionBy(*KEYS).orderBy(F.desc(QUANTITY))
-    ranked = df.distinct().withColumn("n", F.row_number().over(window))
-    return ranked.where("n = 1").drop("n")
+    """Top row per key as the maximum of a struct that begins with the quantity."""
+    rest = [c for c in df.columns if c not in KEYS and c != QUANTITY]
+    best = F.max(F.struct(QUANTITY, *rest)).alias("best")
+    return df.groupBy(*KEYS).agg(best).select(*KEYS, "best.*")
 
 
 def plain_batch(spark: SparkSession, folder: str, path: str) -> None:
-    """Types inferred file by file, one union branch per file, written as it lies."""
-    files = [literal_path(r.path) for r in list_files(spark, folder).collect()]
-    frames = [spark.read.csv(f, header=True, inferSchema=True) for f in files]
-    whole = frames[0]
-    for frame in frames[1:]:
-        if frame.schema == whole.schema:
-            whole = whole.union(frame)
+    """One scan of the folder with inferred types, cleansed and written as it lies."""
+    scanned = csv_scan(spark, folder, schema=None).transform(cleansing.remove_nulls)
     cleansed = (
-        plain_dedup(cleansing.remove_nulls(whole))
+        plain_dedup(scanned)
         .transform(cleansing.parse_dates)
         .transform(cleansing.add_period)
         .transform(cleansing.rename_columns)
     )
-    cleansed.write.partitionBy("year", "month").mode("overwrite").parquet(path)
+    write_table(cleansed, path, layout="as_is")
 
 
 def noop(df: DataFrame) -> None:

@@ -13,6 +13,7 @@ from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
 from tillroll.llm.latent import benchmark_matches
 from tillroll.llm.minhash import near_duplicates
+from tillroll.llm.oracles import ORACLES
 from tillroll.llm.page_text import main_text
 from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import quality
@@ -75,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]

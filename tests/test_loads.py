@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 
 import pytest
@@ -418,3 +419,24 @@ def test_new_files_are_those_the_ledger_does_not_name(spark, source, target):
     source("jan.csv", *JANUARY)
     batch_load(spark, source.folder, table, ledger)
     assert loads.unseen_files(spark, list_files(spark, source.folder), ledger).count() == 0
+
+
+def test_rows_without_a_date_are_added_to_their_folder_not_rewritten(spark, target):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, None, None), (2, "x", 1, 2019, 4)), table)
+    undated = f"{table}/year={tables._DEFAULT_PARTITION}/month={tables._DEFAULT_PARTITION}"
+    (old,) = glob.glob(f"{undated}/*.parquet")
+    months = upsert_rows(cleansed(spark, (3, None, 1, None, None), (2, "x", 5, None, None)), table)
+    assert [tuple(m) for m in months] == [(2019, 4)]
+    want = [(1, "x", 1, None, None), (2, "x", 5, None, None), (3, None, 1, None, None)]
+    assert stored_rows(spark, table) == want
+    assert old in glob.glob(f"{undated}/*.parquet")
+    # Publishing the same rows again adds nothing.
+    note = {"staged": None, "months": [], "undated": True}
+    staged = storage.scratch_path(spark, "again")
+    write_table(cleansed(spark, (3, None, 1, None, None)), staged)
+    storage.write_text(spark, f"{table}/{tables._PENDING}", json.dumps(note | {"staged": staged}))
+    upsert_rows(cleansed(spark), table)
+    assert stored_rows(spark, table) == want
+    assert upsert_rows(cleansed(spark, (9, "x", 1, None, None)), table) == []
+    assert read_table(spark, table).count() == 4

@@ -162,7 +162,9 @@ def profile_rows(found: Profile, columns: Sequence[str], keys: Sequence[str] = K
             found.describe.select(F.lit("values").alias("section"), F.col("column_name").alias("item"), "n")
         )
         .unionByName(
-            found.top_keys.select(F.lit("top keys").alias("section"), key.alias("item"), F.col("cnt").alias("n"))
+            found.top_keys.select(
+                F.lit("top keys").alias("section"), key.alias("item"), F.col("cnt").alias("n")
+            )
         )
     )
 

@@ -89,6 +89,9 @@ def in_months(months: Sequence[Row]) -> Column:
     return number.isin([_month_number(m.year, m.month) for m in months])
 
 
+_UNDATED = Row(year=None, month=None)
+
+
 def _months(df: DataFrame) -> list[Row]:
     """Distinct periods: bounded by the calendar, not by the data."""
     return _in_order(df.select(*PERIOD).distinct().collect())
@@ -99,7 +102,10 @@ def _in_order(months: Iterable[Row]) -> list[Row]:
 
 
 def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
-    """Months that change: those of new rows, and of old rows that share a key with them.
+    """Months to rewrite: those of new rows, and of old rows that share a key with them.
+
+    Rows without a date share one folder, which only grows: new ones are added to it, so it is
+    rewritten only if it holds one of the keys.
 
     Only the key columns of the table are read, and of those only row groups that reach into
     the range of new order ids: ids rise over time, so this leaves out most older months. A key
@@ -114,7 +120,8 @@ def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
     id_, product = STORED_KEYS
     same_key = [table[id_] == keys[f"new_{id_}"], table[product].eqNullSafe(keys[f"new_{product}"])]
     displaced = table.join(keys, same_key, "left_semi")
-    return _months(incoming.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
+    dated = incoming.filter(~in_months([_UNDATED]))
+    return _months(dated.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
 
 def _month_folder(path: str, month: Row) -> str:
@@ -150,7 +157,8 @@ def upsert_rows(
         incoming = storage.stored(df, scratch)
         table = read_table(spark, path, fmt)
         months = touched_months(incoming, table)
-        if not months:
+        added = _UNDATED not in months and not incoming.filter(in_months([_UNDATED])).isEmpty()
+        if not months and not added:
             return []
         merged = keep_max(
             table.filter(in_months(months)).unionByName(incoming), STORED_KEYS, STORED_QUANTITY
@@ -166,7 +174,7 @@ def upsert_rows(
             return months
         staged = storage.scratch_path(spark, "merged")
         write_table(merged, staged, "overwrite", fmt, layout)
-    note = {"staged": staged, "months": [[m.year, m.month] for m in months]}
+    note = {"staged": staged, "months": [[m.year, m.month] for m in months], "undated": added}
     storage.write_text(spark, f"{path.rstrip('/')}/{_PENDING}", json.dumps(note))
     _publish_pending(spark, path)
     return months
@@ -181,8 +189,11 @@ def _publish_pending(spark: SparkSession, path: str) -> None:
     note = storage.read_text(spark, note_path)
     if note is None:
         return
-    staged, months = (json.loads(note)[k] for k in ("staged", "months"))
+    staged, months, undated = (json.loads(note)[k] for k in ("staged", "months", "undated"))
     rows = read_table(spark, staged)
+    if undated:
+        _add_undated(rows.filter(in_months([_UNDATED])), path)
+        rows = rows.filter(~in_months([_UNDATED]))
     # Already laid out: a stored file is a task's share.
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *PERIOD
@@ -195,5 +206,15 @@ def _publish_pending(spark: SparkSession, path: str) -> None:
     storage.delete(spark, staged)
 
 
+def _add_undated(rows: DataFrame, path: str) -> None:
+    """Add rows without a date to their folder, those left out that a publishing before added."""
+    id_, product = STORED_KEYS
+    there = read_table(rows.sparkSession, path).filter(in_months([_UNDATED]))
+    keys = there.select(F.col(id_).alias("_id"), F.col(product).alias("_product"))
+    same = (F.col(id_) == F.col("_id")) & F.col(product).eqNullSafe(F.col("_product"))
+    new = rows.join(keys, same, "left_anti")
+    new.write.mode("append").partitionBy(*PERIOD).parquet(path)
+
+
 def _literal(value: int | None) -> str:
     return "NULL" if value is None else str(value)

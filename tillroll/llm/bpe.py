@@ -12,6 +12,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from tillroll.llm.textarrays import mixed, runs
 # Upper bounds of the length buckets, in bytes.
 BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128)
 WIDEST = BUCKETS[-1]
+# Pre-tokens a worker remembers at most, some 350 bytes each.
+REMEMBERED = 150_000
 NO_RANK = np.int32(2**31 - 1)
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -83,8 +86,13 @@ class Vocabulary:
                 if a is not None and b is not None:
                     keys.append((a << 32) | b)
                     ranks.append(rank)
-        self.pairs = PairTable(np.array(keys, np.int64), np.array(ranks, np.int32))
-        self.rank_of_pair = dict(zip(keys, ranks, strict=True))
+        self._keys, self._ranks = np.array(keys, np.int64), np.array(ranks, np.int32)
+        self.pairs = PairTable(self._keys, self._ranks)
+
+    @cached_property
+    def rank_of_pair(self) -> dict[int, int]:
+        """The pair table as a dictionary, for pieces merged one by one; made when one occurs."""
+        return dict(zip(self._keys.tolist(), self._ranks.tolist(), strict=True))
 
     def encode(self, pieces: Sequence[bytes]) -> list[Sequence[int]]:
         """Ids of every piece. A piece that is a token is that token."""
@@ -178,7 +186,7 @@ class BpeEncoder(Encoder):
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
         super().__init__(
-            lambda pretokens: self.vocabulary.encode([p.encode() for p in pretokens]), 500_000
+            lambda pretokens: self.vocabulary.encode([p.encode() for p in pretokens]), REMEMBERED
         )
 
     def spell(self, pretoken: str, ids: Sequence[int]) -> tuple[bytes, bytes]:
@@ -224,6 +232,7 @@ def encode_decode(docs: DataFrame, ranks: str) -> DataFrame:
                     [run.column("doc_id"), pa.array(n_tokens, pa.int64()), ids, decoded],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        encoder.forget()  # the worker goes on to other tasks, maybe of other operators
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return wanted.mapInArrow(encode, ENCODED)

@@ -79,9 +79,10 @@ class Encoder:
 
     def __init__(self, encode: Callable[[list[str]], Sequence], limit: int = 300_000) -> None:
         self._encode, self._limit = encode, limit
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Empty the memory."""
         self._slot: dict[int, int] = {}
         self._flat = np.empty(1 << 16, np.int32)
         self._begin = np.zeros(1, np.int64)
@@ -116,7 +117,7 @@ class Encoder:
         hashes = span_hashes(_tables()[1][points], first, ends)
         codes, distinct = pd.factorize(hashes)
         if len(self._slot) + len(distinct) > self._limit:
-            self._forget()
+            self.forget()
         known = self._slot
         keys = distinct.tolist()
         new = [i for i, k in enumerate(keys) if k not in known]

@@ -63,6 +63,8 @@ def runs(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch
         last = min(max(last, first + 1), batch.num_rows)
         yield batch.slice(first, last - first)
         first = last
+    # What the batch's arrays took goes back to the system before the next batch comes.
+    pa.default_memory_pool().release_unused()
 
 
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
@@ -70,7 +72,7 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
-        size = max(n, 2 * RUN_BYTES)
+        size = max(n, RUN_BYTES + (1 << 16))
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             factors = np.full(size, base, np.uint64)
             factors[0] = 1

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9_": ["doc_id", "held_out", "lang_pred", "score"],
     "op10_": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
 }
 TABLE = {"op2_": "embeddings", "op7_": "pages"}
 

@@ -44,4 +44,17 @@ SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, root AS component_id, doc_
 FROM s JOIN roots ON doc_id = x
 """
 
-ORACLES: dict[str, str] = {"op2_grid_order": NEAR_VECTORS, "op5_minhash": NEAR_DOCUMENTS}
+EXACT_DUPLICATES = r"""WITH n AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') AS norm
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER g = 1 AS kept, sha256(norm) AS text_sha256
+FROM n WINDOW g AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id ASC NULLS LAST)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_grid_order": NEAR_VECTORS,
+    "op5_minhash": NEAR_DOCUMENTS,
+    "op12_content_sort": EXACT_DUPLICATES,
+}

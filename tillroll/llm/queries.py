@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
+from tillroll.llm.content_sort import exact_duplicates
 from tillroll.llm.grid_order import near_vectors
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
@@ -64,6 +65,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), ranks)
 
 
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_grid_order": op2_grid_order,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_content_sort": op12_content_sort,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

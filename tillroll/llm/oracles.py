@@ -53,8 +53,46 @@ SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION B
 FROM n WINDOW g AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id ASC NULLS LAST)
 """
 
+SOURCE_DIVERGENCE = r"""WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+tok AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+vs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS c FROM tok SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, kept.term, CAST(coalesce(n.c, 0) AS HUGEINT) AS c,
+    sum(coalesce(n.c, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+    sum(coalesce(n.c, 0)) OVER (PARTITION BY g.lang, kept.term) AS lang_c,
+    sum(coalesce(n.c, 0)) OVER (PARTITION BY g.lang) AS lang_total
+  FROM g JOIN kept ON g.lang = kept.lang
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+p AS (SELECT lang, source, term, c, 1 + 1000000000 * (c + 2) // (total + 2 * v) AS p,
+    1 + 1000000000 * (lang_c + 2) // (lang_total + 2 * v) AS q
+  FROM c JOIN vs USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+    WHERE rank <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op2_grid_order": NEAR_VECTORS,
     "op5_minhash": NEAR_DOCUMENTS,
     "op12_content_sort": EXACT_DUPLICATES,
+    "op13_transducer": SOURCE_DIVERGENCE,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
 from tillroll.llm.content_sort import exact_duplicates
+from tillroll.llm.divergence import source_divergence
 from tillroll.llm.grid_order import near_vectors
 from tillroll.llm.kneser_ney import toxicity
 from tillroll.llm.language import language_id
@@ -69,6 +70,10 @@ def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_grid_order": op2_grid_order,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,
     "op12_content_sort": op12_content_sort,
+    "op13_transducer": op13_transducer,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

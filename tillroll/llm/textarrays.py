@@ -101,21 +101,20 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data)
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs without space and \\t-\\r): begin, end, and how many each text has.
+def spans(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes that are ``inside``: begin, end, and how many each text has.
 
-    No word spans two texts.
+    No run spans two texts.
     """
-    if len(data) == 0:
+    if len(inside) == 0:
         empty = np.empty(0, np.int64)
         return empty, empty, np.zeros(len(starts) - 1, np.int64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    after = np.zeros(len(data) + 1, bool)
+    after = np.zeros(len(inside) + 1, bool)
     after[1:][inside] = True
     after[:-1][inside] = False
-    # A text that begins with a word ends the word of the text before it.
+    # A text that begins with a run ends the run of the text before it.
     cuts = starts[:-1][np.diff(starts) > 0]
     first[cuts] |= inside[cuts]
     cuts = cuts[cuts > 0]
@@ -125,6 +124,11 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begin, end, per_text
 
 
+def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs without space and \\t-\\r): begin, end, and how many each text has."""
+    return spans(~((data == 32) | ((data >= 9) & (data <= 13))), starts)
+
+
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return span_hashes(_byte_values()[data], begin, end)
 

@@ -44,6 +44,39 @@ SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, root AS component_id, doc_
 FROM s JOIN roots ON doc_id = x
 """
 
+# Paths as lists of turns; crc32 bit by bit, a byte and eight shifts (-1) at a time.
+CONVERSATION_TRIE = """WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, coalesce(role, ''), left(coalesce(text, ''), 32),
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 5 AS base, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(CAST(c AS VARCHAR), ''), lambda b: [CAST(ascii(b) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, s: CASE WHEN s >= 0 THEN xor(crc, s) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END),
+    4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+turns AS (
+  SELECT convs.c, 0 AS part, place, r, x FROM convs JOIN t ON t.c = base AND place < h
+  UNION ALL SELECT convs.c, 1, place, r, x FROM convs JOIN t ON t.c = convs.c AND place >= h),
+seqs AS (SELECT c, coalesce(s, []) AS s FROM convs LEFT JOIN (
+  SELECT c, list({'r': r, 'x': x} ORDER BY part, place) AS s FROM turns GROUP BY c) USING (c)),
+paths AS (SELECT c, len(s) AS n, d, s[1:d] AS k FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '') AS ends,
+    CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(k[d].x)) * (count(*) - 1) END AS saved
+  FROM paths GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (d, k)),
+below AS (SELECT unnest(range(0, d + 1)) AS a, k, saved, n_children FROM full_nodes),
+sums AS (SELECT a AS d, k[1:a] AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM below GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  CAST(n.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN sums s ON s.d = n.d AND s.k = n.k
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]
+"""
+
 EXACT_DUPLICATES = r"""WITH n AS (
   SELECT doc_id, coalesce(text, '') AS t,
     translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') AS norm
@@ -93,6 +126,7 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 ORACLES: dict[str, str] = {
     "op2_grid_order": NEAR_VECTORS,
     "op5_minhash": NEAR_DOCUMENTS,
+    "op11_burst_trie": CONVERSATION_TRIE,
     "op12_content_sort": EXACT_DUPLICATES,
     "op13_transducer": SOURCE_DIVERGENCE,
 }

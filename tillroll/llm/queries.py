@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.bpe import encode_decode
+from tillroll.llm.burst_trie import conversation_trie
 from tillroll.llm.content_sort import exact_duplicates
 from tillroll.llm.divergence import source_divergence
 from tillroll.llm.grid_order import near_vectors
@@ -66,6 +67,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), ranks)
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark, table(spark, sf_dir, "conversations"))
+
+
 def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_output_codes": op9_output_codes,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_burst_trie": op11_burst_trie,
     "op12_content_sort": op12_content_sort,
     "op13_transducer": op13_transducer,
 }

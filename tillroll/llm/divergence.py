@@ -24,10 +24,8 @@ from tillroll.llm.textarrays import lowered, runs, spans, utf8
 from tillroll.llm.transducer import LEAD, Transducer, Walker, build
 from tillroll.storage import stored_scratch
 
-# What a term is, the letters lower-cased, documents a term needs, the scale of
-# shares, what is added to every count, ranks reported of a source's terms.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Documents a term needs, the scale of shares, what is added to every count, ranks
+# reported of a source's terms. A term is a run of letters A-Z, a-z and of all code points from 128.
 MIN_DOCS = 10
 SCALE, ADDED = 1_000_000_000, 2
 TOP = 10
@@ -50,18 +48,68 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in names])
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    return ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
+def _document_counts(run: pa.RecordBatch) -> pa.Table:
+    """``lang, term, n``: how many of a run's documents hold each term."""
+    data, starts = utf8(run.column("text"))
+    data = lowered(data)
+    inside = _letters(data)
+    begin, end, per_text = spans(inside, starts)
+    # Terms are all letters there are, so the letters on end are the terms on end.
+    offsets = np.append(0, np.cumsum(end - begin))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    terms = pa.LargeStringArray.from_buffers(len(begin), *buffers[1:]).dictionary_encode()
+    langs = run.column("lang").dictionary_encode()
+    text = np.repeat(np.arange(run.num_rows), per_text)
+    code, n_terms = terms.indices.to_numpy().astype(np.int64), max(1, len(terms.dictionary))
+    once = np.unique(text * n_terms + code)
+    lang = langs.indices.to_numpy().astype(np.int64)[once // n_terms]
+    found, n = np.unique(lang * n_terms + once % n_terms, return_counts=True)
+    return pa.table(
+        {
+            "lang": langs.dictionary.take(pa.array(found // n_terms)),
+            "term": terms.dictionary.cast(pa.string()).take(pa.array(found % n_terms)),
+            "n": n.astype(np.int64),
+        }
+    )
+
+
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang, term`` of the terms in at least ``min_docs`` documents of a language."""
-    found = F.array_distinct(F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Counts of runs are added up now and then, and handed on once they are many.
+        held, size = [], 0
+        for batch in batches:
+            for run in runs(batch):
+                held.append(_document_counts(run))
+                size += held[-1].num_rows
+                if size > 2 * HELD_COUNTS:
+                    held = [_summed(held)]
+                    size = held[0].num_rows
+                    if size > HELD_COUNTS:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
+        if held:
+            yield from _summed(held).to_batches()
+
+    counted = docs.select("lang", "text").mapInArrow(count, "lang string, term string, n long")
     return (
-        docs.select("lang", F.explode(found).alias("term"))
-        .groupBy("lang", "term")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+        counted.groupBy("lang", "term")
+        .agg(F.sum("n").alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
         .select("lang", "term")
     )
 
 
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    added = pa.concat_tables(counts).group_by(["lang", "term"]).aggregate([("n", "sum")])
+    return added.select(["lang", "term", "n_sum"]).rename_columns(["lang", "term", "n"])
+
+
 def vocabulary(kept: DataFrame, shard_terms: int = SHARD_TERMS) -> DataFrame:
     """The transducers of every language, with the ordinal each of them starts from (``base``)."""
 
@@ -162,10 +210,6 @@ class _Counts:
         self.__init__()
 
 
-def _letters(data: np.ndarray) -> np.ndarray:
-    return ((data >= 97) & (data <= 122)) | (data >= 128)
-
-
 def _recounted(docs: DataFrame, block: DataFrame) -> DataFrame:
     """Kept terms of one pass's shards in all texts of their languages, by source and ordinal."""
     rows = block.select("lang", "lead", "base", *Transducer.TYPES).collect()  # at most BLOCK_BYTES

@@ -272,7 +272,8 @@ def conversation_trie(
     if total.n + (total.turns or 0) <= container:
         return _sweep(members.select(*small), turns).select(*NODES)
 
-    root = members.select("node", "depth", "parent", "top_bytes", "n_convs").limit(1)
+    head_columns = "node long, depth long, parent long, top_bytes long, n_convs long"
+    root = spark.createDataFrame([(total.least, 0, None, 0, total.n)], head_columns)
     heads, ended, containers = [root], [], []
     depth = 0
     while True:

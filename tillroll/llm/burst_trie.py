@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillroll.storage import stored_scratch
 
-CONTAINER = 8192  # turns and conversations that a container holds without bursting
+CONTAINER = 1024  # turns and conversations that a container holds without bursting
 # Conversations are joined to the one whose id ends their group of five, by the
 # first crc32 % 9 of its turns.
 GROUP, MOST = 5, 9

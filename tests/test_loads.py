@@ -342,7 +342,7 @@ def test_rejected_files_are_looked_at_again_only_when_they_change(spark, source,
     source("bad.csv", "x,1", header="Product,Order ID")
     batch_load(spark, source.folder, table, ledger)
     seen, inspect = [], loads.inspect_files
-    monkeypatch.setattr(loads, "inspect_files", lambda f, g: seen.append(f.count()) or inspect(f, g))
+    monkeypatch.setattr(loads, "inspect_files", lambda f, *rest: seen.append(f.count()) or inspect(f, *rest))
     incremental_load(spark, source.folder, table, ledger)
     source("bad.csv", line(9, "z", 1, "01/09/19 10:00"))
     result = incremental_load(spark, source.folder, table, ledger)

@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll import storage
 from tillroll.schema import (
     ADDRESS,
     DATE_FORMAT,
@@ -84,6 +88,15 @@ WRONG_ID, WRONG_QUANTITY, WRONG_PRICE = "A-17", "two", "n/a"
 _folders: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
+def _as_text(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Lines as a file spells them: a repeated header line carries the column's name in every field."""
+    spelled = [
+        F.when(F.col("header_again"), c).otherwise(F.col(f"`{c}`").cast("string")).alias(c)
+        for c in names or SOURCE_SCHEMA.fieldNames()
+    ]
+    return lines.select(*spelled, "line", "part", "header_again")
+
+
 def sales_csv(
     spark: SparkSession, sf_dir: str, late: str = "conforming"
 ) -> tuple[str, DataFrame]:
@@ -99,20 +112,8 @@ def sales_csv(
     key = (spark.sparkContext.applicationId, sf_dir, late)
     if key not in _folders:
         folder = scratch_path(spark, "sales-csv")
-        lines = _lines(spark, sf_dir)
         names = SOURCE_SCHEMA.fieldNames()
-        # A repeated header line carries the column's name in every field.
-        text = lines.select(
-            *[
-                F.when(F.col("header_again"), c)
-                .otherwise(F.col(f"`{c}`").cast("string"))
-                .alias(c)
-                for c in names
-            ],
-            "line",
-            "part",
-            "header_again",
-        )
+        text = _as_text(_lines(spark, sf_dir))
 
         def write(rows: DataFrame, columns=names, to: str = folder) -> None:
             rows.select(*columns).write.mode("append").option("header", True).csv(to)
@@ -146,6 +147,73 @@ def _with_wrong_values(text: DataFrame) -> DataFrame:
     )
 
 
+# Files of late lines that are corrected after they were loaded, and those that stay.
+CORRECTED, RIGHT = "late-0.csv", ("late-1.csv", "late-2.csv")
+WRONG_PRODUCT = "mistyped"
+
+
+def corrected_csv(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[], None]]:
+    """A folder in which one file is wrong, and a function that puts the corrected one in its place.
+
+    The wrong file has the lines of every third part with larger quantities, which displace right
+    lines of other files, and every seventh of them under a product that does not exist. Written
+    anew on every call: what is done to the folder is the point.
+    """
+    folder = scratch_path(spark, "sales-csv")
+    names = SOURCE_SCHEMA.fieldNames()
+    text = _as_text(_lines(spark, sf_dir))
+
+    def put(rows: DataFrame, name: str) -> None:
+        with storage.scratch_folder(spark, "file") as beside:
+            rows.select(*names).coalesce(1).write.option("header", True).csv(beside)
+            (part,) = (n for n in storage.names(spark, beside) if n.startswith("part-"))
+            storage.move(spark, f"{beside}/{part}", f"{folder}/{name}")
+
+    text.filter(F.col("line") <= EARLY_LINES).select(*names).write.option("header", True).csv(folder)
+    late = text.filter(F.col("line") > EARLY_LINES)
+    shares = [late.filter(F.col("part") % 3 == i) for i in range(3)]
+    for rows, name in zip(shares[1:], RIGHT, strict=True):
+        put(rows, name)
+    more = F.col(f"`{QUANTITY}`").cast("int") + 100
+    wrong = shares[0].withColumns(
+        {
+            QUANTITY: F.when(F.col("header_again"), F.col(QUANTITY)).otherwise(more.cast("string")),
+            PRODUCT: F.when(~F.col("header_again") & (F.col("part") % 7 == 0), WRONG_PRODUCT).otherwise(F.col(PRODUCT)),
+        }
+    )
+    put(wrong, CORRECTED)
+    return folder, lambda: put(shares[0], CORRECTED)
+
+
+# Two versions of the contract: whole prices first, later a column more.
+CHANNEL = "Channel"
+OLD_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.IntegerType() if f.name == PRICE else f.dataType) for f in SOURCE_SCHEMA.fields]
+)
+NEW_SCHEMA = T.StructType([*SOURCE_SCHEMA.fields, T.StructField(CHANNEL, T.StringType())])
+
+
+def versioned_csv(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A folder whose early files follow ``OLD_SCHEMA``, the later ones ``NEW_SCHEMA``, and the
+    listing of the early ones."""
+    key = (spark.sparkContext.applicationId, sf_dir, "versioned")
+    if key not in _folders:
+        folder = scratch_path(spark, "sales-csv")
+        lines = _lines(spark, sf_dir).withColumn(CHANNEL, F.when(F.col("part") % 2 == 0, "web").otherwise("shop"))
+        whole = lines.withColumn(PRICE, F.floor(F.col(f"`{PRICE}`")).cast("int"))
+
+        def write(rows: DataFrame, schema: T.StructType) -> None:
+            names = schema.fieldNames()
+            text = _as_text(rows, names).select(*names)
+            text.write.mode("append").option("header", True).csv(folder)
+
+        write(whole.filter(F.col("line") <= EARLY_LINES), OLD_SCHEMA)
+        listing = stored_scratch(list_files(spark, folder), "early")
+        write(lines.filter(F.col("line") > EARLY_LINES), NEW_SCHEMA)
+        _folders[key] = folder, listing
+    return _folders[key]
+
+
 def fresh_table(spark: SparkSession) -> tuple[str, str]:
     """Unused paths for a table and its ledger."""
     base = scratch_path(spark, f"load-{uuid.uuid4().hex[:8]}")

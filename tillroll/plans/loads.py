@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import storage
 from tillroll.operators.cleansing import cleanse, remove_nulls, uncastable
@@ -17,6 +18,7 @@ from tillroll.operators.gates import (
     wrong_typed_files,
 )
 from tillroll.schema import CORRUPT, ORDER_ID, SOURCE_SCHEMA
+from tillroll.sinks import contributions
 from tillroll.sinks.ledger import rejects_path, write_ledger, write_rejects
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
@@ -68,12 +70,14 @@ def usable_rows(files: DataFrame, gate: str = "header") -> DataFrame:
     )
 
 
-def judged_lines(files: DataFrame, gate: str = "header") -> DataFrame:
+def judged_lines(
+    files: DataFrame, gate: str = "header", schema: T.StructType = SOURCE_SCHEMA
+) -> DataFrame:
     """All lines of the listed files, with ``wrong_typed`` and the ``reason`` a line is left out.
 
     The raw text is kept of lines that are left out, to tell what was in them.
     """
-    lines = wrong_typed(csv_scan_files(files, SOURCE_SCHEMA, gate == "fail"))
+    lines = wrong_typed(csv_scan_files(files, schema, gate == "fail"), schema)
     reason = F.when(F.col("wrong_typed"), "wrong value type").when(
         F.col(ORDER_ID).isNull(), "no order id"
     )
@@ -104,7 +108,14 @@ def _batch_id(files: DataFrame) -> str:
 
 
 def _load(
-    spark: SparkSession, files: DataFrame, ledger_path: str, gate: str, full: bool, write
+    spark: SparkSession,
+    files: DataFrame,
+    ledger_path: str,
+    gate: str,
+    full: bool,
+    write,
+    schema: T.StructType = SOURCE_SCHEMA,
+    track_files: bool = False,
 ) -> LoadResult:
     """Judge files and lines, have ``write`` store the cleansed rows, then record all of it.
 
@@ -114,9 +125,9 @@ def _load(
     with storage.scratch_folder(spark, "load") as scratch:
         listing = storage.stored(files, f"{scratch}/listing")
         batch_id = _batch_id(listing)
-        inspected = storage.stored(inspect_files(listing, gate), f"{scratch}/inspected")
+        inspected = storage.stored(inspect_files(listing, gate, schema), f"{scratch}/inspected")
         accepted, rejected = accepted_files(inspected), rejected_files(inspected)
-        lines = storage.stored(judged_lines(accepted, gate), f"{scratch}/lines")
+        lines = storage.stored(judged_lines(accepted, gate, schema), f"{scratch}/lines")
         if gate == "strict":
             bad = storage.stored(wrong_typed_files(lines), f"{scratch}/bad")
             lines = lines.join(bad, "file_uri", "left_anti")
@@ -124,18 +135,28 @@ def _load(
             accepted = accepted.join(bad, "file_uri", "left_anti")
         n_files = accepted.count()
         if n_files:
-            usable = lines.filter(F.col("reason").isNull()).select(*SOURCE_SCHEMA.fieldNames())
-            write(usable.transform(cleanse))
+            usable = lines.filter(F.col("reason").isNull())
+            if track_files:
+                rows = contributions.contributed(usable.select(*schema.fieldNames(), "file_uri"))
+                rows = contributions.write_contributions(rows, accepted, ledger_path, batch_id)
+                ledger = read_ledger(spark, ledger_path)
+                write(*contributions.replaced(spark, rows, accepted, ledger, ledger_path, batch_id))
+            else:
+                write(usable.select(*schema.fieldNames()).transform(cleanse), None)
         if full and n_files:
             # What older loads have rejected was judged again or is gone.
             for kind in ("files", "rows"):
                 storage.delete(spark, rejects_path(ledger_path, kind))
         if not listing.isEmpty():
             write_rejects(rejected, ledger_path, "files", batch_id)
-            left_out = lines.filter(F.col("reason").isNotNull()).drop("wrong_typed")
+            left_out = lines.filter(F.col("reason").isNotNull()).select(
+                *SOURCE_SCHEMA.fieldNames(), CORRUPT, "file_uri", "reason"
+            )
             write_rejects(left_out, ledger_path, "rows", batch_id)
         if n_files:
             write_ledger(accepted, ledger_path, batch_id, "overwrite" if full else "append")
+            if full:
+                contributions.keep_only(spark, ledger_path, batch_id if track_files else "")
         return LoadResult(spark, batch_id, ledger_path, n_files)
 
 
@@ -146,20 +167,30 @@ def batch_load(
     ledger_path: str,
     fmt: str = "parquet",
     gate: str = "header",
-    layout: str = "rebalance",
+    layout: str = "clustered",
     files: DataFrame | None = None,
+    schema: T.StructType = SOURCE_SCHEMA,
+    track_files: bool = False,
 ) -> LoadResult:
     """Full load: replace the table by the cleansed rows of all files that pass the gate.
 
     ``files`` restricts the load to part of a listing of ``source_dir``. A folder without a
-    loadable file leaves table and ledger as they are.
+    loadable file leaves table and ledger as they are. ``schema`` is the files' contract, if it is
+    another version than ``SOURCE_SCHEMA``. ``track_files`` keeps what each file contributes, so
+    that later loads can replace a file that was corrected.
     """
+    _check_tracking(track_files, "upsert", fmt, schema)
     listing = list_files(spark, source_dir) if files is None else files
 
-    def write(rows: DataFrame) -> None:
+    def write(rows: DataFrame, _withdrawn: DataFrame | None) -> None:
         write_table(rows, table_path, "overwrite", fmt, layout)
 
-    return _load(spark, listing, ledger_path, gate, True, write)
+    return _load(spark, listing, ledger_path, gate, True, write, schema, track_files)
+
+
+def _check_tracking(track_files: bool, mode: str, fmt: str, schema: T.StructType) -> None:
+    if track_files and (mode != "upsert" or fmt != "parquet" or schema != SOURCE_SCHEMA):
+        raise ValueError("files are tracked by merges into Parquet under the contract's schema only")
 
 
 def incremental_load(
@@ -170,6 +201,9 @@ def incremental_load(
     mode: str = "upsert",
     fmt: str = "parquet",
     gate: str = "header",
+    schema: T.StructType = SOURCE_SCHEMA,
+    evolve: bool = False,
+    track_files: bool = False,
 ) -> LoadResult:
     """Load the files that are new, or were rejected and have changed since.
 
@@ -177,9 +211,16 @@ def incremental_load(
     failure. ``append`` cleanses the new files among themselves and adds the rows; a key that an
     older file has too is then stored twice, and so are all rows if it is repeated after a
     failure between table and ledger.
+
+    ``schema`` is the new files' contract; with ``evolve`` it may have more columns and wider numbers
+    than the table, whose schema then follows. With ``track_files``, as in all loads of the table
+    before, a loaded file whose length or time has changed is loaded again: the rows of its
+    former version leave the table, other files' rows that these had displaced come back.
     """
     listing = list_files(spark, source_dir)
-    return load_files(spark, listing, table_path, ledger_path, mode, fmt, gate)
+    return load_files(
+        spark, listing, table_path, ledger_path, mode, fmt, gate, schema, evolve, track_files
+    )
 
 
 def load_files(
@@ -190,15 +231,20 @@ def load_files(
     mode: str = "upsert",
     fmt: str = "parquet",
     gate: str = "header",
+    schema: T.StructType = SOURCE_SCHEMA,
+    evolve: bool = False,
+    track_files: bool = False,
 ) -> LoadResult:
     """Load those of the given files that the ledger does not name, then record them."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    _check_tracking(track_files, mode, fmt, schema)
 
-    def write(rows: DataFrame) -> None:
+    def write(rows: DataFrame, withdrawn: DataFrame | None) -> None:
         if mode == "append":
-            append_rows(rows, table_path, fmt)
+            append_rows(rows, table_path, fmt, evolve=evolve)
         else:
-            upsert_rows(rows, table_path, fmt)
+            upsert_rows(rows, table_path, fmt, evolve=evolve, withdrawn=withdrawn)
 
-    return _load(spark, unseen_files(spark, files, ledger_path), ledger_path, gate, False, write)
+    unseen = unseen_files(spark, files, ledger_path, changed_too=track_files)
+    return _load(spark, unseen, ledger_path, gate, False, write, schema, track_files)

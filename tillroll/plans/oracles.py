@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillroll.fixtures import EARLY_LINES
-from tillroll.plans.queries import LOOKUP, REPORT_SINCE, REPORT_UNTIL
+from tillroll.plans.queries import FIRST_ID, LAST_ID, LOOKUP, REPORT_SINCE, REPORT_UNTIL
 from tillroll.schema import ORDER_ID, PRODUCT
 
 _LINE = """
@@ -154,6 +154,25 @@ def _profile() -> str:
 _ROWS = f"{_SALES} SELECT * FROM sales"
 _KEY_COUNTS = f"""SELECT "Order ID", "Product", count(*) AS cnt FROM {_KEYED} GROUP BY ALL"""
 
+# Early lines with whole prices and no channel, late ones with both.
+_EARLY_V1 = f"""(SELECT * EXCLUDE (line, pk, header_again)
+  REPLACE (CAST(floor("Price Each") AS DOUBLE) AS "Price Each"), CAST(NULL AS VARCHAR) AS "Channel"
+  FROM lines WHERE "Order ID" IS NOT NULL AND line <= {EARLY_LINES})"""
+_LATE_V2 = f"""(SELECT * EXCLUDE (line, pk, header_again),
+  CASE WHEN pk % 2 = 0 THEN 'web' ELSE 'shop' END AS "Channel" FROM lines
+  WHERE "Order ID" IS NOT NULL AND line > {EARLY_LINES})"""
+
+
+def _evolved(rows: str) -> str:
+    order = _ORDER.replace('"Order Date" DESC NULLS LAST', '"Channel" ASC NULLS LAST, "Order Date" DESC NULLS LAST')
+    return f"""SELECT "Order ID" AS "Order_ID", "Product", "Quantity Ordered" AS "Quantity_Ordered",
+  "Price Each" AS "Price_Each", d AS "Order_Date", "Purchase Address" AS "Purchase_Address", "Channel",
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month FROM (
+  SELECT *, try_strptime("Order Date", '%m/%d/%y %H:%M') AS d, row_number() OVER (
+    PARTITION BY "Order ID", "Product" ORDER BY {order}) AS rn
+  FROM (SELECT DISTINCT * FROM {rows})) WHERE rn = 1"""
+
+
 ORACLES: dict[str, str] = {
     "remove_nulls": f"{_SALES} SELECT * FROM {_KEYED}",
     "rejected_rows": f"""{_SALES} SELECT "Product", count(*) AS cnt FROM sales
@@ -213,6 +232,15 @@ ORACLES: dict[str, str] = {
     "incremental_append": _EARLY_THEN_LATE,
     "incremental_upsert": _ALL_CLEAN,
     "stream_incremental": _ALL_CLEAN,
+    "order_months": f"""{_SALES}, early AS (SELECT * FROM {_cleansed(_EARLY)}),
+  late AS (SELECT DISTINCT "Order ID" AS i FROM {_LATE})
+  SELECT year, month, (min(i) // 64) * 64 AS low, (max(i) // 64) * 64 + 63 AS high
+  FROM early JOIN late ON "Order_ID" = i GROUP BY year, month""",
+    "clustered_lookup": f"{_ALL_CLEAN} WHERE \"Order_ID\" BETWEEN {FIRST_ID} AND {LAST_ID}",
+    "corrected_file": _ALL_CLEAN,
+    "evolved_merge": f"{_SALES} {_evolved(f'(SELECT * FROM {_EARLY_V1} UNION ALL SELECT * FROM {_LATE_V2})')}",
+    "evolved_append": f"{_SALES} {_evolved(_EARLY_V1)} UNION ALL {_evolved(_LATE_V2)}",
+    "kept_report": f"{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
     "monthly_report": f"{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
     "yearly_report": f"{_SALES} SELECT year, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
     "monthly_report_pruned": f"""{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)}

@@ -17,6 +17,7 @@ from tillroll.schema import (
     PRODUCT,
     SOURCE_SCHEMA,
 )
+from tillroll.sinks import key_index
 from tillroll.sinks.ledger import write_ledger
 from tillroll.sinks.tables import append_rows, write_table
 from tillroll.sources.files import csv_scan, csv_scan_files, list_files
@@ -28,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LOOKUP = {ORDER_ID: 88, PRODUCT: "cold bolt"}
 REPORT_SINCE, REPORT_UNTIL = (2020, 11), (2022, 2)
+FIRST_ID, LAST_ID = 32, 225
 
 
 def _comparable(cleansed: DataFrame) -> DataFrame:
@@ -302,6 +304,55 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_table(spark, path))
 
 
+def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the early rows that hold an order of the late ones, from the index of order ids."""
+    folder, early = fixtures.sales_csv(spark, sf_dir)
+    path, _ = fixtures.fresh_table(spark)
+    late = stored_scratch(new_files(list_files(spark, folder), early), "late")
+    write_table(loads.usable_rows(early).transform(cleansing.cleanse), path)
+    key_index.fill(read_table(spark, path), path)
+    rows = loads.usable_rows(late).transform(cleansing.rename_columns)
+    holding = key_index.months_holding(spark, path, rows)
+    schema = "year int, month int, low long, high long"
+    return spark.createDataFrame([tuple(m) for m in holding], schema)
+
+
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some neighbouring orders from a table clustered by id within its months."""
+    path, _ = fixtures.fresh_table(spark)
+    write_table(fixtures.sales(spark, sf_dir).transform(cleansing.cleanse), path, layout="clustered")
+    wanted = F.col("Order_ID").between(FIRST_ID, LAST_ID)
+    return _comparable(read_table(spark, path).filter(wanted))
+
+
+def corrected_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, a file corrected under its name, another load: as if it had been right at once."""
+    folder, correct = fixtures.corrected_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, track_files=True)
+    correct()
+    loads.incremental_load(spark, folder, path, ledger, track_files=True)
+    return _comparable(read_table(spark, path))
+
+
+def evolved_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of whole prices takes rows with exact prices and a column more."""
+    folder, early = fixtures.versioned_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, files=early, schema=fixtures.OLD_SCHEMA)
+    loads.incremental_load(spark, folder, path, ledger, schema=fixtures.NEW_SCHEMA, evolve=True)
+    return _comparable(read_table(spark, path))
+
+
+def evolved_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without merging: older files are read under the newer schema."""
+    folder, early = fixtures.versioned_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, files=early, schema=fixtures.OLD_SCHEMA)
+    loads.incremental_load(spark, folder, path, ledger, "append", schema=fixtures.NEW_SCHEMA, evolve=True)
+    return _comparable(read_table(spark, path))
+
+
 # --- reports ----------------------------------------------------------------------------
 
 
@@ -320,6 +371,16 @@ def monthly_report_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_report(read_table(spark, path), REPORT_SINCE, REPORT_UNTIL)
 
 
+def kept_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals kept from before a merge, which renews those of the months it writes."""
+    folder, early = fixtures.sales_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, files=early)
+    reports.keep_totals(spark, path)
+    loads.incremental_load(spark, folder, path, ledger)
+    return reports.kept_report(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "remove_nulls": remove_nulls,
     "rejected_rows": rejected_rows,
@@ -357,6 +418,12 @@ QUERIES: dict[str, Query] = {
     "incremental_append": incremental_append,
     "incremental_upsert": incremental_upsert,
     "stream_incremental": stream_incremental,
+    "order_months": order_months,
+    "clustered_lookup": clustered_lookup,
+    "corrected_file": corrected_file,
+    "evolved_merge": evolved_merge,
+    "evolved_append": evolved_append,
+    "kept_report": kept_report,
     "monthly_report": monthly_report,
     "yearly_report": yearly_report,
     "monthly_report_pruned": monthly_report_pruned,

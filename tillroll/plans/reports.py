@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.totals import added_up, line_totals, monthly_totals
+from tillroll.sinks import totals
+from tillroll.sources.tables import read_table
+
 Month = tuple[int, int]
 
 
@@ -24,30 +28,43 @@ def in_period(since: Month | None = None, until: Month | None = None) -> Column:
     return test
 
 
-def _totals() -> list[Column]:
-    # Summed as decimals: the result does not depend on the order of summation. Prices keep eight
-    # places; only the sum is rounded.
-    price = F.col("Price_Each").cast("decimal(24,8)")
-    return [
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("Quantity_Ordered").alias("units"),
-        F.sum(price * F.col("Quantity_Ordered")).cast("decimal(38,2)").alias("revenue"),
-    ]
+def _within(rows: DataFrame, since: Month | None, until: Month | None) -> DataFrame:
+    return rows if since is None and until is None else rows.filter(in_period(since, until))
 
 
 def monthly_report(
     table: DataFrame, since: Month | None = None, until: Month | None = None
 ) -> DataFrame:
     """Lines, units and revenue per month; a period prunes the other months' files."""
-    if since is not None or until is not None:
-        table = table.filter(in_period(since, until))
-    return table.groupBy("year", "month").agg(*_totals())
+    revenue = F.col("revenue").cast("decimal(38,2)")
+    return monthly_totals(_within(table, since, until)).withColumn("revenue", revenue)
 
 
 def yearly_report(
     table: DataFrame, since: Month | None = None, until: Month | None = None
 ) -> DataFrame:
     """Lines, units and revenue per year."""
-    if since is not None or until is not None:
-        table = table.filter(in_period(since, until))
-    return table.groupBy("year").agg(*_totals())
+    rows = _within(table, since, until).groupBy("year").agg(*line_totals())
+    return rows.withColumn("revenue", F.col("revenue").cast("decimal(38,2)"))
+
+
+def keep_totals(spark: SparkSession, table_path: str) -> None:
+    """Keep monthly totals beside the table from now on: loads and merges renew those of the
+    months they write. A full load ends that, until it is asked for again."""
+    totals.renew(spark, table_path, read_table(spark, table_path))
+
+
+def kept_report(
+    spark: SparkSession,
+    table_path: str,
+    since: Month | None = None,
+    until: Month | None = None,
+    by: str = "month",
+) -> DataFrame:
+    """``monthly_report`` (``by="year"``: ``yearly_report``) from the kept totals: a row per month
+    is read instead of the table."""
+    if by not in ("month", "year"):
+        raise ValueError(f"by must be month or year, not {by!r}")
+    kept = totals.totals(spark, table_path, read_table(spark, table_path))
+    columns = ["year"] if by == "year" else ["year", "month"]
+    return added_up(_within(kept, since, until), *columns)

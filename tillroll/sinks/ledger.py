@@ -33,4 +33,5 @@ def rejects_path(ledger_path: str, kind: str) -> str:
 def write_rejects(rejects: DataFrame, ledger_path: str, kind: str, batch_id: str) -> None:
     """Keep what a batch rejects. A batch that is repeated replaces what it has left before."""
     path = f"{rejects_path(ledger_path, kind)}/batch_id={batch_id}"
-    rejects.coalesce(8).write.mode("overwrite").parquet(path)
+    # Few rows out of all lines of a load: the lines are filtered in as many tasks as they fill.
+    rejects.hint("rebalance").write.mode("overwrite").parquet(path)

@@ -7,15 +7,18 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import storage
 from tillroll.operators.cleansing import keep_max
+from tillroll.operators.evolution import evolved, fitted
 from tillroll.operators.gates import append_gate
 from tillroll.schema import CLEANSED_SCHEMA, PERIOD, STORED_KEYS, STORED_QUANTITY
+from tillroll.sinks import key_index, totals
 from tillroll.sources.files import literal_path
-from tillroll.sources.tables import read_table
+from tillroll.sources.tables import read_table, record_schema, table_schema
 
-LAYOUTS = ("rebalance", "as_is")
+LAYOUTS = ("clustered", "rebalance", "as_is")
 _PENDING = "_pending_merge"  # hidden from readers by its leading underscore
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for NULL
 
@@ -28,11 +31,19 @@ def laid_out(df: DataFrame, layout: str = "rebalance") -> DataFrame:
     gets a whole month, and there are not (tasks x months) files. ``as_is`` saves that shuffle;
     right where rows are of few months, such as a monthly load. Without adaptive execution nothing
     could cut a large month, so ``rebalance`` is an error then.
+
+    ``clustered`` also orders a month's rows by order id: tasks are ranges of month and id, so a
+    large month is cut by id, and files and row groups hold narrow ranges of ids. Reads that ask for
+    some ids, as merges do, skip the others. The ranges come from a sample, which computes the
+    last stage of ``df`` twice.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     if layout == "as_is":
         return df
+    if layout == "clustered":
+        place = [*PERIOD, *STORED_KEYS]
+        return df.repartitionByRange(*place).sortWithinPartitions(*place)
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("layout 'rebalance' needs spark.sql.adaptive.enabled; or use 'as_is'")
     return df.hint("rebalance", *[F.col(c) for c in PERIOD])
@@ -49,8 +60,20 @@ def write_table(
 
     An append states the partitioning again: without it, Parquet files would land in the
     table's root folder, where readers do not see them. An overwrite replaces the whole table,
-    whatever ``spark.sql.sources.partitionOverwriteMode`` says.
+    whatever ``spark.sql.sources.partitionOverwriteMode`` says, and with it the schema it may have
+    evolved to. The index and the totals kept beside the table end here; ``append_rows`` and
+    ``upsert_rows`` keep them up.
     """
+    spark = df.sparkSession
+    if fmt == "parquet":
+        key_index.make_void(spark, path)
+        totals.make_void(spark, path)
+        if mode == "overwrite":
+            record_schema(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    _write(df, path, mode, fmt, layout)
+
+
+def _write(df: DataFrame, path: str, mode: str, fmt: str, layout: str) -> None:
     writer = laid_out(df, layout).write.format(fmt).mode(mode).partitionBy(*PERIOD)
     writer = writer.option("partitionOverwriteMode", "static")
     if fmt == "delta":
@@ -63,20 +86,50 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_rows(
-    df: DataFrame, path: str, fmt: str = "parquet", layout: str = "rebalance"
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    layout: str = "clustered",
+    evolve: bool = False,
 ) -> None:
-    """Append cleansed rows, if their schema is the table's."""
+    """Append cleansed rows, if their schema is the table's, or with ``evolve`` can be.
+
+    Where the table has an index or totals, the rows go to scratch first, because they are used
+    more than once; the index gets their ids before the table gets the rows.
+    """
     spark = df.sparkSession
-    if table_exists(spark, path):
-        found = spark.read.format(fmt).load(literal_path(path)).schema
+    exists = table_exists(spark, path)
+    if evolve and fmt == "parquet":
+        old = table_schema(spark, path) if exists else CLEANSED_SCHEMA
+        schema = evolved(old, df.schema)
+        df = fitted(df, schema)
+        if exists and schema != old:
+            record_schema(spark, path, schema)
+    elif exists:
+        schema = table_schema(spark, path) if fmt == "parquet" else CLEANSED_SCHEMA
+        found = spark.read.format(fmt).load(literal_path(path)).schema if schema == CLEANSED_SCHEMA else schema
         # Partition columns are typed from folder names, so only their names are comparable.
         period = [f.name for f in found.fields if f.name in PERIOD]
         data = [f for f in found.fields if f.name not in PERIOD]
-        expected = type(found)(data + [CLEANSED_SCHEMA[name] for name in period])
-        append_gate(df, expected)
+        append_gate(df, T.StructType(data + [schema[name] for name in period]))
     else:
         append_gate(df, CLEANSED_SCHEMA)
-    write_table(df, path, "append", fmt, layout)
+    if fmt != "parquet" or not exists:
+        write_table(df, path, "append" if exists or fmt != "parquet" else "overwrite", fmt, layout)
+        return
+    indexed, summed = key_index.is_ready(spark, path), totals.state(spark, path) is not None
+    if not indexed and not summed:
+        _write(df, path, "append", fmt, layout)
+        return
+    with storage.scratch_folder(spark, "incoming") as scratch:
+        incoming = storage.stored(df, scratch)
+        if indexed:
+            key_index.add(incoming, path)
+        if summed:
+            totals.mark_stale(spark, path, _months(incoming))
+        _write(incoming, path, "append", fmt, layout)
+    if summed:
+        totals.renew(spark, path, read_table(spark, path))
 
 
 def _month_number(year: int | None, month: int | None) -> int:
@@ -101,25 +154,43 @@ def _in_order(months: Iterable[Row]) -> list[Row]:
     return sorted(months, key=lambda m: _month_number(m.year, m.month))
 
 
-def touched_months(incoming: DataFrame, table: DataFrame) -> list[Row]:
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(k).alias(f"new_{k}") for k in STORED_KEYS])
+
+
+def _same_key(rows: DataFrame, keys: DataFrame) -> list[Column]:
+    # The id is never NULL here; a product can be.
+    id_, product = STORED_KEYS
+    return [rows[id_] == keys[f"new_{id_}"], rows[product].eqNullSafe(keys[f"new_{product}"])]
+
+
+def touched_months(
+    incoming: DataFrame, table: DataFrame, holding: Sequence[Row] | None = None, keys: DataFrame | None = None
+) -> list[Row]:
     """Months to rewrite: those of new rows, and of old rows that share a key with them.
 
     Rows without a date share one folder, which only grows: new ones are added to it, so it is
     rewritten only if it holds one of the keys.
 
-    Only the key columns of the table are read, and of those only row groups that reach into
-    the range of new order ids: ids rise over time, so this leaves out most older months. A key
-    may be of another month than the new row, because the date is no part of it.
+    Only the key columns of the table are read. ``holding``, from the index, names the months that
+    hold an order id of the new rows and the range of those ids: only these months' files are read,
+    and of them the row groups within the range. Without an index, all row groups that reach
+    into the range of new order ids are read. A key may be of another month than the new row, because
+    the date is no part of it. ``keys`` are those to look for, if not the new rows' own.
     """
     order_id = F.col(STORED_KEYS[0])
-    low, high = incoming.agg(F.min(order_id), F.max(order_id)).first()
-    table = table.filter(order_id.between(low, high))
+    if holding is None:
+        low, high = incoming.agg(F.min(order_id), F.max(order_id)).first()
+        table = table.filter(order_id.between(low, high))
+    else:
+        within = F.lit(False)
+        for month in holding:
+            within = within | (in_months([month]) & order_id.between(month.low, month.high))
+        # Once more on the period alone: this much prunes partitions.
+        table = table.filter(in_months(holding)).filter(within)
     # One row per key on this side, and sized by its files: broadcast only if small.
-    keys = incoming.select(*[F.col(k).alias(f"new_{k}") for k in STORED_KEYS])
-    # The id is never NULL here; a product can be.
-    id_, product = STORED_KEYS
-    same_key = [table[id_] == keys[f"new_{id_}"], table[product].eqNullSafe(keys[f"new_{product}"])]
-    displaced = table.join(keys, same_key, "left_semi")
+    keys = _keys(incoming) if keys is None else keys
+    displaced = table.join(keys, _same_key(table, keys), "left_semi")
     dated = incoming.filter(~in_months([_UNDATED]))
     return _months(dated.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
@@ -132,37 +203,67 @@ def _month_folder(path: str, month: Row) -> str:
 
 
 def upsert_rows(
-    df: DataFrame, path: str, fmt: str = "parquet", layout: str = "rebalance"
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    layout: str = "clustered",
+    evolve: bool = False,
+    withdrawn: DataFrame | None = None,
 ) -> list[Row]:
     """Merge cleansed rows into the table, keeping the largest quantity per key.
 
     Returns the months rewritten. The result is what a full load of old and new rows would
-    give. Only touched months are read and rewritten.
+    give. Only touched months are read and rewritten; which ones, the index beside the table tells
+    (``key_index``, filled by the first merge). ``withdrawn`` are keys, as rows of ``STORED_KEYS``,
+    whose rows leave the table before the new ones are merged. With ``evolve`` new rows may
+    have more columns and wider numbers than the table.
 
     On Parquet the merged months are stored in scratch and then published by Spark's dynamic
     partition overwrite; months left without rows are removed as folders, so the driver's work
     grows with the months, not with the files. A note inside the table says what is being
     published: if that dies, the next merge publishes the same stored rows again first, so no
-    row is lost for good and none is stored twice.
+    row is lost for good and none is stored twice. Index and totals are renewed under the same note.
     """
     spark = df.sparkSession
-    append_gate(df, CLEANSED_SCHEMA)
-    if not table_exists(spark, path):
+    schema = CLEANSED_SCHEMA
+    exists = table_exists(spark, path)
+    if exists and fmt == "parquet":
+        _publish_pending(spark, path)
+        schema = table_schema(spark, path)
+    if evolve and fmt == "parquet":
+        old, schema = schema, evolved(schema, df.schema)
+        df = fitted(df, schema)
+        if exists and schema != old:
+            record_schema(spark, path, schema)
+    else:
+        append_gate(df, schema)
+    if not exists:
         write_table(df, path, "overwrite", fmt, layout)
         return []
-    if fmt == "parquet":
-        _publish_pending(spark, path)
     with storage.scratch_folder(spark, "incoming") as scratch:
         # Used three times below; written, so that it is computed once and survives lost executors.
-        incoming = storage.stored(df, scratch)
-        table = read_table(spark, path, fmt)
-        months = touched_months(incoming, table)
+        incoming = storage.stored(df, f"{scratch}/rows")
+        keys = _keys(incoming)
+        if withdrawn is not None:
+            gone = storage.stored(_keys(withdrawn).distinct(), f"{scratch}/withdrawn")
+            keys = storage.stored(keys.unionByName(gone).distinct(), f"{scratch}/keys")
+        table = read_table(spark, path, fmt, schema)
+        holding = None
+        if fmt == "parquet":
+            if not key_index.is_ready(spark, path):
+                key_index.fill(table, path)
+            ids = keys.select(F.col(f"new_{STORED_KEYS[0]}").alias(STORED_KEYS[0]))
+            holding = key_index.months_holding(spark, path, ids)
+        elif withdrawn is not None:
+            raise ValueError("rows are withdrawn from Parquet tables only")
+        months = touched_months(incoming, table, holding, keys)
         added = _UNDATED not in months and not incoming.filter(in_months([_UNDATED])).isEmpty()
         if not months and not added:
             return []
-        merged = keep_max(
-            table.filter(in_months(months)).unionByName(incoming), STORED_KEYS, STORED_QUANTITY
-        )
+        kept = table.filter(in_months(months))
+        if withdrawn is not None:
+            kept = kept.join(gone, _same_key(kept, gone), "left_anti")
+        merged = keep_max(kept.unionByName(incoming), STORED_KEYS, STORED_QUANTITY)
         if fmt != "parquet":
             # A table format replaces the months in one transaction.
             predicate = " OR ".join(
@@ -173,7 +274,7 @@ def upsert_rows(
             ).save(path)
             return months
         staged = storage.scratch_path(spark, "merged")
-        write_table(merged, staged, "overwrite", fmt, layout)
+        _write(merged, staged, "overwrite", fmt, layout)
     note = {"staged": staged, "months": [[m.year, m.month] for m in months], "undated": added}
     storage.write_text(spark, f"{path.rstrip('/')}/{_PENDING}", json.dumps(note))
     _publish_pending(spark, path)
@@ -190,26 +291,37 @@ def _publish_pending(spark: SparkSession, path: str) -> None:
     if note is None:
         return
     staged, months, undated = (json.loads(note)[k] for k in ("staged", "months", "undated"))
-    rows = read_table(spark, staged)
+    schema = table_schema(spark, path)
+    rows = read_table(spark, staged, schema=schema)
+    changed = [Row(year=year, month=month) for year, month in months]
+    summed = totals.mark_stale(spark, path, [*changed, _UNDATED] if undated else changed)
+    indexed = key_index.is_ready(spark, path)
     if undated:
-        _add_undated(rows.filter(in_months([_UNDATED])), path)
+        new = rows.filter(in_months([_UNDATED]))
+        if indexed:
+            key_index.add(new, path)
+        _add_undated(new, path, schema)
         rows = rows.filter(~in_months([_UNDATED]))
     # Already laid out: a stored file is a task's share.
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *PERIOD
     ).parquet(path)
+    if indexed:
+        key_index.replace_months(rows, path)
     left = {(m.year, m.month) for m in _months(rows)}
     for year, month in months:
         if (year, month) not in left:
             storage.delete(spark, _month_folder(path, Row(year=year, month=month)))
+    if summed:
+        totals.renew(spark, path, read_table(spark, path, schema=schema))
     storage.delete(spark, note_path)
     storage.delete(spark, staged)
 
 
-def _add_undated(rows: DataFrame, path: str) -> None:
+def _add_undated(rows: DataFrame, path: str, schema: T.StructType) -> None:
     """Add rows without a date to their folder, those left out that a publishing before added."""
     id_, product = STORED_KEYS
-    there = read_table(rows.sparkSession, path).filter(in_months([_UNDATED]))
+    there = read_table(rows.sparkSession, path, schema=schema).filter(in_months([_UNDATED]))
     keys = there.select(F.col(id_).alias("_id"), F.col(product).alias("_product"))
     same = (F.col(id_) == F.col("_id")) & F.col(product).eqNullSafe(F.col("_product"))
     new = rows.join(keys, same, "left_anti")

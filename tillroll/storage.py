@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
+def fresh_name() -> str:
+    return uuid.uuid4().hex
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -27,7 +31,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.TemporaryDirectory(prefix="tillroll-")
         base = _local_dirs[app].name
-    return f"{base.rstrip('/')}/tillroll/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tillroll/{name}-{fresh_name()}"
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -55,6 +59,11 @@ def stored_scratch(df: DataFrame, name: str) -> DataFrame:
     return stored(df, scratch_path(df.sparkSession, name))
 
 
+def beside(table_path: str, kind: str) -> str:
+    """Where something is kept that belongs to a table but is none of its rows."""
+    return f"{table_path.rstrip('/')}_meta/{kind}"
+
+
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -73,12 +82,27 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop_path))
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is missing."""
+    fs, hadoop_path = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; no error if it is gone already."""
     fs, hadoop_path = _path(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a file in the place of another, which goes."""
+    fs, hadoop_target = _path(spark, target)
+    fs.delete(hadoop_target, False)
+    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), hadoop_target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, whole or not at all: written beside its place and renamed."""
     fs, hadoop_path = _path(spark, path)

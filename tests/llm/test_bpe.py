@@ -11,6 +11,7 @@ from helpers import documents
 
 from tillroll.llm import bpe
 from tillroll.llm.pretokens import Encoder, split_points
+from tillroll.llm.textarrays import span_hashes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, n_tokens long"
@@ -57,6 +58,35 @@ def test_every_text_is_encoded_as_by_the_library(spark, library):
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_words_that_defeat_polynomial_hashes_are_told_apart(spark, library):
+    # Thue-Morse words and their complements: equal under any polynomial modulo a power of two.
+    texts = [
+        "".join(letters[bin(i).count("1") % 2] for i in range(1 << bits)) + tail
+        for bits in (10, 12, 13)
+        for tail in ("", "s", " x")
+        for letters in ("ab", "ba", "éà", "àé")
+    ]
+    got = bpe.encode_decode(spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], SCHEMA).coalesce(1), RANKS)
+    for r in got.collect():
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_word_hashes_tell_structured_words_apart():
+    words = [b"".join(p[bin(i).count("1") % 2] for i in range(1 << bits)) for bits in range(13) for p in ((b"a", b"b"), (b"b", b"a"))]
+    words += [b"a" * n for n in range(2, 300)] + [b"\0" * n for n in range(1, 40)] + [b"x" + bytes(n) for n in range(30)]
+    words = sorted(set(words))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    end = np.cumsum([len(w) for w in words])
+    begin = end - [len(w) for w in words]
+    hashes = span_hashes(data, begin, end)
+    assert len(set(hashes.tolist())) == len(words)
+    # The same bytes elsewhere have the same hash.
+    again = span_hashes(np.append(np.uint8(7), data), begin + 1, end + 1)
+    assert (again == hashes).all()
+
+
 def test_the_matrix_and_the_heap_merge_alike(library):
     vocabulary = bpe.Vocabulary(RANKS)
     rng = random.Random(2)

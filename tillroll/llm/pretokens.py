@@ -11,11 +11,9 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 
-from tillroll.llm.textarrays import mixed, span_hashes
-
 # The white space of the pattern's \s, as code point ranges.
 WHITE_SPACE = (
     (0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
@@ -24,11 +22,13 @@ WHITE_SPACE = (
 # The pattern's contractions after the apostrophe.
 SHORT, LONG = ("s", "t", "m", "d"), ("re", "ve", "ll")
 SPACE, LETTER, DIGIT, OTHER = range(4)
+# Code points of remembered pre-tokens at which a worker's memory is emptied.
+REMEMBERED_TEXT = 16 << 20
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Class and hash value of every code point."""
+def _kinds() -> np.ndarray:
+    """Class of every code point."""
     kind = np.full(0x110000, OTHER, np.uint8)
     every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
     for number, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+")):
@@ -37,7 +37,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             kind[points] = number
     for low, high in WHITE_SPACE:
         kind[low : high + 1] = SPACE
-    return kind, mixed(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return kind
 
 
 def split_points(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -45,7 +45,7 @@ def split_points(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     n = len(points)
     if n == 0:
         return np.empty(0, np.int64)
-    kind = _tables()[0][points]
+    kind = _kinds()[points]
     text_first = np.zeros(n + 1, bool)
     text_first[starts] = True
     run_first = text_first[:n].copy()
@@ -73,8 +73,9 @@ def split_points(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of whole texts; remembers the ids of every distinct pre-token.
 
-    ``encode`` maps a list of distinct pre-tokens to their ids. The memory is emptied when it
-    holds ``limit`` pre-tokens, so a worker's memory does not grow with the data.
+    ``encode`` maps a list of distinct pre-tokens to their ids. Pre-tokens are known by their
+    text, not by a hash of it. The memory is emptied when it holds ``limit`` pre-tokens or
+    ``REMEMBERED_TEXT`` code points of them, so a worker's memory does not grow with the data.
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence], limit: int = 300_000) -> None:
@@ -83,7 +84,8 @@ class Encoder:
 
     def forget(self) -> None:
         """Empty the memory."""
-        self._slot: dict[int, int] = {}
+        self._slot: dict[str, int] = {}
+        self._text = 0
         self._flat = np.empty(1 << 16, np.int32)
         self._begin = np.zeros(1, np.int64)
         self.spelled: list = []
@@ -92,7 +94,7 @@ class Encoder:
         """What else to remember of a pre-token; nothing here."""
         return None
 
-    def _learn(self, hashes: list[int], pretokens: list[str]) -> None:
+    def _learn(self, pretokens: list[str]) -> None:
         found = [np.asarray(ids, np.int32) for ids in self._encode(pretokens)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         used = self._begin[-1]
@@ -102,7 +104,8 @@ class Encoder:
         if found:
             self._flat[used:need] = np.concatenate(found)
         slots = range(len(self._begin) - 1, len(self._begin) - 1 + len(found))
-        self._slot.update(zip(hashes, slots, strict=True))
+        self._slot.update(zip(pretokens, slots, strict=True))
+        self._text += sum(map(len, pretokens))
         self._begin = np.concatenate([self._begin, used + np.cumsum(lengths)])
         self.spelled += [self.spell(p, i) for p, i in zip(pretokens, found, strict=True)]
 
@@ -113,25 +116,21 @@ class Encoder:
         starts = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=starts[1:])
         first = split_points(points, starts)
-        ends = np.append(first[1:], len(points))
-        hashes = span_hashes(_tables()[1][points], first, ends)
-        codes, distinct = pd.factorize(hashes)
-        if len(self._slot) + len(distinct) > self._limit:
+        # Where every code point begins in UTF-8; pre-tokens follow each other without gaps.
+        widths = 1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000)
+        at = np.append(0, np.cumsum(widths))
+        offsets = at[np.append(first, len(points))] if len(points) else np.zeros(1, np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined.encode())]
+        coded = pa.LargeStringArray.from_buffers(len(first), *buffers[1:]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self._slot) + len(distinct) > self._limit or self._text > REMEMBERED_TEXT:
             self.forget()
         known = self._slot
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in known]
+        new = [p for p in distinct if p not in known]
         if new:
-            # The first occurrence of every new pre-token.
-            at = np.empty(len(keys), np.int64)
-            at[codes[::-1]] = np.arange(len(codes))[::-1]
-            where = at[new]
-            pretokens = [
-                joined[a:b] for a, b in zip(first[where].tolist(), ends[where].tolist(), strict=True)
-            ]
-            self._learn([keys[i] for i in new], pretokens)
-        by_code = np.fromiter((known[k] for k in keys), np.int64, len(keys))
-        slots = by_code[codes] if len(keys) else np.empty(0, np.int64)
+            self._learn(new)
+        by_code = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
+        slots = by_code[coded.indices.to_numpy()] if len(first) else np.empty(0, np.int64)
         return slots, np.diff(np.searchsorted(first, starts))
 
     def lengths(self, slots: np.ndarray) -> np.ndarray:

@@ -96,10 +96,9 @@ def statistics(run: pa.RecordBatch) -> list[np.ndarray]:
     line_begin = np.flatnonzero(line_first[: len(data)])
     line_end = np.append(line_begin, len(data))[1:]
     n_lines = np.diff(np.searchsorted(line_begin, starts))
-    values = mixed(np.arange(1, 257, dtype=np.uint64))[data]
     # Without the line feed itself, which a last line may lack.
     line_end = line_end - breaks[line_end - 1]
-    lines, _ = _distinct(span_hashes(values, line_begin, line_end), n_lines)
+    lines, _ = _distinct(span_hashes(data, line_begin, line_end), n_lines)
     per_line = np.maximum(n_lines, 1)
 
     upper = (data >= 65) & (data <= 90)

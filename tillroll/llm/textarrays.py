@@ -6,8 +6,8 @@ begins, so that work on every character or word is a vectorised pass.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,10 @@ RUN_BYTES = 1 << 20
 
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+# Spans of more bytes are hashed one by one; the others in step, eight bytes at a time.
+_LONG = 256
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,33 +69,29 @@ def runs(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch
     pa.default_memory_pool().release_unused()
 
 
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes ``data[begin:end]`` of every span.
 
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
-        size = max(n, RUN_BYTES + (1 << 16))
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _powers[name] = np.cumprod(factors)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
-@lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-
-
-def span_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[begin:end]`` for every span; ``values`` are hashes themselves."""
-    if len(begin) == 0:
-        return np.empty(0, np.uint64)
-    up, down = _power(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=sums[1:])
-    spans = (sums[end] - sums[begin]) * down[begin]
-    return mixed(spans + (end - begin).astype(np.uint64) * np.uint64(_BASE))
+    Each step is a bijection of the eight bytes it takes in, mixed before the next ones come: no
+    pattern within a span cancels out, as it can in a polynomial. Long spans get a
+    cryptographic digest.
+    """
+    size = end - begin
+    out = size.astype(np.uint64) * _STEP
+    if len(data) == 0 or len(begin) == 0:
+        return mixed(out)
+    window = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(8, np.uint8)), 8)
+    on = np.flatnonzero((size > 0) & (size <= _LONG))
+    at, left = begin[on], size[on]
+    while len(on):
+        block = window[at].view("<u8").ravel() & _KEEP[np.minimum(left, 8)]
+        out[on] = mixed((out[on] ^ block) + _STEP)
+        more = left > 8
+        on, at, left = on[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        digest = hashlib.blake2b(data[begin[i] : end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -130,7 +128,7 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hashes(_byte_values()[data], begin, end)
+    return span_hashes(data, begin, end)
 
 
 def sums_by_text(values: np.ndarray, per_text: np.ndarray) -> np.ndarray:

@@ -1,9 +1,11 @@
 """Token-ID files: flat unsigned ids, 64-bit document offsets, bases by prefix sums.
 
-Documents are range-partitioned and sorted by id. Each task encodes its documents and writes two
+Documents are range-partitioned and sorted by id, those of one id by a digest of their text, those
+without an id last. Each task encodes its documents and writes two
 files: ``.bin`` holds ids on end (16 bits each if the vocabulary fits, else 32), ``.idx`` holds
-n + 1 offsets and n document ids, all little-endian 64-bit. A task returns one manifest row; the
-prefix sum over the manifest, one row per file, gives each file's base in the whole sequence.
+n + 1 offsets and n document ids, all little-endian 64-bit. A task returns one manifest row, which also
+says how many documents at the end of the file have no id; the prefix sum over the manifest, one
+row per file, gives each file's base in the whole sequence.
 
 A file's name is drawn anew in every attempt and only the manifest says which files count, so
 retried or speculative tasks leave no wrong data. Files are written through ``pyarrow.fs``, which
@@ -12,6 +14,7 @@ reaches local and shared folders, HDFS, S3 and GCS; on a local path they are mem
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,14 +31,27 @@ from tillroll.llm.textarrays import runs
 from tillroll.storage import scratch_path, stored_scratch
 
 END_ID = 0
-MANIFEST = "part int, name string, n_docs long, n_tokens long"
+MANIFEST = "part int, name string, n_docs long, n_tokens long, n_nameless long"
+# How a tokenizer file says that it splits as ``pretokens`` does.
+KNOWN_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _encoders: dict[str, tuple] = {}
 
 
-def library_encoder(path: str) -> tuple[Encoder, Callable, list[str], int]:
-    """Per worker: memory of pre-tokens, the library's own encoding, added tokens, vocabulary size."""
+def splits_as_known(path: str) -> bool:
+    """Does the file's tokenizer leave the text as it is and split it by the usual pattern, so that
+    pre-tokens can be encoded apart? Only these parts of its JSON say so."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    split = spec.get("pre_tokenizer") or {}
+    same = all(split.get(k) == v for k, v in KNOWN_SPLIT.items())
+    return same and not spec.get("normalizer") and (spec.get("model") or {}).get("type") == "BPE"
+
+
+def library_encoder(path: str) -> tuple[Encoder | None, Callable, list[str], int]:
+    """Per worker: memory of pre-tokens (none if the file splits in another way), the library's own
+    encoding, added tokens, vocabulary size."""
     if path not in _encoders:
         from tokenizers import Tokenizer
 
@@ -46,7 +62,8 @@ def library_encoder(path: str) -> tuple[Encoder, Callable, list[str], int]:
 
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         size = tokenizer.get_vocab_size(with_added_tokens=True)
-        _encoders[path] = Encoder(encode, limit=1_000_000), encode, added, size
+        memory = Encoder(encode, limit=1_000_000) if splits_as_known(path) else None
+        _encoders[path] = memory, encode, added, size
     return _encoders[path]
 
 
@@ -54,9 +71,12 @@ def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of whole texts, as the library's ``encode`` without special tokens gives them.
 
     Distinct pre-tokens are encoded once per worker. A text that spells an added token goes to
-    the library whole, because added tokens are matched before the text is split.
+    the library whole, because added tokens are matched before the text is split, and so do
+    all texts if the tokenizer normalises or splits in a way of its own.
     """
     memory, encode, added, _ = library_encoder(path)
+    if memory is None:
+        return [np.asarray(ids, np.int32) for ids in encode(texts)]
     slots, per_text = memory.slots(texts)
     lengths = np.cumsum(np.append(0, memory.lengths(slots)))
     cuts = lengths[np.cumsum(per_text)]
@@ -76,9 +96,9 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     """Write the files and return the stored manifest with each file's ``base``.
 
-    Null and empty texts hold the end id only. Rows without a ``doc_id`` are an error of the
-    input and left out; equal ids stay next to each other, in any order. Other columns are not
-    looked at. No rows give an empty manifest.
+    Null and empty texts hold the end id only. Equal ids stay next to each other, in the order of
+    their texts' digests; documents without an id come after all others, in that order too. Other
+    columns are not looked at. No rows give an empty manifest.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +108,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame
         name = f"{part:06d}-{uuid.uuid4().hex}"
         fs, root = _open(folder)
         fs.create_dir(root, recursive=True)
-        sizes, keys = [], []
+        sizes, keys, nameless = [], [], 0
         with fs.open_output_stream(f"{root}/{name}.bin") as out:
             for batch in batches:
                 for run in runs(batch):
@@ -96,7 +116,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame
                     for ids in encode_texts(tokenizer, texts):
                         out.write(np.append(ids, END_ID).astype(kind).tobytes())
                         sizes.append(len(ids) + 1)
-                    keys.append(run.column("doc_id").to_numpy())
+                    nameless += run.column("doc_id").null_count
+                    keys.append(run.column("doc_id").fill_null(0).to_numpy())
         if not sizes:
             return
         offsets = np.cumsum(np.append(0, sizes))
@@ -104,15 +125,18 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame
             out.write(offsets.astype("<i8").tobytes())
             out.write(np.concatenate(keys).astype("<i8").tobytes())
         yield pa.record_batch(
-            [pa.array([part], pa.int32()), [name], [len(sizes)], [int(offsets[-1])]],
-            names=["part", "name", "n_docs", "n_tokens"],
+            [pa.array([part], pa.int32()), [name], [len(sizes)], [int(offsets[-1])], [nameless]],
+            names=["part", "name", "n_docs", "n_tokens", "n_nameless"],
         )
 
+    # The digest makes the order of equal ids the same in every run, and splits very many of them.
+    order = [F.asc_nulls_last("doc_id"), "digest"]
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .filter(F.col("doc_id").isNotNull())
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        .withColumn("digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
     )
     manifest = stored_scratch(ordered.mapInArrow(write, MANIFEST), "manifest")
     # One row per file: the prefix sum is over as many rows as there were tasks.
@@ -149,9 +173,11 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     zlib.crc32(ids[a:b].astype("<u4").tobytes())
                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
                 ]
+                n = row["n_docs"]
+                without = np.arange(n) >= n - row["n_nameless"]
                 yield pa.record_batch(
                     [
-                        np.asarray(keys, np.int64),
+                        pa.array(np.asarray(keys, np.int64), mask=without),
                         np.asarray(offsets[:-1], np.int64) + row["base"],
                         np.diff(offsets).astype(np.int64),
                         np.array(crcs, np.int64),

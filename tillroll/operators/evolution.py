@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from tillroll.operators.gates import SchemaMismatch
 from tillroll.schema import PERIOD, STORED_KEYS
 
-# Bits of the whole numbers; a double holds whole numbers of 32 bits exactly, not those of 64.
+_DIGITS = 38  # most digits of a decimal
+# A double holds whole numbers of 32 bits exactly, not those of 64.
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType)
 
@@ -26,7 +27,7 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
         places = max(a.scale, b.scale)
         digits = max(a.precision - a.scale, b.precision - b.scale) + places
-        return T.DecimalType(digits, places) if digits <= T.DecimalType.MAX_PRECISION else None
+        return T.DecimalType(digits, places) if digits <= _DIGITS else None
     for kinds in (_WHOLE, _REAL):
         if isinstance(a, kinds) and isinstance(b, kinds):
             return max(a, b, key=lambda t: kinds.index(type(t)))

@@ -77,6 +77,73 @@ def describe_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return described.select(F.inline(F.array(*described.columns)))
 
 
+def column_states(df: DataFrame, by: Sequence[str] = (), key: str = ORDER_ID) -> DataFrame:
+    """Per group of ``by`` and column what ``merged_profile`` needs: a state of the rows so far.
+
+    Counts, mean and the sum of squared deviations from it, extremes; all of them merge with those
+    of other rows without the rows. One aggregate over the frame, a row per column afterwards.
+    """
+    fields = [f for f in df.schema.fields if f.name not in by]
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    whole, has_key = T.DecimalType(38, 0), F.col(f"`{key}`").isNotNull()
+    inputs, rows = [has_key.alias("_has_key"), *[F.col(f"`{c}`") for c in by]], []
+    for i, field in enumerate(fields):
+        is_number = isinstance(field.dataType, T.NumericType)
+        is_whole = isinstance(field.dataType, T.IntegralType)
+        column = F.col(f"`{field.name}`")
+        number = column.cast("double") if is_number else _as_number(column.cast("string"))
+        value, x = F.col(f"v{i}"), F.col(f"x{i}")
+        inputs += [column.alias(f"v{i}"), number.alias(f"x{i}")]
+        text = value.cast("string")
+        rows.append(
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.count(value).alias("n"),
+                F.count_if(value.isNull()).alias("n_null"),
+                F.count_if(value.isNull() & F.col("_has_key")).alias("n_null_with_key"),
+                F.count(x).alias("n_numbers"),
+                F.avg(x).alias("mean"),
+                (F.var_pop(x) * F.count(x)).alias("squares"),
+                (F.min(x) if is_number else no_number).alias("min_number"),
+                (F.max(x) if is_number else no_number).alias("max_number"),
+                (F.min(value) if is_whole else F.lit(None)).cast(whole).alias("min_whole"),
+                (F.max(value) if is_whole else F.lit(None)).cast(whole).alias("max_whole"),
+                (no_text if is_number else F.min(text)).alias("min_text"),
+                (no_text if is_number else F.max(text)).alias("max_text"),
+            ).alias(f"c{i}")
+        )
+    grouped = df.select(*inputs).groupBy(*[F.col(f"`{c}`") for c in by]).agg(*rows)
+    columns = F.inline(F.array(*[F.col(f"c{i}") for i in range(len(fields))]))
+    return grouped.select(*[F.col(f"`{c}`") for c in by], columns)
+
+
+def merged_profile(states: DataFrame) -> DataFrame:
+    """``describe_profile`` and the counts of NULL, of all rows that the states stand for.
+
+    Squared deviations add up with those of the parts' means from the whole mean, so nothing
+    is lost to large sums.
+    """
+    weight = F.col("n_numbers")
+    means = states.groupBy("column_name").agg(
+        (F.sum(F.col("mean") * weight) / F.nullif(F.sum(weight), F.lit(0))).alias("whole_mean")
+    )
+    apart = F.col("mean") - F.col("whole_mean")
+    n = F.sum("n_numbers")
+    squares = F.sum(F.col("squares") + weight * apart * apart)
+    # One row per column on the other side.
+    return (
+        states.join(F.broadcast(means), "column_name")
+        .groupBy("column_name")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n", "n_null", "n_null_with_key")],
+            F.first("whole_mean").alias("mean"),
+            F.when(n > 1, F.sqrt(squares / (n - 1))).alias("sd"),
+            *[F.min(f"min_{c}").alias(f"min_{c}") for c in ("number", "whole", "text")],
+            *[F.max(f"max_{c}").alias(f"max_{c}") for c in ("number", "whole", "text")],
+        )
+    )
+
+
 def count_levels(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row: rows, distinct rows, distinct keys.
 
@@ -113,6 +180,43 @@ def top_dup_keys(df: DataFrame, keys: Sequence[str] = KEYS, n: int = 20) -> Data
     return key_counts(df, keys).orderBy(*order).limit(n)
 
 
+# Buckets of keys whose rows are counted first, and how many of the fullest are looked into at once.
+KEY_BUCKETS = 1 << 20
+FULLEST = 4096
+
+
+def top_dup_keys_of_stored(
+    df: DataFrame,
+    keys: Sequence[str] = KEYS,
+    n: int = 20,
+    buckets: int = KEY_BUCKETS,
+    fullest: int = FULLEST,
+) -> DataFrame:
+    """``top_dup_keys`` without shuffling the counts of all keys, for rows that are stored.
+
+    Rows are counted per bucket of keys first: no key has more rows than its bucket. The keys of
+    the fullest buckets, counted exactly, give a count that the answer's last key reaches at least;
+    a key with as many rows can only be in a bucket with as many. Only the keys of those buckets
+    are counted then. If all buckets are as full as that, it is all keys, as in ``top_dup_keys``.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    order = [F.desc("cnt"), *[F.asc_nulls_first(k) for k in keys]]
+    sizes = stored_scratch(key_counts(df.withColumn("_bucket", bucket), ["_bucket"]), "key-buckets")
+    first = sizes.orderBy(F.desc("cnt"), "_bucket").limit(fullest)
+
+    def counts_in(chosen: DataFrame) -> DataFrame:
+        rows = df.withColumn("_bucket", bucket).join(chosen.select("_bucket"), "_bucket", "left_semi")
+        return key_counts(rows.drop("_bucket"), keys)
+
+    # At most ``fullest`` numbers are broadcast, n rows come to the driver.
+    sure = counts_in(F.broadcast(first)).orderBy(*order).limit(n).collect()
+    reached = sure[-1]["cnt"] if len(sure) == n else 1
+    wanted = sizes.filter(F.col("cnt") >= reached)
+    if wanted.count() == sizes.count():
+        return top_dup_keys(df, keys, n)
+    return counts_in(wanted).orderBy(*order).limit(n)
+
+
 def schema_rows(df: DataFrame) -> DataFrame:
     """A frame's columns as rows: ``position, column_name, data_type, nullable``."""
     rows = [

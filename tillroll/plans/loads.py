@@ -18,7 +18,7 @@ from tillroll.operators.gates import (
     wrong_typed_files,
 )
 from tillroll.schema import CORRUPT, ORDER_ID, SOURCE_SCHEMA
-from tillroll.sinks import contributions
+from tillroll.sinks import contributions, profiles
 from tillroll.sinks.ledger import rejects_path, write_ledger, write_rejects
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
@@ -116,6 +116,7 @@ def _load(
     write,
     schema: T.StructType = SOURCE_SCHEMA,
     track_files: bool = False,
+    keep_profile: bool = False,
 ) -> LoadResult:
     """Judge files and lines, have ``write`` store the cleansed rows, then record all of it.
 
@@ -153,6 +154,8 @@ def _load(
                 *SOURCE_SCHEMA.fieldNames(), CORRUPT, "file_uri", "reason"
             )
             write_rejects(left_out, ledger_path, "rows", batch_id)
+        if n_files and keep_profile:
+            profiles.write_profiles(lines, accepted, ledger_path, batch_id)
         if n_files:
             write_ledger(accepted, ledger_path, batch_id, "overwrite" if full else "append")
             if full:
@@ -171,13 +174,15 @@ def batch_load(
     files: DataFrame | None = None,
     schema: T.StructType = SOURCE_SCHEMA,
     track_files: bool = False,
+    keep_profile: bool = False,
 ) -> LoadResult:
     """Full load: replace the table by the cleansed rows of all files that pass the gate.
 
     ``files`` restricts the load to part of a listing of ``source_dir``. A folder without a
     loadable file leaves table and ledger as they are. ``schema`` is the files' contract, if it is
     another version than ``SOURCE_SCHEMA``. ``track_files`` keeps what each file contributes, so
-    that later loads can replace a file that was corrected.
+    that later loads can replace a file that was corrected. ``keep_profile`` keeps each file's profile
+    for ``profiles.kept_profile``.
     """
     _check_tracking(track_files, "upsert", fmt, schema)
     listing = list_files(spark, source_dir) if files is None else files
@@ -185,7 +190,7 @@ def batch_load(
     def write(rows: DataFrame, _withdrawn: DataFrame | None) -> None:
         write_table(rows, table_path, "overwrite", fmt, layout)
 
-    return _load(spark, listing, ledger_path, gate, True, write, schema, track_files)
+    return _load(spark, listing, ledger_path, gate, True, write, schema, track_files, keep_profile)
 
 
 def _check_tracking(track_files: bool, mode: str, fmt: str, schema: T.StructType) -> None:
@@ -204,6 +209,7 @@ def incremental_load(
     schema: T.StructType = SOURCE_SCHEMA,
     evolve: bool = False,
     track_files: bool = False,
+    keep_profile: bool = False,
 ) -> LoadResult:
     """Load the files that are new, or were rejected and have changed since.
 
@@ -219,7 +225,7 @@ def incremental_load(
     """
     listing = list_files(spark, source_dir)
     return load_files(
-        spark, listing, table_path, ledger_path, mode, fmt, gate, schema, evolve, track_files
+        spark, listing, table_path, ledger_path, mode, fmt, gate, schema, evolve, track_files, keep_profile
     )
 
 
@@ -234,6 +240,7 @@ def load_files(
     schema: T.StructType = SOURCE_SCHEMA,
     evolve: bool = False,
     track_files: bool = False,
+    keep_profile: bool = False,
 ) -> LoadResult:
     """Load those of the given files that the ledger does not name, then record them."""
     if mode not in MODES:
@@ -247,4 +254,4 @@ def load_files(
             upsert_rows(rows, table_path, fmt, evolve=evolve, withdrawn=withdrawn)
 
     unseen = unseen_files(spark, files, ledger_path, changed_too=track_files)
-    return _load(spark, unseen, ledger_path, gate, False, write, schema, track_files)
+    return _load(spark, unseen, ledger_path, gate, False, write, schema, track_files, keep_profile)

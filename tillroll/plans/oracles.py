@@ -111,6 +111,17 @@ def _describe() -> str:
     return f"{_SALES} " + " UNION ALL ".join(parts)
 
 
+def _kept_profile() -> str:
+    nulls = " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE "{c}" IS NULL) AS BIGINT) AS n_null,
+  CAST(count(*) FILTER (WHERE "{c}" IS NULL AND "Order ID" IS NOT NULL) AS BIGINT) AS n_null_with_key
+  FROM sales"""
+        for c, _, _ in _COLUMNS
+    )
+    described = _describe().removeprefix(f"{_SALES} ")
+    return f"{_SALES} SELECT * FROM ({described}) JOIN ({nulls}) USING (column_name)"
+
+
 def _file_schemas() -> str:
     kinds = {"Order ID": "pk % 5 = 0", "Quantity Ordered": "pk % 5 = 1", "Price Each": "pk % 5 > 1"}
     parts = []
@@ -208,6 +219,9 @@ ORACLES: dict[str, str] = {
   FROM {_survivors(_KEYED)} GROUP BY ALL
   ORDER BY cnt DESC, "Order ID" NULLS FIRST, "Product" NULLS FIRST LIMIT 5""",
     "profile": _profile(),
+    "kept_profile": _kept_profile(),
+    "top_dup_keys_bounded": f"""{_SALES} {_KEY_COUNTS}
+  ORDER BY cnt DESC, "Order ID" NULLS FIRST, "Product" NULLS FIRST LIMIT 20""",
     "list_files": f"""{_SALES} SELECT CASE WHEN line <= {EARLY_LINES} THEN 'early' ELSE 'late' END
   AS came, count(*) AS n_lines FROM lines GROUP BY ALL""",
     "csv_scan": _ROWS,
@@ -241,6 +255,9 @@ ORACLES: dict[str, str] = {
     "evolved_merge": f"{_SALES} {_evolved(f'(SELECT * FROM {_EARLY_V1} UNION ALL SELECT * FROM {_LATE_V2})')}",
     "evolved_append": f"{_SALES} {_evolved(_EARLY_V1)} UNION ALL {_evolved(_LATE_V2)}",
     "kept_report": f"{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
+    "packed_appends": _EARLY_THEN_LATE,
+    "estimated_orders": f"""{_SALES} SELECT year, count(DISTINCT "Order_ID") AS orders, true AS near
+  FROM {_cleansed(_KEYED)} GROUP BY year""",
     "monthly_report": f"{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
     "yearly_report": f"{_SALES} SELECT year, {_TOTALS} FROM {_cleansed(_KEYED)} GROUP BY ALL",
     "monthly_report_pruned": f"""{_SALES} SELECT year, month, {_TOTALS} FROM {_cleansed(_KEYED)}

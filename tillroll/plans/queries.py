@@ -17,9 +17,9 @@ from tillroll.schema import (
     PRODUCT,
     SOURCE_SCHEMA,
 )
-from tillroll.sinks import key_index
-from tillroll.sinks.ledger import write_ledger
-from tillroll.sinks.tables import append_rows, write_table
+from tillroll.sinks import key_index, profiles
+from tillroll.sinks.ledger import pack_ledger, write_ledger
+from tillroll.sinks.tables import append_rows, pack_table, write_table
 from tillroll.sources.files import csv_scan, csv_scan_files, list_files
 from tillroll.sources.tables import new_files, read_ledger, read_table
 from tillroll.storage import scratch_path, stored_scratch
@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOOKUP = {ORDER_ID: 88, PRODUCT: "cold bolt"}
 REPORT_SINCE, REPORT_UNTIL = (2020, 11), (2022, 2)
 FIRST_ID, LAST_ID = 32, 225
+ESTIMATE_OFF = 0.08  # five standard errors of a sketch
 
 
 def _comparable(cleansed: DataFrame) -> DataFrame:
@@ -135,6 +136,12 @@ def top_keys_after_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.top_dup_keys(cleansing.remove_duplicates(rows), n=5)
 
 
+def top_dup_keys_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys as ``top_dup_keys``, from exact counts of those that can be among them."""
+    rows = fixtures.sales(spark, sf_dir).transform(cleansing.remove_nulls)
+    return profiling.top_dup_keys_of_stored(stored_scratch(rows, "sales"), n=20)
+
+
 # --- files ------------------------------------------------------------------------------
 
 
@@ -353,6 +360,27 @@ def evolved_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_table(spark, path))
 
 
+def kept_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of two loads' lines, from the states that each kept of its files."""
+    folder, early = fixtures.sales_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, files=early, keep_profile=True)
+    loads.incremental_load(spark, folder, path, ledger, keep_profile=True)
+    found = profiles.kept_profile(spark, ledger)
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "sd")})
+
+
+def packed_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends that leave a small file per task and month, packed, with their ledger."""
+    folder, early = fixtures.sales_csv(spark, sf_dir)
+    path, ledger = fixtures.fresh_table(spark)
+    loads.batch_load(spark, folder, path, ledger, files=early)
+    loads.incremental_load(spark, folder, path, ledger, "append")
+    pack_table(spark, path, spare_files=1)
+    pack_ledger(spark, ledger)
+    return _comparable(read_table(spark, path))
+
+
 # --- reports ----------------------------------------------------------------------------
 
 
@@ -381,6 +409,19 @@ def kept_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.kept_report(spark, path)
 
 
+def estimated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per year, counted, and whether the estimate from the kept sketches comes near."""
+    path, _ = fixtures.fresh_table(spark)
+    write_table(fixtures.sales(spark, sf_dir).transform(cleansing.cleanse), path)
+    reports.keep_totals(spark, path)
+    exact = read_table(spark, path).groupBy("year").agg(F.count_distinct("Order_ID").alias("orders"))
+    estimates = reports.kept_distinct(spark, path, by=("year",)).select("year", F.col("orders").alias("estimate"))
+    off = F.abs(F.col("estimate") - F.col("orders")) / F.col("orders")
+    same = F.col("exact.year").eqNullSafe(F.col("found.year"))
+    found = exact.alias("exact").join(estimates.alias("found"), same)
+    return found.select("exact.year", "orders", (off <= ESTIMATE_OFF).alias("near"))
+
+
 QUERIES: dict[str, Query] = {
     "remove_nulls": remove_nulls,
     "rejected_rows": rejected_rows,
@@ -400,6 +441,8 @@ QUERIES: dict[str, Query] = {
     "top_dup_keys": top_dup_keys,
     "top_keys_after_dedup": top_keys_after_dedup,
     "profile": profile,
+    "kept_profile": kept_profile,
+    "top_dup_keys_bounded": top_dup_keys_bounded,
     "list_files": list_source_files,
     "csv_scan": csv_scan_one_schema,
     "csv_scan_inferred": csv_scan_inferred,
@@ -424,6 +467,8 @@ QUERIES: dict[str, Query] = {
     "evolved_merge": evolved_merge,
     "evolved_append": evolved_append,
     "kept_report": kept_report,
+    "packed_appends": packed_appends,
+    "estimated_orders": estimated_orders,
     "monthly_report": monthly_report,
     "yearly_report": yearly_report,
     "monthly_report_pruned": monthly_report_pruned,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.totals import added_up, line_totals, monthly_totals
+from tillroll.operators.totals import added_up, estimated_distinct, line_totals, monthly_totals
 from tillroll.sinks import totals
 from tillroll.sources.tables import read_table
 
@@ -68,3 +68,16 @@ def kept_report(
     kept = totals.totals(spark, table_path, read_table(spark, table_path))
     columns = ["year"] if by == "year" else ["year", "month"]
     return added_up(_within(kept, since, until), *columns)
+
+
+def kept_distinct(
+    spark: SparkSession,
+    table_path: str,
+    since: Month | None = None,
+    until: Month | None = None,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """About how many different orders, products and addresses a period has, from the sketches
+    kept with the totals: exact counts would shuffle the values. ``by`` may be year and month."""
+    kept = totals.totals(spark, table_path, read_table(spark, table_path))
+    return estimated_distinct(_within(kept, since, until), *by)

@@ -8,7 +8,7 @@ left out by that, and are known as rows to withdraw when the file is loaded agai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from tillroll import storage
 from tillroll.operators.cleansing import add_period, keep_max, parse_dates, rename_columns
 from tillroll.schema import CLEANSED_SCHEMA, KEYS, QUANTITY, STORED_KEYS, STORED_QUANTITY
 from tillroll.sources.files import literal_path
+from tillroll.sources.tables import last_loaded
 
 FILE = "file_uri"
 _FILES = "path string, file_uri string, batch_id string"
@@ -58,9 +59,8 @@ def _read(spark: SparkSession, ledger_path: str, kind: str) -> DataFrame:
 
 def _last_versions(spark: SparkSession, ledger: DataFrame, ledger_path: str) -> DataFrame:
     """``file_uri, batch_id``: the batch that loaded each file last, as the ledger has it."""
-    latest = Window.partitionBy("path").orderBy(F.desc("loaded_at"), F.desc("batch_id"))
-    last = ledger.withColumn("place", F.row_number().over(latest)).filter("place = 1")
-    return _read(spark, ledger_path, "files").join(last.select("path", "batch_id"), ["path", "batch_id"]).select(FILE, "batch_id")
+    last = last_loaded(ledger).select("path", "batch_id")
+    return _read(spark, ledger_path, "files").join(last, ["path", "batch_id"]).select(FILE, "batch_id")
 
 
 def replaced(

@@ -19,6 +19,16 @@ from tillroll.sources.files import literal_path
 from tillroll.sources.tables import read_table, record_schema, table_schema
 
 LAYOUTS = ("clustered", "rebalance", "as_is")
+FILE_BYTES = 128 << 20  # what a file should hold at least, as far as its month goes
+SPARE_FILES = 16  # files that a month may have beyond that before it is packed
+_BINARY_FILE = T.StructType(  # fixed values: columns of Spark's binary file source
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 _PENDING = "_pending_merge"  # hidden from readers by its leading underscore
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for NULL
 
@@ -275,9 +285,48 @@ def upsert_rows(
             return months
         staged = storage.scratch_path(spark, "merged")
         _write(merged, staged, "overwrite", fmt, layout)
-    note = {"staged": staged, "months": [[m.year, m.month] for m in months], "undated": added}
+    _publish(spark, path, staged, months, added)
+    return months
+
+
+def _publish(spark: SparkSession, path: str, staged: str, months: Sequence[Row], undated: bool) -> None:
+    note = {"staged": staged, "months": [[m.year, m.month] for m in months], "undated": undated}
     storage.write_text(spark, f"{path.rstrip('/')}/{_PENDING}", json.dumps(note))
     _publish_pending(spark, path)
+
+
+def crowded_months(
+    spark: SparkSession, path: str, file_bytes: int = FILE_BYTES, spare_files: int = SPARE_FILES
+) -> DataFrame:
+    """``year, month, n_files, n_bytes`` of months whose files are more, by ``spare_files`` at least,
+    than their bytes fill. File names and lengths are read, no file is opened."""
+    period = T.StructType([T.StructField(c, T.IntegerType()) for c in PERIOD])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = files.schema(T.StructType([*_BINARY_FILE.fields, *period.fields])).load(literal_path(path))
+    per_month = files.select("length", *PERIOD).groupBy(*PERIOD).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
+    )
+    return per_month.filter(F.col("n_files") >= F.ceil(F.col("n_bytes") / file_bytes) + spare_files)
+
+
+def pack_table(
+    spark: SparkSession, path: str, file_bytes: int = FILE_BYTES, spare_files: int = SPARE_FILES
+) -> list[Row]:
+    """Rewrite months that consist of many small files, as appends leave them; returns them.
+
+    Packed months are clustered again. They are published under the same note as a merge, so one
+    that dies is finished by the next merge or packing.
+    """
+    if not table_exists(spark, path):
+        return []
+    _publish_pending(spark, path)
+    months = _in_order(crowded_months(spark, path, file_bytes, spare_files).select(*PERIOD).collect())
+    if months:
+        schema = table_schema(spark, path)
+        staged = storage.scratch_path(spark, "packed")
+        rows = read_table(spark, path, schema=schema).filter(in_months(months))
+        _write(rows, staged, "overwrite", "parquet", "clustered")
+        _publish(spark, path, staged, months, False)
     return months
 
 

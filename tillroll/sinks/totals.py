@@ -1,4 +1,5 @@
-"""Monthly totals kept beside the table and renewed by the writes themselves.
+"""Monthly totals, and sketches of distinct values, kept beside the table and renewed by the
+writes themselves.
 
 A state file names the folder with the totals, one row per month, and the months whose totals are
 stale. A write marks its months before it touches the table and renews them from the table after it,
@@ -15,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import storage
-from tillroll.operators.totals import TOTALS, monthly_totals
+from tillroll.operators.totals import SKETCHES, TOTALS, monthly_summary
 from tillroll.sources.files import literal_path
 
 Month = tuple[int | None, int | None]
-_SCHEMA = f"year int, month int, {TOTALS}"
+_SCHEMA = f"year int, month int, {TOTALS}, {SKETCHES}"
 
 
 def _state_path(table_path: str) -> str:
@@ -65,12 +66,12 @@ def totals(spark: SparkSession, table_path: str, table: DataFrame) -> DataFrame:
     """``year, month`` and their totals: kept ones, and stale months from the table itself."""
     kept = state(spark, table_path)
     if kept is None:
-        return monthly_totals(table)
+        return monthly_summary(table)
     rows = spark.read.schema(_SCHEMA).parquet(literal_path(kept["folder"]))
     stale = [tuple(m) for m in kept["stale"]]
     if not stale:
         return rows
-    return rows.filter(~_of(stale)).unionByName(monthly_totals(table.filter(_of(stale))))
+    return rows.filter(~_of(stale)).unionByName(monthly_summary(table.filter(_of(stale))))
 
 
 def renew(spark: SparkSession, table_path: str, table: DataFrame) -> None:

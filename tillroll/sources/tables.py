@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tillroll import storage
 from tillroll.schema import CLEANSED_SCHEMA, LEDGER_SCHEMA, REJECT_SCHEMAS
-from tillroll.sinks.ledger import rejects_path
+from tillroll.sinks.ledger import pending_copy, rejects_path
 from tillroll.sources.files import literal_path
 from tillroll.storage import has_files
 
@@ -50,7 +50,11 @@ def read_table(
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Files loaded so far; no rows if nothing was ever loaded."""
+    """Files loaded so far; no rows if nothing was ever loaded.
+
+    While the ledger is being packed, or if that died, its copy is read.
+    """
+    path = pending_copy(spark, path) or path
     if not has_files(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(literal_path(path))
@@ -69,12 +73,16 @@ def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("path"), "path", "left_anti")
 
 
+def last_loaded(ledger: DataFrame) -> DataFrame:
+    """The ledger's last row of every file."""
+    latest = Window.partitionBy("path").orderBy(F.desc("loaded_at"), F.desc("batch_id"))
+    return ledger.withColumn("place", F.row_number().over(latest)).filter("place = 1").drop("place")
+
+
 def changed_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files that the ledger does not name, or last named with another length or time."""
-    latest = Window.partitionBy("path").orderBy(F.desc("loaded_at"), F.desc("batch_id"))
-    last = ledger.withColumn("place", F.row_number().over(latest)).filter("place = 1")
     as_is = ["path", "length", "modified"]
-    return files.join(last.select(*as_is), as_is, "left_anti")
+    return files.join(last_loaded(ledger).select(*as_is), as_is, "left_anti")
 
 
 def unseen_files(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -95,19 +96,18 @@ class Encoder:
         return None
 
     def _learn(self, pretokens: list[str]) -> None:
-        found = [np.asarray(ids, np.int32) for ids in self._encode(pretokens)]
+        found = self._encode(pretokens)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         used = self._begin[-1]
         need = used + int(lengths.sum())
         if need > len(self._flat):
             self._flat = np.concatenate([self._flat[:used], np.empty(2 * need, np.int32)])
-        if found:
-            self._flat[used:need] = np.concatenate(found)
-        slots = range(len(self._begin) - 1, len(self._begin) - 1 + len(found))
-        self._slot.update(zip(pretokens, slots, strict=True))
+        self._flat[used:need] = np.fromiter(chain.from_iterable(found), np.int32, need - used)
+        self._slot.update(zip(pretokens, count(len(self._begin) - 1)))
         self._text += sum(map(len, pretokens))
         self._begin = np.concatenate([self._begin, used + np.cumsum(lengths)])
-        self.spelled += [self.spell(p, i) for p, i in zip(pretokens, found, strict=True)]
+        if type(self).spell is not Encoder.spell:
+            self.spelled += map(self.spell, pretokens, found)
 
     def slots(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The pre-tokens of all texts as slots, and how many each text has."""
@@ -116,21 +116,25 @@ class Encoder:
         starts = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=starts[1:])
         first = split_points(points, starts)
-        # Where every code point begins in UTF-8; pre-tokens follow each other without gaps.
-        widths = 1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000)
-        at = np.append(0, np.cumsum(widths))
-        offsets = at[np.append(first, len(points))] if len(points) else np.zeros(1, np.int64)
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined.encode())]
-        coded = pa.LargeStringArray.from_buffers(len(first), *buffers[1:]).dictionary_encode()
+        if len(first) == 0:
+            return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+        # Pre-tokens follow each other without gaps; in UTF-8 a code point begins at every byte
+        # that is no continuation.
+        data = np.frombuffer(joined.encode(), np.uint8)
+        begin = first if len(data) == len(points) else np.flatnonzero((data & 0xC0) != 0x80)[first]
+        buffers = [pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)]
+        coded = pa.LargeStringArray.from_buffers(len(first), *buffers).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self._slot) + len(distinct) > self._limit or self._text > REMEMBERED_TEXT:
             self.forget()
-        known = self._slot
-        new = [p for p in distinct if p not in known]
+        by_code = list(map(self._slot.get, distinct))
+        new = [i for i, slot in enumerate(by_code) if slot is None]
         if new:
-            self._learn(new)
-        by_code = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
-        slots = by_code[coded.indices.to_numpy()] if len(first) else np.empty(0, np.int64)
+            at = len(self._begin) - 1
+            self._learn([distinct[i] for i in new])
+            for slot, i in enumerate(new, at):
+                by_code[i] = slot
+        slots = np.array(by_code, np.int64)[coded.indices.to_numpy()]
         return slots, np.diff(np.searchsorted(first, starts))
 
     def lengths(self, slots: np.ndarray) -> np.ndarray:

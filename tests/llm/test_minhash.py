@@ -70,6 +70,22 @@ def test_edge_rows(spark):
     assert got == [(4, 1, 4, True), (4, 1, 4, True), (None, 1, None, True)]
 
 
+def test_an_id_with_different_texts_names_several_documents(spark):
+    words = [f"w{i}" for i in range(40)]
+    a, b = " ".join(words), " ".join(f"v{i}" for i in range(40))
+    near = " ".join([*words, "more"])
+    rows = [(1, a), (1, b), (1, b), (2, near), (0, b.upper()), (3, ""), (3, None), (3, "v0 v1"), (None, a)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((tuple(r) for r in minhash.near_duplicates(spark, df).collect()), key=repr)
+    want = [(1, 36, 1, True), (1, 36, 0, False), (1, 36, 0, False), (2, 37, 1, False), (0, 36, 0, True)]
+    want += [(3, 0, 3, True), (3, 0, 3, True), (3, 1, 3, True), (None, 36, None, True)]
+    assert got == sorted(want, key=repr)
+    kept = minhash.one_of_each_group(spark, df).collect()
+    texts = sorted(((r.doc_id, r.text or "") for r in kept), key=repr)
+    # Both texts of document 1's id are there, through one row each; an empty one once.
+    assert texts == sorted([(1, a), (0, b.upper()), (3, ""), (3, "v0 v1"), (None, a)], key=repr)
+
+
 def test_no_rows_and_clashing_columns(spark):
     assert found(spark, []) == []
     names = ["component_id", "bucket", "rep", "text", "doc_id", "signature", "a"]

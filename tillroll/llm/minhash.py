@@ -8,6 +8,7 @@ similarity of 0.75 more than ``SLOT_ERRORS`` of 24 slots differ with probability
 longer sketch thins out what meets by chance; it loses a pair with probability 1e-6. What is left is
 confirmed on the full shingle sets.
 
+A document is its id and its text: rows of one id with different texts are documents of their own.
 Documents with equal sets form a class and only its representative is searched. In a bucket all
 members are first compared with its smallest one; after components are formed, only members of
 different components are compared, in blocks, so a bucket of copies costs one pair per member, near
@@ -23,7 +24,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
@@ -37,7 +38,7 @@ SLOTS, CHUNKS, SLOT_ERRORS = 24, 6, 17
 SKETCH, MISS = 96, 1e-6
 # Members of a bucket that meet in one block; a larger bucket is compared block by block.
 BLOCK = 1024
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
+SIGNED = "doc_id long, text_key binary, n_shingles long, set_a long, set_b long, signature binary"
 
 _SEEDS = mixed(np.arange(1, SLOTS + SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 _STEPS = mixed(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
@@ -125,15 +126,30 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch(
                     [
                         run.column("doc_id"),
+                        run.column("text_key"),
                         counts,
                         signed(sums[0]),
                         signed(sums[1]),
                         pa.array([r.tobytes() for r in raw], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                    names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "signature"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
+    return docs.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(sign, SIGNED)
+
+
+def text_key() -> Column:
+    """What tells the texts of one id apart: a digest of the text as it is, of none for a null."""
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def texts_of(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rep, text`` of the given representatives; texts of other documents are mostly not shuffled."""
+    wanted = reps.select("rep", "doc_id", "text_key").join(ids, "rep", "left_semi")
+    wanted = stored_scratch(wanted, "wanted-texts")
+    rows = rows_with_keys(docs, wanted.select("doc_id").distinct(), "doc_id")
+    rows = rows.withColumn("text_key", text_key()).join(wanted, ["doc_id", "text_key"])
+    return rows.select("rep", "text").dropDuplicates(["rep"])
 
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +212,7 @@ def near_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 GROUP = ("bucket", "i", "j")
 
 
-def cross_links(members: DataFrame, docs: DataFrame) -> DataFrame:
+def cross_links(members: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``a, b`` between members of a bucket that are in different components.
 
     ``members`` are ``bucket, choice, rep, component, n_shingles, signature``. A bucket of more
@@ -242,9 +258,7 @@ def cross_links(members: DataFrame, docs: DataFrame) -> DataFrame:
         return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     active = stored_scratch(grouped(dealt).mapInArrow(pick, dealt.schema), "active")
-    ids = stored_scratch(active.select(F.col("rep").alias("doc_id")).distinct(), "active-ids")
-    texts = rows_with_keys(docs, ids, "doc_id").dropDuplicates(["doc_id"])
-    texts = stored_scratch(texts.withColumnRenamed("doc_id", "rep"), "active-texts")
+    texts = stored_scratch(texts_of(active.select("rep").distinct(), reps, docs), "active-texts")
     return grouped(active.join(texts, "rep")).mapInArrow(confirm, "a long, b long").distinct()
 
 
@@ -336,7 +350,7 @@ def _links_of_group(rows: pa.Table) -> list[tuple[int, int]]:
     return links
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the pairs ``a, b``, few per document, whose full shingle sets are similar enough."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,30 +367,29 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 linked = (both > 0) & (100 * both >= SIMILAR * (n_a + n_b - both))
                 yield run.select(["a", "b"]).filter(pa.array(linked))
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = rows_with_keys(docs, stored_scratch(ids, "ids"), "doc_id")
-    texts = stored_scratch(texts.dropDuplicates(["doc_id"]), "texts")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    texts = stored_scratch(texts_of(ids, reps, docs), "texts")
     for side in "ba":
-        own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"t{side}"))
+        own = texts.select(F.col("rep").alias(side), F.col("text").alias(f"t{side}"))
         pairs = pairs.join(own, side)
     return pairs.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id, kept``.
+def grouped_documents(docs: DataFrame) -> DataFrame:
+    """Per row of ``doc_id, text``: ``doc_id, text_key, n_shingles, group, component_id``.
 
-    Documents are linked if 100 times the common shingles are at least 75 times all shingles of
-    the two. Null and word-less texts have no shingles and are linked with nothing. A row without a
-    ``doc_id`` cannot be named: it keeps a null component and is kept. Of rows with the same
-    ``doc_id`` and text each is returned; they are one document. Other columns are not looked at.
+    ``group`` numbers the component, which two of equal ``component_id`` can only share a name of
+    if documents share an id; it is null for rows that are linked with nothing: without id or words.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed_ = stored_scratch(signatures(docs), "signatures")
     sets = ["set_a", "set_b", "n_shingles"]
     classes = signed_.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*sets)
-    reps = stored_scratch(
-        classes.agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "reps"
+    # The document of a class with the smallest id stands for it, under a number of its own.
+    first = classes.agg(
+        F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("signature").alias("signature")
     )
+    number = F.monotonically_increasing_id().alias("rep")
+    reps = stored_scratch(first.select(number, *sets, "signature", "least.doc_id", "least.text_key"), "reps")
     indexed = buckets(reps)
     shared = (
         indexed.groupBy("bucket")
@@ -387,7 +400,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     indexed = stored_scratch(indexed.join(shared, "bucket"), "buckets")
     stars = indexed.filter("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     stars = stored_scratch(near_pairs(stars.distinct(), reps), "stars")
-    links = stored_scratch(confirmed(stars, docs), "star-links")
+    links = stored_scratch(confirmed(stars, reps, docs), "star-links")
     if not links.isEmpty():
         labels = stored_scratch(components(links), "star-labels")
     else:
@@ -398,23 +411,61 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         .withColumn("component", F.coalesce("component", "rep"))
         .join(reps.select("rep", "n_shingles", "signature"), "rep")
     )
-    links = stored_scratch(links.unionByName(cross_links(members, docs)), "links")
-    labels = components(links).withColumnRenamed("node", "rep")
-    named = reps.select(*sets, "rep").join(labels, "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
+    links = stored_scratch(links.unionByName(cross_links(members, reps, docs)), "links")
+    labels = stored_scratch(components(links).withColumnRenamed("node", "rep"), "labels")
+    # Components are known by a representative's number; their name is the smallest id in them.
+    names = labels.join(reps.select("rep", "doc_id"), "rep").groupBy("component").agg(
+        F.min("doc_id").alias("name")
+    )
+    named = (
+        reps.select(*sets, "rep", F.col("doc_id").alias("least"))
+        .join(labels.join(names, "component"), "rep", "left")
+        .withColumn("group", F.coalesce("component", "rep"))
+        .withColumn("name", F.coalesce("name", "least"))
     )
-    found = signed_.join(named.select(*sets, "component"), sets, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    found = signed_.join(named.select(*sets, "group", "name"), sets, "left")
+    has_id = F.col("doc_id").isNotNull()
     return found.select(
         "doc_id",
+        "text_key",
         "n_shingles",
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.when(has_id, F.col("group")).alias("group"),
+        F.when(has_id, F.coalesce("name", "doc_id")).alias("component_id"),
+    )
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Documents are linked if 100 times the common shingles are at least 75 times all shingles of
+    the two. Null and word-less texts have no shingles and are linked with nothing. A row without a
+    ``doc_id`` cannot be named: it keeps a null component and is kept. Rows with the same
+    ``doc_id`` are each returned; with different texts they are documents of their own. Other
+    columns are not looked at.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return grouped_documents(docs).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents' rows without near-duplicates of a kept document, repeated rows included."""
-    kept = near_duplicates(spark, docs).filter("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The rows of one document of each group of near-duplicates, the one with the smallest id.
+
+    Documents in no group stay, rows without an id among them; a document that several rows repeat
+    stays once. No text is lost that is no near-duplicate of one that stays.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = stored_scratch(grouped_documents(own), "grouped").filter("doc_id IS NOT NULL")
+    first = found.filter("group IS NOT NULL").groupBy("group").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("least")
+    )
+    alone = found.filter("group IS NULL").select("doc_id", "text_key")
+    kept = first.select("least.doc_id", "least.text_key").unionByName(alone)
+    kept = stored_scratch(kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "kept")
+    document = [F.col("doc_id").cast("long") == F.col("_id"), text_key() == F.col("_key")]
+    named = docs.join(kept, document).dropDuplicates(["_id", "_key"]).select(*docs.columns)
     return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)

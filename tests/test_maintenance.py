@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import storage
+from tillroll.operators import profiling
 from tillroll.operators.evolution import evolved, fitted, wider
 from tillroll.operators.gates import SchemaMismatch
 from tillroll.plans import loads, reports
 from tillroll.plans.loads import batch_load, incremental_load
 from tillroll.schema import CLEANSED_SCHEMA, SOURCE_SCHEMA
-from tillroll.sinks import key_index, ledger, tables, totals
+from tillroll.sinks import key_index, ledger, profiles, tables, totals
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
+from tillroll.sources.files import csv_scan
 from tillroll.sources.tables import read_ledger, read_table, table_schema
 
 KEPT = ("Order_ID", "Product", "Quantity_Ordered", "year", "month")
@@ -377,3 +379,143 @@ def test_without_tracking_a_changed_file_is_not_looked_at(spark, source, target)
     for kw in ({"mode": "append"}, {"fmt": "delta"}, {"schema": T.StructType(SOURCE_SCHEMA.fields[:3])}):
         with pytest.raises(ValueError, match="tracked"):
             incremental_load(spark, source.folder, table, ledger, track_files=True, **kw)
+
+
+# --- packing --------------------------------------------------------------------------------
+
+
+def n_files(table):
+    return len(glob.glob(f"{table}/*/*/*.parquet"))
+
+
+@pytest.mark.parametrize("dies", [False, True])
+def test_many_appends_end_in_few_files(spark, target, monkeypatch, dies):
+    table, _ = target
+    write_table(cleansed(spark, (0, "x", 1, 2019, 4), (1, "x", 1, 2019, 5)), table)
+    small = cleansed(spark, *[(10 + i, "y", 1, 2019, 4) for i in range(40)], *[(99, None, 1, None, None)])
+    for _ in range(3):
+        append_rows(small.repartition(20), table, layout="as_is")
+    before, other = n_files(table), glob.glob(f"{table}/year=2019/month=5/*.parquet")
+    want = stored_rows(spark, table)
+    assert before > 40
+    if dies:
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "_publish_pending", lambda *_: None)
+            tables.pack_table(spark, table)
+        assert os.path.exists(f"{table}/_pending_merge") and n_files(table) == before
+        assert tables.pack_table(spark, table) == []
+    else:
+        assert [tuple(m) for m in tables.pack_table(spark, table)] == [(2019, 4)]
+    # One file, and those of the months that are not crowded.
+    assert n_files(table) <= 1 + 1 + 3
+    assert glob.glob(f"{table}/year=2019/month=5/*.parquet") == other
+    assert stored_rows(spark, table) == want
+    assert [tuple(m) for m in tables.pack_table(spark, table, spare_files=2)] == [(None, None)]
+    assert stored_rows(spark, table) == want
+    assert tables.pack_table(spark, f"{table}-none") == []
+
+
+@pytest.mark.parametrize("dies", [False, True])
+def test_a_packed_ledger_names_the_same_files(spark, source, target, monkeypatch, dies):
+    table, path = target
+    for i in range(5):
+        source(f"{i}.csv", line(i, "x", 1))
+        incremental_load(spark, source.folder, table, path)
+    want = rows(read_ledger(spark, path), "path", "batch_id")
+    many = len(glob.glob(f"{path}/*.parquet"))
+    if dies:
+        with monkeypatch.context() as patch:
+            finish, calls = ledger._finish_packing, []
+            patch.setattr(ledger, "_finish_packing", lambda *a: calls.append(a) or (finish(*a) if len(calls) < 2 else None))
+            ledger.pack_ledger(spark, path)
+        for f in glob.glob(f"{path}/*.parquet")[1:]:
+            os.remove(f)  # as if the replacement had died half way
+        assert rows(read_ledger(spark, path), "path", "batch_id") == want
+    else:
+        ledger.pack_ledger(spark, path)
+        assert len(glob.glob(f"{path}/*.parquet")) == 1 < many
+    source("new.csv", line(9, "x", 1))
+    assert incremental_load(spark, source.folder, table, path).n_files == 1
+    assert rows(read_ledger(spark, path).filter("path NOT LIKE '%new.csv'"), "path", "batch_id") == want
+    assert incremental_load(spark, source.folder, table, path).n_files == 0
+    assert not glob.glob(f"{path}_copy-*") and not os.path.exists(f"{path}_packing")
+    ledger.pack_ledger(spark, f"{path}-none")
+
+
+# --- kept profiles --------------------------------------------------------------------------
+
+
+def test_a_kept_profile_equals_the_profile_of_all_lines(spark, source, target, monkeypatch):
+    table, path = target
+    source("a.csv", line(1, "x", 2, price=1e15), ",,,,,", line(3, "", 4, price=1e15 + 2))
+    source("b.csv", line(5, "12", 1, price=1e15 + 1))
+    batch_load(spark, source.folder, table, path, keep_profile=True, track_files=True)
+    source("c.csv", line(7, "-3.5", 1, price=-4), line(2**60, "é", 9))
+    seen, states = [], profiles.column_states
+    monkeypatch.setattr(profiles, "column_states", lambda df, **kw: seen.append(df.count()) or states(df, **kw))
+    incremental_load(spark, source.folder, table, path, keep_profile=True, track_files=True)
+    source("b.csv", line(6, "13", 2), line(6, "14", 3))
+    incremental_load(spark, source.folder, table, path, keep_profile=True, track_files=True)
+    assert seen == [2, 2]  # the lines of the new file, and of the corrected one
+    lines = csv_scan(spark, source.folder)
+    want = {r.column_name: r.asDict() for r in profiling.describe_profile(lines).collect()}
+    nulls = profiling.null_profile(lines).first().asDict()
+    with_key = profiling.null_profile(lines.filter("`Order ID` IS NOT NULL")).first().asDict()
+    found = {r.column_name: r.asDict() for r in profiles.kept_profile(spark, path).collect()}
+    for name, row in want.items():
+        got = found.pop(name)
+        assert (got.pop("n_null"), got.pop("n_null_with_key")) == (nulls[name], with_key[name])
+        for c in ("mean", "sd"):
+            a, b = got.pop(c), row.pop(c)
+            assert a == b or a == pytest.approx(b, rel=1e-9)
+        assert got == row
+    assert not found
+    with pytest.raises(ValueError, match="no profiles"):
+        profiles.kept_profile(spark, f"{path}-none")
+
+
+# --- distinct estimates and top keys -----------------------------------------------------------
+
+
+def test_estimates_come_near_without_reading_rows(spark, target):
+    table, _ = target
+    write_table(many_rows(spark), table)
+    reports.keep_totals(spark, table)
+    estimate = reports.kept_distinct(spark, table)
+    assert abs(estimate.first().orders - 40_000) < 0.05 * 40_000
+    assert estimate.first().products == 1
+    assert not any(f"{table}/" in f for f in estimate.inputFiles())
+    assert abs(reports.kept_distinct(spark, table, (2019, 1), (2019, 1)).first().orders - 20_000) < 1000
+    # An order of two months counts once in their union: estimates are of unions, not sums.
+    append_rows(cleansed(spark, *[(i, "x", 1, 2019, 2) for i in range(0, 40_000, 2)]), table)
+    assert abs(reports.kept_distinct(spark, table).first().orders - 40_000) < 0.05 * 40_000
+    months = reports.kept_distinct(spark, table, by=("year", "month"))
+    assert months.count() == 12
+
+
+def test_top_keys_from_bucket_counts_equal_those_from_all_counts(spark, monkeypatch):
+    keys = ["k", "p"]
+    data = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 == 1, F.col("id") % 40).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.lit("x")).alias("p"),
+    )
+    want = rows(profiling.top_dup_keys(data, keys, 5))
+    counted = []
+    key_counts = profiling.key_counts
+
+    def spied(df, by=keys):
+        out = key_counts(df, by)
+        if list(by) == keys:
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(profiling, "key_counts", spied)
+    assert rows(profiling.top_dup_keys_of_stored(data, keys, 5)) == want
+    assert counted[-1] < 1000 < data.distinct().count()  # few keys were counted one by one
+    # Too few buckets to tell keys apart, ties at the end, fewer keys than asked for, none.
+    for n, buckets, fullest in ((20, 4, 2), (37, 64, 3), (50, 1 << 20, 60)):
+        got = profiling.top_dup_keys_of_stored(data, keys, n, buckets, fullest)
+        assert rows(got) == rows(profiling.top_dup_keys(data, keys, n))
+    few = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, p string")
+    assert rows(profiling.top_dup_keys_of_stored(few, keys, 20)) == [(1, "a", 2), (2, None, 1)]
+    assert profiling.top_dup_keys_of_stored(few.filter("k > 9"), keys).count() == 0

@@ -114,13 +114,13 @@ class Vocabulary:
                     out[i] = ids
         return out
 
-    def _matrix(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
+    def _matrix(self, pieces: list[bytes], width: int) -> list[list[int]]:
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         padded = b"".join(p.ljust(width, b"\0") for p in pieces)
         raw = np.frombuffer(padded, np.uint8).reshape(len(pieces), width)
         ids = self.single[raw]
         ids[np.arange(width) >= size[:, None]] = -1
-        done: list[np.ndarray] = [ids[0, :0]] * len(pieces)
+        done: list[list[int]] = [[]] * len(pieces)
         row = np.arange(len(pieces))
         ranks = self.pairs.ranks(ids[:, :-1], ids[:, 1:]) if width > 1 else ids[:, :0]
         while len(row):
@@ -128,8 +128,9 @@ class Vocabulary:
             here = np.arange(len(row))
             best = ranks[here, at] if ranks.shape[1] else np.full(len(row), NO_RANK)
             ended = best == NO_RANK
-            for k in np.flatnonzero(ended).tolist():
-                done[row[k]] = ids[k, : size[k]].copy()
+            finished = zip(row[ended].tolist(), ids[ended].tolist(), size[ended].tolist(), strict=True)
+            for k, merged, length in finished:
+                done[k] = merged[:length]
             on = ~ended
             row, ids, ranks, size = row[on], ids[on], ranks[on], size[on]
             at, best, here = at[on], best[on], np.arange(int(on.sum()))
@@ -185,13 +186,13 @@ class BpeEncoder(Encoder):
 
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
+        self._decimal = {i: b"%d," % i for i in self.vocabulary.bytes_of}
         super().__init__(
             lambda pretokens: self.vocabulary.encode([p.encode() for p in pretokens]), REMEMBERED
         )
 
     def spell(self, pretoken: str, ids: Sequence[int]) -> tuple[bytes, bytes]:
-        ids = [int(i) for i in ids]
-        return b"".join(b"%d," % i for i in ids), self.vocabulary.decode(ids)
+        return b"".join([self._decimal[i] for i in ids]), self.vocabulary.decode(ids)
 
 
 _encoders: dict[str, BpeEncoder] = {}

@@ -2,8 +2,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 from helpers import documents
 
+from tillroll.llm import pii
+from tillroll.llm.textarrays import utf8
 from tillroll.llm.pii import KINDS, base_spans, luhn, personal_data, redacted, spelled
 
 # The contract's patterns, applied as they stand.
@@ -84,6 +87,83 @@ def test_contexts_of_seeds_find_what_no_base_pattern_knows(spark):
     assert got[20].text == "note 140 please call me at <PHONE> today"
 
 
+def test_any_spelling_that_fills_a_trusted_pattern_is_found(spark):
+    rows = [(i, f"note {i * 7} please call me at +1 (201) 555-77{i:02d} today") for i in range(10, 40)]
+    rows += [(i, f"for {i} write an email to user{i}@mail{i}.example.org at once") for i in range(50, 80)]
+    hidden = {
+        101: ("so please call me at (020) 7946 0958 today", "(020) 7946 0958", "phone_like"),
+        102: ("é please call me at 0201-5557-x3, today", "0201-5557-x3", "phone_like"),
+        103: ("漢 and write an email to bob@intranet at once", "bob@intranet", "email_like"),
+        104: ("now write an email to <alice[at]example.com> at once", "alice[at]example.com", "email_like"),
+        105: ("or write an email to " + "x" * 200 + "@home at once", "x" * 200 + "@home", "email_like"),
+    }
+    rows += [(i, text) for i, (text, _, _) in hidden.items()]
+    # Plain words in such places, and words that are mostly elsewhere, are none.
+    rows += [(200, "please write an email to everybody at once"), (201, "please call me at 12:30 today")]
+    rows += [(300 + i, f"it is 12:30 by clock {i} and all is well") for i in range(5)]
+    got = {r.doc_id: r.spans for r in personal_data(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, spelling, kind) in hidden.items():
+        start = text.index(spelling)
+        assert got[i] == f"{kind}:{start}:{start + len(spelling)}", text
+    assert all(got[i] == "" for i in (200, 201, *range(300, 305)))
+
+
+def test_found_instances_lead_to_further_patterns(spark):
+    rows = [(i, f"note {i * 7} please call me at +1 (201) 555-77{i:02d} today") for i in range(10, 70)]
+    # The same unknown numbers stand in a known context and in a new one, which leads to another.
+    rows += [(100 + i, f"so please call me at 0201-{i}-x3 today") for i in range(6)]
+    rows += [(110 + i, f"our desk answers under 0201-{i}-x3 always") for i in range(6)]
+    rows += [(120, "their desk answers under 0999-7-y4 always"), (121, "the bill 0999-7-z4 is paid")]
+    got = {r.doc_id: r.spans for r in personal_data(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[112] == "phone_like:23:32" and got[120] == "phone_like:25:34" and got[121] == ""
+
+
+def test_scores_equal_a_plain_computation(spark):
+    rng = random.Random(3)
+    edges = {(rng.randrange(12), rng.randrange(60)) for _ in range(260)}
+    scores = {(i, rng.randrange(4)): rng.choice([1.0, 0.8, 0.7]) for i in range(0, 60) if rng.random() < 0.8}
+    want = {}
+    for pattern in range(12):
+        instances = {i for p, i in edges if p == pattern}
+        for rank in range(4):
+            found = [scores[i, rank] for i in instances if (i, rank) in scores]
+            confidence = sum(found) / (len(instances) + 1)
+            if confidence >= pii.CONFIDENCE and len(found) >= pii.SUPPORT:
+                want[pattern, rank] = round(confidence, 9)
+    got = pii.trusted_patterns(
+        spark.createDataFrame(list(edges), "pattern long, instance long"),
+        spark.createDataFrame([(i, rank, s) for (i, rank), s in scores.items()], "instance long, rank int, score double"),
+    )
+    assert {(r.pattern, r.rank): round(r.confidence, 9) for r in got.collect()} == want
+
+
+def test_units_equal_a_plain_split():
+    rng = random.Random(9)
+    pieces = ["(020)", "7946", "0958,", "+1", "-", "a.b", "É", "x_y", "<q>", "12", "3)", "é1", "...", "(", "9/9", "\t", "@z"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randrange(9))) for _ in range(400)]
+    own = pii.units(*utf8(pa.array(texts)))
+    data = utf8(pa.array(texts))[0].tobytes()
+    got = [(int(t), data[a:b].decode()) for t, a, b in zip(own.text, own.begin, own.end)]
+    want = []
+    for i, text in enumerate(texts):
+        units, number = [], False
+        for w in text.split():
+            numeric = bool(re.fullmatch(r"[0-9()+.,\-/;:]+", w) and re.search("[0-9]", w))
+            if numeric and number:
+                units[-1] = (units[-1][0] + " " + w, True)
+            else:
+                units.append((w, numeric))
+            number = numeric and (w[-1].isdigit() or w[-1] == ")")
+        for u, numeric in units:
+            bare = re.sub(r"^\W+|\W+$", "", u)
+            if bare:
+                front = u[: u.index(bare)]
+                kept = re.search(r"[(+]{0,2}$", front)[0] if numeric else ""
+                want.append((i, kept + bare))
+    # Runs are joined by whatever white space stands between them.
+    assert [(i, " ".join(u.split())) for i, u in got] == want
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n_chars int")
     assert personal_data(spark, df).count() == 0

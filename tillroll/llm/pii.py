@@ -1,10 +1,16 @@
 """Personal data: fixed base patterns, and identifiers found by bootstrapped contexts.
 
 The base patterns find emails, IP addresses, payment cards and phone numbers. What they find are the
-seeds: the words around a seed form lexical patterns. Spark scores the graph of patterns and
-instances in rounds: a pattern is as trustworthy as the instances it surrounds, an instance as the
-best trusted pattern around it. Trusted patterns then mark identifiers that no base pattern knows.
-Contexts are hashed; graph and occurrences stay distributed, and every count is over all documents.
+seeds: the words around a seed form lexical patterns. Whatever else fills such a pattern anywhere, a word or
+a run of number-like words, is an instance, and counts for or against it. Spark scores the graph of
+patterns and instances in rounds: a pattern is as trustworthy as the instances it surrounds, an
+instance as the best trusted pattern around it; the instances that trusted patterns discover lead to
+further patterns. In the end trusted patterns mark identifiers that no base pattern knows.
+
+Each round reads the texts twice: for all fillers of its patterns, and for all places of the instances
+found. Tasks know what to look for from bitmaps of fixed size; exact joins follow. Contexts are hashed;
+graph and places stay distributed, and every count is over all documents. A filler is marked only if
+it has a digit or a sign in it and most of its places are in trusted patterns: a plain word is none.
 """
 
 from __future__ import annotations
@@ -12,23 +18,24 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice, takewhile
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.textarrays import lowered, mixed, runs, signed, span_hashes, utf8, words
 from tillroll.storage import stored_scratch
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = tuple(f"{kind}_like" for kind in KINDS)
 # A pattern is trusted from this share of trusted instances and this many of them.
-CONFIDENCE, SUPPORT, ROUNDS = 0.6, 3, 3
-# What can be an identifier at all: its signs and how many of them are digits.
-SHORTEST, LONGEST, DIGITS = 5, 64, 4
-CONTEXT = 120  # code points on either side in which the words of a context are looked for
+CONFIDENCE, SUPPORT, ROUNDS = 0.6, 3, 2
+# Share of an instance's places that must be in trusted patterns.
+SPECIFIC = 0.5
+# Bits of the bitmaps that tell tasks what to look for: 16 million, 2 MB, whatever their number.
+BITS = 24
 
 # The base patterns, written so that no text is scanned twice. A local part is
 # found backwards from its "@"; an address cannot begin inside a run of digits.
@@ -37,9 +44,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SIGN = re.compile(r"[0-9@]")
-_SPACE = re.compile(r"\s")
-_EDGE = re.compile(r"^[^\w+]+|\W+$")
+# The signs that number-like words consist of, beside digits.
+_NUMBER_SIGNS = np.frombuffer(b"()+.,-/;:", np.uint8)
 
 
 class Span(NamedTuple):
@@ -86,55 +92,91 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
-def _key(text: str) -> int:
-    value = xxhash.xxh64_intdigest(text)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _patterns(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the lexical patterns around a stretch of text; none without a word before it."""
-    before = text[max(0, start - CONTEXT) : start].lower().split()[-2:]
-    after = text[end : end + CONTEXT].lower().split()[:1]
-    if not before:
-        return []
-    out = [f"{before[-1]} _"]
-    if len(before) == 2:
-        out.append(f"{before[0]} {before[1]} _")
-    if after:
-        out.append(f"{before[-1]} _ {after[0]}")
-    return [_key(p) for p in out]
-
-
-def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Words that could be identifiers and overlap no base span, without their punctuation."""
-    out, done, s = [], 0, 0
-    found = _SIGN.search(text)
-    while found:
-        start = found.start()
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        space = _SPACE.search(text, found.end())
-        stop = space.start() if space else len(text)
-        if SHORTEST <= stop - start <= 2 * LONGEST:
-            word = text[start:stop]
-            a = start + (m.end() if (m := _EDGE.match(word)) else 0)
-            bare = _EDGE.sub("", word)
-            while s < len(spans) and spans[s].end <= start:
-                s += 1
-            ahead = takewhile(lambda x: x.start < stop, islice(spans, s, None))
-            clear = all(x.end <= start for x in ahead)
-            if clear and SHORTEST <= len(bare) <= LONGEST and len(_digits(bare)) >= DIGITS:
-                out.append((a, a + len(bare)))
-        done = stop
-        found = _SIGN.search(text, stop)
-    return out
+class Units(NamedTuple):
+    """Words and runs of number-like words of several texts, without their punctuation."""
+
+    text: np.ndarray  # place of the text
+    begin: np.ndarray  # bytes
+    end: np.ndarray
+    instance: np.ndarray  # hash of the lower-cased spelling
+    signs: np.ndarray  # has it a digit or a sign in it?
+    patterns: np.ndarray  # three columns, 0 where there is no such context
+
 
+def units(data: np.ndarray, starts: np.ndarray) -> Units:
+    """What can fill a pattern, in order, and the patterns around each.
 
+    Words of digits and ``_NUMBER_SIGNS`` that follow each other are one unit, however many, so
+    that a number written with spaces is one. Words without a letter or digit are none. The
+    patterns of a unit are the word before it, the two words before it, and the words on both sides.
+    """
+    begin, end, per_text = words(data, starts)
+    text = np.repeat(np.arange(len(per_text)), per_text)
+    low = lowered(data)
+    digit = (data >= 48) & (data <= 57)
+    word = digit | ((low >= 97) & (low <= 122)) | (data == 95) | (data >= 128)
+
+    def inside(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(mask))
+        return total[b] - total[a]
+
+    numeric = (inside(digit | np.isin(data, _NUMBER_SIGNS), begin, end) == end - begin) & (inside(digit, begin, end) > 0)
+    last = data[end - 1] if len(end) else data[:0]
+    goes_on = np.zeros(len(begin), bool)
+    goes_on[:-1] = (
+        numeric[:-1] & numeric[1:] & (text[:-1] == text[1:]) & (((last >= 48) & (last <= 57)) | (last == 41))[:-1]
+    )
+    first = np.ones(len(begin), bool)
+    first[1:] = ~goes_on[:-1]
+    begin, end, text, numeric = begin[first], end[~goes_on], text[first], numeric[first]
+    # Punctuation on both sides goes; a plus sign or bracket in front of a number stays.
+    n = len(data)
+    places = np.arange(n)
+    after = np.minimum.accumulate(np.where(word, places, n)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(word, places, -1))
+    a = after[begin] if len(begin) else begin
+    real = a < end
+    begin, end, text, numeric, a = begin[real], end[real], text[real], numeric[real], a[real]
+    b = before[end - 1] + 1 if len(end) else end
+    for _ in range(2):
+        sign = numeric & (a > begin)
+        sign[sign] = np.isin(data[a[sign] - 1], np.frombuffer(b"(+", np.uint8))
+        a = a - sign
+    signs = inside(digit | ~word, a, b) > 0
+    instance = span_hashes(low, a, b)
+
+    def beside(shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """The unit ``shift`` places before (or after) in the same text: its hash, and is there one?"""
+        at = np.arange(len(a)) - shift
+        ok = (at >= 0) & (at < len(a))
+        ok[ok] = text[at[ok]] == text[ok]
+        return np.where(ok, instance[np.clip(at, 0, max(len(a) - 1, 0))] if len(a) else instance, 0), ok
+
+    (p1, has1), (p2, has2), (next_, has_next) = beside(1), beside(2), beside(-1)
+    patterns = np.stack(
+        [
+            np.where(has1, mixed(p1 + np.uint64(1)), 0),
+            np.where(has1 & has2, mixed(mixed(p2 + np.uint64(2)) ^ p1), 0),
+            np.where(has1 & has_next, mixed(mixed(p1 + np.uint64(3)) ^ next_), 0),
+        ],
+        axis=1,
+    ).astype(np.uint64)
+    return Units(text, a, b, instance, signs, patterns)
+
+
+def _code_points(data: np.ndarray) -> np.ndarray:
+    """How many code points begin before each byte."""
+    return np.append(0, np.cumsum((data & 0xC0) != 0x80))
+
+
+_SEEDS = pa.list_(
+    pa.struct([("rank", pa.int32()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+)
+_BASE = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())]))
 _READ = (
-    "row long, doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long,"
+    "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long,"
     "base_sha256 string, base array<struct<start: int, rank: int, end: int>>,"
-    "seeds array<struct<rank: int, instance: long, patterns: array<long>>>,"
-    "others array<struct<start: int, end: int, instance: long, patterns: array<long>>>"
+    "seeds array<struct<rank: int, instance: long, patterns: array<long>>>"
 )
 
 
@@ -142,125 +184,224 @@ def spelled(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[s.order]}:{s.start}:{s.end}" for s in spans)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text``: what is found in a document is joined to it by the first two."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
 def read_texts(docs: DataFrame) -> DataFrame:
-    """One pass over the whole texts: base spans, seeds and candidates with their contexts."""
-    names = [c.strip().split(" ")[0] for c in _READ.split(",") if "<" not in c and ">" not in c]
-    names = names[: names.index("base_sha256") + 1] + ["base", "seeds", "others"]
+    """One pass over the whole texts: base spans, and seeds with the patterns around them."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[] for _ in range(len(names) - 3)]
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                spans = base_spans(text)
-                counts = [sum(s.order == k for s in spans) for k in range(len(KINDS))]
-                seeds = [
-                    {"rank": s.order, "instance": _key(text[s.start : s.end]),
-                     "patterns": _patterns(text, s.start, s.end)}
-                    for s in spans
-                ]
-                others = [
-                    {"start": a, "end": b, "instance": _key(text[a:b]), "patterns": _patterns(text, a, b)}
-                    for a, b in candidates(text, spans)
-                ]
-                base = [{"start": s.start, "rank": s.order, "end": s.end} for s in spans]
-                digest = hashlib.sha256(spelled(spans).encode()).hexdigest()
-                row = [*counts, digest, base, seeds, others]
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            kept = [batch.column(c) for c in ("row", "doc_id", "text_key")]
-            typed = [pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True)]
-            yield pa.record_batch([*kept, *typed], names=names)
-
-    # The row number is fixed by storing the result; it tells repeated rows apart.
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_key"),
-        "text",
-    )
-    return stored_scratch(numbered.mapInArrow(read, _READ), "pii-read")
+            for run in runs(batch):
+                texts = run.column("text").fill_null("").to_pylist()
+                found = [base_spans(t) for t in texts]
+                counts = [[sum(s.order == k for s in spans) for spans in found] for k in range(len(KINDS))]
+                digests = [hashlib.sha256(spelled(spans).encode()).hexdigest() for spans in found]
+                base = [[{"start": s.start, "rank": s.order, "end": s.end} for s in spans] for spans in found]
+                yield pa.record_batch(
+                    [
+                        run.column("doc_id"),
+                        run.column("text_key"),
+                        *[pa.array(c, pa.int64()) for c in counts],
+                        pa.array(digests, pa.string()),
+                        pa.array(base, _BASE),
+                        pa.array(_seeds(run, found), _SEEDS),
+                    ],
+                    names=["doc_id", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "seeds"],
+                )
+
+    return stored_scratch(_keyed(docs).mapInArrow(read, _READ), "pii-read")
+
+
+def _seeds(run: pa.RecordBatch, found: list[list[Span]]) -> list[list[dict]]:
+    """For each base span the unit it begins in, as an instance of its kind."""
+    out: list[list[dict]] = [[] for _ in found]
+    if not any(found):
+        return out
+    data, starts = utf8(run.column("text"))
+    all_units = units(data, starts)
+    points = _code_points(data)
+    first = np.searchsorted(all_units.text, np.arange(len(found) + 1))
+    for i, spans in enumerate(found):
+        own = slice(first[i], first[i + 1])
+        ends = points[all_units.end[own]] - points[starts[i]]
+        for span in spans:
+            k = int(np.searchsorted(ends, span.start, side="right"))
+            if k < len(ends):
+                k += first[i]
+                patterns = [int(p) for p in signed(all_units.patterns[k]) if p]
+                instance = int(signed(all_units.instance[k : k + 1])[0])
+                out[i].append({"rank": span.order, "instance": instance, "patterns": patterns})
+    return out
+
+
+_PLACES = "doc_id long, text_key long, start int, end int, instance long, signs boolean, slot int, pattern long"
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """The hashes' first ``BITS`` bits as a bitmap: at most 2 MB come to the driver."""
+    at = F.shiftrightunsigned(F.col(column), 64 - BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    rows = hashes.groupBy(F.shiftrightunsigned(at, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    for row in rows.collect():
+        out[row.word] = row.bits
+    return out.view(np.uint64)
 
 
-_LIST = pa.list_(pa.int64())
-_ARROW = [
-    *[pa.int64()] * 4,
-    pa.string(),
-    pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())])),
-    pa.list_(pa.struct([("rank", pa.int32()), ("instance", pa.int64()), ("patterns", _LIST)])),
-    pa.list_(
-        pa.struct(
-            [("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("patterns", _LIST)]
-        )
-    ),
-]
+def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - BITS)
+    return ((bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def trusted_patterns(read: DataFrame) -> DataFrame:
-    """``pattern, rank``: contexts that mark identifiers of a kind, after the rounds of scoring.
+def places(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Units that fill one of the wanted patterns, a row per pattern; or with ``column`` "instance"
+    all places of the wanted instances, a row for the place (slot -1) and one per pattern around it."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, column))
 
-    A pattern's confidence in a kind is the sum of its distinct instances' scores over their
-    number plus one. Seeds score 1; another instance scores what the best trusted pattern
-    around it does. All sums are combined before their shuffle, so frequent words do no harm.
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run in runs(batch):
+                data, starts = utf8(run.column("text"))
+                own = units(data, starts)
+                if column == "pattern":
+                    at, slot = np.nonzero((own.patterns != 0) & _marked(bits.value, own.patterns))
+                else:
+                    hit = np.flatnonzero(_marked(bits.value, own.instance))
+                    k, slot = np.nonzero(own.patterns[hit])
+                    at, slot = np.append(hit, hit[k]), np.append(np.full(len(hit), -1), slot)
+                points = _code_points(data)
+                origin = points[starts[own.text[at]]]
+                pattern = np.where(slot >= 0, own.patterns[at, slot], np.uint64(0))
+                where = pa.array(own.text[at])
+                yield pa.record_batch(
+                    [
+                        run.column("doc_id").take(where),
+                        run.column("text_key").take(where),
+                        pa.array((points[own.begin[at]] - origin).astype(np.int32)),
+                        pa.array((points[own.end[at]] - origin).astype(np.int32)),
+                        pa.array(signed(own.instance[at])),
+                        pa.array(own.signs[at]),
+                        pa.array(slot.astype(np.int32)),
+                        pa.array(signed(pattern)),
+                    ],
+                    names=[c.split()[0] for c in _PLACES.split(", ")],
+                )
+
+    found = _keyed(docs).mapInArrow(find, _PLACES)
+    found = stored_scratch(found.join(wanted.select(column).distinct(), column, "left_semi"), f"pii-{column}s")
+    bits.unpersist()
+    return found
+
+
+def trusted_patterns(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """``pattern, rank, confidence`` of trusted patterns: one round of scoring.
+
+    ``edges`` are ``pattern, instance``, once each, with all instances of a pattern; ``scores`` are
+    ``instance, rank, score``. A pattern's confidence in a kind is the sum of its instances'
+    scores over the number of all its instances plus one. Sums are combined before their shuffle.
     """
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
+    summed = edges.join(scores, "instance").groupBy("pattern", "rank").agg(
+        F.sum("score").alias("total"), F.count(F.lit(1)).alias("support")
+    )
+    confidence = F.col("total") / (F.col("size") + 1)
+    found = summed.join(sizes, "pattern").withColumn("confidence", confidence)
+    found = found.filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
+    return found.select("pattern", "rank", "confidence")
+
+
+def _supported(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """Patterns with enough scored instances of a kind to be trusted, if they have few others."""
+    summed = edges.join(scores, "instance").groupBy("pattern", "rank").agg(F.count(F.lit(1)).alias("support"))
+    return summed.filter(F.col("support") >= SUPPORT).select("pattern").distinct()
+
+
+def discovered(docs: DataFrame, read: DataFrame) -> DataFrame:
+    """``doc_id, text_key, found``: spans that trusted patterns mark, of documents that have any."""
     seeds = read.select(F.explode("seeds").alias("s")).select("s.rank", "s.instance", "s.patterns")
-    others = read.select(F.explode("others").alias("s")).select("s.instance", "s.patterns")
-    seed_scores = stored_scratch(
+    known = stored_scratch(
         seeds.select("instance", "rank").distinct().withColumn("score", F.lit(1.0)), "seeds"
     )
-    edges = seeds.select(F.explode("patterns").alias("pattern"), "instance").unionByName(
-        others.select(F.explode("patterns").alias("pattern"), "instance")
-    )
-    edges = stored_scratch(edges.distinct(), "pattern-graph")
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
-    # Only patterns with enough instances can ever be trusted.
-    sizes = stored_scratch(sizes.filter(F.col("size") >= SUPPORT), "pattern-sizes")
-    edges = stored_scratch(edges.join(sizes.select("pattern"), "pattern"), "pattern-edges")
-    scores = seed_scores
+    scores = known
+    around = seeds.select(F.explode("patterns").alias("pattern"), "instance").distinct()
+    fillers: list[DataFrame] = []
+    sightings: list[DataFrame] = []
+    wanted = stored_scratch(_supported(around, scores), "patterns")
+    trusted = None
     for step in range(ROUNDS):
-        summed = edges.join(scores, "instance").groupBy("pattern", "rank").agg(
-            F.sum("score").alias("total"), F.count(F.lit(1)).alias("support")
-        )
-        trusted = (
-            summed.join(sizes, "pattern")
-            .withColumn("confidence", F.col("total") / (F.col("size") + 1))
-            .filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
-            .select("pattern", "rank", "confidence")
-        )
-        trusted = stored_scratch(trusted, f"trusted-{step}")
-        if step + 1 < ROUNDS:
-            reached = edges.join(trusted, "pattern").groupBy("instance", "rank").agg(
-                F.max("confidence").alias("score")
-            )
-            scores = stored_scratch(
-                seed_scores.unionByName(reached)
-                .groupBy("instance", "rank")
-                .agg(F.max("score").alias("score")),
-                f"scores-{step}",
-            )
-    return trusted
-
-
-def discovered(read: DataFrame) -> DataFrame:
-    """``row, found``: spans that trusted patterns mark, of rows that have any."""
-    trusted = trusted_patterns(read)
-    occurrences = read.select("row", F.explode("others").alias("o")).select(
-        "row", "o.start", "o.end", F.explode("o.patterns").alias("pattern")
-    )
+        if wanted.isEmpty():
+            break
+        fillers.append(places(docs, wanted, "pattern"))
+        edges = stored_scratch(_union([f.select("pattern", "instance") for f in fillers]).distinct(), "pattern-graph")
+        trusted = stored_scratch(trusted_patterns(edges, scores), f"trusted-{step}")
+        reached = edges.join(trusted, "pattern").groupBy("instance", "rank").agg(F.max("confidence").alias("score"))
+        old = scores
+        scores = known.unionByName(reached).groupBy("instance", "rank").agg(F.max("score").alias("score"))
+        scores = stored_scratch(scores, f"scores-{step}")
+        new = scores.join(old.select("instance").distinct(), "instance", "left_anti").select("instance").distinct()
+        new = stored_scratch(new, "new-instances")
+        if new.isEmpty():
+            break
+        sightings.append(places(docs, new, "instance"))
+        # Patterns around what was found, beyond those that were looked at already.
+        more = _union([s.filter("slot >= 0").select("pattern", "instance") for s in sightings])
+        candidates = _supported(more.unionByName(around).distinct(), scores)
+        wanted = stored_scratch(candidates.join(edges.select("pattern").distinct(), "pattern", "left_anti"), "patterns")
+    if trusted is None or not sightings:
+        return read.select("doc_id", "text_key", F.col("base").alias("found")).limit(0)
+    place = ["doc_id", "text_key", "start", "end", "instance"]
     best = (
-        occurrences.join(trusted, "pattern")
-        .groupBy("row", "start", "end")
+        _union(fillers)
+        .filter("signs")
+        .join(trusted, "pattern")
+        .groupBy(*place)
         .agg(F.max(F.struct("confidence", F.negative("rank").alias("back"))).alias("best"))
-        .select("row", "start", (len(KINDS) - F.col("best.back")).alias("rank"), "end")
+        .withColumn("rank", F.negative(F.col("best.back")))
+    )
+    best = stored_scratch(best.select(*place, "rank"), "trusted-places")
+    inside = best.groupBy("instance").agg(F.count(F.lit(1)).alias("inside"))
+    everywhere = (
+        _union(sightings).filter("slot < 0").select(*place).distinct().groupBy("instance").agg(F.count(F.lit(1)).alias("n"))
+    )
+    specific = inside.join(everywhere, "instance").filter(F.col("inside") >= SPECIFIC * F.col("n"))
+    span = F.struct("start", (F.col("rank") + len(KINDS)).cast("int").alias("rank"), "end")
+    found = best.join(specific.select("instance"), "instance", "left_semi").groupBy("doc_id", "text_key").agg(
+        F.collect_list(span).alias("found")
+    )
+    # A base span stays what it is: nothing found may overlap one.
+    base = read.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "base").dropDuplicates(["id", "key"])
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    free = F.filter(
+        "found", lambda f: ~F.exists("base", lambda b: (b["start"] < f["end"]) & (f["start"] < b["end"]))
     )
-    span = F.struct("start", F.col("rank").cast("int").alias("rank"), "end")
-    return best.groupBy("row").agg(F.collect_list(span).alias("found"))
+    found = found.join(base, same).select("doc_id", "text_key", free.alias("found"))
+    return found.filter(F.size("found") > 0)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame)
+    return whole
 
 
 def _names() -> Column:
     return F.array(*[F.lit(k) for k in (*KINDS, *FOUND)])
 
 
+def _with_found(rows: DataFrame, docs: DataFrame, read: DataFrame) -> DataFrame:
+    """``rows`` of ``doc_id, text_key`` with ``_pii_found``, null where nothing was found."""
+    found = discovered(docs, read).select(
+        F.col("doc_id").alias("_pii_id"), F.col("text_key").alias("_pii_key"), F.col("found").alias("_pii_found")
+    )
+    found = stored_scratch(found, "pii-found")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_pii_id")) & (F.col("_text_key") == F.col("_pii_key"))
+    return rows.join(found, same, "left").drop("_pii_id", "_pii_key")
+
+
 def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id``, counts and digest of base spans, and all ``spans``.
 
@@ -269,9 +410,9 @@ def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ``phone_like``. Equal starts are in the order of ``KINDS``. Other columns are not looked at.
     """
     read = read_texts(docs)
-    rows = read.drop("seeds", "others").join(discovered(read), "row", "left")
+    rows = _with_found(read.withColumnRenamed("text_key", "_text_key"), docs, read)
     none = F.array().cast("array<struct<start: int, rank: int, end: int>>")
-    spans = F.array_sort(F.concat("base", F.coalesce("found", none)))
+    spans = F.array_sort(F.concat("base", F.coalesce("_pii_found", none)))
     text = F.transform(
         spans, lambda s: F.concat_ws(":", F.get(_names(), s["rank"]), s["start"], s["end"])
     )
@@ -285,24 +426,8 @@ def redacted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ``n_chars``, if there, becomes the new text's number of code points. Null texts stay null.
     """
     read = read_texts(docs)
-    found = (
-        read.select("row", "doc_id", "text_key")
-        .join(discovered(read), "row")
-        .dropDuplicates(["doc_id", "text_key"])
-        .select(
-            F.col("doc_id").alias("_pii_id"),
-            F.col("text_key").alias("_pii_key"),
-            F.col("found").alias("_pii_found"),
-        )
-    )
-    found = stored_scratch(found, "pii-found")
     kept = docs.columns
-    joined = docs.join(
-        found,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_pii_id"))
-        & (F.xxhash64("text") == F.col("_pii_key")),
-        "left",
-    ).drop("_pii_id", "_pii_key")
+    joined = _with_found(docs.withColumn("_text_key", F.xxhash64("text")), docs, read).drop("_text_key")
     has_length = "n_chars" in kept
     schema = docs.schema
 

@@ -7,10 +7,13 @@ patterns and instances in rounds: a pattern is as trustworthy as the instances i
 instance as the best trusted pattern around it; the instances that trusted patterns discover lead to
 further patterns. In the end trusted patterns mark identifiers that no base pattern knows.
 
-Each round reads the texts twice: for all fillers of its patterns, and for all places of the instances
-found. Tasks know what to look for from bitmaps of fixed size; exact joins follow. Contexts are hashed;
-graph and places stay distributed, and every count is over all documents. A filler is marked only if
-it has a digit or a sign in it and most of its places are in trusted patterns: a plain word is none.
+Each round reads the texts three times. The first pass bounds from below how many different fillers each
+pattern has, by the bits they set in a small bitmap per pattern; a pattern with too many for its
+trusted ones can never be trusted and goes. The second gathers all fillers of the others, the third all
+places of the instances found. Tasks know what to look for from bitmaps of fixed size; exact joins
+follow. Contexts are hashed; graph and places stay distributed, and every count is over all documents.
+A filler is scored and marked only if it has a digit or a sign in it, and marked if most of its places
+are in trusted patterns: a plain word is no identifier, but counts against its patterns.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ CONFIDENCE, SUPPORT, ROUNDS = 0.6, 3, 2
 SPECIFIC = 0.5
 # Bits of the bitmaps that tell tasks what to look for: 16 million, 2 MB, whatever their number.
 BITS = 24
+# Words of 64 bits in which the fillers of a pattern leave their marks, and rows that a task holds.
+MARKS, HELD = 4, 1 << 20
 
 # The base patterns, written so that no text is scanned twice. A local part is
 # found backwards from its "@"; an address cannot begin inside a run of digits.
@@ -237,7 +242,7 @@ def _seeds(run: pa.RecordBatch, found: list[list[Span]]) -> list[list[dict]]:
     return out
 
 
-_PLACES = "doc_id long, text_key long, start int, end int, instance long, signs boolean, slot int, pattern long"
+_PLACES = "doc_id long, text_key long, start int, end int, instance long, slot int, pattern long"
 
 
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
@@ -256,44 +261,124 @@ def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def places(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """Units that fill one of the wanted patterns, a row per pattern; or with ``column`` "instance"
-    all places of the wanted instances, a row for the place (slot -1) and one per pattern around it."""
+def _scan(docs: DataFrame, wanted: DataFrame, column: str, find, schema: str) -> DataFrame:
+    """Rows that ``find`` makes, per task, of the units of each run of texts that fill one of the
+    wanted patterns, or with ``column`` "instance" are wanted instances; and few other rows.
+
+    ``find`` takes batches of ``(run, data, starts, units, marked)``.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, column))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in runs(batch):
-                data, starts = utf8(run.column("text"))
-                own = units(data, starts)
-                if column == "pattern":
-                    at, slot = np.nonzero((own.patterns != 0) & _marked(bits.value, own.patterns))
-                else:
-                    hit = np.flatnonzero(_marked(bits.value, own.instance))
-                    k, slot = np.nonzero(own.patterns[hit])
-                    at, slot = np.append(hit, hit[k]), np.append(np.full(len(hit), -1), slot)
-                points = _code_points(data)
-                origin = points[starts[own.text[at]]]
-                pattern = np.where(slot >= 0, own.patterns[at, slot], np.uint64(0))
-                where = pa.array(own.text[at])
-                yield pa.record_batch(
-                    [
-                        run.column("doc_id").take(where),
-                        run.column("text_key").take(where),
-                        pa.array((points[own.begin[at]] - origin).astype(np.int32)),
-                        pa.array((points[own.end[at]] - origin).astype(np.int32)),
-                        pa.array(signed(own.instance[at])),
-                        pa.array(own.signs[at]),
-                        pa.array(slot.astype(np.int32)),
-                        pa.array(signed(pattern)),
-                    ],
-                    names=[c.split()[0] for c in _PLACES.split(", ")],
-                )
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pieces() -> Iterator[tuple]:
+            for batch in batches:
+                for run in runs(batch):
+                    data, starts = utf8(run.column("text"))
+                    own = units(data, starts)
+                    hashes = own.patterns if column == "pattern" else own.instance
+                    yield run, data, starts, own, (hashes != 0) & _marked(bits.value, hashes)
+
+        yield from find(pieces())
 
-    found = _keyed(docs).mapInArrow(find, _PLACES)
-    found = stored_scratch(found.join(wanted.select(column).distinct(), column, "left_semi"), f"pii-{column}s")
-    bits.unpersist()
-    return found
+    return _keyed(docs).mapInArrow(read, schema)
+
+
+def _folded(keys: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of equal keys as one, their bits united."""
+    order = np.argsort(keys, kind="stable")
+    keys, bits = keys[order], bits[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.bitwise_or.reduceat(bits, first, axis=0) if len(first) else bits
+
+
+def filler_bounds(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pattern, at_least``: a lower bound of the different fillers of each wanted pattern.
+
+    Every filler sets the bit that its hash names; there are at least as many as bits are set.
+    """
+    names = [f"m{i}" for i in range(MARKS)]
+
+    def find(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        keys, bits = np.empty(0, np.uint64), np.empty((0, MARKS), np.uint64)
+
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(signed(np.ascontiguousarray(bits[:, i]))) for i in range(MARKS)]
+            return pa.record_batch([pa.array(signed(keys)), *columns], names=["pattern", *names])
+
+        for _, _, _, own, marked in pieces:
+            at, slot = np.nonzero(marked)
+            place = (own.instance[at] >> np.uint64(32)) % np.uint64(64 * MARKS)
+            new = np.zeros((len(at), MARKS), np.uint64)
+            new[np.arange(len(at)), (place >> np.uint64(6)).astype(np.int64)] = np.uint64(1) << (place & np.uint64(63))
+            folded, marks = _folded(own.patterns[at, slot], new)
+            keys, bits = _folded(np.append(keys, folded), np.concatenate([bits, marks]))
+            if len(keys) > HELD:
+                yield rows()
+                keys, bits = keys[:0], bits[:0]
+        yield rows()
+
+    schema = ", ".join(f"{c} long" for c in ("pattern", *names))
+    found = _scan(docs, wanted, "pattern", find, schema).groupBy("pattern").agg(*[F.bit_or(c).alias(c) for c in names])
+    at_least = sum((F.bit_count(c) for c in names), F.lit(0))
+    return found.select("pattern", at_least.alias("at_least")).join(wanted, "pattern", "left_semi")
+
+
+def filler_edges(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pattern, instance, signs``, once each: everything that fills the wanted patterns."""
+
+    def find(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            pattern, instance, signs = (np.concatenate([h[i] for h in held]) for i in range(3))
+            order = np.lexsort((instance, pattern))
+            pattern, instance, signs = pattern[order], instance[order], signs[order]
+            new = np.ones(len(pattern), bool)
+            new[1:] = (pattern[1:] != pattern[:-1]) | (instance[1:] != instance[:-1])
+            columns = [pa.array(signed(pattern[new])), pa.array(signed(instance[new])), pa.array(signs[new])]
+            return pa.record_batch(columns, names=["pattern", "instance", "signs"])
+
+        for _, _, _, own, marked in pieces:
+            at, slot = np.nonzero(marked)
+            held.append((own.patterns[at, slot], own.instance[at], own.signs[at]))
+            size += len(at)
+            if size > HELD:
+                yield rows()
+                held, size = [], 0
+        if held:
+            yield rows()
+
+    found = _scan(docs, wanted, "pattern", find, "pattern long, instance long, signs boolean")
+    return found.join(wanted, "pattern", "left_semi").distinct()
+
+
+def sightings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All places of the wanted instances: a row for each (slot -1) and one per pattern around it."""
+    names = [c.split()[0] for c in _PLACES.split(", ")]
+
+    def find(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for run, data, starts, own, marked in pieces:
+            hit = np.flatnonzero(marked)
+            k, slot = np.nonzero(own.patterns[hit])
+            at, slot = np.append(hit, hit[k]), np.append(np.full(len(hit), -1), slot)
+            points = _code_points(data)
+            origin = points[starts[own.text[at]]]
+            pattern = np.where(slot >= 0, own.patterns[at, slot], np.uint64(0))
+            where = pa.array(own.text[at])
+            yield pa.record_batch(
+                [
+                    run.column("doc_id").take(where),
+                    run.column("text_key").take(where),
+                    pa.array((points[own.begin[at]] - origin).astype(np.int32)),
+                    pa.array((points[own.end[at]] - origin).astype(np.int32)),
+                    pa.array(signed(own.instance[at])),
+                    pa.array(slot.astype(np.int32)),
+                    pa.array(signed(pattern)),
+                ],
+                names=names,
+            )
+
+    return _scan(docs, wanted, "instance", find, _PLACES).join(wanted, "instance", "left_semi")
 
 
 def trusted_patterns(edges: DataFrame, scores: DataFrame) -> DataFrame:
@@ -313,10 +398,20 @@ def trusted_patterns(edges: DataFrame, scores: DataFrame) -> DataFrame:
     return found.select("pattern", "rank", "confidence")
 
 
-def _supported(edges: DataFrame, scores: DataFrame) -> DataFrame:
-    """Patterns with enough scored instances of a kind to be trusted, if they have few others."""
-    summed = edges.join(scores, "instance").groupBy("pattern", "rank").agg(F.count(F.lit(1)).alias("support"))
-    return summed.filter(F.col("support") >= SUPPORT).select("pattern").distinct()
+def _candidates(docs: DataFrame, edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """``pattern``: those that can be trusted at all, by their scored instances and by how many
+    fillers they have at least."""
+    summed = edges.join(scores, "instance").groupBy("pattern", "rank").agg(
+        F.sum("score").alias("total"), F.count(F.lit(1)).alias("support")
+    )
+    enough = summed.filter(F.col("support") >= SUPPORT).groupBy("pattern").agg(F.max("total").alias("total"))
+    enough = stored_scratch(enough, "supported-patterns")
+    if enough.isEmpty():
+        return enough.select("pattern")
+    bounds = filler_bounds(docs, enough.select("pattern"))
+    return enough.join(bounds, "pattern").filter(
+        F.col("total") >= CONFIDENCE * (F.col("at_least") + 1)
+    ).select("pattern")
 
 
 def discovered(docs: DataFrame, read: DataFrame) -> DataFrame:
@@ -327,35 +422,37 @@ def discovered(docs: DataFrame, read: DataFrame) -> DataFrame:
     )
     scores = known
     around = seeds.select(F.explode("patterns").alias("pattern"), "instance").distinct()
-    fillers: list[DataFrame] = []
-    sightings: list[DataFrame] = []
-    wanted = stored_scratch(_supported(around, scores), "patterns")
+    graph: list[DataFrame] = []
+    seen: list[DataFrame] = []
+    wanted = stored_scratch(_candidates(docs, around, scores), "patterns")
     trusted = None
-    for step in range(ROUNDS):
+    for _ in range(ROUNDS):
         if wanted.isEmpty():
             break
-        fillers.append(places(docs, wanted, "pattern"))
-        edges = stored_scratch(_union([f.select("pattern", "instance") for f in fillers]).distinct(), "pattern-graph")
-        trusted = stored_scratch(trusted_patterns(edges, scores), f"trusted-{step}")
-        reached = edges.join(trusted, "pattern").groupBy("instance", "rank").agg(F.max("confidence").alias("score"))
+        graph.append(stored_scratch(filler_edges(docs, wanted), "pattern-graph"))
+        edges = _union(graph)
+        trusted = stored_scratch(trusted_patterns(edges, scores), "trusted")
+        reached = (
+            edges.filter("signs").join(trusted, "pattern").groupBy("instance", "rank").agg(F.max("confidence").alias("score"))
+        )
         old = scores
         scores = known.unionByName(reached).groupBy("instance", "rank").agg(F.max("score").alias("score"))
-        scores = stored_scratch(scores, f"scores-{step}")
+        scores = stored_scratch(scores, "scores")
         new = scores.join(old.select("instance").distinct(), "instance", "left_anti").select("instance").distinct()
         new = stored_scratch(new, "new-instances")
         if new.isEmpty():
             break
-        sightings.append(places(docs, new, "instance"))
+        seen.append(stored_scratch(sightings(docs, new), "sightings"))
         # Patterns around what was found, beyond those that were looked at already.
-        more = _union([s.filter("slot >= 0").select("pattern", "instance") for s in sightings])
-        candidates = _supported(more.unionByName(around).distinct(), scores)
-        wanted = stored_scratch(candidates.join(edges.select("pattern").distinct(), "pattern", "left_anti"), "patterns")
-    if trusted is None or not sightings:
+        more = _union([s.filter("slot >= 0").select("pattern", "instance") for s in seen]).unionByName(around).distinct()
+        more = more.join(edges.select("pattern").distinct(), "pattern", "left_anti")
+        wanted = stored_scratch(_candidates(docs, more, scores), "patterns")
+    if trusted is None or not seen:
         return read.select("doc_id", "text_key", F.col("base").alias("found")).limit(0)
     place = ["doc_id", "text_key", "start", "end", "instance"]
     best = (
-        _union(fillers)
-        .filter("signs")
+        _union(seen)
+        .filter("slot >= 0")
         .join(trusted, "pattern")
         .groupBy(*place)
         .agg(F.max(F.struct("confidence", F.negative("rank").alias("back"))).alias("best"))
@@ -364,7 +461,7 @@ def discovered(docs: DataFrame, read: DataFrame) -> DataFrame:
     best = stored_scratch(best.select(*place, "rank"), "trusted-places")
     inside = best.groupBy("instance").agg(F.count(F.lit(1)).alias("inside"))
     everywhere = (
-        _union(sightings).filter("slot < 0").select(*place).distinct().groupBy("instance").agg(F.count(F.lit(1)).alias("n"))
+        _union(seen).filter("slot < 0").select(*place).distinct().groupBy("instance").agg(F.count(F.lit(1)).alias("n"))
     )
     specific = inside.join(everywhere, "instance").filter(F.col("inside") >= SPECIFIC * F.col("n"))
     span = F.struct("start", (F.col("rank") + len(KINDS)).cast("int").alias("rank"), "end")

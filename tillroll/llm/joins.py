@@ -14,11 +14,11 @@ def _position(key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, F.lit(5)), 64 - FILTER_BITS)
 
 
-def rows_with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` is among ``keys``; texts of other rows are mostly not shuffled.
+def likely_rows(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """All rows whose ``key`` is among ``keys``, and few others, found where they lie.
 
-    A bitmap of the keys' hashes, of fixed size, goes to all tasks and leaves out rows before
-    the exact semi-join. With very many keys it leaves out less; the result is the same.
+    A bitmap of the keys' hashes, of fixed size, goes to all tasks. With very many keys it leaves
+    out less; an exact join has to follow.
     """
     at = _position(F.col(key))
     word, bit = F.shiftrightunsigned(at, _WORD), (at % (1 << _WORD)).cast("int")
@@ -26,5 +26,9 @@ def rows_with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_filter_bits")
     )
     likely = rows.join(F.broadcast(bits), word == F.col("_filter_word"))
-    likely = likely.filter(F.getbit("_filter_bits", bit) == 1).select(*rows.columns)
-    return likely.join(keys, key, "left_semi")
+    return likely.filter(F.getbit("_filter_bits", bit) == 1).select(*rows.columns)
+
+
+def rows_with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is among ``keys``; texts of other rows are mostly not shuffled."""
+    return likely_rows(rows, keys, key).join(keys, key, "left_semi")

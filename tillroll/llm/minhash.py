@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.joins import rows_with_keys
+from tillroll.llm.joins import likely_rows
 from tillroll.llm.textarrays import lowered, mixed, runs, signed, utf8, word_hashes, words
 from tillroll.storage import stored_scratch
 
@@ -147,9 +147,9 @@ def texts_of(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """``rep, text`` of the given representatives; texts of other documents are mostly not shuffled."""
     wanted = reps.select("rep", "doc_id", "text_key").join(ids, "rep", "left_semi")
     wanted = stored_scratch(wanted, "wanted-texts")
-    rows = rows_with_keys(docs, wanted.select("doc_id").distinct(), "doc_id")
-    rows = rows.withColumn("text_key", text_key()).join(wanted, ["doc_id", "text_key"])
-    return rows.select("rep", "text").dropDuplicates(["rep"])
+    rows = likely_rows(docs, wanted, "doc_id").withColumn("text_key", text_key())
+    document = ["doc_id", "text_key"]
+    return rows.join(wanted, document).dropDuplicates(document).select("rep", "text")
 
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -31,6 +31,8 @@ EPSILON = math.sqrt(2 - 2 * COSINE) * (1 + 1e-9) + 1e-12
 # Principal dimensions come from about this many vectors; they only decide what can be skipped.
 SAMPLE, LEADING = 20_000, 8
 BLOCK, LEAF = 512, 64
+# Neighbouring blocks that are sent together.
+TILE = 16
 _NAMED = "label long, dim int, rep long, size long"
 
 
@@ -221,52 +223,64 @@ def _smallest_linked(linked: np.ndarray, reps: np.ndarray) -> np.ndarray:
 
 
 def link_blocks(found: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
-    """``rep, reach, n``: per block pair and vector the linked vectors and the smallest reached."""
+    """``rep, reach, n``: per block pair and vector the linked vectors and the smallest reached.
 
-    def unpack(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        reps = np.frombuffer(row[f"reps_{side}"], np.int64)
-        sizes = np.frombuffer(row[f"sizes_{side}"], np.int64)
-        return reps, sizes, np.frombuffer(row[f"vectors_{side}"], np.float64).reshape(len(reps), -1)
+    Pairs are compared tile by tile: ``TILE`` neighbouring blocks of the grid order against as many
+    others. A block is sent to a tile pair once, however many partners it has there.
+    """
+
+    def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        reps, sizes = (np.frombuffer(row[c], np.int64) for c in ("reps", "sizes"))
+        own = np.frombuffer(row["vectors"], np.float64).reshape(len(reps), -1)
+        return reps, sizes, own, _projected(own, axes)
+
+    def compare(held: dict[int, tuple], pairs: list[dict]) -> Iterator[pa.RecordBatch]:
+        for pair in pairs:
+            same = pair["a"] == pair["b"]
+            reps, sizes, a, at_a = held[pair["a"]]
+            other, other_sizes, b, at_b = held[pair["b"]]
+            linked = _near_mask(a, b, at_a, at_b)
+            if same:
+                np.fill_diagonal(linked, False)
+                linked |= linked.T  # rounding may differ with the order of the factors
+                names, count, both = reps, linked @ sizes, linked
+            else:
+                names = np.concatenate([reps, other])
+                count = np.concatenate([linked @ other_sizes, linked.T @ sizes])
+                both = np.block(
+                    [
+                        [np.zeros((len(reps),) * 2, bool), linked],
+                        [linked.T, np.zeros((len(other),) * 2, bool)],
+                    ]
+                )
+            some = np.flatnonzero(count)
+            if len(some):
+                both, names = both[np.ix_(some, some)], names[some]
+                yield pa.record_batch(
+                    [names, _smallest_linked(both, names), count[some].astype(np.int64)],
+                    names=["rep", "reach", "n"],
+                )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, pairs = None, {}, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                same = row["a"] == row["b"]
-                reps, sizes, a = unpack(row, "a")
-                other, other_sizes, b = (reps, sizes, a) if same else unpack(row, "b")
-                linked = _near_mask(a, b, _projected(a, axes), _projected(b, axes))
-                if same:
-                    np.fill_diagonal(linked, False)
-                    linked |= linked.T  # rounding may differ with the order of the factors
-                    names, count, both = reps, linked @ sizes, linked
-                else:
-                    names = np.concatenate([reps, other])
-                    count = np.concatenate([linked @ other_sizes, linked.T @ sizes])
-                    both = np.block(
-                        [
-                            [np.zeros((len(reps),) * 2, bool), linked],
-                            [linked.T, np.zeros((len(other),) * 2, bool)],
-                        ]
-                    )
-                some = np.flatnonzero(count)
-                if len(some):
-                    both, names = both[np.ix_(some, some)], names[some]
-                    yield pa.record_batch(
-                        [names, _smallest_linked(both, names), count[some].astype(np.int64)],
-                        names=["rep", "reach", "n"],
-                    )
+                if (row["ta"], row["tb"]) != key:
+                    yield from compare(held, pairs)
+                    key, held, pairs = (row["ta"], row["tb"]), {}, row["pairs"]
+                held[row["block"]] = unpack(row)
+        yield from compare(held, pairs)
 
     pairs = block_pairs(found)
-    for side in "ab":
-        payload = found.select(
-            F.col("block").alias(side),
-            F.col("reps").alias(f"reps_{side}"),
-            F.col("sizes").alias(f"sizes_{side}"),
-            F.col("vectors").alias(f"vectors_{side}"),
-        )
-        pairs = pairs.join(payload, side)
-    return pairs.mapInArrow(compare, "rep long, reach long, n long")
+    tile = [F.floor(F.col(c) / TILE).cast("long").alias(f"t{c}") for c in "ab"]
+    pairs = stored_scratch(pairs.select("a", "b", *tile), "block-pairs")
+    # At most TILE * TILE pairs, of ids only, go with every block of a tile pair.
+    lists = pairs.groupBy("ta", "tb").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    needed = pairs.select("ta", "tb", F.explode(F.array("a", "b")).alias("block")).distinct()
+    rows = needed.join(lists, ["ta", "tb"]).join(found.select("block", "reps", "sizes", "vectors"), "block")
+    rows = rows.repartition("ta", "tb").sortWithinPartitions("ta", "tb", "block")
+    return rows.mapInArrow(tiles, "rep long, reach long, n long")
 
 
 def near_vectors(spark: SparkSession, vectors: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bench import session, timed
 from tillroll import fixtures
-from tillroll.operators import cleansing
+from tillroll.operators import cleansing, profiling
 from tillroll.plans import loads, reports
 from tillroll.schema import KEYS, ORDER_ID, QUANTITY, SOURCE_SCHEMA
 from tillroll.sinks.tables import write_table
@@ -67,7 +67,8 @@ def main() -> None:
     rows = stored_scratch(cleansing.remove_nulls(spark.read.schema(SOURCE_SCHEMA).csv(folder, header=True)), "rows")
     cleansed = stored_scratch(cleansing.cleanse(rows), "cleansed")
     table = scratch_path(spark, "table")
-    write_table(cleansed, table)
+    write_table(cleansed, table, layout="clustered")
+    reports.keep_totals(spark, table)
 
     def path() -> str:
         return scratch_path(spark, "out")
@@ -83,12 +84,16 @@ def main() -> None:
         "batch, fail gate": lambda: loads.batch_load(spark, folder, path(), path(), gate="fail"),
         "batch, strict gate": lambda: loads.batch_load(spark, folder, path(), path(), gate="strict"),
         "batch, plain": lambda: plain_batch(spark, folder, path()),
+        "write, clustered": lambda: write_table(cleansed, path(), layout="clustered"),
         "write, rebalance": lambda: write_table(cleansed, path()),
         "write, as_is": lambda: write_table(cleansed, path(), layout="as_is"),
         "report, all months": lambda: noop(reports.monthly_report(read_table(spark, table))),
         "report, one month": lambda: noop(
             reports.monthly_report(read_table(spark, table), (2020, 6), (2020, 6))
         ),
+        "report, kept totals": lambda: noop(reports.kept_report(spark, table)),
+        "top keys, all counts": lambda: noop(profiling.top_dup_keys(rows)),
+        "top keys, bounded": lambda: noop(profiling.top_dup_keys_of_stored(rows)),
     }
     seconds = {}
     for name, run in forms.items():

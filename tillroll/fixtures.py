@@ -76,9 +76,19 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_sales: dict[tuple[str, str], DataFrame] = {}
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty source rows, as a typed scan of the CSV files would give them."""
-    return _lines(spark, sf_dir).select(*SOURCE_SCHEMA.fieldNames())
+    """Dirty source rows, as a typed scan of the CSV files would give them.
+
+    Derived and stored once per session and table folder: they are the queries' input, and the
+    joins that make them are no part of what a query does.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _sales:
+        _sales[key] = stored_scratch(_lines(spark, sf_dir).select(*SOURCE_SCHEMA.fieldNames()), "sales")
+    return _sales[key]
 
 
 LATE = ("conforming", "drifted", "wrong", "decoys")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF, documents
 
@@ -130,3 +132,37 @@ def test_paraphrases_without_a_shared_run_are_found_in_a_large_benchmark(spark):
     got = {(r.doc_id, r.item_id) for r in latent.benchmark_matches(spark, df, benchmark).collect()}
     assert sum((i, i) in got for i in range(2000)) >= 0.98 * 2000
     assert len(got) <= 2010
+
+
+def test_the_space_is_fitted_on_every_document(spark, monkeypatch):
+    monkeypatch.setattr(latent, "RANK", 2)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(10)]
+    texts = [rng.choices(words, [1.5**i for i in range(10)], k=4) for _ in range(25_000)]
+    df = spark.createDataFrame([(i, " ".join(t), 0) for i, t in enumerate(texts)], DOCS)
+    items = spark.createDataFrame([(1, " ".join(words))], ITEMS)
+    ((searcher,),) = latent.searchers(spark, df, items)
+    column = {w: int(searcher.vocabulary.columns(latent.bare_words(pa.array([w]))[0])[0]) for w in words}
+
+    def gram(rows):
+        a = np.zeros((len(rows), len(words)))
+        for own, row in zip(a, rows, strict=True):
+            weights = [searcher.idf[column[w]] for w in row]
+            for w, weight in zip(row, weights, strict=True):
+                own[column[w]] += weight / np.sqrt(np.square(weights).sum())
+        return a.T @ a
+
+    corpus, item = gram(texts), gram([words])
+    _, vectors = np.linalg.eigh(corpus + item * max(np.linalg.norm(corpus) / np.linalg.norm(item), 1))
+    want = vectors[:, -2:] @ vectors[:, -2:].T
+    space = searcher.weighted[:-1] / searcher.idf[:-1, None]
+    assert np.abs(space @ space.T - want).max() < 1e-4
+
+
+def test_windows_that_are_skipped_hold_no_match(spark, monkeypatch):
+    docs, items, _ = planted(11)
+    df, benchmark = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    got = {tuple(r) for r in latent.benchmark_matches(spark, df, benchmark).collect()}
+    monkeypatch.setattr(latent.Searcher, "_can_match", lambda self, columns, *_: np.ones(len(columns), bool))
+    all_windows = {tuple(r) for r in latent.benchmark_matches(spark, df, benchmark).collect()}
+    assert {r[:4] for r in got} == {r[:4] for r in all_windows} and got

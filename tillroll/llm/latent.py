@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are queries; the words they use are the columns of a TF-IDF matrix whose rows are
-passages of the documents. Document frequencies come from all passages. A randomised SVD of the
-matrix, its products A'(A x) summed by Spark over tasks, gives the latent space; it is fitted on a
-bounded sample of documents and the items. Then every window of every document is searched: windows
-with few of the queries' words are skipped by prefix sums, the others are projected and compared
+passages of the documents. Document frequencies come from all passages, and so does the latent space: a
+randomised SVD of the whole matrix and the items, its products A'(A x) summed by Spark over tasks.
+Then every window of every document is searched: windows that cannot hold what confirms a query, by
+prefix sums and by the query's rarest words, are skipped, the others are projected and compared
 with all queries of their length, by cosines relative to what the space keeps of the query. Beside
 it, every run of ``GRAM`` words that a text shares with a query makes a candidate, so an item that
 is there word by word is found whatever the space has kept of it. A candidate is confirmed by the
@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.textarrays import lowered, mixed, runs, utf8, word_hashes, words
+from tillroll.storage import scratch_folder, stored
 
 ITEMS = 2_000  # items the driver holds at a time (about: chosen by a hash)
-SAMPLE = 20_000  # documents the latent space is fitted on, at most (about: chosen by a hash)
 RANK, OVERSAMPLE = 128, 8
 QUERIES, SPACES = 2 * RANK, 10
 GRAM = 8  # words of a run that text and query share; shorter queries are one run
 PASSAGE = 64  # words per passage of the matrix; longer items are cut into queries of so many
 WINDOWS = (8, 12, 16, 24, 32, 48, 64)
+RAREST = 3  # of a query's rarest words, how many a region must hold to be looked at
 # A window's cosine as a share of what the query itself would reach.
 COSINE = 0.35
 # Share of a query's words, in order, that a region must hold; short queries must be whole.
@@ -114,67 +115,107 @@ def passages(per_text: np.ndarray) -> np.ndarray:
     return np.repeat(first, per_text) + within // PASSAGE
 
 
-def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
-    """In how many passages of all documents each column occurs, and how many there are."""
+_PASSAGES = "size long, n_words binary, columns binary"
+
+
+def passage_rows(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The matrix by rows, a row of the frame per run of texts: how many passages it has, how many
+    of the vocabulary's words each passage with any holds, and the columns of these words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(shared.value) + 1
-        total = np.zeros(size, np.int64)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, kind = len(shared.value), column_type(len(shared.value))
         for batch in batches:
             for run in runs(batch):
                 hashes, per_text = bare_words(run.column("text"))
                 column = shared.value.columns(hashes)
-                known = column < size - 1
-                pairs = np.unique(passages(per_text)[known] * size + column[known])
-                total += np.bincount(pairs % size, minlength=size)
-                total[-1] += int((-(-per_text // PASSAGE)).sum())
+                known = column < size
+                n_words = np.bincount(passages(per_text)[known])
+                parts = n_words[n_words > 0].astype(np.uint8), column[known].astype(kind)
+                yield pa.record_batch(
+                    [pa.array([int((-(-per_text // PASSAGE)).sum())], pa.int64())]
+                    + [pa.array([part.tobytes()], pa.binary()) for part in parts],
+                    names=["size", "n_words", "columns"],
+                )
+
+    return docs.select("text").mapInArrow(read, _PASSAGES)
+
+
+def column_type(size: int) -> type:
+    """Type of the columns of a stored matrix."""
+    return np.uint16 if size <= 1 << 16 else np.int32
+
+
+def stored_runs(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``size, n_words, columns`` of each run of a stored matrix of ``size`` columns."""
+    for n, n_words, columns in zip(*[batch.column(c) for c in ("size", "n_words", "columns")], strict=True):
+        per_passage = np.frombuffer(n_words.as_buffer(), np.uint8).astype(np.int64)
+        yield n.as_py(), per_passage, np.frombuffer(columns.as_buffer(), column_type(size)).astype(np.int32)
+
+
+def document_frequencies(matrix: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many passages of all documents each column occurs, and how many there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size + 1, np.int64)
+        for batch in batches:
+            for n_passages, n_words, column in stored_runs(batch, size):
+                pairs = np.unique(np.repeat(np.arange(len(n_words)), n_words) * size + column)
+                total[:-1] += np.bincount(pairs % size, minlength=size)
+                total[-1] += n_passages
         at = np.flatnonzero(total)
         yield pa.record_batch([at.astype(np.int64), total[at]], names=["at", "n"])
 
-    sums = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()
-    out = np.zeros(len(vocabulary) + 1)
+    found = matrix.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + 1)
     out[found.column("at").to_numpy()] = found.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 
-def _products(column: np.ndarray, passage: np.ndarray, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A'(A x) for passages given as word occurrences, sorted by passage; rows of unit length."""
+def _add_products(
+    total: np.ndarray, column: np.ndarray, passage: np.ndarray, idf: np.ndarray, x: np.ndarray
+) -> None:
+    """Add A'(A x) for passages given as word occurrences, sorted by passage; rows of unit length."""
     if not len(column):
-        return np.zeros_like(x)
-    _, row = np.unique(passage, return_inverse=True)
-    begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        return
+    begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    row = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(column))))
     weight = idf[column]
     norm = np.sqrt(np.add.reduceat(weight * weight, begin))
-    weight = (weight / np.maximum(norm[row], 1e-12)).astype(np.float32)
-    y = np.add.reduceat(x[column] * weight[:, None], begin, axis=0)
-    order = np.argsort(column, kind="stable")
-    sorted_ = column[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-    out = np.zeros_like(x)
-    out[sorted_[first]] = np.add.reduceat(y[row[order]] * weight[order, None], first, axis=0)
-    return out
+    # A few passages use few of the columns: their part of the matrix is small when dense.
+    used = np.zeros(len(x), bool)
+    used[column] = True
+    columns = np.flatnonzero(used)
+    at = row * len(columns) + (np.cumsum(used) - 1)[column]
+    part = np.bincount(at, weight / np.maximum(norm[row], 1e-12), len(begin) * len(columns))
+    part = part.astype(np.float32).reshape(len(begin), len(columns))
+    total[columns] += part.T @ (part @ x[columns])
 
 
 _ROWS = 64  # matrix rows that travel together
+_WORDS = 1 << 12  # words (about) that are multiplied at a time
 
 
-def gram_product(
-    sample: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, x: np.ndarray
-) -> np.ndarray:
-    """A'(A x) over all passages of the sample; Spark adds up the tasks' parts."""
-    shared = sample.sparkSession.sparkContext.broadcast((vocabulary, idf, x.astype(np.float32)))
+def gram_product(matrix: DataFrame, place: np.ndarray, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A'(A x) over all passages of the stored matrix; Spark adds up the tasks' parts.
+
+    ``place`` tells the row of ``x`` for each column of the matrix, -1 if it has none.
+    """
+    shared = matrix.sparkSession.sparkContext.broadcast((place, idf, x.astype(np.float32)))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, weights, right = shared.value
+        places, weights, right = shared.value
         total = np.zeros(right.shape, np.float64)
         for batch in batches:
-            for run in runs(batch):
-                hashes, per_text = bare_words(run.column("text"))
-                column = own.columns(hashes)
-                known = column < len(own)
-                total += _products(column[known], passages(per_text)[known], weights, right)
+            for _, n_words, stored_column in stored_runs(batch, len(places)):
+                column = places[stored_column]
+                known = column >= 0
+                passage = np.repeat(np.arange(len(n_words)), n_words)[known]
+                column = column[known]
+                # Cut where a passage begins.
+                cuts = np.searchsorted(passage, passage[_WORDS::_WORDS]).tolist()
+                for first, last in zip([0, *cuts], [*cuts, len(column)], strict=True):
+                    _add_products(total, column[first:last], passage[first:last], weights, right)
         for i in range(0, len(total), _ROWS):
             yield pa.record_batch(
                 [pa.array([i], pa.int32()), pa.array([total[i : i + _ROWS].tobytes()], pa.binary())],
@@ -191,7 +232,7 @@ def gram_product(
         )
 
     schema = "at int, part binary"
-    summed = sample.select("text").mapInArrow(multiply, schema).groupBy("at").applyInArrow(add, schema)
+    summed = matrix.mapInArrow(multiply, schema).groupBy("at").applyInArrow(add, schema)
     out = np.zeros(x.shape)
     for row in summed.toArrow().to_pylist():
         part = np.frombuffer(row["part"], np.float64).reshape(-1, x.shape[1])
@@ -200,9 +241,9 @@ def gram_product(
 
 
 def latent_space(
-    sample: DataFrame, queries: list[Query], vocabulary: Vocabulary, idf: np.ndarray
+    matrix: DataFrame, place: np.ndarray, queries: list[Query], vocabulary: Vocabulary, idf: np.ndarray
 ) -> np.ndarray:
-    """Leading right singular vectors of passages and queries, by a randomised range finder."""
+    """Leading right singular vectors of all passages and the queries, by a randomised range finder."""
     size = len(vocabulary)
     width = min(size, RANK + OVERSAMPLE)
     column = vocabulary.columns(np.array([w for q in queries for w in q.words], np.uint64))
@@ -210,8 +251,9 @@ def latent_space(
 
     def both(x: np.ndarray) -> np.ndarray:
         """The queries weigh as much as all passages, so that no query's words are lost."""
-        corpus = gram_product(sample, vocabulary, idf, x)
-        items = _products(column, row, idf, x.astype(np.float32))
+        corpus = gram_product(matrix, place, idf, x)
+        items = np.zeros(x.shape)
+        _add_products(items, column, row, idf, x.astype(np.float32))
         scale = np.linalg.norm(corpus) / max(np.linalg.norm(items), 1e-12)
         return corpus + items * max(scale, 1.0)
 
@@ -315,14 +357,60 @@ class Searcher:
         zero = np.zeros((1, space.shape[1]), np.float32)
         self.weighted = np.concatenate([space * idf[:, None].astype(np.float32), zero])
         self.queries, self.phrases = queries, Phrases(queries)
-        self.by_window: list[tuple[int, list[Query], np.ndarray, np.ndarray]] = []
+        self.by_window: list[tuple[int, list[Query], np.ndarray, np.ndarray, tuple[np.ndarray, ...]]] = []
         for i, size in enumerate(WINDOWS):
             shorter = WINDOWS[i - 1] if i else 0
             own = [q for q in queries if shorter < len(q.words) <= size]
             if own:
                 vectors, kept = zip(*[self._vector(q.words) for q in own], strict=True)
                 least = (COSINE * np.minimum(kept, 1.0)).astype(np.float32)
-                self.by_window.append((size, own, np.stack(vectors), least))
+                rarest = self._rarest(own)
+                self.by_window.append((size, own, np.stack(vectors), least, rarest))
+
+    def _rarest(self, queries: list[Query]) -> tuple[np.ndarray, ...]:
+        """``column, query, wanted`` by column: the words of which a region must hold so many.
+
+        A match leaves out ``len(words) - needed`` words of the query at most. So of its rarest
+        words, as many and ``wanted`` more, at least ``wanted`` are in every region that matches.
+        """
+        found = []
+        for number, query in enumerate(queries):
+            columns = self.vocabulary.columns(np.array(query.words, np.uint64))
+            wanted = min(RAREST, query.needed)
+            count = len(columns) - query.needed + wanted
+            rarest = np.unique(columns[np.argsort(-self.idf[columns], kind="stable")[:count]])
+            found.append(np.stack([rarest, np.full(len(rarest), number), np.full(len(rarest), wanted)]))
+        table = np.concatenate(found, axis=1)
+        return tuple(table[:, np.argsort(table[0], kind="stable")])
+
+    def _can_match(self, columns, texts: Texts, rarest, size: int) -> np.ndarray:
+        """Per place in the texts, whether a window of ``size`` that begins there has a region with
+        enough of the rarest words of any one query; no region spans two texts."""
+        column, number, wanted = rarest
+        n, reach = len(columns), size // 4 + 1
+        some = np.zeros(len(self.vocabulary) + 1, bool)
+        some[column] = True
+        at = np.flatnonzero(some[columns])
+        low, high = (np.searchsorted(column, columns[at], side=s) for s in ("left", "right"))
+        count = high - low
+        row = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        at, query, wanted = np.repeat(at, count), number[row], wanted[row]
+        order = np.argsort(query, kind="stable")
+        at, query, wanted = at[order], query[order], wanted[order]
+        last = np.arange(len(at)) + wanted - 1
+        inside = np.flatnonzero(last < len(at))
+        last = last[inside]
+        near = (query[last] == query[inside]) & (at[last] - at[inside] < size + 2 * reach)
+        a, b = at[inside][near], at[last][near]
+        text = np.searchsorted(texts.end, a, side="right")
+        same = b < texts.end[text]
+        a, b, text = a[same], b[same], text[same]
+        # The region of a window from f on is [f - reach, f + size + reach), within its text.
+        first = np.maximum(b - size - reach + 1, (texts.end - texts.per_text)[text])
+        change = np.zeros(n + 1, np.int64)
+        np.add.at(change, first, 1)
+        np.add.at(change, np.minimum(a + reach, n - 1) + 1, -1)
+        return np.cumsum(change)[:-1] > 0
 
     def _vector(self, hashes: tuple[int, ...]) -> tuple[np.ndarray, float]:
         """Direction of the words in the space, and the share of their length that it keeps."""
@@ -342,13 +430,16 @@ class Searcher:
         weight = self.idf[columns] ** 2
         whole = np.append(0, np.cumsum(weight))
         known = np.append(0, np.cumsum(np.where(columns < len(self.vocabulary), weight, 0)))
-        for size, queries, vectors, least in self.by_window:
+        for size, queries, vectors, least, rarest in self.by_window:
+            can_match = self._can_match(columns, texts, rarest, size)
             stride = max(1, size // 4)
             # Windows of every text, the last one up to its end.
             count = np.where(per_text > 0, -(-np.maximum(per_text - size, 0) // stride) + 1, 0)
             text = np.repeat(np.arange(len(per_text)), count)
             step = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
             first = (end - per_text)[text] + step * stride
+            able = can_match[first]
+            text, first = text[able], first[able]
             last = np.minimum(first + size, end[text])
             norm = whole[last] - whole[first]
             # No cosine is above the root of the known words' share of the squared weight.
@@ -441,27 +532,35 @@ def searchers(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Ite
         F.col("item_id").isNotNull() & F.col("text").isNotNull()
     )
     blocks = max(1, math.ceil(items.count() / ITEMS))
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    place = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1_000_000))
-    sample = docs.filter(place < int(1_000_000 * share)).select("text")
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         queries = queries_of(sorted((r.item_id, r.text) for r in own.collect()))
         queries = [q for q in queries if q.words]
         for first in range(0, len(queries), QUERIES * SPACES):
-            together = queries[first : first + QUERIES * SPACES]
-            words_ = Vocabulary(np.array([w for q in together for w in q.words], np.uint64))
-            frequency, total = document_frequencies(docs, words_)
-            rare = math.log(total + 1) + 1
-            group = []
-            for i in range(0, len(together), QUERIES):
-                part = together[i : i + QUERIES]
-                vocabulary = Vocabulary(np.array([w for q in part for w in q.words], np.uint64))
-                known = frequency[words_.columns(vocabulary.hashes)]
-                idf = np.log((total + 1) / (known + 1)) + 1
-                space = latent_space(sample, part, vocabulary, idf)
-                group.append(Searcher(part, vocabulary, idf, rare, space))
-            yield group
+            yield _fitted(spark, docs, queries[first : first + QUERIES * SPACES])
+
+
+def _fitted(spark: SparkSession, docs: DataFrame, together: list[Query]) -> list[Searcher]:
+    """Searchers for the queries, their spaces fitted on every passage of the documents.
+
+    The texts are split into words once; the matrix is stored for the passes over it.
+    """
+    words_ = Vocabulary(np.array([w for q in together for w in q.words], np.uint64))
+    with scratch_folder(spark, "passages") as scratch:
+        matrix = stored(passage_rows(docs, words_), scratch)
+        frequency, total = document_frequencies(matrix, len(words_))
+        rare = math.log(total + 1) + 1
+        group = []
+        for i in range(0, len(together), QUERIES):
+            part = together[i : i + QUERIES]
+            vocabulary = Vocabulary(np.array([w for q in part for w in q.words], np.uint64))
+            columns = words_.columns(vocabulary.hashes)
+            place = np.full(len(words_), -1, np.int32)
+            place[columns] = np.arange(len(vocabulary))
+            idf = np.log((total + 1) / (frequency[columns] + 1)) + 1
+            space = latent_space(matrix, place, part, vocabulary, idf)
+            group.append(Searcher(part, vocabulary, idf, rare, space))
+    return group
 
 
 def all_found(group: list[Searcher], column: pa.Array) -> Iterator[tuple[int, Query, int, float]]:

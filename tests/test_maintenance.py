@@ -37,6 +37,23 @@ def stored_rows(spark, path):
     return rows(read_table(spark, path), *KEPT)
 
 
+def test_rows_meet_the_range_of_their_own_month_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    months = [(2010 + i // 12, i % 12 + 1) for i in range(100)]
+    old = [(10 * i + k, "bolt", 1, y, m) for i, (y, m) in enumerate(months) for k in range(3)]
+    write_table(cleansed(spark, *old, (5000, "bolt", 1, None, None)), path)
+    holding = [T.Row(year=y, month=m, low=10 * i, high=10 * i + 1) for i, (y, m) in enumerate(months)]
+    holding.append(T.Row(year=None, month=None, low=5000, high=5000))
+    new = cleansed(spark, (31, "bolt", 2, 2010, 5), (42, "bolt", 2, None, None), (5000, "bolt", 1, None, None))
+    table = read_table(spark, path)
+    within = tables._in_ranges(table, holding)
+    assert rows(within, "Order_ID") == sorted([(10 * i + k,) for i in range(100) for k in range(2)] + [(5000,)], key=repr)
+    # No row is held against all months: the plan does not grow with them.
+    assert len(plan(within)) < 2 * len(plan(tables._in_ranges(table, holding[:2])))
+    touched = tables.touched_months(new, table, holding)
+    assert [tuple(m) for m in touched] == [(None, None), (2010, 4), (2010, 5)]
+
+
 # --- index of order ids -------------------------------------------------------------------
 
 

@@ -148,8 +148,26 @@ def _month_number(year: int | None, month: int | None) -> int:
 
 def in_months(months: Sequence[Row]) -> Column:
     """Rows of the given months; on partition columns, so other months are not read."""
-    number = F.coalesce(F.col("year") * 100 + F.col("month"), F.lit(-1))
-    return number.isin([_month_number(m.year, m.month) for m in months])
+    return _number().isin([_month_number(m.year, m.month) for m in months])
+
+
+def _number() -> Column:
+    return F.coalesce(F.col("year") * 100 + F.col("month"), F.lit(-1))
+
+
+def _in_ranges(table: DataFrame, holding: Sequence[Row]) -> DataFrame:
+    """Rows of the given months whose order id is within their month's range.
+
+    Rows meet their own month only, in a join with the few months: a chain of all months' conditions
+    costs their number for each row, and is too long to be compiled.
+    """
+    ranges = [(_month_number(m.year, m.month), m.low, m.high) for m in holding]
+    own = table.sparkSession.createDataFrame(ranges, "_number int, _low long, _high long")
+    order_id = F.col(STORED_KEYS[0])
+    # Periods prune partitions, the range of all months prunes row groups.
+    wide = order_id.between(min((m.low for m in holding), default=0), max((m.high for m in holding), default=0))
+    rows = table.filter(in_months(holding)).filter(wide).join(F.broadcast(own), _number() == F.col("_number"))
+    return rows.filter(order_id.between(F.col("_low"), F.col("_high"))).select(*table.columns)
 
 
 _UNDATED = Row(year=None, month=None)
@@ -193,11 +211,7 @@ def touched_months(
         low, high = incoming.agg(F.min(order_id), F.max(order_id)).first()
         table = table.filter(order_id.between(low, high))
     else:
-        within = F.lit(False)
-        for month in holding:
-            within = within | (in_months([month]) & order_id.between(month.low, month.high))
-        # Once more on the period alone: this much prunes partitions.
-        table = table.filter(in_months(holding)).filter(within)
+        table = _in_ranges(table, holding)
     # One row per key on this side, and sized by its files: broadcast only if small.
     keys = _keys(incoming) if keys is None else keys
     displaced = table.join(keys, _same_key(table, keys), "left_semi")

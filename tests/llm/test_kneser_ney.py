@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -83,3 +84,28 @@ def test_every_learned_bigram_keeps_its_ratio(spark, monkeypatch):
     model = kn.fit_counts(spark.createDataFrame(texts, "text string, label int"), np.zeros(1 << kn.WORD_BITS))
     _, _, pairs, _ = kn.bigrams(pa.record_batch([pa.array([t for t, _ in texts])], names=["text"]))
     assert not np.isnan(model.pair.of(pairs, np.full(len(pairs), np.nan, np.float32))).any()
+
+
+def test_every_labelled_document_outside_the_folds_is_learned_from_once(spark, monkeypatch):
+    # Once the larger class was cut to the size of the smaller one, and both to PER_CLASS.
+    docs, labels = made_up(800, 0.1, seed=2)
+    df = spark.createDataFrame(docs + docs[:40], SCHEMA)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learned = []
+
+    def fit_counts(labelled, shared, fit=kn.fit_counts):
+        learned.extend((r.doc_id, r.label) for r in labelled.select("doc_id", "label").collect())
+        return fit(labelled, shared)
+
+    monkeypatch.setattr(kn, "fit_counts", fit_counts)
+    assert kn.fit(df, known) is not None
+    wanted = [(i, t) for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 not in (kn.HELD_OUT, kn.CALIBRATION)]
+    assert sorted(learned) == sorted(wanted)
+
+
+def test_bigrams_of_one_slot_share_a_correction(spark, monkeypatch):
+    monkeypatch.setattr(kn, "PAIR_BITS", 1)
+    texts = [(f"a{i % 30} b{i % 4}", i % 2) for i in range(400)]
+    model = kn.fit_counts(spark.createDataFrame(texts, "text string, label int"), np.zeros(1 << kn.WORD_BITS))
+    _, _, pairs, _ = kn.bigrams(pa.record_batch([pa.array([t for t, _ in texts])], names=["text"]))
+    assert 1 <= len(set(model.pair.of(pairs, np.zeros(len(pairs), np.float32)).tolist())) <= 2

@@ -1,8 +1,8 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models with shared backoff counts.
 
-Class counts come from a bounded sample of labelled documents, the backoff distribution that both
-classes share from the bigrams of *all* documents. Words and bigrams are hashed, Spark gathers the
-counts, and what tasks get to score with are arrays of all that was learned from the sample.
+Class counts come from every labelled document outside the held-out fold, the backoff distribution
+that both classes share from the bigrams of *all* documents. Spark counts the bigrams by a hash;
+what tasks get to score with are arrays of fixed size, by the slots of a word's or bigram's hash.
 A bigram seen once in a class is discounted by its whole count, so only bigrams seen again carry
 weight of their own: rare expressions are left to the backoff.
 
@@ -18,18 +18,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.labelled import bounded_sample, held_out, labels_to_learn, remainder
+from tillroll.llm.joins import likely_rows
+from tillroll.llm.labelled import held_out, labels_to_learn, remainder
 from tillroll.llm.textarrays import lowered, mixed, runs, utf8, word_hashes, words
 from tillroll.storage import stored_scratch
 
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
-# Labelled documents of each class that are learned from, at most (about: chosen by a hash).
-PER_CLASS = 8_000
-# Slots in which the contexts of words are counted, as a power of two.
-WORD_BITS = 20
+# Slots of words, in which their contexts are counted, and of bigrams seen again, as powers of two.
+WORD_BITS, PAIR_BITS = 20, 23
 # Registers that count a word's distinct contexts (a HyperLogLog of 16).
 REGISTER_BITS = 4
 DISCOUNT, SHARED = 1.0, 5.0
@@ -37,6 +38,7 @@ DISCOUNT, SHARED = 1.0, 5.0
 WINDOWS = (2, 8)
 FEATURES = ("whole", *[f"window_{n}" for n in WINDOWS])
 THRESHOLD = 0.5
+RIDGE = 1e-3
 
 _START = np.uint64(1)
 _WORDS = np.uint64((1 << WORD_BITS) - 1)
@@ -69,8 +71,9 @@ def word_slot(hashes: np.ndarray) -> np.ndarray:
 def shared_counts(docs: DataFrame) -> np.ndarray:
     """Distinct contexts of each word slot over all documents, estimated by 16 registers.
 
-    A task sends the registers it has set. What reaches the driver is one number per slot.
+    A task sends one row per slot it has seen. What reaches the driver is one number per slot.
     """
+    registers = [f"r{i}" for i in range(_REGISTERS)]
 
     def register(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         highest = np.zeros(1 << (WORD_BITS + REGISTER_BITS), np.uint8)
@@ -82,18 +85,21 @@ def shared_counts(docs: DataFrame) -> np.ndarray:
                 # Leading zeros of the next 44 bits, by the exponent of their value.
                 rest = ((pair >> np.uint64(16)) & np.uint64((1 << 44) - 1)).astype(np.float64)
                 np.maximum.at(highest, at, (45 - np.frexp(rest)[1]).astype(np.uint8))
-        for first in range(0, len(highest), 1 << 18):
-            part = first + np.flatnonzero(highest[first : first + (1 << 18)])
+        tops = highest.view(np.int8).reshape(-1, _REGISTERS)
+        for first in range(0, len(tops), 1 << 14):
+            part = tops[first : first + (1 << 14)]
+            slot = np.flatnonzero(part.any(axis=1))
             yield pa.record_batch(
-                [part.astype(np.int32), highest[part].astype(np.int8)], names=["at", "top"]
+                [(first + slot).astype(np.int32), *part[slot].T.copy()], names=["slot", *registers]
             )
 
-    tops = docs.select("text").mapInArrow(register, "at int, top byte")
-    tops = tops.groupBy("at").agg(F.max("top").alias("top"))
-    slots = tops.groupBy(F.shiftright("at", REGISTER_BITS).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.pow(F.lit(2.0), -F.col("top"))).alias("s")
-    )
-    found = slots.toArrow()
+    tops = docs.select("text").mapInArrow(register, ", ".join(["slot int", *[f"{r} byte" for r in registers]]))
+    tops = tops.groupBy("slot").agg(*[F.max(r).alias(r) for r in registers])
+    used, total = F.lit(0), F.lit(0.0)
+    for r in registers:
+        used += (F.col(r) > 0).cast("int")
+        total += F.when(F.col(r) > 0, F.pow(F.lit(2.0), -F.col(r))).otherwise(0.0)
+    found = tops.select("slot", used.alias("n"), total.alias("s")).toArrow()
     slot, used, total = (found.column(i).to_numpy() for i in range(3))
     m = _REGISTERS
     empty = m - used
@@ -105,40 +111,48 @@ def shared_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-class Ratios:
-    """Log ratios by 64-bit key, all that are given; other keys have none."""
-
-    _SEEN_BITS = 22  # of a map that answers for most other keys
-
-    def __init__(self, keys: np.ndarray, ratios: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self._keys, self._ratios = keys[order], ratios[order].astype(np.float32)
-        self._seen = np.zeros(1 << self._SEEN_BITS, bool)
-        self._seen[self._place(keys)] = True
+class Corrections:
+    """What a bigram adds to its second word's log ratio, by slot; bigrams of one slot share it."""
 
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self._SEEN_BITS)).astype(np.int64)
+    def __init__(self, slots: np.ndarray, values: np.ndarray) -> None:
+        self._of = np.full(1 << PAIR_BITS, np.nan, np.float16)
+        self._of[slots] = values
+        self._shift = np.uint64(64 - PAIR_BITS)
 
-    def of(self, keys: np.ndarray, default: np.ndarray) -> np.ndarray:
-        out = np.array(default, np.float32)
-        maybe = np.flatnonzero(self._seen[self._place(keys)])
-        at = np.minimum(np.searchsorted(self._keys, keys[maybe]), len(self._keys) - 1)
-        hit = self._keys[at] == keys[maybe]
-        out[maybe[hit]] = self._ratios[at[hit]]
-        return out
+    def of(self, pairs: np.ndarray, default: np.ndarray) -> np.ndarray:
+        found = self._of[(pairs >> self._shift).astype(np.int64)]
+        return np.where(np.isnan(found), default, found).astype(np.float32)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratios toxic to ordinary: of words by backoff, of bigrams seen again."""
+    """Log ratios toxic to ordinary: of words by backoff, and what bigrams seen again add."""
 
-    word: Ratios
-    pair: Ratios
+    word: np.ndarray  # by slot
+    pair: Corrections
     weights: tuple[float, ...] | None = None
 
 
-def count_pairs(sample: DataFrame) -> DataFrame:
-    """``before, word, pair, c0, c1``: how many of each class's documents hold a bigram.
+# A bigram's key holds the slots of its words, and the first bits of its hash, which give its own
+# slot and tell apart what shares both words' slots.
+_REST_BITS = 64 - 2 * WORD_BITS
+# Two counts in one long, so that rows stay small: of the ordinary, and above it the toxic documents.
+_COUNT_BITS = 32
+
+
+def _keys(before: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    slots = ((word & _WORDS) << np.uint64(WORD_BITS)) | (before & _WORDS)
+    return (slots << np.uint64(_REST_BITS)) | (pair >> np.uint64(64 - _REST_BITS))
+
+
+def _bits_of_key(above: int, n: int) -> Column:
+    """``n`` bits of the key that have ``above`` others above them."""
+    bits = F.shiftrightunsigned(F.col("key"), 64 - above - n)
+    return bits.bitwiseAND(F.lit((1 << n) - 1).cast("long")).cast("int")
+
+
+def count_pairs(labelled: DataFrame) -> DataFrame:
+    """``key, c0, c1``: how many of each class's documents hold a bigram.
 
     A document counts once however often it repeats itself.
     """
@@ -149,69 +163,82 @@ def count_pairs(sample: DataFrame) -> DataFrame:
                 before, word, pair, per_text = bigrams(run)
                 text = np.repeat(np.arange(len(per_text)), per_text)
                 _, first = np.unique(pair + mixed(text), return_index=True)
-                before, word, pair, text = before[first], word[first], pair[first], text[first]
-                label = run.column("label").to_numpy()[text]
-                hashes = [h.view(np.int64) for h in (before, word, pair)]
+                label = run.column("label").to_numpy()[text[first]].astype(np.int64)
+                keys, at = np.unique(_keys(before, word, pair)[first], return_inverse=True)
+                toxic = np.bincount(at, label, len(keys)).astype(np.int64)
+                ordinary_ = np.bincount(at, 1 - label, len(keys)).astype(np.int64)
                 yield pa.record_batch(
-                    [*hashes, (label == 0) * 1, (label == 1) * 1],
-                    names=["before", "word", "pair", "c0", "c1"],
+                    [keys.view(np.int64), ordinary_ + (toxic << _COUNT_BITS)], names=["key", "n"]
                 )
 
-    rows = sample.select("text", "label").mapInArrow(
-        count, "before long, word long, pair long, c0 long, c1 long"
+    rows = labelled.select("text", "label").mapInArrow(count, "key long, n long")
+    sums = rows.groupBy("key").agg(F.sum("n").alias("n"))
+    return sums.select(
+        "key",
+        F.col("n").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)).alias("c0"),
+        F.shiftrightunsigned("n", _COUNT_BITS).alias("c1"),
     )
-    return rows.groupBy("before", "word", "pair").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
 
 
-def _columns(rows: DataFrame) -> list[np.ndarray]:
-    """Columns of rows that only the bounded sample contributes to."""
-    return [column.to_numpy() for column in rows.toArrow().columns]
+def _by_slot(rows: DataFrame) -> list[np.ndarray]:
+    """Columns of rows ``slot, ...`` as arrays over all word slots: nothing larger gets to the driver."""
+    slot, *columns = (c.to_numpy() for c in rows.toArrow().columns)
+    out = []
+    for column in columns:
+        out.append(np.zeros(1 << WORD_BITS))
+        out[-1][slot] = column
+    return out
 
 
-def fit_counts(sample: DataFrame, shared: np.ndarray) -> Model:
+def fit_counts(labelled: DataFrame, shared: np.ndarray) -> Model:
     """Both models' ratios from labelled documents (``text, label``) and the shared counts."""
-    pairs = stored_scratch(count_pairs(sample), "bigrams")
+    pairs = stored_scratch(count_pairs(labelled), "bigrams")
     classes = ("c0", "c1")
-    again = (F.col("c0") > DISCOUNT) | (F.col("c1") > DISCOUNT)
+    word, before = _bits_of_key(0, WORD_BITS), _bits_of_key(WORD_BITS, WORD_BITS)
+    slot = _bits_of_key(2 * WORD_BITS, PAIR_BITS)
     # A word's distinct contexts in each class, and how often it is a context itself.
-    continued = pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in classes])
-    totals = pairs.agg(*[F.coalesce(F.count_if(F.col(c) > 0), F.lit(0)) for c in classes]).first()
-    word, *contexts = _columns(continued.filter(again))
-    word = word.view(np.uint64)
+    contexts = _by_slot(pairs.groupBy(word.alias("slot")).agg(*[F.count_if(F.col(c) > 0) for c in classes]))
+    totals = _by_slot(pairs.groupBy(before.alias("slot")).agg(*[F.sum(c) for c in classes]))
+    # What contexts in one class or both say, if they are more than one.
+    again = (contexts[0] > DISCOUNT) | (contexts[1] > DISCOUNT)
     shared = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
-    backoff = shared[word_slot(word)]
     # A word's continuation probability in each class, shrunk to the shared one as if the class
     # held it in SHARED more contexts; the more contexts a class shows, the less that weighs.
     lower = [
-        backoff * (np.maximum(n - DISCOUNT, 0) + SHARED) / (total * backoff + SHARED)
-        for n, total in zip(contexts, totals, strict=True)
+        np.where(again, shared * (np.maximum(n - DISCOUNT, 0) + SHARED) / (n.sum() * shared + SHARED), shared)
+        for n in contexts
     ]
-    words_ = Ratios(word, np.log(lower[1] / lower[0]))
-    after = pairs.groupBy("before").agg(*[F.sum(c).alias(f"t{c}") for c in classes])
-    _, second, pair, c0, c1, t0, t1 = _columns(
-        pairs.filter(again).join(after, "before").select(
-            "before", "word", "pair", "c0", "c1", "tc0", "tc1"
-        )
+    arrays = pairs.sparkSession.sparkContext.broadcast(
+        [[a.astype(np.float32) for a in both] for both in (lower, totals)]
     )
-    # A word that is second in a bigram seen twice may have one context only: then no entry.
-    order = np.argsort(word)
-    at = order[np.minimum(np.searchsorted(word[order], second.view(np.uint64)), max(len(word) - 1, 0))]
-    known = word[at] == second.view(np.uint64) if len(word) else np.zeros(len(second), bool)
-    generic = shared[word_slot(second.view(np.uint64))]
-    likelihood = []
-    for c, (n, total) in enumerate(((c0, t0), (c1, t1))):
-        base = np.where(known, lower[c][at], generic) if len(word) else generic
-        shown = np.maximum(n - DISCOUNT, 0) + SHARED
-        likelihood.append(base * shown / (total * base + SHARED))
-    pairs_ = Ratios(pair.view(np.uint64), np.log(likelihood[1] / likelihood[0]))
-    return Model(words_, pairs_)
+
+    def correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lower, totals = arrays.value
+        for batch in batches:
+            second, first, c0, c1 = (batch.column(c).to_numpy() for c in ("word", "before", *classes))
+            value = np.zeros(batch.num_rows)
+            for sign, n, low, total in zip((-1, 1), (c0, c1), lower, totals, strict=True):
+                shown = np.maximum(n - DISCOUNT, 0) + SHARED
+                value += sign * np.log(shown / (total[first] * low[second] + SHARED))
+            weight = (c0 + c1).astype(np.float32)
+            yield pa.record_batch(
+                [batch.column("slot"), (value * weight).astype(np.float32), weight],
+                names=["slot", "value", "weight"],
+            )
+
+    seen = pairs.filter((F.col("c0") > DISCOUNT) | (F.col("c1") > DISCOUNT))
+    rows = seen.select(slot.alias("slot"), word.alias("word"), before.alias("before"), *classes)
+    rows = rows.mapInArrow(correct, "slot int, value float, weight float")
+    slots = rows.groupBy("slot").agg((F.sum("value") / F.sum("weight")).cast("float").alias("value")).toArrow()
+    corrections = Corrections(slots.column("slot").to_numpy(), slots.column("value").to_numpy())
+    return Model(np.log(lower[1] / lower[0]).astype(np.float32), corrections)
 
 
 def log_ratios(model: Model, run: pa.RecordBatch) -> list[np.ndarray]:
     """Per text: log ratio per word of the whole, and of its highest window of each length."""
     _, word, pair, per_text = bigrams(run)
-    backed_off = model.word.of(word, np.zeros(len(word), np.float32))
-    ratio = model.pair.of(pair, backed_off).astype(np.float64)
+    ratio = model.word[word_slot(word)].astype(np.float64)
+    ratio += model.pair.of(pair, np.zeros(len(pair), np.float32))
     out = [np.zeros(len(per_text)) for _ in FEATURES]
     has = np.flatnonzero(per_text)
     if not len(has):
@@ -247,48 +274,45 @@ def _features(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(measure, ", ".join([*fields, *[f"{f} double" for f in FEATURES]]))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
-    """Weights of a small logistic regression by Newton steps, with a slight ridge."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + 1e-3 * w
-        curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
-        step = np.linalg.solve(curvature, gradient)
-        w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
-        if np.abs(step).max() < 1e-8:
-            break
-    return tuple(float(v) for v in w)
+def _logistic(measured: DataFrame) -> tuple[float, ...]:
+    """Weights of a logistic regression on the features and its bias, with a slight ridge."""
+    rows = measured.select(array_to_vector(F.array(*FEATURES)).alias("features"), F.col("label").cast("double"))
+    curve = LogisticRegression(
+        regParam=RIDGE / max(1, measured.count()), standardization=False, tol=1e-8, maxIter=200
+    ).fit(rows)
+    return (*[float(w) for w in curve.coefficients], float(curve.intercept))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, label, text`` of every document to learn from, and the same without texts.
+
+    Copies of a text are one example, named by its smallest id, so that every run learns the same.
+    """
+    known = labels_to_learn(labels, "toxic", FOLDS, HELD_OUT)
+    digest = F.xxhash64("text").alias("digest")
+    ids = docs.groupBy("doc_id", digest).agg(F.count(F.lit(1)).alias("n_rows")).join(known, "doc_id")
+    first = ids.groupBy("digest", "label").agg(F.min(F.struct("doc_id", "n_rows")).alias("first"))
+    examples = stored_scratch(first.select("first.*", "digest", "label"), "examples")
+    rows = likely_rows(docs, examples, "doc_id").withColumn("digest", digest)
+    rows = rows.join(examples, ["doc_id", "digest"])
+    again = F.col("n_rows") > 1
+    if not examples.filter(again).isEmpty():
+        once = rows.filter(again).dropDuplicates(["doc_id", "digest", "label"])
+        rows = rows.filter(~again).unionByName(once)
+    return rows.select("doc_id", "label", "text"), examples
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Learn from the labelled documents outside the held-out fold; None without both classes."""
-    known = labels_to_learn(labels, "toxic", FOLDS, HELD_OUT)
-    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    # As many of each class as of the rarer, so that counts of both are of like size; at most
-    # some 2 * PER_CLASS rows.
-    per_class = min(PER_CLASS, *counts.values()) if len(counts) == 2 else 0
-    sample = F.broadcast(bounded_sample(known, per_class))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # Copies of a text are one example, named by its smallest id, so that every run learns the same.
-    sample = docs.join(sample, "doc_id").groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
-    sample = stored_scratch(sample, "labelled")
+    rows, examples = _labelled(docs, labels)
     calibration = remainder(FOLDS) == CALIBRATION
-    counted = sample.filter(~calibration)
-    if counted.select("label").distinct().count() < 2:
-        return None
-    model = fit_counts(counted, shared_counts(docs))
-    measured = _features(sample.filter(calibration), model).toArrow()
-    label = measured.column("label").to_numpy()
-    if len(set(label.tolist())) < 2:
+    found = examples.groupBy(calibration.alias("last")).agg(F.count_distinct("label").alias("n")).collect()
+    if [r.n for r in found] != [2, 2]:
         return None
-    # The sample holds the classes more evenly than the labels do; weights undo that.
-    share = np.array([counts[c] / max(1, (label == c).sum()) for c in (0, 1)])
-    weight = share[label] / share.sum()
-    x = np.column_stack([measured.column(c).to_numpy() for c in FEATURES])
-    weights = _logistic(x, label, weight)
-    return Model(model.word, model.pair, weights)
+    model = fit_counts(rows.filter(~calibration), shared_counts(docs))
+    measured = stored_scratch(_features(rows.filter(calibration), model), "calibration")
+    return Model(model.word, model.pair, _logistic(measured))
 
 
 def _with_score(docs: DataFrame, model: Model) -> DataFrame:

@@ -6,6 +6,8 @@ from html.parser import HTMLParser
 import pyarrow.parquet as pq
 from helpers import SF
 
+from pyspark.sql import functions as F
+
 from tillroll.llm import page_text
 from tillroll.llm.page_text import joined, main_text, page_blocks
 
@@ -233,3 +235,39 @@ def test_the_container_with_the_text_is_chosen():
     assert text(f"<nav><ul><li>a<article>{story}") == "the story itself"
     assert text(f"<aside><nav>x</aside></nav><p>{story}") == "the story itself"
     page_blocks("<nav>" * 50_000 + "<article>" * 50_000 + "a" + "</article>" * 50_000)
+
+
+def marked(i):
+    own = "".join(f"<p>{t}</p>" for t in prose(f"story{i}", 3))
+    return f"<nav>{FRAME[0]}</nav><article>{own}</article><footer>{FRAME[1]}</footer>"
+
+
+def test_the_suffixes_of_pages_that_their_tags_decide_are_sorted_too(spark, monkeypatch):
+    # Once a host all of whose pages mark an article did not get to the suffix array.
+    sorted_runs = []
+
+    def repeated_runs(*args, runs=page_text.repeated_runs, **kwargs):
+        found = runs(*args, **kwargs)
+        sorted_runs.append(found.groupBy("n").agg(F.count_distinct("page").alias("pages")).collect())
+        return found
+
+    monkeypatch.setattr(page_text, "repeated_runs", repeated_runs)
+    assert texts_of(spark, [(f"https://a.example/{i}", marked(i)) for i in range(6)]) == [prose(f"story{i}", 3) for i in range(6)]
+    assert [[tuple(r) for r in found] for found in sorted_runs] == [[(6, 6)]]
+
+
+def test_no_boilerplate_is_lost_by_counts_in_parts(spark):
+    rng = random.Random(5)
+    rows, sizes = [], {"a": 40, "b": 7, "c": 2}
+    for host, n in sizes.items():
+        for i in range(n):
+            blocks = [t for k, t in enumerate(prose(host, 12)) if rng.random() < k / 12]
+            rows.append((len(rows), host, page_of(*blocks, *prose(f"{host}{i}", 4)), len(rows), n, n))
+    schema = "page long, host string, html string, version long, n_versions long, n_pages long"
+    df = spark.createDataFrame(rows, schema).repartition(3, "page")
+    wanted = sorted(tuple(r) for r in page_text.repeated_runs(df).filter(page_text.is_boilerplate()).collect())
+    for part in (1, 300, 1 << 21):
+        likely = spark.sparkContext.broadcast(page_text.likely_runs(df, part))
+        found = page_text.repeated_runs(df, likely=likely).filter(page_text.is_boilerplate())
+        assert sorted(tuple(r) for r in found.collect()) == wanted
+    assert wanted and page_text.suffixes(df, likely).count() < page_text.suffixes(df).count()

@@ -9,8 +9,8 @@ a block; unique runs stay. In a marked article a repeated run stays, since artic
 unless its element is named like page furniture.
 
 Pages that share most of what is not on half of the host's pages anyway, such as print versions, count
-as one page of evidence, and no page loses all its text. Only hosts with a page that its tags leave
-open are looked at; the other pages are parsed once and done.
+as one page of evidence, and no page loses all its text. All pages of all hosts are evidence. Suffixes
+that cannot repeat on enough pages, by exact counts in parts of the host's pages, are not sorted.
 
 Equal suffixes may span several sorted partitions. Each partition settles what lies inside it and
 hands on a summary of its first and last group.
@@ -26,13 +26,13 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.joins import rows_with_keys
-from tillroll.storage import stored_scratch
+from tillroll.llm.textarrays import mixed
+from tillroll.storage import scratch_path, stored_scratch
 
 # Tokens (words and block ends) that suffixes must share; a longer run is covered by its suffixes.
 RUN = 4
@@ -43,7 +43,10 @@ LONG = 12
 MIN_PAGES, PAGE_SHARE = 3, 0.2
 # Share of a page's own words that make it a version of another page.
 SAME_PAGE = 0.6
-HELD_BACK = 100_000  # suffixes of an unfinished group that a task holds back
+HELD_BACK = 100_000  # suffixes of an unfinished group, and hashes of tokens, that a task holds back
+PART = 1 << 23  # suffixes of the pages that are counted at once, at most
+# Bits of the map of runs that can repeat on enough pages: 2 MB, whatever their number.
+LIKELY_BITS = 24
 
 # Elements of HTML by what they mean for the text.
 _RAW = "script|style|noscript|template|textarea|title|svg|iframe|object|select|math"
@@ -333,25 +336,58 @@ def _hash(text: str) -> int:
 
 
 _KEYS = [f"k{i}" for i in range(RUN)]
-_BLOCKS = "page long, host string, block long, n_words int"
+_PARSED = "page long, page_id long, url string, host string, texts array<string>, flags array<tinyint>"
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """Rows ``page, page_id, url, host, html`` with the page's blocks instead: texts and flags."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages_ = [page_blocks(source) for source in batch.column("html").to_pylist()]
+            texts = [[b.text for b in blocks] for blocks in pages_]
+            flags = [[b.kept | b.inside << 1 | b.named << 2 for b in blocks] for blocks in pages_]
+            kept = [batch.column(c) for c in ("page", "page_id", "url", "host")]
+            yield pa.record_batch(
+                [*kept, pa.array(texts, pa.list_(pa.string())), pa.array(flags, pa.list_(pa.int8()))],
+                names=["page", "page_id", "url", "host", "texts", "flags"],
+            )
+
+    return pages.mapInArrow(read, _PARSED)
+
+
+def _blocks_of(batch: pa.RecordBatch) -> Iterator[list[Block]]:
+    """The blocks of each page, from ``html`` or as ``parsed_pages`` gives them."""
+    if "html" in batch.schema.names:
+        yield from map(page_blocks, batch.column("html").to_pylist())
+        return
+    for texts, flags in zip(batch.column("texts").to_pylist(), batch.column("flags").to_pylist(), strict=True):
+        yield [Block(t, bool(f & 1), bool(f & 2), bool(f & 4)) for t, f in zip(texts, flags, strict=True)]
+
+
+_BLOCKS = "page long, host string, block long, n_words int, open boolean"
 
 
 def block_rows(pages: DataFrame) -> DataFrame:
-    """``page, host, block, n_words``: the different blocks of every page, by a hash."""
+    """``page, host, block, n_words, open``: the different blocks of every page, by a hash, and whether
+    repeated runs decide anything on the page."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[], [], [], []]
-            names = ("page", "host", "html")
-            for page, host, source in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
-                own = {_hash(b.text): b.text.count(" ") + 1 for b in page_blocks(source)}
+            columns: list[list] = [[], [], [], [], []]
+            names = ("page", "host")
+            for page, host, blocks in zip(
+                *[batch.column(c).to_pylist() for c in names], _blocks_of(batch), strict=True
+            ):
+                own = {_hash(b.text): b.text.count(" ") + 1 for b in blocks}
+                n, open_ = len(own), undecided(blocks)
                 for column, values in zip(
-                    columns, ([page] * len(own), [host] * len(own), list(own), list(own.values())), strict=True
+                    columns, ([page] * n, [host] * n, list(own), list(own.values()), [open_] * n), strict=True
                 ):
                     column += values
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int32()]
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.record_batch(arrays, names=["page", "host", "block", "n_words"])
+            yield pa.record_batch(arrays, names=["page", "host", "block", "n_words", "open"])
 
     return pages.mapInArrow(read, _BLOCKS)
 
@@ -370,13 +406,19 @@ def page_groups(blocks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_having"), F.min("page").alias("first")
     )
     most = F.greatest(F.lit(2), F.floor(F.col("n_pages") / 2))
-    rare = shared.join(hosts, "host").filter(F.col("n_having") <= most).select("host", "block", "first")
-    own = blocks.join(rare, ["host", "block"])
-    sums = own.groupBy("page", "first").agg(F.sum("n_words").alias("n_shared"))
-    whole = own.groupBy("page").agg(F.sum("n_words").alias("n_own"))
+    # A block of one page only leads nowhere: its words are counted with the page.
+    common = F.col("n_having") > most
+    repeated = shared.filter("n_having > 1").join(hosts, "host").select("host", "block", "first", common.alias("common"))
+    found = blocks.join(repeated, ["host", "block"])
+    sums = found.filter("not common").groupBy("page", "first").agg(F.sum("n_words").alias("n_shared"))
+    whole = blocks.groupBy("page").agg(F.sum("n_words").alias("n_all"))
+    less = found.filter("common").groupBy("page").agg(F.sum("n_words").alias("n_common"))
+    n_own = F.col("n_all") - F.coalesce("n_common", F.lit(0))
     links = (
-        sums.join(whole, "page")
-        .filter((F.col("page") != F.col("first")) & (F.col("n_shared") >= SAME_PAGE * F.col("n_own")))
+        sums.filter("page <> first")
+        .join(whole, "page")
+        .join(less, "page", "left")
+        .filter(F.col("n_shared") >= SAME_PAGE * n_own)
         .select(F.col("page").alias("a"), F.col("first").alias("b"))
     )
     labels = components(stored_scratch(links, "page-versions"))
@@ -386,33 +428,105 @@ def page_groups(blocks: DataFrame) -> DataFrame:
     return named.join(counts, "host").select("page", "host", "version", "n_versions")
 
 
-def suffixes(pages: DataFrame) -> DataFrame:
-    """Every suffix of every page's stream, by hashes of its first ``RUN`` tokens.
+class _Hashes(dict):
+    """Hashes of tokens, of so many at most as are kept at once."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= HELD_BACK:
+            self.clear()
+        self[token] = value = _hash(token)
+        return value
+
+
+def _suffix_keys(blocks: list[Block], host: str, hashes: _Hashes) -> list[np.ndarray]:
+    """Hashes of the first ``RUN`` tokens of each suffix of a page's stream, the first one with the
+    host's: suffixes of different hosts are never equal. No arrays for a page without a suffix."""
+    stream, _ = tokens(blocks)
+    n = len(stream) - RUN + 1
+    if n <= 0:
+        return []
+    own = np.fromiter(map(hashes.__getitem__, stream), np.int64, len(stream))
+    salt = np.int64(_hash(f"host {host}"))
+    return [own[k : k + n] ^ (salt if k == 0 else 0) for k in range(RUN)]
 
-    ``pages`` are ``page, html, host, version, n_versions``. ``k0`` is a hash of host and token.
+
+def _place(keys: list[np.ndarray]) -> np.ndarray:
+    """A suffix's place in the map of likely runs."""
+    place = keys[0].view(np.uint64)
+    for key in keys[1:]:
+        place = mixed(place) + key.view(np.uint64)
+    return (mixed(place) >> np.uint64(64 - LIKELY_BITS)).astype(np.int64)
+
+
+def likely_runs(pages: DataFrame, part: int = PART) -> np.ndarray:
+    """A map of bits, set for all runs that can be boilerplate, and few others.
+
+    ``pages`` are ``host, n_pages, n_versions`` and blocks or ``html``. A task counts the pages that have a run in
+    parts of its pages. A run on ``enough`` of the host's pages is on this share of them in one part at
+    least, so no run is lost; and versions of a page are not more than pages.
+    """
+
+    def likely(n_by_host: dict[str, list]) -> pa.RecordBatch:
+        found = [np.empty(0, np.int64)]
+        for places, n_pages, enough in n_by_host.values():
+            place, n = np.unique(np.concatenate(places), return_counts=True)
+            found.append(place[n * n_pages >= enough * len(places)])
+        return pa.record_batch([np.unique(np.concatenate(found))], names=["at"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_by_host: dict[str, list] = {}
+        held, hashes = 0, _Hashes()
+        for batch in batches:
+            names = ("host", "n_pages", "enough")
+            columns = [batch.column(c).to_pylist() for c in names]
+            for blocks, host, n_pages, enough in zip(_blocks_of(batch), *columns, strict=True):
+                keys = _suffix_keys(blocks, host, hashes)
+                if keys:
+                    places = np.unique(_place(keys))
+                    n_by_host.setdefault(host, [[], n_pages, enough])[0].append(places)
+                    held += len(places)
+                if held >= part:
+                    yield likely(n_by_host)
+                    n_by_host, held = {}, 0
+        yield likely(n_by_host)
+
+    content = [c for c in pages.columns if c in ("html", "texts", "flags")]
+    rows = pages.select(*content, "host", "n_pages", _enough().alias("enough")).mapInArrow(count, "at long")
+    words = rows.groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits")
+    )
+    found = words.toArrow()
+    out = np.zeros(1 << (LIKELY_BITS - 6), np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def suffixes(pages: DataFrame, likely: Broadcast | None = None) -> DataFrame:
+    """The suffixes of every page's stream, by hashes of its first ``RUN`` tokens: all of them, or
+    those in a map of ``likely_runs``.
+
+    ``pages`` are ``page, host, version, n_versions`` and blocks or ``html``. ``k0`` is a hash of host and token.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for batch in batches:
-            hosts, versions = batch.column("host").to_pylist(), batch.column("version").to_pylist()
-            sizes, keys = batch.column("n_versions").to_pylist(), batch.column("page").to_pylist()
-            for source, host, version, size, page in zip(
-                batch.column("html").to_pylist(), hosts, versions, sizes, keys, strict=True
-            ):
-                stream, _ = tokens(page_blocks(source))
-                seen: dict[str, int] = {}
-                own = np.array([seen[t] if t in seen else seen.setdefault(t, _hash(t)) for t in stream], np.int64)
-                n = len(own) - RUN + 1
-                if n <= 0:
+            found: list[list[np.ndarray]] = []
+            columns = [batch.column(c).to_pylist() for c in ("host", "version", "n_versions", "page")]
+            for blocks, host, version, size, page in zip(_blocks_of(batch), *columns, strict=True):
+                keys = _suffix_keys(blocks, host, hashes)
+                if not keys:
                     continue
-                # Suffixes of different hosts are never equal.
-                salt = np.int64(_hash(f"host {host}"))
-                columns = [own[k : k + n] ^ (salt if k == 0 else 0) for k in range(RUN)]
-                fixed = [np.full(n, x, np.int64) for x in (version, size, page)]
-                yield pa.record_batch(
-                    [pa.array(c) for c in (*columns, *fixed, np.arange(n, dtype=np.int32))],
-                    names=[*_KEYS, "version", "n_versions", "page", "at"],
-                )
+                at = np.arange(len(keys[0]), dtype=np.int32)
+                if likely is not None:
+                    place = _place(keys)
+                    word, bit = likely.value[place >> 6], (place & 63).astype(np.uint64)
+                    at = at[(word >> bit) & np.uint64(1) == 1]
+                fixed = [np.full(len(at), x, np.int64) for x in (version, size, page)]
+                found.append([*[k[at] for k in keys], *fixed, at])
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                yield pa.record_batch(columns, names=[*_KEYS, "version", "n_versions", "page", "at"])
 
     schema = ", ".join(f"{c} long" for c in (*_KEYS, "version", "n_versions", "page")) + ", at int"
     return pages.mapInArrow(read, schema)
@@ -514,10 +628,13 @@ class _Settler:
         return pa.record_batch([*columns, *[none] * RUN], names=_COLUMNS)
 
 
-def repeated_runs(pages: DataFrame, held_back: int = HELD_BACK) -> DataFrame:
-    """``page, at, n, n_versions``: places whose suffix is on ``n`` > 1 page versions of the host."""
+def repeated_runs(pages: DataFrame, held_back: int = HELD_BACK, likely: Broadcast | None = None) -> DataFrame:
+    """``page, at, n, n_versions``: places whose suffix is on ``n`` > 1 page versions of the host; all
+    such, or those in a map of ``likely_runs``."""
     order = [*_KEYS, "version", "page", "at"]
-    ordered = suffixes(pages).repartitionByRange(*order).sortWithinPartitions(*order)
+    # Stored, since the range partitioning looks at them twice.
+    found = stored_scratch(suffixes(pages, likely), "suffixes")
+    ordered = found.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Settler(TaskContext.get().partitionId(), held_back)
@@ -539,40 +656,31 @@ def repeated_runs(pages: DataFrame, held_back: int = HELD_BACK) -> DataFrame:
     return found.select("page", "at", n.alias("n"), "n_versions").filter("n > 1")
 
 
-def is_boilerplate() -> Column:
-    """Is a run on ``n`` of ``n_versions`` pages boilerplate?"""
-    enough = F.greatest(F.lit(MIN_PAGES), F.ceil(PAGE_SHARE * F.col("n_versions")))
-    return (F.col("n") > 1) & (F.col("n") >= F.least("n_versions", enough))
+def _enough() -> Column:
+    """On how many of ``n_versions`` pages a run is boilerplate."""
+    share = F.ceil(PAGE_SHARE * F.col("n_versions"))
+    return F.greatest(F.lit(2), F.least("n_versions", F.greatest(F.lit(MIN_PAGES), share)))
 
 
-def _read_pages(pages: DataFrame) -> DataFrame:
-    """``page, page_id, url, host, text``: the text where the page alone decides it, else null."""
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for source in batch.column("html").to_pylist():
-                blocks = page_blocks(source)
-                texts.append(None if undecided(blocks) else joined(blocks))
-            kept = [batch.column(c) for c in ("page", "page_id", "url", "host")]
-            yield pa.record_batch([*kept, pa.array(texts, pa.string())], names=["page", "page_id", "url", "host", "text"])
-
-    return pages.mapInArrow(extract, "page long, page_id long, url string, host string, text string")
+def is_boilerplate() -> Column:
+    """Is a run on ``n`` of ``n_versions`` pages boilerplate?"""
+    return F.col("n") >= _enough()
 
 
 def _decided(pages: DataFrame) -> DataFrame:
-    """``page, text`` of pages ``page, html, marks``: the places of boilerplate runs, or null."""
+    """``page_id, url, text`` of pages with ``marks``: the places of boilerplate runs, or null."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column("marks").to_pylist()
             texts = [
-                joined(page_blocks(source), at or [])
-                for source, at in zip(batch.column("html").to_pylist(), marks, strict=True)
+                joined(blocks, at or [])
+                for blocks, at in zip(_blocks_of(batch), marks, strict=True)
             ]
-            yield pa.record_batch([batch.column("page"), pa.array(texts, pa.string())], names=["page", "text"])
+            kept = [batch.column(c) for c in ("page_id", "url")]
+            yield pa.record_batch([*kept, pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    return pages.mapInArrow(extract, "page long, text string")
+    return pages.mapInArrow(extract, "page_id long, url string, text string")
 
 
 def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -588,25 +696,24 @@ def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     )
     # Rows of one page have one key; what is found for it holds for all of them.
     rows = rows.withColumn("page", F.xxhash64("page_id", "url", "html"))
-    read = stored_scratch(_read_pages(rows), "pages-read")
-    done = read.filter("text IS NOT NULL").select("page_id", "url", "text")
-    open_ = read.filter("text IS NULL").select("page", "page_id", "url", "host")
-    if open_.isEmpty():
-        return _with_length(done)
-    hosts = stored_scratch(open_.select("host").distinct(), "open-hosts")
-    theirs = rows_with_keys(rows.select("page", "host", "html"), hosts, "host")
-    theirs = stored_scratch(theirs.dropDuplicates(["page"]), "pages-of-open-hosts")
-    versions = stored_scratch(page_groups(stored_scratch(block_rows(theirs), "blocks")), "versions")
-    evidence = theirs.join(versions.drop("host"), "page")
-    runs = repeated_runs(evidence).filter(is_boilerplate())
-    wanted = open_.select("page").distinct()
-    marks = (
-        runs.join(wanted, "page", "left_semi").groupBy("page").agg(F.collect_list("at").alias("marks"))
-    )
-    texts = _decided(theirs.join(wanted, "page", "left_semi").join(marks, "page", "left").select("page", "html", "marks"))
-    texts = open_.join(texts, "page").select("page_id", "url", "text")
-    return _with_length(done.unionByName(texts))
-
-
-def _with_length(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("n_chars", F.char_length("text").cast("long"))
+    # Every later step looks at all blocks: pages are parsed once, their blocks kept as small as they get.
+    path = scratch_path(spark, "pages-parsed")
+    parsed_pages(rows).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(_PARSED).parquet(path)
+    once = rows.select("page", "host", "texts", "flags")
+    if not once.groupBy("page").count().filter("count > 1").isEmpty():
+        once = once.dropDuplicates(["page"])
+    blocks = stored_scratch(block_rows(once), "blocks")
+    versions = stored_scratch(page_groups(blocks), "versions")
+    hosts = versions.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"), F.max("n_versions").alias("n_versions"))
+    # Small tables are stored, so that Spark knows that they are and does not shuffle the pages.
+    evidence = once.join(stored_scratch(hosts, "hosts"), "host")
+    other = stored_scratch(versions.filter("version <> page").select("page", "version"), "other-versions")
+    likely = spark.sparkContext.broadcast(likely_runs(evidence))
+    evidence = evidence.join(other, "page", "left").withColumn("version", F.coalesce("version", "page"))
+    runs = repeated_runs(evidence, likely=likely).filter(is_boilerplate())
+    # On the other pages repeats decide nothing.
+    open_ = blocks.filter("open").select("page").distinct()
+    marks = runs.join(open_, "page", "left_semi").groupBy("page").agg(F.collect_list("at").alias("marks"))
+    texts = _decided(rows.join(stored_scratch(marks, "marks"), "page", "left").drop("page", "host"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))

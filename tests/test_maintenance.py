@@ -54,6 +54,33 @@ def test_rows_meet_the_range_of_their_own_month_only(spark, tmp_path):
     assert [tuple(m) for m in touched] == [(None, None), (2010, 4), (2010, 5)]
 
 
+def test_only_rows_of_months_that_new_rows_do_not_name_meet_the_keys(spark, target, monkeypatch):
+    path, _ = target
+    old = [(10 * m + k, "bolt", 1, 2019, m) for m in range(1, 6) for k in range(3)]
+    write_table(cleansed(spark, *old, (70, "bolt", 1, None, None), (71, None, 1, 2019, 5)), path)
+    key_index.fill(read_table(spark, path), path)
+    new = cleansed(
+        spark,
+        (11, "bolt", 2, 2019, 1), (12, "bolt", 2, 2019, 2), (31, "bolt", 2, 2019, 2),
+        (71, None, 2, 2019, 1), (70, "bolt", 2, None, None), (40, "nut", 2, 2019, 7),
+    )
+    table, same_key, met = read_table(spark, path), tables._same_key, []
+    monkeypatch.setattr(tables, "_same_key", lambda df, keys: met.append(df) or same_key(df, keys))
+
+    def touched(incoming, *holding):
+        return [tuple(m) for m in tables.touched_months(incoming, table, *holding)]
+
+    holding = key_index.months_holding(spark, path, new)
+    want = [(None, None), (2019, 1), (2019, 2), (2019, 3), (2019, 5), (2019, 7)]
+    assert touched(new, holding) == touched(new) == want
+    for df in met:
+        found = {r.month for r in df.select("month").distinct().collect()}
+        assert found and not found & {1, 2, 7}
+    undated, dated = new.filter("month IS NULL"), new.filter("Order_ID = 11")
+    assert touched(undated) == [(None, None)]
+    assert touched(dated) == [(2019, 1)]
+
+
 # --- index of order ids -------------------------------------------------------------------
 
 

@@ -200,7 +200,8 @@ def touched_months(
     Rows without a date share one folder, which only grows: new ones are added to it, so it is
     rewritten only if it holds one of the keys.
 
-    Only the key columns of the table are read. ``holding``, from the index, names the months that
+    Only the key columns of the table are read, and only rows of months that the new rows do not name
+    already are held against the keys. ``holding``, from the index, names the months that
     hold an order id of the new rows and the range of those ids: only these months' files are read,
     and of them the row groups within the range. Without an index, all row groups that reach
     into the range of new order ids are read. A key may be of another month than the new row, because
@@ -212,10 +213,13 @@ def touched_months(
         table = table.filter(order_id.between(low, high))
     else:
         table = _in_ranges(table, holding)
+    dated = incoming.filter(~in_months([_UNDATED]))
+    # These months are rewritten in any case. A row per month.
+    named = dated.select(_number().alias("_named")).distinct()
+    table = table.join(F.broadcast(named), _number() == F.col("_named"), "left_anti")
     # One row per key on this side, and sized by its files: broadcast only if small.
     keys = _keys(incoming) if keys is None else keys
     displaced = table.join(keys, _same_key(table, keys), "left_semi")
-    dated = incoming.filter(~in_months([_UNDATED]))
     return _months(dated.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
 

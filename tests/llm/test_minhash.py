@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import minhash
 from tillroll.llm.components import components
+from tillroll.llm.joins import likely_rows, unlikely_rows
 from tillroll.llm.textarrays import utf8
 
 SCHEMA = "doc_id long, text string"
@@ -127,3 +128,51 @@ def test_components_of_random_graphs(spark, seed):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == smallest_reachable(nodes, lambda a, b: (a, b) in both)
     assert components(df.filter(F.lit(False))).count() == 0
+
+
+def test_texts_of_ids_that_lose_no_row_are_not_shuffled(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(40))) for i in range(400)]
+    near = [f"w{i}" for i in range(60)]
+    rows += [(1000 + i, " ".join([*near, f"x{i}"])) for i in range(20)]
+    rows += [rows[3]] * 2 + [(5, "another text of one id"), (7, ""), (None, "no id"), (None, "no id")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = minhash.one_of_each_group(spark, spark.createDataFrame(rows, SCHEMA))
+        found = sorted((tuple(r) for r in got.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [r for r in set(rows) if r[0] is not None and r[0] <= 1000] + [(None, "no id")] * 2
+    assert found == sorted(want, key=repr)
+    # The three rows of document 3, and what the filter lets through by chance.
+    assert 3 <= shuffled_texts(got) < 10
+
+
+def shuffled_texts(df):
+    """Rows with a text that the shuffles of a computed frame have written."""
+
+    def of(node):
+        inner = {"AdaptiveSparkPlan": "executedPlan"}
+        inner |= {f"{kind}QueryStage": "plan" for kind in ("Shuffle", "Broadcast", "Result")}
+        name = node.nodeName()
+        if name in inner:
+            return of(getattr(node, inner[name])())
+        columns, children = node.output(), node.children()
+        written = 0
+        if name == "Exchange" and "text" in [columns.apply(i).name() for i in range(columns.size())]:
+            written = node.metrics().get("shuffleRecordsWritten").get().value()
+        return written + sum(of(children.apply(i)) for i in range(children.size()))
+
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_are_parted_by_their_keys(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    keys = spark.createDataFrame([(i,) for i in range(0, 4000, 3)], "k long")
+    likely = {r.v for r in likely_rows(rows, keys, "k").collect()}
+    others = {r.v for r in unlikely_rows(rows, keys, "k").collect()}
+    assert not likely & others and likely | others == set(range(2000))
+    assert {v for v in range(0, 2000, 3) if v % 10} <= likely
+    assert len(likely) < 700
+    none = keys.limit(0)
+    assert unlikely_rows(rows, none, "k").count() == 2000 and likely_rows(rows, none, "k").count() == 0

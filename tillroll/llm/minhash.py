@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.joins import likely_rows
+from tillroll.llm.joins import likely_rows, unlikely_rows
 from tillroll.llm.textarrays import lowered, mixed, runs, signed, utf8, word_hashes, words
 from tillroll.storage import stored_scratch
 
@@ -457,6 +457,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Documents in no group stay, rows without an id among them; a document that several rows repeat
     stays once. No text is lost that is no near-duplicate of one that stays.
+
+    Rows of an id that loses none are told by a filter of fixed size and stay where they lie; only
+    the others' texts are shuffled, as far as one of their id is kept.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stored_scratch(grouped_documents(own), "grouped").filter("doc_id IS NOT NULL")
@@ -466,6 +469,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     alone = found.filter("group IS NULL").select("doc_id", "text_key")
     kept = first.select("least.doc_id", "least.text_key").unionByName(alone)
     kept = stored_scratch(kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "kept")
-    document = [F.col("doc_id").cast("long") == F.col("_id"), text_key() == F.col("_key")]
-    named = docs.join(kept, document).dropDuplicates(["_id", "_key"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    # Ids with more rows than documents that are kept.
+    rows = found.select(F.col("doc_id").alias("_id"), F.lit(1).alias("n"))
+    rows = rows.unionByName(kept.select("_id", F.lit(-1).alias("n")))
+    losing = rows.groupBy("_id").agg(F.sum("n").alias("n")).filter("n > 0").select("_id")
+    losing = stored_scratch(losing, "losing-ids")
+    named = docs.withColumn("_id", F.col("doc_id").cast("long")).filter("_id IS NOT NULL")
+    whole = unlikely_rows(named, losing, "_id")
+    others = likely_rows(likely_rows(named, losing, "_id"), kept, "_id").withColumn("_key", text_key())
+    others = others.join(kept, ["_id", "_key"]).dropDuplicates(["_id", "_key"])
+    parts = [whole.select(*docs.columns), others.select(*docs.columns), docs.filter("doc_id IS NULL")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -88,3 +88,22 @@ def test_stages_take_empty_tables_nulls_and_repeated_rows(spark, name, stage):
     rows += [(3, "some plain words that say nothing", "en", "s", 33)] * 2
     found = [r.doc_id for r in stage(spark, spark.createDataFrame(rows, schema), SF).collect()]
     assert {None, 1, 2, 3} == set(found)
+
+
+def test_stages_bound_the_batches_that_go_to_workers(spark):
+    name, small = "spark.sql.execution.arrow.maxBytesPerBatch", corpus_pipeline.BATCH_BYTES // 2
+    docs = spark.range(400, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 4000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        for before, most in ((None, corpus_pipeline.BATCH_BYTES), (str(small), small)):
+            if before:
+                spark.conf.set(name, before)
+            corpus_pipeline.encode(spark, docs, SF)
+            largest = max(r.n for r in docs.mapInArrow(sizes, "n long").collect())
+            assert largest < most + 200_000
+    finally:
+        spark.conf.unset(name)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.pretokens import Encoder
-from tillroll.llm.textarrays import mixed, runs
+from tillroll.llm.textarrays import give_back, mixed, runs
 
 # Upper bounds of the length buckets, in bytes.
 BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128)
@@ -234,6 +234,7 @@ def encode_decode(docs: DataFrame, ranks: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
         encoder.forget()  # the worker goes on to other tasks, maybe of other operators
+        give_back()
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return wanted.mapInArrow(encode, ENCODED)

@@ -6,6 +6,7 @@ begins, so that work on every character or word is a vectorised pass.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -16,6 +17,9 @@ import pyarrow as pa
 # from them (some ten times as much). One longer text is a run of its own, never cut.
 RUN_BYTES = 1 << 20
 
+# The C library's call that gives freed memory back to the system, where there is one.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -66,7 +70,14 @@ def runs(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(first, last - first)
         first = last
     # What the batch's arrays took goes back to the system before the next batch comes.
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory of Arrow and of the C library goes back to the system."""
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:

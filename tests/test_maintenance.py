@@ -1,7 +1,9 @@
 """What is kept beside the table: index of order ids, totals, schema, contributions of files."""
 
 import glob
+import json
 import os
+import time
 
 import pytest
 from conftest import plan, rows
@@ -10,12 +12,13 @@ from pyspark.sql import types as T
 
 from tillroll import storage
 from tillroll.operators import profiling
+from tillroll.operators.cleansing import cleanse, keep_max
 from tillroll.operators.evolution import evolved, fitted, wider
 from tillroll.operators.gates import SchemaMismatch
 from tillroll.plans import loads, reports
 from tillroll.plans.loads import batch_load, incremental_load
 from tillroll.schema import CLEANSED_SCHEMA, SOURCE_SCHEMA
-from tillroll.sinks import key_index, ledger, profiles, tables, totals
+from tillroll.sinks import key_index, ledger, profiles, settling, tables, totals
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan
 from tillroll.sources.tables import read_ledger, read_table, table_schema
@@ -486,6 +489,128 @@ def test_a_packed_ledger_names_the_same_files(spark, source, target, monkeypatch
     ledger.pack_ledger(spark, f"{path}-none")
 
 
+# --- what lies on disk ----------------------------------------------------------------------
+
+
+SPREAD = [
+    (1, "x", 5, 2019, 1), (1, "x", 9, 2019, 1), (1, "x", 9, 2019, 1), (1, "x", 7, 2019, 2), (1, "y", 1, 2019, 1),
+    (2, None, 3, 2019, 1), (2, None, 2, None, None), (3, "x", 1, 2019, 2), (3, "x", None, 2019, 2),
+    (70, "x", 1, 2019, 1), (70, "x", 2, 2019, 1), (-5, "x", 1, None, None), (-5, "x", 1, 2019, 2), (2**62, "z", 1, 2019, 2),
+    (None, "x", 1, 2019, 1), (None, "x", 2, 2019, 2), (None, None, 1, 2019, 1),
+]
+
+
+@pytest.mark.parametrize("limits", [{}, {"HOT_ROWS": 1}, {"APART_WORDS": 0}])
+def test_settling_keeps_what_keep_max_does(spark, tmp_path, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(settling, name, value)
+    data = cleansed(spark, *SPREAD).repartition(3)
+    settled = settling.settled(data, settling.line_words(data), str(tmp_path / "apart"))
+    text = plan(settled)
+    assert rows(settled) == rows(keep_max(data, tables.STORED_KEYS, tables.STORED_QUANTITY))
+    if "APART_WORDS" in limits:
+        return
+    # One exchange of all rows, and one by key for the ids of several months.
+    assert text.count("rangepartitioning(year") == 1
+    assert text.count("hashpartitioning(Order_ID") == 1
+    apart = rows(spark.read.parquet(str(tmp_path / "apart")), "word", "bits")
+    if not limits:
+        assert apart == [(-1, 1 << 59), (0, 1 << 1 | 1 << 2)]
+    else:
+        assert (1, -1) in apart
+
+
+def test_a_load_that_settles_on_the_way_equals_a_cleansed_write(spark, source, target, tmp_path):
+    source("a.csv", line(1, "x", 2), line(1, "x", 4, "02/05/19 10:00"), line(1, "x", 4, "03/05/19 10:00"), line(2, "", 1))
+    source("b.csv", line(1, "x", 4, "no date"), line(2, "", 1), line(2, "", 3, "02/01/19 10:00"), line(9, "y", 1))
+    want = rows(csv_scan(spark, source.folder).transform(cleanse), *KEPT)
+    for mode in ("append", "upsert"):
+        path = str(tmp_path / mode)
+        incremental_load(spark, source.folder, path, f"{path}_ledger", mode)
+        assert stored_rows(spark, path) == want
+        # Again, into a table that has them.
+        incremental_load(spark, source.folder, path, f"{path}_other", mode)
+        assert stored_rows(spark, path) == sorted(want * (2 if mode == "append" else 1), key=repr)
+    for layout in ("clustered", "rebalance"):
+        path = str(tmp_path / layout)
+        batch_load(spark, source.folder, path, f"{path}_ledger", layout=layout, track_files=layout == "clustered")
+        assert stored_rows(spark, path) == want
+
+
+def test_published_files_are_those_that_were_staged(spark, target, monkeypatch):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, 2019, 4), (2, "x", 1, 2019, 5), (3, "x", 1, None, None)), table)
+    staged, publish = [], tables._publish
+
+    def watched(spark, path, folder, *rest):
+        staged.extend(os.path.basename(f) for f in glob.glob(f"{folder}/*/*/*.parquet"))
+        return publish(spark, path, folder, *rest)
+
+    monkeypatch.setattr(tables, "_publish", watched)
+    upsert_rows(cleansed(spark, (1, "x", 2, 2019, 5), (3, "x", 2, 2019, 6)), table)
+    assert stored_rows(spark, table) == [(1, "x", 2, 2019, 5), (2, "x", 1, 2019, 5), (3, "x", 2, 2019, 6)]
+    assert sorted(os.path.basename(f) for f in glob.glob(f"{table}/*/*/*.parquet")) == sorted(staged)
+    staged.clear()
+    append_rows(cleansed(spark, (7, "x", 1, 2019, 5), (8, "x", 1, None, None)), table)
+    tables.pack_table(spark, table, spare_files=1)
+    assert staged and set(staged) <= {os.path.basename(f) for f in glob.glob(f"{table}/*/*/*.parquet")}
+    assert not glob.glob(f"{table}_merged-*") and not glob.glob(f"{table}_packed-*")
+
+
+def test_a_publishing_that_dies_between_months_is_finished(spark, target, monkeypatch):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, 2019, 4), (2, "x", 1, 2019, 5), (3, "x", 1, 2019, 6)), table)
+    reports.keep_totals(spark, table)
+    move = storage.move_folders
+
+    def dying(spark, moves):
+        move(spark, dict([*moves.items()][:1]))
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "move_folders", dying)
+        with pytest.raises(OSError):
+            upsert_rows(cleansed(spark, (1, "x", 5, 2019, 5), (3, "x", 5, 2019, 6), (4, "x", 5, 2019, 7)), table)
+    upsert_rows(cleansed(spark, (5, "x", 5, 2019, 8)), table)
+    want = [(1, "x", 5, 2019, 5), (2, "x", 1, 2019, 5), (3, "x", 5, 2019, 6), (4, "x", 5, 2019, 7), (5, "x", 5, 2019, 8)]
+    assert stored_rows(spark, table) == want
+    # Months left without rows keep their bits.
+    assert holding(spark, table, 1, 2, 3, 4, 5) == [(2019, m, 0, 63) for m in (4, 5, 6, 7, 8)]
+    assert reported(reports.kept_report(spark, table)) == reported(reports.monthly_report(read_table(spark, table)))
+
+
+def test_a_note_of_an_earlier_version_is_published(spark, target):
+    table, _ = target
+    write_table(cleansed(spark, (1, "x", 1, 2019, 4), (2, "x", 1, 2019, 5)), table)
+    staged = storage.scratch_path(spark, "merged")
+    write_table(cleansed(spark, (1, "x", 2, 2019, 4)), staged)
+    note = {"staged": staged, "months": [[2019, 4], [2019, 5]], "undated": False}
+    storage.write_text(spark, f"{table}/{tables._PENDING}", json.dumps(note))
+    upsert_rows(cleansed(spark, (9, "x", 1, 2019, 6)), table)
+    assert stored_rows(spark, table) == [(1, "x", 2, 2019, 4), (9, "x", 1, 2019, 6)]
+    assert not os.path.exists(staged)
+
+
+def test_a_load_leaves_no_shuffle_files(spark, source, target):
+    table, path = target
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    source("a.csv", *[line(i, "x", 1, f"0{1 + i % 9}/05/19 10:00") for i in range(50)])
+    before = shuffled()
+    batch_load(spark, source.folder, table, path)
+    source("b.csv", *[line(i, "x", 2, f"0{1 + i % 9}/05/19 10:00") for i in range(50)])
+    incremental_load(spark, source.folder, table, path)
+    for _ in range(50):  # they are deleted in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+
+
 # --- kept profiles --------------------------------------------------------------------------
 
 

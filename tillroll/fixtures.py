@@ -88,7 +88,8 @@ def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     and the joins that make them are no part of what a query does."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = stored_scratch(_lines(spark, sf_dir).drop("copy"), "sales")
+        with storage.shuffles_freed(spark):
+            _stored[key] = stored_scratch(_lines(spark, sf_dir).drop("copy"), "sales", "zstd")
     return _stored[key]
 
 
@@ -180,7 +181,7 @@ def corrected_csv(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[], N
     text = _as_text(stored_lines(spark, sf_dir))
 
     def put(rows: DataFrame, name: str) -> None:
-        with storage.scratch_folder(spark, "file") as beside:
+        with storage.scratch_folder(spark, "file") as beside, storage.shuffles_freed(spark):
             rows.select(*names).repartition(1).write.option("header", True).csv(beside)
             (part,) = (n for n in storage.names(spark, beside) if n.startswith("part-"))
             storage.move(spark, f"{beside}/{part}", f"{folder}/{name}")

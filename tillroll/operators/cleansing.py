@@ -108,6 +108,16 @@ def uncastable(df: DataFrame, schema: T.StructType = SOURCE_SCHEMA) -> DataFrame
     return df.withColumn("uncastable", F.when(F.col(CORRUPT).isNull(), False).otherwise(bad))
 
 
+def shaped(df: DataFrame) -> DataFrame:
+    """Source rows with a key in the form of cleansed rows, all lines of a key still there."""
+    return (
+        df.transform(remove_nulls)
+        .transform(parse_dates)
+        .transform(add_period)
+        .transform(rename_columns)
+    )
+
+
 def cleanse(df: DataFrame) -> DataFrame:
     """Source rows to cleansed rows: the whole chain, one exchange.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import storage
-from tillroll.operators.cleansing import cleanse, remove_nulls, uncastable
+from tillroll.operators.cleansing import remove_nulls, shaped, uncastable
 from tillroll.operators.gates import (
     accepted_files,
     inspect_files,
@@ -20,6 +20,7 @@ from tillroll.operators.gates import (
 from tillroll.schema import CORRUPT, ORDER_ID, SOURCE_SCHEMA
 from tillroll.sinks import contributions, profiles
 from tillroll.sinks.ledger import rejects_path, write_ledger, write_rejects
+from tillroll.sinks.settling import PLACE
 from tillroll.sinks.tables import append_rows, upsert_rows, write_table
 from tillroll.sources.files import csv_scan_files, list_files
 from tillroll.sources.tables import read_ledger, read_rejects, unseen_files
@@ -120,15 +121,18 @@ def _load(
 ) -> LoadResult:
     """Judge files and lines, have ``write`` store the cleansed rows, then record all of it.
 
+    ``write`` gets rows that may be several per key, the keys to withdraw before if files are tracked,
+    and whether the rows are one per key and laid out already.
+
     The text is scanned once: the parsed lines go to scratch, from where the table and the kept
     rejects are written. Everything in scratch is deleted when the load ends, well or not.
     """
-    with storage.scratch_folder(spark, "load") as scratch:
+    with storage.shuffles_freed(spark), storage.scratch_folder(spark, "load") as scratch:
         listing = storage.stored(files, f"{scratch}/listing")
         batch_id = _batch_id(listing)
         inspected = storage.stored(inspect_files(listing, gate, schema), f"{scratch}/inspected")
         accepted, rejected = accepted_files(inspected), rejected_files(inspected)
-        lines = storage.stored(judged_lines(accepted, gate, schema), f"{scratch}/lines")
+        lines = storage.stored(judged_lines(accepted, gate, schema), f"{scratch}/lines", "zstd")
         if gate == "strict":
             bad = storage.stored(wrong_typed_files(lines), f"{scratch}/bad")
             lines = lines.join(bad, "file_uri", "left_anti")
@@ -138,12 +142,16 @@ def _load(
         if n_files:
             usable = lines.filter(F.col("reason").isNull())
             if track_files:
-                rows = contributions.contributed(usable.select(*schema.fieldNames(), "file_uri"))
+                rows = usable.select(*schema.fieldNames(), "file_uri")
+                rows = contributions.contributed(rows, f"{scratch}/apart")
                 rows = contributions.write_contributions(rows, accepted, ledger_path, batch_id)
                 ledger = read_ledger(spark, ledger_path)
-                write(*contributions.replaced(spark, rows, accepted, ledger, ledger_path, batch_id))
+                rows, withdrawn = contributions.replaced(
+                    spark, rows, accepted, ledger, ledger_path, batch_id, f"{scratch}/withdrawn"
+                )
+                write(rows, withdrawn, withdrawn is None)
             else:
-                write(usable.select(*schema.fieldNames()).transform(cleanse), None)
+                write(usable.select(*schema.fieldNames()).transform(shaped), None, False)
         if full and n_files:
             # What older loads have rejected was judged again or is gone.
             for kind in ("files", "rows"):
@@ -187,8 +195,12 @@ def batch_load(
     _check_tracking(track_files, "upsert", fmt, schema)
     listing = list_files(spark, source_dir) if files is None else files
 
-    def write(rows: DataFrame, _withdrawn: DataFrame | None) -> None:
-        write_table(rows, table_path, "overwrite", fmt, layout)
+    def write(rows: DataFrame, _withdrawn: DataFrame | None, laid: bool) -> None:
+        if laid and layout == "clustered":
+            # As the contributions are: a stored file is a task's share.
+            write_table(rows.sortWithinPartitions(*PLACE), table_path, "overwrite", fmt, "as_is")
+        else:
+            write_table(rows, table_path, "overwrite", fmt, layout, settle=not laid)
 
     return _load(spark, listing, ledger_path, gate, True, write, schema, track_files, keep_profile)
 
@@ -247,11 +259,11 @@ def load_files(
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     _check_tracking(track_files, mode, fmt, schema)
 
-    def write(rows: DataFrame, withdrawn: DataFrame | None) -> None:
+    def write(rows: DataFrame, withdrawn: DataFrame | None, laid: bool) -> None:
         if mode == "append":
-            append_rows(rows, table_path, fmt, evolve=evolve)
+            append_rows(rows, table_path, fmt, evolve=evolve, settle=not laid)
         else:
-            upsert_rows(rows, table_path, fmt, evolve=evolve, withdrawn=withdrawn)
+            upsert_rows(rows, table_path, fmt, evolve=evolve, withdrawn=withdrawn, settle=not laid)
 
     unseen = unseen_files(spark, files, ledger_path, changed_too=track_files)
     return _load(spark, unseen, ledger_path, gate, False, write, schema, track_files, keep_profile)

@@ -8,17 +8,20 @@ left out by that, and are known as rows to withdraw when the file is loaded agai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import storage
-from tillroll.operators.cleansing import add_period, keep_max, parse_dates, rename_columns
-from tillroll.schema import CLEANSED_SCHEMA, KEYS, QUANTITY, STORED_KEYS, STORED_QUANTITY
+from tillroll.functions.ordering import survivor_order
+from tillroll.operators.cleansing import keep_max, shaped
+from tillroll.schema import CLEANSED_SCHEMA, STORED_KEYS, STORED_QUANTITY
+from tillroll.sinks import key_index, settling
 from tillroll.sources.files import literal_path
 from tillroll.sources.tables import last_loaded
 
 FILE = "file_uri"
+SURVIVES = "survives"  # of the rows of a key in a batch, the one that the batch puts into the table
 _FILES = "path string, file_uri string, batch_id string"
 
 
@@ -26,20 +29,35 @@ def contributions_path(ledger_path: str, kind: str) -> str:
     return f"{ledger_path.rstrip('/')}_contributions/{kind}"
 
 
-def contributed(lines: DataFrame) -> DataFrame:
-    """Cleansed rows per file, from usable lines with ``file_uri``: one per file and key.
+def _first_of(*keys: str) -> Column:
+    """Is a row the survivor of its key? Rows that tie differ in nothing but their file."""
+    order = survivor_order(CLEANSED_SCHEMA, STORED_KEYS, STORED_QUANTITY)
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order, FILE)) == 1
 
-    The rows of all files keep their largest quantity per key afterwards, which gives what
-    cleansing the lines at once would.
+
+def contributed(lines: DataFrame, scratch: str) -> DataFrame:
+    """Cleansed rows per file, from usable lines with ``file_uri``: one per file and key, with
+    ``survives``, laid out as the table is.
+
+    The surviving rows of all files are what cleansing the lines at once would give.
     """
-    parsed = parse_dates(lines)
-    kept = keep_max(parsed, [*KEYS, FILE], QUANTITY)
-    return rename_columns(add_period(kept)).select(*CLEANSED_SCHEMA.fieldNames(), FILE)
+    rows = shaped(lines).select(*CLEANSED_SCHEMA.fieldNames(), FILE)
+    words = settling.apart_words(settling.line_words(rows))
+    few, most = settling.split_by_id(rows, settling.few_words(words, scratch))
+    few = keep_max(few, [*STORED_KEYS, FILE], STORED_QUANTITY).withColumn(SURVIVES, _first_of(*STORED_KEYS))
+    if most is None:
+        return settling.clustered(few)
+    most = most.withColumn(SURVIVES, F.lit(None).cast("boolean"))
+    moved = most.unionByName(few).repartitionByRange(*settling.PLACE)
+    # As in ``settling.settled``: the other lines of a key and month are in the same range.
+    kept = keep_max(moved, [*settling.PLACE, FILE], STORED_QUANTITY)
+    kept = kept.withColumn(SURVIVES, F.coalesce(SURVIVES, _first_of(*settling.PLACE)))
+    return kept.sortWithinPartitions(*settling.PLACE)
 
 
 def write_contributions(rows: DataFrame, files: DataFrame, ledger_path: str, batch_id: str) -> DataFrame:
-    """Keep a batch's rows, ordered by order id; a batch that is repeated replaces its own."""
-    for kind, frame in (("files", files.select("path", FILE)), ("rows", rows.repartitionByRange(*STORED_KEYS))):
+    """Keep a batch's rows as they are laid out; a batch that is repeated replaces its own."""
+    for kind, frame in (("files", files.select("path", FILE)), ("rows", rows)):
         frame.write.mode("overwrite").parquet(f"{contributions_path(ledger_path, kind)}/batch_id={batch_id}")
     path = f"{contributions_path(ledger_path, 'rows')}/batch_id={batch_id}"
     return rows.sparkSession.read.schema(rows.schema).parquet(literal_path(path))
@@ -64,31 +82,49 @@ def _last_versions(spark: SparkSession, ledger: DataFrame, ledger_path: str) ->
 
 
 def replaced(
-    spark: SparkSession, new: DataFrame, files: DataFrame, ledger: DataFrame, ledger_path: str, batch_id: str
-) -> tuple[DataFrame, DataFrame]:
+    spark: SparkSession,
+    new: DataFrame,
+    files: DataFrame,
+    ledger: DataFrame,
+    ledger_path: str,
+    batch_id: str,
+    scratch: str,
+) -> tuple[DataFrame, DataFrame | None]:
     """``rows, withdrawn``: what a merge has to put in, and the keys it has to take out before.
 
-    Withdrawn are all keys that older versions of the given files had. For these the other files
-    have their say again: their current rows are found by key, within the range of the withdrawn ids,
-    by which the stored rows are ordered.
+    Withdrawn are all keys that older versions of the given files had, None if they had none. For these
+    the other files have their say again: their current rows are found by key, within the range of the
+    withdrawn ids, by which the stored rows of a month are ordered. So a key may have several rows
+    then; without withdrawn keys the rows are one per key, and laid out.
     """
     kept = _read(spark, ledger_path, "rows")
     older = kept.join(files.select(FILE), FILE, "left_semi").filter(F.col("batch_id") != batch_id)
-    withdrawn = storage.stored_scratch(older.select(*STORED_KEYS).distinct(), "withdrawn")
+    withdrawn = storage.stored(older.select(*STORED_KEYS).distinct(), f"{scratch}/keys")
     low, high = withdrawn.agg(F.min(STORED_KEYS[0]), F.max(STORED_KEYS[0])).first()
-    rows = new.select(*CLEANSED_SCHEMA.fieldNames())
-    if low is not None:
-        keys = withdrawn.select(*[F.col(k).alias(f"new_{k}") for k in STORED_KEYS])
-        same = [kept[STORED_KEYS[0]] == keys[f"new_{STORED_KEYS[0]}"]]
-        same += [kept[k].eqNullSafe(keys[f"new_{k}"]) for k in STORED_KEYS[1:]]
-        others = (
-            kept.filter(F.col(STORED_KEYS[0]).between(low, high))
-            .join(keys, same, "left_semi")
-            .join(files.select(FILE), FILE, "left_anti")
-            .join(_last_versions(spark, ledger, ledger_path), [FILE, "batch_id"], "left_semi")
-        )
-        rows = rows.unionByName(others.select(*CLEANSED_SCHEMA.fieldNames()))
-    return keep_max(rows, STORED_KEYS, STORED_QUANTITY), withdrawn
+    columns = CLEANSED_SCHEMA.fieldNames()
+    rows = new.filter(SURVIVES).select(*columns)
+    if low is None:
+        return rows, None
+    others = (
+        kept.filter(F.col(STORED_KEYS[0]).between(low, high))
+        .join(files.select(FILE), FILE, "left_anti")
+        .join(_last_versions(spark, ledger, ledger_path), [FILE, "batch_id"], "left_semi")
+        .select(*columns)
+    )
+    # Other files have few of the keys: these are found first, from the key columns, then their rows.
+    # Rows of other ids are not moved for that.
+    found = _with_keys(others.select(*STORED_KEYS), withdrawn, f"{scratch}/ids").distinct()
+    found = storage.stored(found, f"{scratch}/found")
+    return rows.unionByName(_with_keys(others, found, f"{scratch}/found_ids")), withdrawn
+
+
+def _with_keys(rows: DataFrame, keys: DataFrame, scratch: str) -> DataFrame:
+    """Rows that have one of the keys."""
+    id_, product = STORED_KEYS
+    named, _ = settling.split_by_id(rows, settling.few_words(key_index.id_words(keys), scratch))
+    wanted = keys.select(F.col(id_).alias("_wanted_id"), F.col(product).alias("_wanted_product"))
+    same = (F.col(id_) == F.col("_wanted_id")) & F.col(product).eqNullSafe(F.col("_wanted_product"))
+    return named.join(wanted, same, "left_semi")
 
 
 def keep_only(spark: SparkSession, ledger_path: str, batch_id: str) -> None:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import storage
@@ -32,12 +32,22 @@ def _ready_path(table_path: str) -> str:
     return storage.beside(table_path, "order_ids_ready")
 
 
-def id_words(rows: DataFrame, *by: str) -> DataFrame:
-    """``word, bits`` of the order ids, per group of ``by``; combined before the shuffle."""
-    id_ = F.col(STORED_KEYS[0])
+def place_of(id_: Column) -> tuple[Column, Column]:
+    """The word of an order id, and its bit in it."""
     place = id_.bitwiseAND((1 << _WORD) - 1).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
-    return rows.groupBy(F.shiftright(id_, _WORD).alias("word"), *by).agg(F.bit_or(bit).alias("bits"))
+    return F.shiftright(id_, _WORD), F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
+def id_words(rows: DataFrame, *by: str, counted: bool = False) -> DataFrame:
+    """``word, bits`` of the order ids, per group of ``by``, and the ``n_lines`` of them if
+    ``counted``; combined before the shuffle."""
+    word, bit = place_of(F.col(STORED_KEYS[0]))
+    counts = [F.count(F.lit(1)).alias("n_lines")] if counted else []
+    return rows.groupBy(word.alias("word"), *by).agg(F.bit_or(bit).alias("bits"), *counts)
+
+
+def read_index(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.schema(_SCHEMA).parquet(literal_path(index_path(table_path)))
 
 
 def is_ready(spark: SparkSession, table_path: str) -> bool:
@@ -75,7 +85,7 @@ def replace_months(rows: DataFrame, table_path: str) -> None:
 def months_holding(spark: SparkSession, table_path: str, rows: DataFrame) -> Sequence[Row]:
     """``year, month, low, high``: months with an order id of ``rows``, and the range in which
     they share ids. One row per month comes to the driver."""
-    index = spark.read.schema(_SCHEMA).parquet(literal_path(index_path(table_path)))
+    index = read_index(spark, table_path)
     wanted = id_words(rows).withColumnRenamed("bits", "wanted")
     shared = index.join(wanted, "word").filter(F.col("bits").bitwiseAND(F.col("wanted")) != 0)
     first, last = F.min("word"), F.max("word")

@@ -14,7 +14,7 @@ from tillroll.operators.cleansing import keep_max
 from tillroll.operators.evolution import evolved, fitted
 from tillroll.operators.gates import append_gate
 from tillroll.schema import CLEANSED_SCHEMA, PERIOD, STORED_KEYS, STORED_QUANTITY
-from tillroll.sinks import key_index, totals
+from tillroll.sinks import key_index, settling, totals
 from tillroll.sources.files import literal_path
 from tillroll.sources.tables import read_table, record_schema, table_schema
 
@@ -52,8 +52,7 @@ def laid_out(df: DataFrame, layout: str = "rebalance") -> DataFrame:
     if layout == "as_is":
         return df
     if layout == "clustered":
-        place = [*PERIOD, *STORED_KEYS]
-        return df.repartitionByRange(*place).sortWithinPartitions(*place)
+        return settling.clustered(df)
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("layout 'rebalance' needs spark.sql.adaptive.enabled; or use 'as_is'")
     return df.hint("rebalance", *[F.col(c) for c in PERIOD])
@@ -65,8 +64,9 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     layout: str = "rebalance",
+    settle: bool = False,
 ) -> None:
-    """Write rows partitioned by year and month.
+    """Write rows partitioned by year and month; with ``settle`` only the survivor of each key.
 
     An append states the partitioning again: without it, Parquet files would land in the
     table's root folder, where readers do not see them. An overwrite replaces the whole table,
@@ -80,11 +80,22 @@ def write_table(
         totals.make_void(spark, path)
         if mode == "overwrite":
             record_schema(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
-    _write(df, path, mode, fmt, layout)
+    if not settle:
+        _write(laid_out(df, layout), path, mode, fmt)
+        return
+    with storage.scratch_folder(spark, "apart") as scratch:
+        _write(_settled(df, layout, settling.line_words(df), scratch), path, mode, fmt)
+
+
+def _settled(df: DataFrame, layout: str, words: DataFrame, scratch: str) -> DataFrame:
+    """``laid_out`` survivors; ``words`` are those of the rows' ids per month."""
+    if layout == "clustered":
+        return settling.settled(df, words, scratch)
+    return laid_out(keep_max(df, STORED_KEYS, STORED_QUANTITY), layout)
 
 
-def _write(df: DataFrame, path: str, mode: str, fmt: str, layout: str) -> None:
-    writer = laid_out(df, layout).write.format(fmt).mode(mode).partitionBy(*PERIOD)
+def _write(rows: DataFrame, path: str, mode: str, fmt: str = "parquet") -> None:
+    writer = rows.write.format(fmt).mode(mode).partitionBy(*PERIOD)
     writer = writer.option("partitionOverwriteMode", "static")
     if fmt == "delta":
         writer = writer.option("delta.columnMapping.mode", "none")
@@ -101,8 +112,10 @@ def append_rows(
     fmt: str = "parquet",
     layout: str = "clustered",
     evolve: bool = False,
+    settle: bool = False,
 ) -> None:
-    """Append cleansed rows, if their schema is the table's, or with ``evolve`` can be.
+    """Append cleansed rows, if their schema is the table's, or with ``evolve`` can be; with
+    ``settle`` only the survivor of each key.
 
     Where the table has an index or totals, the rows go to scratch first, because they are used
     more than once; the index gets their ids before the table gets the rows.
@@ -125,19 +138,20 @@ def append_rows(
     else:
         append_gate(df, CLEANSED_SCHEMA)
     if fmt != "parquet" or not exists:
-        write_table(df, path, "append" if exists or fmt != "parquet" else "overwrite", fmt, layout)
+        write_table(df, path, "append" if exists or fmt != "parquet" else "overwrite", fmt, layout, settle)
         return
     indexed, summed = key_index.is_ready(spark, path), totals.state(spark, path) is not None
-    if not indexed and not summed:
-        _write(df, path, "append", fmt, layout)
-        return
     with storage.scratch_folder(spark, "incoming") as scratch:
-        incoming = storage.stored(df, scratch)
+        if not indexed and not summed:
+            rows = _settled(df, layout, settling.line_words(df), scratch) if settle else laid_out(df, layout)
+            _write(rows, path, "append", fmt)
+            return
+        incoming = storage.stored(keep_max(df, STORED_KEYS, STORED_QUANTITY) if settle else df, scratch)
         if indexed:
             key_index.add(incoming, path)
         if summed:
             totals.mark_stale(spark, path, _months(incoming))
-        _write(incoming, path, "append", fmt, layout)
+        _write(laid_out(incoming, layout), path, "append", fmt)
     if summed:
         totals.renew(spark, path, read_table(spark, path))
 
@@ -192,6 +206,15 @@ def _same_key(rows: DataFrame, keys: DataFrame) -> list[Column]:
     return [rows[id_] == keys[f"new_{id_}"], rows[product].eqNullSafe(keys[f"new_{product}"])]
 
 
+def _without(rows: DataFrame, gone: DataFrame, scratch: str) -> DataFrame:
+    """Rows whose key is not among the given ones. Only rows with an id of these are moved."""
+    id_, _ = STORED_KEYS
+    ids = key_index.id_words(gone.select(F.col(f"new_{id_}").alias(id_)))
+    named, others = settling.split_by_id(rows, settling.few_words(ids, scratch))
+    named = named.join(gone, _same_key(named, gone), "left_anti")
+    return named if others is None else others.unionByName(named)
+
+
 def touched_months(
     incoming: DataFrame, table: DataFrame, holding: Sequence[Row] | None = None, keys: DataFrame | None = None
 ) -> list[Row]:
@@ -223,11 +246,12 @@ def touched_months(
     return _months(dated.select(*PERIOD).unionByName(displaced.select(*PERIOD)))
 
 
+def _folder_names(month: Row) -> list[str]:
+    return [f"{c}={_DEFAULT_PARTITION if month[c] is None else month[c]}" for c in PERIOD]
+
+
 def _month_folder(path: str, month: Row) -> str:
-    parts = [
-        f"{c}={_DEFAULT_PARTITION if month[c] is None else month[c]}" for c in PERIOD
-    ]
-    return "/".join([path.rstrip("/"), *parts])
+    return "/".join([path.rstrip("/"), *_folder_names(month)])
 
 
 def upsert_rows(
@@ -237,19 +261,22 @@ def upsert_rows(
     layout: str = "clustered",
     evolve: bool = False,
     withdrawn: DataFrame | None = None,
+    settle: bool = False,
 ) -> list[Row]:
     """Merge cleansed rows into the table, keeping the largest quantity per key.
 
+    With ``settle`` the new rows may hold several lines per key among themselves.
+
     Returns the months rewritten. The result is what a full load of old and new rows would
     give. Only touched months are read and rewritten; which ones, the index beside the table tells
     (``key_index``, filled by the first merge). ``withdrawn`` are keys, as rows of ``STORED_KEYS``,
     whose rows leave the table before the new ones are merged. With ``evolve`` new rows may
     have more columns and wider numbers than the table.
 
-    On Parquet the merged months are stored in scratch and then published by Spark's dynamic
-    partition overwrite; months left without rows are removed as folders, so the driver's work
-    grows with the months, not with the files. A note inside the table says what is being
-    published: if that dies, the next merge publishes the same stored rows again first, so no
+    On Parquet the merged months are stored beside the table and then published by moving their
+    folders into the places of the old ones; months left without rows are removed, so the driver's
+    work grows with the months, not with the files, and no row is written twice. A note inside the
+    table says what is being published: if that dies, the next merge publishes the rest first, so no
     row is lost for good and none is stored twice. Index and totals are renewed under the same note.
     """
     spark = df.sparkSession
@@ -266,11 +293,11 @@ def upsert_rows(
     else:
         append_gate(df, schema)
     if not exists:
-        write_table(df, path, "overwrite", fmt, layout)
+        write_table(df, path, "overwrite", fmt, layout, settle)
         return []
     with storage.scratch_folder(spark, "incoming") as scratch:
         # Used three times below; written, so that it is computed once and survives lost executors.
-        incoming = storage.stored(df, f"{scratch}/rows")
+        incoming = storage.stored(df, f"{scratch}/rows", "zstd")
         keys = _keys(incoming)
         if withdrawn is not None:
             gone = storage.stored(_keys(withdrawn).distinct(), f"{scratch}/withdrawn")
@@ -290,25 +317,36 @@ def upsert_rows(
             return []
         kept = table.filter(in_months(months))
         if withdrawn is not None:
-            kept = kept.join(gone, _same_key(kept, gone), "left_anti")
-        merged = keep_max(kept.unionByName(incoming), STORED_KEYS, STORED_QUANTITY)
+            kept = _without(kept, gone, f"{scratch}/gone_ids")
+        merged = kept.unionByName(incoming)
         if fmt != "parquet":
             # A table format replaces the months in one transaction.
             predicate = " OR ".join(
                 f"(year <=> {_literal(m.year)} AND month <=> {_literal(m.month)})" for m in months
             )
+            merged = keep_max(merged, STORED_KEYS, STORED_QUANTITY)
             laid_out(merged, layout).write.format(fmt).mode("overwrite").option(
                 "replaceWhere", predicate
             ).save(path)
             return months
-        staged = storage.scratch_path(spark, "merged")
-        _write(merged, staged, "overwrite", fmt, layout)
+        held = key_index.read_index(spark, path).filter(in_months(months)).withColumn("n_lines", F.lit(0))
+        words = held.unionByName(settling.line_words(incoming)).groupBy("word", *PERIOD)
+        words = words.agg(F.bit_or("bits").alias("bits"), F.sum("n_lines").alias("n_lines"))
+        staged = _staging_path(path, "merged")
+        _write(_settled(merged, layout, words, f"{scratch}/apart"), staged, "overwrite")
     _publish(spark, path, staged, months, added)
     return months
 
 
+def _staging_path(path: str, name: str) -> str:
+    """Beside the table, so that what is staged can be moved into it."""
+    return f"{path.rstrip('/')}_{name}-{storage.fresh_name()}"
+
+
 def _publish(spark: SparkSession, path: str, staged: str, months: Sequence[Row], undated: bool) -> None:
     note = {"staged": staged, "months": [[m.year, m.month] for m in months], "undated": undated}
+    # Months without a folder now have no rows left; later on, their folder may have been moved.
+    note["left"] = [[m.year, m.month] for m in _staged_months(spark, staged, months)]
     storage.write_text(spark, f"{path.rstrip('/')}/{_PENDING}", json.dumps(note))
     _publish_pending(spark, path)
 
@@ -341,9 +379,9 @@ def pack_table(
     months = _in_order(crowded_months(spark, path, file_bytes, spare_files).select(*PERIOD).collect())
     if months:
         schema = table_schema(spark, path)
-        staged = storage.scratch_path(spark, "packed")
+        staged = _staging_path(path, "packed")
         rows = read_table(spark, path, schema=schema).filter(in_months(months))
-        _write(rows, staged, "overwrite", "parquet", "clustered")
+        _write(laid_out(rows, "clustered"), staged, "overwrite")
         _publish(spark, path, staged, months, False)
     return months
 
@@ -351,38 +389,49 @@ def pack_table(
 def _publish_pending(spark: SparkSession, path: str) -> None:
     """Replace the noted months by their stored rows; nothing to do without a note.
 
-    Every step can be repeated: the stored rows stay until the note is gone.
+    Every step can be repeated: a month's rows are where they were stored or in their place, and
+    the note says which months have any.
     """
     note_path = f"{path.rstrip('/')}/{_PENDING}"
     note = storage.read_text(spark, note_path)
     if note is None:
         return
-    staged, months, undated = (json.loads(note)[k] for k in ("staged", "months", "undated"))
+    noted = json.loads(note)
+    staged, undated = noted["staged"], noted["undated"]
+    changed = [Row(year=year, month=month) for year, month in noted["months"]]
     schema = table_schema(spark, path)
-    rows = read_table(spark, staged, schema=schema)
-    changed = [Row(year=year, month=month) for year, month in months]
+    if "left" not in noted:
+        # Noted by an earlier version, which staged rows elsewhere.
+        beside = _staging_path(path, "merged")
+        _write(read_table(spark, staged, schema=schema), beside, "overwrite")
+        _publish(spark, path, beside, changed, undated)
+        storage.delete(spark, staged)
+        return
+    left = [Row(year=year, month=month) for year, month in noted["left"]]
     summed = totals.mark_stale(spark, path, [*changed, _UNDATED] if undated else changed)
     indexed = key_index.is_ready(spark, path)
     if undated:
-        new = rows.filter(in_months([_UNDATED]))
+        new = read_table(spark, staged, schema=schema).filter(in_months([_UNDATED]))
         if indexed:
             key_index.add(new, path)
         _add_undated(new, path, schema)
-        rows = rows.filter(~in_months([_UNDATED]))
-    # Already laid out: a stored file is a task's share.
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *PERIOD
-    ).parquet(path)
-    if indexed:
-        key_index.replace_months(rows, path)
-    left = {(m.year, m.month) for m in _months(rows)}
-    for year, month in months:
-        if (year, month) not in left:
-            storage.delete(spark, _month_folder(path, Row(year=year, month=month)))
+    for month in changed:
+        if month not in left:
+            storage.delete(spark, _month_folder(path, month))
+    storage.move_folders(spark, {_month_folder(staged, m): _month_folder(path, m) for m in left})
+    spark.catalog.refreshByPath(path)
+    if indexed and left:
+        key_index.replace_months(read_table(spark, path, schema=schema).filter(in_months(left)), path)
     if summed:
         totals.renew(spark, path, read_table(spark, path, schema=schema))
-    storage.delete(spark, note_path)
-    storage.delete(spark, staged)
+    storage.delete(spark, note_path, staged)
+
+
+def _staged_months(spark: SparkSession, staged: str, months: Sequence[Row]) -> list[Row]:
+    """Those of the given months that have a folder: a look per year."""
+    years = {year for year, _ in map(_folder_names, months)}
+    there = {(year, name) for year in years for name in storage.names(spark, f"{staged}/{year}")}
+    return [month for month in months if tuple(_folder_names(month)) in there]
 
 
 def _add_undated(rows: DataFrame, path: str, schema: T.StructType) -> None:

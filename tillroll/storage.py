@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tillroll/{name}-{fresh_name()}"
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: evaluated once, and no lineage to replay.
 
     Sizes of the written files are known to Spark, so later joins with it are broadcast only
-    if it really is small.
+    if it really is small. ``compression`` is Parquet's, if not the session's.
     """
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -54,9 +54,9 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
         delete(spark, path)
 
 
-def stored_scratch(df: DataFrame, name: str) -> DataFrame:
+def stored_scratch(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``stored`` at a fresh scratch path."""
-    return stored(df, scratch_path(df.sparkSession, name))
+    return stored(df, scratch_path(df.sparkSession, name), compression)
 
 
 def beside(table_path: str, kind: str) -> str:
@@ -90,10 +90,33 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder; no error if it is gone already."""
+_SHUFFLES_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries made in the block delete the files of their shuffles when they end.
+
+    Otherwise these lie on the executors' disks until the driver collects garbage, so that those of
+    all steps of a job lie there at once.
+    """
+    before = spark.conf.get(_SHUFFLES_FREED, None)
+    spark.conf.set(_SHUFFLES_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES_FREED)
+        else:
+            spark.conf.set(_SHUFFLES_FREED, before)
+
+
+def delete(spark: SparkSession, path: str, *more: str) -> None:
+    """Delete files or folders of one file system, in order; no error if they are gone already."""
     fs, hadoop_path = _path(spark, path)
     fs.delete(hadoop_path, True)
+    for other in more:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(other), True)
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
@@ -103,6 +126,24 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), hadoop_target)
 
 
+def move_folders(spark: SparkSession, moves: Mapping[str, str]) -> None:
+    """Put folders in the places of others of the same file system, which go; one by one.
+
+    A folder that is not there has been moved before.
+    """
+    if not moves:
+        return
+    fs, _ = _path(spark, next(iter(moves)))
+    for source, target in moves.items():
+        hadoop_source, hadoop_target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+        if not fs.exists(hadoop_source):
+            continue
+        fs.delete(hadoop_target, True)
+        fs.mkdirs(hadoop_target.getParent())
+        if not fs.rename(hadoop_source, hadoop_target):
+            raise OSError(f"cannot move {source} to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, whole or not at all: written beside its place and renamed."""
     fs, hadoop_path = _path(spark, path)
@@ -118,9 +159,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """What ``write_text`` has written, or None."""
-    if not exists(spark, path):
-        return None
     fs, hadoop_path = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
     stream = fs.open(hadoop_path)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")

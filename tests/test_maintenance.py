@@ -591,7 +591,7 @@ def test_a_note_of_an_earlier_version_is_published(spark, target):
     assert not os.path.exists(staged)
 
 
-def test_a_load_leaves_no_shuffle_files(spark, source, target):
+def test_loads_and_packing_leave_no_shuffle_files(spark, source, target):
     table, path = target
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
@@ -604,6 +604,9 @@ def test_a_load_leaves_no_shuffle_files(spark, source, target):
     batch_load(spark, source.folder, table, path)
     source("b.csv", *[line(i, "x", 2, f"0{1 + i % 9}/05/19 10:00") for i in range(50)])
     incremental_load(spark, source.folder, table, path)
+    source("c.csv", line(1, "y", 2))
+    incremental_load(spark, source.folder, table, path, "append")
+    assert tables.pack_table(spark, table, spare_files=1)
     for _ in range(50):  # they are deleted in the background
         if shuffled() <= before:
             break

@@ -298,7 +298,8 @@ def upsert_rows(
     with storage.scratch_folder(spark, "incoming") as scratch:
         # Used three times below; written, so that it is computed once and survives lost executors.
         incoming = storage.stored(df, f"{scratch}/rows", "zstd")
-        keys = _keys(incoming)
+        # Tasks put out a key once, so that a frequent one is not looked for by all its lines.
+        keys = _keys(incoming).distinct() if settle else _keys(incoming)
         if withdrawn is not None:
             gone = storage.stored(_keys(withdrawn).distinct(), f"{scratch}/withdrawn")
             keys = storage.stored(keys.unionByName(gone).distinct(), f"{scratch}/keys")
